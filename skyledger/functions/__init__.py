@@ -5,8 +5,7 @@ from .parsing import (
     ARITY_PATTERN,
     RECORD_PATTERN,
     arity_ok,
-    grammar_ok,
-    numeric_field_names,
+    record_ok,
     split_fields,
     typed_fields,
 )
@@ -16,8 +15,7 @@ __all__ = [
     "RECORD_PATTERN",
     "RECORD_TEXT_FORMAT",
     "arity_ok",
-    "grammar_ok",
-    "numeric_field_names",
+    "record_ok",
     "record_text",
     "set_label",
     "split_fields",

@@ -11,9 +11,12 @@ A line is accepted when
   digits inside the 32-bit range, floats in Java's decimal notation with
   optional blank padding, ``NaN`` or ``Infinity``.
 
-``try_cast`` alone is too lenient (it trims blanks around integers and
-takes ``nan``/``inf``), so one anchored pattern over the first 20 fields
-checks the grammar, and ``try_cast`` then checks the range.
+One anchored pattern over the first 20 fields decides both, including the
+integer range, so the accept filter never needs the typed values: Catalyst
+pushes filters below projections, and a filter on the casts would split the
+line once per numeric field.  ``try_cast`` alone would also be too lenient
+(it trims blanks around integers and takes ``nan``/``inf``).  For every
+line the pattern accepts, ``try_cast`` gives Java's value.
 """
 
 from __future__ import annotations
@@ -23,8 +26,39 @@ from pyspark.sql import functions as F
 
 from ..schema import N_FIELDS, RECORD_FIELDS, SEPARATOR
 
+INT_MAX = 2**31 - 1
+
+
+def digits_at_most(bound: int) -> str:
+    """Pattern for numbers with as many digits as ``bound`` and <= ``bound``.
+
+    Built digit by digit: a smaller digit at position k followed by any
+    digits, or the bound's own digit and the rule again for the rest.
+    """
+    text = str(bound)
+    alternatives = []
+    for k, ch in enumerate(text):
+        low = 1 if k == 0 else 0
+        high = int(ch) - 1
+        if high >= low:
+            rest = len(text) - k - 1
+            digit = str(low) if low == high else "[%d-%d]" % (low, high)
+            tail = "[0-9]{%d}" % rest if rest > 1 else "[0-9]" * rest
+            alternatives.append(text[:k] + digit + tail)
+    alternatives.append(text)
+    return "(?:%s)" % "|".join(alternatives)
+
+
+def int_grammar(max_value: int = INT_MAX) -> str:
+    """Java ``Integer.parseInt`` grammar (ASCII digits) within the int range."""
+    short = "[0-9]{1,%d}" % (len(str(max_value)) - 1)
+    positive = r"\+?0*(?:%s|%s)" % (short, digits_at_most(max_value))
+    negative = r"-0*(?:%s|%s)" % (short, digits_at_most(max_value + 1))
+    return "(?:%s|%s)" % (positive, negative)
+
+
 # Grammar of one field of each kind (Java regex, no separator inside).
-INT_GRAMMAR = r"[+-]?[0-9]+"
+INT_GRAMMAR = int_grammar()
 FLOAT_GRAMMAR = (
     r"[\x00-\x20]*[+-]?"
     r"(?:NaN|Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[fFdD]?)"
@@ -34,8 +68,8 @@ STRING_GRAMMAR = r"[^;]*"
 
 _GRAMMAR = {"int": INT_GRAMMAR, "float": FLOAT_GRAMMAR, "string": STRING_GRAMMAR}
 
-# At least N_FIELDS - 1 separators, and a non-separator somewhere after the
-# last of them: the same as "split drops trailing empties, >= 21 remain".
+# After the last separator that the arity rule needs, a non-separator must
+# follow somewhere: the same as "split drops trailing empties, >= 21 remain".
 _TAIL = r";*[^;]"
 ARITY_PATTERN = r"^(?:[^;]*;){%d}%s" % (N_FIELDS - 1, _TAIL)
 
@@ -46,8 +80,6 @@ RECORD_PATTERN = (
     + _TAIL
 )
 
-_CAST = {"int": "int", "float": "float"}
-
 
 def split_fields(line: Column) -> Column:
     """Fields of a line; trailing empty fields are kept (limit -1)."""
@@ -58,8 +90,8 @@ def arity_ok(line: Column) -> Column:
     return line.rlike(ARITY_PATTERN)
 
 
-def grammar_ok(line: Column) -> Column:
-    """Arity rule and the number grammar of fields 0-19 in one pattern."""
+def record_ok(line: Column) -> Column:
+    """True when the line parses: arity rule and number grammar in one match."""
     return line.rlike(RECORD_PATTERN)
 
 
@@ -69,10 +101,6 @@ def typed_fields(line: Column) -> list[Column]:
     out = []
     for i, (name, kind) in enumerate(RECORD_FIELDS):
         raw = F.get(fields, i)
-        value = raw if kind == "string" else raw.try_cast(_CAST[kind])
+        value = raw if kind == "string" else raw.try_cast(kind)
         out.append(value.alias(name))
     return out
-
-
-def numeric_field_names() -> list[str]:
-    return [name for name, kind in RECORD_FIELDS if kind != "string"]

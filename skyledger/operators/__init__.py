@@ -2,7 +2,7 @@
 
 from .aggregates import agency_counts, agency_leaders, agency_winners, batch_counts, speed_stats
 from .latest import agency_winners_latest, latest_per_key, speed_stats_latest
-from .parse import Parsed, parse_lines, parse_records
+from .parse import Parsed, parse_lines, parse_records, split_parsed
 from .preview import batch_preview, first_lines
 from .render import render_records
 from .replay import BATCH_INTERVAL_S, PUBLISH_INTERVAL_S, with_batches
@@ -25,6 +25,7 @@ __all__ = [
     "render_records",
     "speed_stats",
     "speed_stats_latest",
+    "split_parsed",
     "with_batches",
     "word_count",
     "words",

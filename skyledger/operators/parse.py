@@ -1,8 +1,8 @@
 """Parse feed lines into typed records, setting bad lines aside.
 
-One projection splits the line once and casts the nine numeric fields; one
-anchored pattern checks the arity rule and the number grammar.  Records and
-rejects are two filters of the same projection.
+One anchored pattern decides whether a line is a record; the projection
+splits accepted lines once and casts the nine numeric fields.  Records and
+rejects are two filters of the same parse.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parsing import arity_ok, grammar_ok, numeric_field_names, typed_fields
+from ..functions.parsing import arity_ok, record_ok, typed_fields
 from ..schema import FIELD_NAMES
 
 REASON_ARITY = "arity"
@@ -29,12 +29,8 @@ class Parsed:
 
 
 def _reason(line: Column) -> Column:
-    in_range = None
-    for name in numeric_field_names():
-        check = F.col(name).isNotNull()
-        in_range = check if in_range is None else in_range & check
     return (
-        F.when(grammar_ok(line) & in_range, F.lit(None).cast("string"))
+        F.when(record_ok(line), F.lit(None).cast("string"))
         .when(~arity_ok(line), F.lit(REASON_ARITY))
         .otherwise(F.lit(REASON_NUMBER))
     )
@@ -61,21 +57,23 @@ def parse_records(
     """
     if on_error not in ("reject", "fail"):
         raise ValueError("on_error must be 'reject' or 'fail'")
+    line = F.col(line_col)
     parsed = parse_lines(lines, line_col)
     extra = [c for c in lines.columns if c not in FIELD_NAMES and c != line_col]
     if on_error == "fail":
-        good = F.when(F.col("reason").isNull(), F.lit(True)).otherwise(
-            F.raise_error(
-                F.concat(
-                    F.lit("bad feed line ("),
-                    F.col("reason"),
-                    F.lit("): "),
-                    F.col(line_col),
-                )
-            )
-        )
+        message = F.concat(F.lit("bad feed line ("), _reason(line), F.lit("): "), line)
+        good = F.when(record_ok(line), F.lit(True)).otherwise(F.raise_error(message))
     else:
-        good = F.col("reason").isNull()
-    records = parsed.filter(good).select(*extra, *FIELD_NAMES)
+        good = record_ok(line)
+    # The accept filter reads only the line, so it runs before the split.
+    records = lines.filter(good).select(*extra, *typed_fields(line))
+    rejects = parsed.filter(F.col("reason").isNotNull()).select(*extra, line_col, "reason")
+    return Parsed(records=records, rejects=rejects, parsed=parsed)
+
+
+def split_parsed(parsed: DataFrame, line_col: str = "line") -> Parsed:
+    """Records and rejects of an already parsed (e.g. persisted) frame."""
+    extra = [c for c in parsed.columns if c not in FIELD_NAMES and c not in (line_col, "reason")]
+    records = parsed.filter(F.col("reason").isNull()).select(*extra, *FIELD_NAMES)
     rejects = parsed.filter(F.col("reason").isNotNull()).select(*extra, line_col, "reason")
     return Parsed(records=records, rejects=rejects, parsed=parsed)

@@ -1,0 +1,84 @@
+"""Single-line cases of the Java number grammar and the arity rule."""
+
+import pytest
+
+from skyledger.functions.parsing import digits_at_most
+from skyledger.operators import parse_records
+
+BASE = ["A1", "F1", "33.5", "-117.25", "5000", "100", "90", "0453", "C182", "2015-08-18T07:58:54Z",
+        "NAME", "", "", "N1", "S1", "2072738", "CESSNA", "182T", "2006", "4", "dhs"]
+
+LAT, SPEED, AGENCY = 2, 5, 20
+
+
+def line(**changes):
+    fields = list(BASE)
+    for idx, value in changes.items():
+        fields[int(idx[1:])] = value
+    return ";".join(fields)
+
+
+CASES = [
+    (line(), None),
+    (";".join(BASE[:20]), "arity"),                 # 20 fields
+    (";".join(BASE + ["extra"]), None),              # 22 fields: accepted, rest ignored
+    (";".join(BASE[:20]) + ";", "arity"),            # empty agency: trailing empty dropped
+    (";".join(BASE[:20]) + ";;x", None),             # 22 fields, empty agency kept
+    ("", "arity"),
+    (";;;;;;;;;;;;;;;;;;;;;;;;", "arity"),
+    (line(f2=""), "number"),
+    (line(f5="12.5"), "number"),
+    (line(f5="2147483648"), "number"),
+    (line(f5="-2147483648"), None),
+    (line(f5="2147483647"), None),
+    (line(f5="+5"), None),
+    (line(f5=" 5"), "number"),
+    (line(f5="5\n"), "number"),
+    (line(f2="NaN"), None),
+    (line(f2="nan"), "number"),
+    (line(f2="Infinity"), None),
+    (line(f2="inf"), "number"),
+    (line(f2=" 1.5f "), None),
+    (line(f2="1e5"), None),
+    (line(f2=".5"), None),
+    (line(f2="1."), None),
+    (line(f2="."), "number"),
+    (line(f15="x"), "number"),
+    (line(f18="2006.0"), "number"),
+]
+
+
+@pytest.fixture(scope="module")
+def parsed(spark):
+    data = [(i, text) for i, (text, _) in enumerate(CASES)]
+    lines = spark.createDataFrame(data, "line_no long, line string")
+    return parse_records(lines)
+
+
+def test_reasons(parsed):
+    got = {r["line_no"]: r["reason"] for r in parsed.rejects.collect()}
+    for i, (text, reason) in enumerate(CASES):
+        assert got.get(i) == reason, (i, text)
+
+
+def test_values(parsed):
+    recs = {r["line_no"]: r for r in parsed.records.collect()}
+    plus = next(i for i, (t, _) in enumerate(CASES) if t == line(f5="+5"))
+    assert recs[plus]["speed"] == 5
+    assert recs[0]["squawk"] == 453
+    nan = next(i for i, (t, _) in enumerate(CASES) if t == line(f2="NaN"))
+    assert recs[nan]["latitude"] != recs[nan]["latitude"]
+    padded = next(i for i, (t, _) in enumerate(CASES) if t == line(f2=" 1.5f "))
+    assert recs[padded]["latitude"] == 1.5
+    empty_agency = next(i for i, (t, _) in enumerate(CASES) if t.endswith(";;x"))
+    assert recs[empty_agency]["agency"] == ""
+
+
+def test_digits_at_most_rule():
+    import re
+
+    pat = re.compile("^" + digits_at_most(2147483647) + "$")
+    for n in (1000000000, 1999999999, 2000000000, 2147483646, 2147483647):
+        assert pat.match(str(n))
+    for n in (2147483648, 2147483650, 2200000000, 9999999999):
+        assert not pat.match(str(n))
