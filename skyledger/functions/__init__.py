@@ -7,6 +7,7 @@ from .parsing import (
     arity_ok,
     record_ok,
     split_fields,
+    typed_field_sql,
     typed_fields,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "record_text",
     "set_label",
     "split_fields",
+    "typed_field_sql",
     "typed_fields",
 ]

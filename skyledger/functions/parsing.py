@@ -95,6 +95,21 @@ def record_ok(line: Column) -> Column:
     return line.rlike(RECORD_PATTERN)
 
 
+def typed_field_sql(line_sql: str) -> list[str]:
+    """SQL expressions of the 21 typed record columns of a line expression.
+
+    One ``selectExpr`` call instead of dozens of Column calls keeps the
+    driver-side plan building short; the expressions are the same.
+    """
+    fields = f"split({line_sql}, '{SEPARATOR}', -1)"
+    out = []
+    for i, (name, kind) in enumerate(RECORD_FIELDS):
+        raw = f"get({fields}, {i})"
+        value = raw if kind == "string" else f"try_cast({raw} AS {kind})"
+        out.append(f"{value} AS `{name}`")
+    return out
+
+
 def typed_fields(line: Column) -> list[Column]:
     """The 21 typed record columns of ``line`` (null where unparsable)."""
     fields = split_fields(line)

@@ -2,32 +2,23 @@
 
 One anchored pattern decides whether a line is a record; the projection
 splits accepted lines once and casts the nine numeric fields.  Records and
-rejects are two filters of the same parse.
+rejects are two filters of the same parse, built only when asked for.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parsing import arity_ok, record_ok, typed_fields
+from ..functions.parsing import arity_ok, record_ok, typed_field_sql
 from ..schema import FIELD_NAMES
 
 REASON_ARITY = "arity"
 REASON_NUMBER = "number"
 
 
-@dataclass(frozen=True)
-class Parsed:
-    """Typed records plus the lines that failed, with a reason."""
-
-    records: DataFrame
-    rejects: DataFrame
-    parsed: DataFrame
-
-
 def _reason(line: Column) -> Column:
     return (
         F.when(record_ok(line), F.lit(None).cast("string"))
@@ -36,44 +27,96 @@ def _reason(line: Column) -> Column:
     )
 
 
+def _passthrough(columns: list[str], line_col: str) -> list[str]:
+    return [c for c in columns if c not in FIELD_NAMES and c not in (line_col, "reason")]
+
+
+def _quoted(names: list[str]) -> list[str]:
+    return [f"`{c}`" for c in names]
+
+
+class Parsed:
+    """Typed records plus the lines that failed, with a reason.
+
+    ``records`` keeps the input's other columns (line number, batch key, ...)
+    and adds the 21 typed fields.  ``rejects`` keeps the input columns and
+    adds ``reason``: ``arity`` for fewer than 21 fields, else ``number``.
+    ``parsed`` is every line with its typed fields and reason.
+    """
+
+    def __init__(self, lines: DataFrame, line_col: str = "line", on_error: str = "reject"):
+        if on_error not in ("reject", "fail"):
+            raise ValueError("on_error must be 'reject' or 'fail'")
+        self.lines = lines
+        self.line_col = line_col
+        self.on_error = on_error
+
+    @cached_property
+    def records(self) -> DataFrame:
+        line = F.col(self.line_col)
+        if self.on_error == "fail":
+            message = F.concat(F.lit("bad feed line ("), _reason(line), F.lit("): "), line)
+            good = F.when(record_ok(line), F.lit(True)).otherwise(F.raise_error(message))
+        else:
+            good = record_ok(line)
+        extra = _passthrough(self.lines.columns, self.line_col)
+        # The accept filter reads only the line, so it runs before the split.
+        return self.lines.filter(good).selectExpr(
+            *_quoted(extra), *typed_field_sql(f"`{self.line_col}`")
+        )
+
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return parse_lines(self.lines, self.line_col)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        line = F.col(self.line_col)
+        extra = _passthrough(self.lines.columns, self.line_col)
+        return (
+            self.lines.select(*extra, line, _reason(line).alias("reason"))
+            .filter(F.col("reason").isNotNull())
+        )
+
+
 def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """All input columns, the 21 typed fields and ``reason`` (null if good)."""
     keep = [c for c in lines.columns if c not in FIELD_NAMES]
-    typed = lines.select(*keep, *typed_fields(F.col(line_col)))
+    typed = lines.selectExpr(*_quoted(keep), *typed_field_sql(f"`{line_col}`"))
     return typed.withColumn("reason", _reason(F.col(line_col)))
 
 
-def parse_records(
-    lines: DataFrame,
-    line_col: str = "line",
-    on_error: str = "reject",
-) -> Parsed:
-    """Split ``lines`` into records and rejects.
+def parse_records(lines: DataFrame, line_col: str = "line", on_error: str = "reject") -> Parsed:
+    """Split ``lines`` into records and rejects (see ``Parsed``).
 
-    ``records`` keeps the input's other columns (line number, batch key, ...)
-    and adds the 21 typed fields.  ``rejects`` keeps the input columns and
-    adds ``reason``: ``arity`` for fewer than 21 fields, else ``number``.
-    ``on_error="fail"`` makes the first bad line fail the job instead.
+    ``on_error="fail"`` makes the first bad line fail the job instead, as the
+    reference's parser does.
     """
-    if on_error not in ("reject", "fail"):
-        raise ValueError("on_error must be 'reject' or 'fail'")
-    line = F.col(line_col)
-    parsed = parse_lines(lines, line_col)
-    extra = [c for c in lines.columns if c not in FIELD_NAMES and c != line_col]
-    if on_error == "fail":
-        message = F.concat(F.lit("bad feed line ("), _reason(line), F.lit("): "), line)
-        good = F.when(record_ok(line), F.lit(True)).otherwise(F.raise_error(message))
-    else:
-        good = record_ok(line)
-    # The accept filter reads only the line, so it runs before the split.
-    records = lines.filter(good).select(*extra, *typed_fields(line))
-    rejects = parsed.filter(F.col("reason").isNotNull()).select(*extra, line_col, "reason")
-    return Parsed(records=records, rejects=rejects, parsed=parsed)
+    return Parsed(lines, line_col, on_error)
+
+
+class _SplitParsed(Parsed):
+    def __init__(self, parsed: DataFrame, line_col: str = "line"):
+        self._parsed = parsed
+        self.line_col = line_col
+
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return self._parsed
+
+    @cached_property
+    def records(self) -> DataFrame:
+        extra = _passthrough(self._parsed.columns, self.line_col)
+        return self._parsed.filter(F.col("reason").isNull()).select(*extra, *FIELD_NAMES)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        extra = _passthrough(self._parsed.columns, self.line_col)
+        return self._parsed.filter(F.col("reason").isNotNull()).select(
+            *extra, self.line_col, "reason"
+        )
 
 
 def split_parsed(parsed: DataFrame, line_col: str = "line") -> Parsed:
     """Records and rejects of an already parsed (e.g. persisted) frame."""
-    extra = [c for c in parsed.columns if c not in FIELD_NAMES and c not in (line_col, "reason")]
-    records = parsed.filter(F.col("reason").isNull()).select(*extra, *FIELD_NAMES)
-    rejects = parsed.filter(F.col("reason").isNotNull()).select(*extra, line_col, "reason")
-    return Parsed(records=records, rejects=rejects, parsed=parsed)
+    return _SplitParsed(parsed, line_col)

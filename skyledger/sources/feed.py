@@ -9,8 +9,7 @@ kinds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import SEPARATOR
 
@@ -18,47 +17,40 @@ EMPTY_SPEED_EVERY = 97
 EMPTY_AGENCY_EVERY = 101
 
 
-def _iso_seconds(ts: Column) -> Column:
-    # Text of a timestamp_ntz is zone-free: 'yyyy-MM-dd HH:mm:ss[.ffffff]'.
-    text = ts.cast("string")
-    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("Z"))
-
-
-def event_line(events: DataFrame) -> Column:
-    eid, uid = F.col("event_id"), F.col("user_id")
-    speed = F.when(eid % EMPTY_SPEED_EVERY == 0, F.lit("")).otherwise(
-        F.floor("value").cast("int").cast("string")
-    )
-    agency = F.when(eid % EMPTY_AGENCY_EVERY == 0, F.lit("")).otherwise(F.col("event_type"))
-    fields = [
-        F.concat(F.lit("A"), uid.cast("string")),
-        F.concat(F.lit("F"), (uid % 10).cast("string")),
-        F.concat((eid % 90).cast("string"), F.lit(".5")),
-        F.concat(F.lit("-"), (eid % 180).cast("string"), F.lit(".25")),
-        (eid % 40000).cast("string"),
-        speed,
-        (eid % 360).cast("string"),
-        F.lpad((eid % 7777).cast("string"), 4, "0"),
-        F.lit("B"),
-        _iso_seconds(F.col("ts")),
-        F.lit("NAME"),
-        F.lit(""),
-        F.lit(""),
-        F.concat(F.lit("N"), uid.cast("string")),
-        F.lit("SER"),
-        F.lit("2072738"),
-        F.lit("CESSNA"),
-        F.lit("182T"),
-        F.lit("2006"),
-        F.lit("4"),
-        agency,
-    ]
-    return F.concat_ws(SEPARATOR, *fields)
+# Feed fields as Spark SQL over ``events`` columns, in wire order.
+# The text of a timestamp_ntz is zone-free ('yyyy-MM-dd HH:mm:ss[.ffffff]'),
+# so the ISO form is cut from it rather than formatted in a session zone.
+_FIELD_SQL = (
+    "concat('A', user_id)",
+    "concat('F', user_id % 10)",
+    "concat(event_id % 90, '.5')",
+    "concat('-', event_id % 180, '.25')",
+    "CAST(event_id % 40000 AS STRING)",
+    f"CASE WHEN event_id % {EMPTY_SPEED_EVERY} = 0 THEN '' "
+    "ELSE CAST(CAST(floor(value) AS INT) AS STRING) END",
+    "CAST(event_id % 360 AS STRING)",
+    "lpad(CAST(event_id % 7777 AS STRING), 4, '0')",
+    "'B'",
+    "concat(substring(CAST(ts AS STRING), 1, 10), 'T', substring(CAST(ts AS STRING), 12, 8), 'Z')",
+    "'NAME'",
+    "''",
+    "''",
+    "concat('N', user_id)",
+    "'SER'",
+    "'2072738'",
+    "'CESSNA'",
+    "'182T'",
+    "'2006'",
+    "'4'",
+    f"CASE WHEN event_id % {EMPTY_AGENCY_EVERY} = 0 THEN '' ELSE event_type END",
+)
+
+LINE_SQL = f"concat_ws('{SEPARATOR}', {', '.join(_FIELD_SQL)})"
 
 
 def events_feed(events: DataFrame) -> DataFrame:
     """``(line_no, line)``: one feed line per event, ``line_no = event_id``."""
-    return events.select(F.col("event_id").alias("line_no"), event_line(events).alias("line"))
+    return events.selectExpr("event_id AS line_no", f"{LINE_SQL} AS line")
 
 
 def read_events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,3 +101,23 @@ def test_fail_mode_raises(spark, tmp_path):
     lines = read_lines(spark, path)
     with pytest.raises(Exception, match="bad feed line"):
         parse_records(lines, on_error="fail").records.count()
+
+
+def test_batch_job_end_to_end(spark, tmp_path):
+    from skyledger.plans.job import run_job
+
+    path = write_feed(str(tmp_path / "feed.csv"))
+    lines = with_batches(read_lines(spark, path))
+    paths = run_job(spark, lines, str(tmp_path / "out"), agency="dhs", label="F1")
+    winners = spark.read.parquet(paths["agency_winners"])
+    assert rows(winners, "batch_no", "agency_most_flight_segs", "num_of_flight_segs") == [
+        (0, "[dhs, fbi]", 2),
+        (1, "[fbi]", 2),
+    ]
+    latest = spark.read.parquet(paths["speed_stats_latest"])
+    assert rows(latest, "flight_segment", "max_speed", "min_speed", "avg_speed", "num_of_flight_segments") == [
+        ("F1", 80, 80, 80.0, 1)
+    ]
+    rejects = spark.read.parquet(paths["rejects"])
+    assert rows(rejects, "line_no", "reason") == [(4, "number"), (9, "arity"), (11, "number")]
+    assert rejects.filter(F.col("line").isNull()).count() == 0
