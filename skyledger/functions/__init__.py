@@ -5,6 +5,7 @@ from .parsing import (
     ARITY_PATTERN,
     RECORD_PATTERN,
     arity_ok,
+    event_time,
     record_ok,
     split_fields,
     typed_field_sql,
@@ -16,6 +17,7 @@ __all__ = [
     "RECORD_PATTERN",
     "RECORD_TEXT_FORMAT",
     "arity_ok",
+    "event_time",
     "record_ok",
     "record_text",
     "set_label",

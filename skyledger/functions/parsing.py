@@ -119,3 +119,17 @@ def typed_fields(line: Column) -> list[Column]:
         value = raw if kind == "string" else raw.try_cast(kind)
         out.append(value.alias(name))
     return out
+
+
+# Fixed value: text form of the record's timestamp field.
+TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def event_time(text: Column) -> Column:
+    """The ``timestamp`` text as a timestamp (UTC), null when malformed.
+
+    The record keeps the text; this is the optional typed form for
+    event-time work.  Pin ``spark.sql.session.timeZone=UTC``: the trailing
+    ``Z`` is matched literally.
+    """
+    return F.try_to_timestamp(text, F.lit(TIMESTAMP_PATTERN))

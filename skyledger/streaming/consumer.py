@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.aggregates import agency_winners, speed_stats
+from ..operators.aggregates import agency_counts, agency_winners, speed_stats
 from ..operators.parse import parse_lines, split_parsed
 from ..session import checkpoint_path
 from .sink import REJECTS, SPEED, WINNERS, ResultTables, write_history
@@ -29,6 +29,7 @@ class FeedBatchWriter:
     flight: str | None = None
     label: str | None = None
     write_rejects: bool = True
+    echo_rows: int = 0  # > 0: print up to this many agency counts per batch
 
     def results(self, parsed: DataFrame) -> dict[str, DataFrame]:
         """Result frames of one parsed batch (``parse_lines`` output with ``batch_no``)."""
@@ -51,6 +52,9 @@ class FeedBatchWriter:
         )
         parsed = parse_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if self.echo_rows > 0:
+                counts = agency_counts(split_parsed(parsed).records)
+                counts.orderBy(F.col("n").desc(), "agency").show(self.echo_rows, truncate=False)
             for name, df in self.results(parsed).items():
                 write_history(df, self.tables, name)
         finally:
@@ -67,6 +71,7 @@ def start_consumer(
     checkpoint: str | None = None,
     batch_seconds: int | None = BATCH_SECONDS,
     available_now: bool = False,
+    echo_rows: int = 0,
 ) -> StreamingQuery:
     """Start the consumer; results go to ``tables`` per micro-batch.
 
@@ -77,7 +82,7 @@ def start_consumer(
     location = checkpoint or checkpoint_path(spark, "streams", query_name)
     writer = (
         lines_stream.writeStream.queryName(query_name)
-        .foreachBatch(FeedBatchWriter(tables, agency, flight, label))
+        .foreachBatch(FeedBatchWriter(tables, agency, flight, label, echo_rows=echo_rows))
         .option("checkpointLocation", location)
     )
     if available_now:
@@ -98,3 +103,55 @@ def start_preview(lines_stream: DataFrame, rows: int = 10, checkpoint: str | Non
         .option("checkpointLocation", location)
         .start()
     )
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Run the consumer until stopped (or, with ``--available-now``, until drained)."""
+    import argparse
+
+    from ..session import build_session
+    from .sink import ensure_tables
+    from .source import file_lines_stream, kafka_lines_stream
+
+    ap = argparse.ArgumentParser(description="Flight-segment feed stream consumer")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--input-dir", help="folder of feed files (one header line each)")
+    src.add_argument("--kafka", help="bootstrap servers")
+    ap.add_argument("--topic", default="feds")
+    ap.add_argument("--starting-offsets", default="latest")
+    ap.add_argument("--max-per-trigger", type=int, help="files or messages per micro-batch")
+    ap.add_argument("--results", required=True, help="result root, ideally with a run id")
+    ap.add_argument("--database")
+    ap.add_argument("--agency", required=True)
+    ap.add_argument("--flight")
+    ap.add_argument("--label")
+    ap.add_argument("--batch-seconds", type=int, default=BATCH_SECONDS)
+    ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--echo-rows", type=int, default=0)
+    ap.add_argument("--master")
+    args = ap.parse_args(argv)
+
+    spark = build_session(args.master, app_name="skyledger-consumer")
+    if args.kafka:
+        lines = kafka_lines_stream(
+            spark, args.kafka, args.topic, args.starting_offsets, args.max_per_trigger
+        ).select("line")
+    else:
+        lines = file_lines_stream(spark, args.input_dir, args.max_per_trigger)
+    tables = ResultTables(args.results, args.database)
+    ensure_tables(spark, tables)
+    query = start_consumer(
+        lines,
+        tables,
+        args.agency,
+        args.flight,
+        args.label,
+        batch_seconds=args.batch_seconds,
+        available_now=args.available_now,
+        echo_rows=args.echo_rows,
+    )
+    query.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

@@ -1,0 +1,97 @@
+"""Property test: the accept rule equals an independent model of Java parsing.
+
+The model below scans strings by hand (no regular expressions) following
+the documented grammar of ``Integer.parseInt`` and ``Float.parseFloat``
+(decimal forms; ASCII digits).
+"""
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from skyledger.functions.parsing import record_ok
+
+DIGITS = "0123456789"
+
+
+def java_int_ok(s: str) -> bool:
+    body = s[1:] if s[:1] in "+-" else s
+    if not body or any(c not in DIGITS for c in body):
+        return False
+    return -(2**31) <= int(s) <= 2**31 - 1
+
+
+def java_float_ok(s: str) -> bool:
+    # Float.parseFloat trims every char <= ' ' at both ends.
+    lo, hi = 0, len(s)
+    while lo < hi and s[lo] <= " ":
+        lo += 1
+    while hi > lo and s[hi - 1] <= " ":
+        hi -= 1
+    t = s[lo:hi]
+    if t[:1] in ("+", "-"):
+        t = t[1:]
+    if t in ("NaN", "Infinity"):
+        return True
+    if t[-1:] in ("f", "F", "d", "D"):
+        t = t[:-1]
+    mant, exp = t, None
+    for mark in ("e", "E"):
+        if mark in t:
+            mant, exp = t.split(mark, 1)
+            break
+    if exp is not None:
+        e = exp[1:] if exp[:1] in "+-" else exp
+        if not e or any(c not in DIGITS for c in e):
+            return False
+    whole, dot, frac = mant.partition(".")
+    if any(c not in DIGITS for c in whole + frac):
+        return False
+    return bool(whole or frac)
+
+
+def java_line_ok(fields: list[str]) -> bool:
+    # split(";") drops trailing empty strings, then needs index 20.
+    while fields and fields[-1] == "":
+        fields = fields[:-1]
+    if len(fields) < 21:
+        return False
+    kinds = {2: "f", 3: "f", 4: "i", 5: "i", 6: "i", 7: "i", 15: "i", 18: "i", 19: "i"}
+    for i, k in kinds.items():
+        ok = java_float_ok(fields[i]) if k == "f" else java_int_ok(fields[i])
+        if not ok:
+            return False
+    return True
+
+
+BASE = ["A1", "F1", "33.5", "-117.25", "5000", "100", "90", "0453", "C182", "2015-08-18T07:58:54Z",
+        "NAME", "", "", "N1", "S1", "2072738", "CESSNA", "182T", "2006", "4", "dhs"]
+
+number_text = st.one_of(
+    st.text(alphabet="0123456789+-.eEfFdD \tNaIinfty", max_size=8),
+    st.integers(min_value=-(2**32), max_value=2**32).map(str),
+    st.sampled_from(["NaN", "Infinity", "-Infinity", "nan", "inf", "1e5", ".5", "5.", ".", "1.5f", " 2 ",
+                     "2147483647", "2147483648", "-2147483648", "-2147483649", "+0", "00012"]),
+)
+
+
+@st.composite
+def feed_line(draw):
+    fields = list(BASE)
+    for i in draw(st.lists(st.sampled_from([2, 3, 4, 5, 6, 7, 15, 18, 19]), max_size=3)):
+        fields[i] = draw(number_text)
+    cut = draw(st.sampled_from([None, None, None, 19, 20, 21, 22]))
+    if cut is not None:
+        fields = fields[:cut]
+    tail = draw(st.sampled_from(["", "", ";", ";;", ";x", ";;y"]))
+    return ";".join(fields) + tail
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(feed_line(), min_size=400, max_size=400))
+def test_accept_rule_matches_java_model(spark, lines):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i long, line string")
+    got = {r["i"]: r["ok"] for r in df.select("i", record_ok(F.col("line")).alias("ok")).collect()}
+    for i, s in enumerate(lines):
+        assert got[i] == java_line_ok(s.split(";")), s
+    assert len(set(got.values())) == 2 or len(set(lines)) < 10

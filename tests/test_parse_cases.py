@@ -1,6 +1,7 @@
 """Single-line cases of the Java number grammar and the arity rule."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.functions.parsing import digits_at_most
 from skyledger.operators import parse_records
@@ -82,3 +83,11 @@ def test_digits_at_most_rule():
         assert pat.match(str(n))
     for n in (2147483648, 2147483650, 2200000000, 9999999999):
         assert not pat.match(str(n))
+
+
+def test_event_time(spark):
+    from skyledger.functions import event_time
+
+    df = spark.createDataFrame([("2015-08-18T07:58:54Z",), ("2015-08-18 07:58:54",), ("x",)], "t string")
+    got = [r[0] for r in df.select(event_time(F.col("t")).cast("string")).collect()]
+    assert got == ["2015-08-18 07:58:54", None, None]

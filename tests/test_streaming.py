@@ -84,3 +84,21 @@ def test_batch_retry_is_idempotent(spark, tmp_path):
     hist = read_history(spark, tables, WINNERS)
     assert [r["batch_no"] for r in hist.collect()] == [7]
     assert read_history(spark, tables, SPEED).count() == 1
+
+
+def test_kafka_source_needs_connector(spark):
+    from skyledger.streaming import kafka_lines_stream
+
+    # The connector jar is not on this classpath; the reader is still built
+    # with the reference's topic and start position.
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_lines_stream(spark, "localhost:9092").writeStream.format("noop").start().stop()
+
+
+def test_echo_prints_agency_counts(spark, tmp_path, capsys):
+    tables = ResultTables(root=str(tmp_path / "results"))
+    writer = FeedBatchWriter(tables, agency="click", label="F3", echo_rows=5)
+    lines = read_events_feed(spark, SF).filter(F.col("line_no") < 12).select("line")
+    writer(lines, 0)
+    out = capsys.readouterr().out
+    assert "agency" in out and "|n" in out.replace(" ", "")
