@@ -20,15 +20,26 @@ def latest_per_key(
     order_col: str = "batch_no",
     values: Sequence[str] | None = None,
     keep_order_col: bool = False,
+    unique_order: bool = True,
 ) -> DataFrame:
-    """For each key, the value columns of the row with the largest ``order_col``."""
+    """For each key, the value columns of the row with the largest ``order_col``.
+
+    With ``unique_order`` (one row per key and order value, as in a result
+    history) every value column is its own ``max_by``: fixed-width values
+    then aggregate in a hash aggregate.  Otherwise one ``max_by`` over a
+    struct keeps the values of a single row.
+    """
     keys = list(keys)
     if values is None:
         values = [c for c in history.columns if c not in keys and c != order_col]
+    order = F.col(order_col)
+    if unique_order:
+        aggs = [F.max_by(F.col(c), order).alias(c) for c in values]
+        if keep_order_col:
+            aggs.append(F.max(order).alias(order_col))
+        return history.groupBy(*keys).agg(*aggs)
     payload = list(values) + ([order_col] if keep_order_col else [])
-    latest = history.groupBy(*keys).agg(
-        F.max_by(F.struct(*payload), F.col(order_col)).alias("_latest")
-    )
+    latest = history.groupBy(*keys).agg(F.max_by(F.struct(*payload), order).alias("_latest"))
     return latest.select(*keys, *[F.col("_latest")[c].alias(c) for c in payload])
 
 

@@ -105,6 +105,9 @@ ORACLE_SQL: dict[str, str] = {
 SELECT event_id AS line_no,
        event_id * {PUBLISH_INTERVAL_S} AS arrival_s,
        {_BATCH} AS batch_no
+FROM events""",
+    "file_lines": f"""
+SELECT event_id AS line_no, {_BATCH} AS batch_no, {_LINE} AS line
 FROM events""",
     "first_lines": f"""
 SELECT event_id AS line_no, {_LINE} AS line

@@ -26,7 +26,9 @@ from ..operators import (
     word_count,
 )
 from ..schema import FIELD_NAMES
-from ..sources import read_documents, read_events_feed
+from ..session import checkpoint_path
+from ..sources import read_documents, read_events_feed, read_lines
+from ..streaming.replay import stage_feed_files
 
 # Parameters of the registered queries.
 AGENCY = "click"
@@ -34,6 +36,7 @@ FLIGHT = "F3"
 FIRST_LINES_N = 20
 PREVIEW_N = 10
 PREVIEW_BATCH_S = 300  # 60 lines per batch, so that the preview limit bites
+STAGED_FILES = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +56,20 @@ def q_replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_lines(spark, sf_dir).select("line_no", "arrival_s", "batch_no")
 
 
+def q_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed written as header-per-file text files, read back and numbered.
+
+    Exercises the file source: header skip per file and line numbers over
+    several files.  The files go to a fresh folder under the session's
+    checkpoint root.
+    """
+    import uuid
+
+    folder = checkpoint_path(spark, "staged-feed", uuid.uuid4().hex)
+    stage_feed_files(read_events_feed(spark, sf_dir), folder, STAGED_FILES)
+    return with_batches(read_lines(spark, folder)).select("line_no", "batch_no", "line")
+
+
 def q_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_lines(read_events_feed(spark, sf_dir), FIRST_LINES_N)
 
@@ -110,6 +127,7 @@ def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "replay_lines": q_replay_lines,
+    "file_lines": q_file_lines,
     "first_lines": q_first_lines,
     "batch_preview": q_batch_preview,
     "parse_records": q_parse_records,

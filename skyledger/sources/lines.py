@@ -4,18 +4,20 @@
 scan keeps the lines of one file split together and in order, so a line's
 position is ``row id - first row id of its split`` plus the number of lines
 in the earlier splits of the same file and in earlier files.  The split
-table has one row per file split (input bytes / split size), is written to
-the checkpoint folder, and joined back by broadcast when its size allows,
-by a shuffle join when it does not.  Two passes over the text, like
+table has one row per file split (input bytes / split size), is written as
+a parquet table to the shared checkpoint folder, and joined back by
+broadcast when its row count allows, by a shuffle join when it does not.  Two passes over the text, like
 ``zipWithIndex``, and no sort of the lines.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import checkpoint_path
 
 # Split tables up to this many rows are broadcast (a row is a path, two
 # longs: ~200 bytes, so ~40 MB at the limit).
@@ -57,14 +59,17 @@ def read_lines(
     """
     if header_lines < 0:
         raise ValueError("header_lines must be >= 0")
-    ensure_checkpoint_dir(spark)
     raw = spark.read.text(paths).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_row_id"),
     )
-    splits = _split_table(raw, header_lines).checkpoint(eager=True)
+    # Written once to the shared checkpoint folder: one pass over the text,
+    # and the numbering survives a lost executor without a rescan.
+    split_path = checkpoint_path(spark, "line-splits", uuid.uuid4().hex)
+    _split_table(raw, header_lines).write.parquet(split_path)
+    splits = spark.read.parquet(split_path)
     n_splits = splits.count()
     side = F.broadcast(splits) if n_splits <= max_broadcast_splits else splits
     numbered = raw.join(side, ["source_file", "_split"])

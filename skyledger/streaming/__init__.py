@@ -1,7 +1,7 @@
 """Structured Streaming: sources, the foreachBatch consumer, sinks, replay."""
 
 from .consumer import FeedBatchWriter, start_consumer, start_preview
-from .replay import publish_to_topic, stage_replay_files
+from .replay import publish_to_topic, stage_feed_files, stage_replay_files
 from .sink import ResultTables, ensure_tables, latest_views, read_history, write_history
 from .source import FEED_TOPIC, file_lines_stream, kafka_lines_stream
 
@@ -15,6 +15,7 @@ __all__ = [
     "latest_views",
     "publish_to_topic",
     "read_history",
+    "stage_feed_files",
     "stage_replay_files",
     "start_consumer",
     "start_preview",

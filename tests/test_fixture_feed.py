@@ -121,3 +121,14 @@ def test_batch_job_end_to_end(spark, tmp_path):
     rejects = spark.read.parquet(paths["rejects"])
     assert rows(rejects, "line_no", "reason") == [(4, "number"), (9, "arity"), (11, "number")]
     assert rejects.filter(F.col("line").isNull()).count() == 0
+
+
+def test_latest_per_key_modes(spark):
+    from skyledger.operators import latest_per_key
+
+    hist = spark.createDataFrame(
+        [("x", 1, 10, "a"), ("x", 3, 30, "c"), ("y", 2, 20, "b")], "k string, batch_no long, v int, s string"
+    )
+    for unique in (True, False):
+        got = latest_per_key(hist, ["k"], values=["v", "s"], keep_order_col=True, unique_order=unique)
+        assert rows(got, "k", "v", "s", "batch_no") == [("x", 30, "c", 3), ("y", 20, "b", 2)]
