@@ -12,9 +12,11 @@ from ..sources.lines import first_lines_of
 PREVIEW_ROWS = 10
 
 
-def first_lines(lines: DataFrame, n: int, order_col: str = "line_no") -> DataFrame:
-    """The first ``n`` lines (the producer's ``readLines(n)``)."""
-    return first_lines_of(lines, n, order_col)
+def first_lines(
+    lines: DataFrame, n: int, order_col: str = "line_no", dense: bool = False
+) -> DataFrame:
+    """The first ``n`` lines (the producer's ``readLines(n)``); see ``first_lines_of``."""
+    return first_lines_of(lines, n, order_col, dense)
 
 
 def batch_preview(

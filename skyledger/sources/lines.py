@@ -86,8 +86,18 @@ def read_lines(
     )
 
 
-def first_lines_of(lines: DataFrame, n: int, order_col: str = "line_no") -> DataFrame:
-    """The first ``n`` lines by line number (top-n, partial per partition)."""
+def first_lines_of(
+    lines: DataFrame, n: int, order_col: str = "line_no", dense: bool = False
+) -> DataFrame:
+    """The first ``n`` lines by line number.
+
+    ``dense=True`` states that line numbers run 0, 1, 2, ... without gaps
+    (``read_lines`` output): the first ``n`` lines are then a filter, with no
+    single-task merge of every partition's top ``n``.  Otherwise a top-n
+    (partial per partition, merged in one task).
+    """
     if n < 0:
         raise ValueError("n must be >= 0")
+    if dense:
+        return lines.filter(F.col(order_col) < F.lit(n)).orderBy(order_col)
     return lines.orderBy(order_col).limit(n)

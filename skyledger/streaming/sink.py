@@ -42,10 +42,6 @@ class ResultTables:
         return f"{self.database}.{name}" if self.database else None
 
 
-def _columns_ddl(schema) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-
-
 def ensure_tables(spark: SparkSession, tables: ResultTables) -> None:
     """``CREATE DATABASE / TABLE IF NOT EXISTS`` for the three history tables."""
     if not tables.database:
@@ -69,10 +65,18 @@ def write_history(df: DataFrame, tables: ResultTables, name: str) -> None:
     out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     table = tables.table(name)
     if table:
-        spark = df.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        ordered = [c for c in out.columns if c != "batch_no"] + ["batch_no"]
-        out.select(*ordered).write.insertInto(table, overwrite=True)
+        conf = df.sparkSession.conf
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(key, None)
+        conf.set(key, "dynamic")
+        try:
+            ordered = [c for c in out.columns if c != "batch_no"] + ["batch_no"]
+            out.select(*ordered).write.insertInto(table, overwrite=True)
+        finally:
+            if before is None:
+                conf.unset(key)
+            else:
+                conf.set(key, before)
     else:
         (
             out.write.mode("overwrite")

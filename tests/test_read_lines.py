@@ -42,8 +42,11 @@ def test_blank_lines_are_kept_and_crlf(spark, tmp_path):
 def test_first_lines(spark, tmp_path):
     path = tmp_path / "f.txt"
     _write(path, "H", 50, "z")
-    got = [r["line"] for r in first_lines_of(read_lines(spark, str(path)), 3).collect()]
-    assert got == ["z-00000", "z-00001", "z-00002"]
+    lines = read_lines(spark, str(path))
+    for dense in (False, True):
+        got = [r["line"] for r in first_lines_of(lines, 3, dense=dense).collect()]
+        assert got == ["z-00000", "z-00001", "z-00002"]
+    assert "TakeOrderedAndProject" not in first_lines_of(lines, 3, dense=True)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_missing_path_fails(spark, tmp_path):
