@@ -28,18 +28,26 @@ _SCHEMAS = {WINNERS: AGENCY_WINNERS_SCHEMA, SPEED: SPEED_STATS_SCHEMA, REJECTS:
 class ResultTables:
     """Where the history of each result lives.
 
-    ``root`` should hold a run id: a stream restarted without its checkpoint
-    counts batches from 0 again and must not overwrite an earlier run.
+    Give a ``run_id`` per checkpoint: a stream restarted without its
+    checkpoint counts batches from 0 again and must not overwrite the
+    partitions of an earlier run.
     """
 
     root: str
     database: str | None = None
+    run_id: str | None = None
 
     def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
+        base = self.root.rstrip("/")
+        if self.run_id:
+            base = f"{base}/run={self.run_id}"
+        return f"{base}/{name}"
 
     def table(self, name: str) -> str | None:
-        return f"{self.database}.{name}" if self.database else None
+        if not self.database:
+            return None
+        suffix = f"_{self.run_id}" if self.run_id else ""
+        return f"{self.database}.{name}{suffix}"
 
 
 def ensure_tables(spark: SparkSession, tables: ResultTables) -> None:

@@ -102,3 +102,49 @@ def test_echo_prints_agency_counts(spark, tmp_path, capsys):
     writer(lines, 0)
     out = capsys.readouterr().out
     assert "agency" in out and "|n" in out.replace(" ", "")
+
+
+def test_restart_resumes_from_checkpoint(spark, tmp_path):
+    import glob
+    import os
+    import shutil
+
+    staged = str(tmp_path / "staged")
+    _stage(spark, staged)
+    arrive = str(tmp_path / "arrive")
+    os.makedirs(arrive)
+    files = sorted(
+        glob.glob(os.path.join(staged, "file_no=*", "*.csv")),
+        key=lambda f: int(f.split("file_no=")[1].split("/")[0]),
+    )
+
+    def deliver(chunk, start):
+        for i, f in enumerate(chunk, start):
+            dst = os.path.join(arrive, f"part-{i:04d}.csv")
+            shutil.copy(f, dst)
+            os.utime(dst, (2_000_000 + i * 10, 2_000_000 + i * 10))
+
+    tables = ResultTables(root=str(tmp_path / "results"), run_id="r1")
+    ckpt = str(tmp_path / "ckpt")
+
+    def run_once():
+        q = start_consumer(
+            file_lines_stream(spark, arrive, max_files_per_trigger=1),
+            tables,
+            agency="click",
+            label="F3",
+            query_name="restart",
+            checkpoint=ckpt,
+            available_now=True,
+        )
+        q.awaitTermination(120)
+        assert q.exception() is None
+
+    deliver(files[:4], 0)
+    run_once()
+    deliver(files[4:], 4)
+    run_once()  # a restart: resumes after the four files already done
+    counts = read_history(spark, tables, WINNERS).groupBy("batch_no").count().collect()
+    assert sorted(r["batch_no"] for r in counts) == list(range(N_FILES))
+    assert all(r["count"] == 1 for r in counts)
+    assert tables.path(WINNERS).endswith("run=r1/" + WINNERS)
