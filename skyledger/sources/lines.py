@@ -6,8 +6,14 @@ position is ``row id - first row id of its split`` plus the number of lines
 in the earlier splits of the same file and in earlier files.  The split
 table has one row per file split (input bytes / split size), is written as
 a parquet table to the shared checkpoint folder, and joined back by
-broadcast when its row count allows, by a shuffle join when it does not.  Two passes over the text, like
-``zipWithIndex``, and no sort of the lines.
+broadcast when its row count allows, by a shuffle join when it does not.
+Two passes over the text, like ``zipWithIndex``, and no sort of the lines.
+
+Both passes must cut the files into the same splits.  Spark sizes splits
+from ``spark.sql.files.minPartitionNum`` or, when unset, from the live
+executor core count, which can change between passes under dynamic
+allocation; so that setting is pinned when unset, and a line whose split
+is missing from the table fails the job instead of being dropped.
 """
 
 from __future__ import annotations
@@ -24,6 +30,19 @@ from ..session import checkpoint_path
 MAX_BROADCAST_SPLITS = 200_000
 
 
+SPLITS_CHANGED = (
+    "file splits differ between the two passes of read_lines; "
+    "keep spark.sql.files.* settings fixed while it runs"
+)
+
+
+def pin_split_sizing(spark: SparkSession) -> None:
+    """Make file split sizes independent of the current executor count."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+
+
 def _split_table(raw: DataFrame, header_lines: int) -> DataFrame:
     splits = raw.groupBy("source_file", "_split").agg(
         F.min("_row_id").alias("_first_row"), F.count(F.lit(1)).alias("_rows")
@@ -59,6 +78,7 @@ def read_lines(
     """
     if header_lines < 0:
         raise ValueError("header_lines must be >= 0")
+    pin_split_sizing(spark)
     raw = spark.read.text(paths).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("source_file"),
@@ -72,7 +92,15 @@ def read_lines(
     splits = spark.read.parquet(split_path)
     n_splits = splits.count()
     side = F.broadcast(splits) if n_splits <= max_broadcast_splits else splits
-    numbered = raw.join(side, ["source_file", "_split"])
+    numbered = raw.join(side, ["source_file", "_split"], "left")
+    # Every split-table column is guarded, so a line without its split raises
+    # (and Catalyst cannot turn the outer join into an inner one that would
+    # drop such lines).
+    matched = F.col("_first_row").isNotNull()
+    for col in ("_first_row", "_file_offset", "_line_base"):
+        numbered = numbered.withColumn(
+            col, F.when(matched, F.col(col)).otherwise(F.raise_error(F.lit(SPLITS_CHANGED)))
+        )
     file_line = F.col("_file_offset") + F.col("_row_id") - F.col("_first_row")
     return (
         numbered.withColumn("file_line_no", file_line - header_lines)

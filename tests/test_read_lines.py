@@ -54,3 +54,23 @@ def test_missing_path_fails(spark, tmp_path):
 
     with pytest.raises(Exception):
         read_lines(spark, os.path.join(str(tmp_path), "nope.csv"))
+
+
+def test_changed_splits_fail_loudly(spark, tmp_path):
+    import pytest
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    _write(folder / "a.txt", "HEAD", 3000, "a")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.minPartitionNum", "8")
+    try:
+        lines = read_lines(spark, str(folder))
+        assert lines.count() == 3000
+        # As if the cluster shrank: splits are cut differently at run time.
+        spark.conf.set("spark.sql.files.minPartitionNum", "3")
+        with pytest.raises(Exception, match="file splits differ"):
+            lines.count()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
