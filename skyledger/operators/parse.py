@@ -73,10 +73,9 @@ class Parsed:
     def rejects(self) -> DataFrame:
         line = F.col(self.line_col)
         extra = _passthrough(self.lines.columns, self.line_col)
-        return (
-            self.lines.select(*extra, line, _reason(line).alias("reason"))
-            .filter(F.col("reason").isNotNull())
-        )
+        # One pattern match per line; only rejected lines get the arity test.
+        reason = F.when(arity_ok(line), F.lit(REASON_NUMBER)).otherwise(F.lit(REASON_ARITY))
+        return self.lines.filter(~record_ok(line)).select(*extra, line, reason.alias("reason"))
 
 
 def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
