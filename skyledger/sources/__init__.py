@@ -2,6 +2,7 @@
 
 from .feed import events_feed, read_events_feed
 from .lines import first_lines_of, read_lines
+from .spread import spread_narrow
 from .text import read_documents, read_text_files
 
 __all__ = [
@@ -11,4 +12,5 @@ __all__ = [
     "read_events_feed",
     "read_lines",
     "read_text_files",
+    "spread_narrow",
 ]

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import SEPARATOR
+from .spread import spread_narrow
 
 EMPTY_SPEED_EVERY = 97
 EMPTY_AGENCY_EVERY = 101
@@ -54,4 +55,4 @@ def events_feed(events: DataFrame) -> DataFrame:
 
 
 def read_events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_feed(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return events_feed(spread_narrow(spark.read.parquet(f"{sf_dir}/events.parquet")))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .spread import spread_narrow
+
 
 def read_text_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row per line of the text files, column ``text``."""
-    return spark.read.text(paths).select(F.col("value").alias("text"))
+    return spread_narrow(spark.read.text(paths).select(F.col("value").alias("text")))
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table, only its ``text`` column is read."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
+    return spread_narrow(spark.read.parquet(f"{sf_dir}/documents.parquet").select("text"))
