@@ -135,7 +135,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.kafka:
         lines = kafka_lines_stream(
             spark, args.kafka, args.topic, args.starting_offsets, args.max_per_trigger
-        ).select("line")
+        ).select("line", "line_no")
     else:
         lines = file_lines_stream(spark, args.input_dir, args.max_per_trigger)
     tables = ResultTables(args.results, args.database)
