@@ -9,7 +9,6 @@ from .parsing import (
     record_ok,
     split_fields,
     typed_field_sql,
-    typed_fields,
 )
 
 __all__ = [
@@ -23,5 +22,4 @@ __all__ = [
     "set_label",
     "split_fields",
     "typed_field_sql",
-    "typed_fields",
 ]

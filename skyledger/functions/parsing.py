@@ -110,17 +110,6 @@ def typed_field_sql(line_sql: str) -> list[str]:
     return out
 
 
-def typed_fields(line: Column) -> list[Column]:
-    """The 21 typed record columns of ``line`` (null where unparsable)."""
-    fields = split_fields(line)
-    out = []
-    for i, (name, kind) in enumerate(RECORD_FIELDS):
-        raw = F.get(fields, i)
-        value = raw if kind == "string" else raw.try_cast(kind)
-        out.append(value.alias(name))
-    return out
-
-
 # Fixed value: text form of the record's timestamp field.
 TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 

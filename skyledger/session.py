@@ -7,7 +7,6 @@ so it never overrides what the cluster provides.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -71,8 +70,3 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, *[p.strip("/") for p in parts]])
-
-
-def local_master(cpus: int | str | None = None) -> str:
-    cpus = cpus or os.environ.get("BENCH_CPUS") or "*"
-    return f"local[{cpus}]"
