@@ -14,7 +14,11 @@ from pyspark.sql import DataFrame
 
 
 def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: no RDD view; leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)

@@ -148,3 +148,31 @@ def test_restart_resumes_from_checkpoint(spark, tmp_path):
     assert sorted(r["batch_no"] for r in counts) == list(range(N_FILES))
     assert all(r["count"] == 1 for r in counts)
     assert tables.path(WINNERS).endswith("run=r1/" + WINNERS)
+
+
+def test_stream_reader_keeps_lines_verbatim(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    tricky = [
+        'A1;"F1";33.5;x',
+        'a\\"b;c',
+        '  leading and trailing  ',
+        "\ttab\tinside",
+        "# not a comment",
+        "'single' quotes",
+        'ends with backslash \\',
+        "uni: é ü ∑",
+        '"',
+    ]
+    (folder / "f.csv").write_text("HEADER\n" + "\n".join(tricky) + "\n", encoding="utf-8")
+    stream = file_lines_stream(spark, str(folder), max_files_per_trigger=None)
+    q = (
+        stream.writeStream.format("memory")
+        .queryName("verbatim_lines")
+        .option("checkpointLocation", str(tmp_path / "ck"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination(60)
+    got = [r["line"] for r in spark.sql("SELECT line FROM verbatim_lines").collect()]
+    assert sorted(got) == sorted(tricky)
