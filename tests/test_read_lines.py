@@ -74,3 +74,16 @@ def test_changed_splits_fail_loudly(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_gzip_files(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "gz"
+    folder.mkdir()
+    for name, tag, n in (("a.txt.gz", "a", 500), ("b.txt.gz", "b", 7)):
+        with gzip.open(folder / name, "wt") as fh:
+            fh.write("HEAD\n" + "".join(f"{tag}-{i:05d}\n" for i in range(n)))
+    got = sorted((r["line_no"], r["line"]) for r in read_lines(spark, str(folder)).collect())
+    want = [(i, f"a-{i:05d}") for i in range(500)] + [(500 + i, f"b-{i:05d}") for i in range(7)]
+    assert got == want
