@@ -6,7 +6,7 @@ position is ``row id - first row id of its split`` plus the number of lines
 in the earlier splits of the same file and in earlier files.  The split
 table has one row per file split (input bytes / split size), is written as
 a parquet table to the shared checkpoint folder, and joined back by
-broadcast when its row count allows, by a shuffle join when it does not.
+broadcast when its estimated size allows, by a shuffle join when it does not.
 Two passes over the text, like ``zipWithIndex``, and no sort of the lines.
 
 Both passes must cut the files into the same splits.  Spark sizes splits
@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_path
 
-# Split tables up to this many rows are broadcast (a row is a path, two
-# longs: ~200 bytes, so ~40 MB at the limit).
-MAX_BROADCAST_SPLITS = 200_000
+# Split tables up to this estimated size are broadcast.  A row is a file
+# path and four longs; 100 TB in 128 MB splits is ~800,000 rows, ~120 MB
+# with 100-character paths.
+MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+_SPLIT_ROW_FIXED_BYTES = 48
 
 
 SPLITS_CHANGED = (
@@ -68,7 +70,7 @@ def read_lines(
     spark: SparkSession,
     paths: str | list[str],
     header_lines: int = 1,
-    max_broadcast_splits: int = MAX_BROADCAST_SPLITS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Lines of feed files as ``(line_no, line, source_file, file_line_no)``.
 
@@ -90,8 +92,11 @@ def read_lines(
     split_path = checkpoint_path(spark, "line-splits", uuid.uuid4().hex)
     _split_table(raw, header_lines).write.parquet(split_path)
     splits = spark.read.parquet(split_path)
-    n_splits = splits.count()
-    side = F.broadcast(splits) if n_splits <= max_broadcast_splits else splits
+    size = splits.agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.length("source_file")).alias("path")
+    ).first()
+    estimate = size["rows"] * ((size["path"] or 0) + _SPLIT_ROW_FIXED_BYTES)
+    side = F.broadcast(splits) if estimate <= max_broadcast_bytes else splits
     numbered = raw.join(side, ["source_file", "_split"], "left")
     # Every split-table column is guarded, so a line without its split raises
     # (and Catalyst cannot turn the outer join into an inner one that would

@@ -21,8 +21,10 @@ def test_numbering_across_files_and_splits(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        for limit in (10**6, 0):  # broadcast and shuffle join of the split table
-            lines = read_lines(spark, str(folder), max_broadcast_splits=limit)
+        for limit in (10**9, 0):  # broadcast and shuffle join of the split table
+            lines = read_lines(spark, str(folder), max_broadcast_bytes=limit)
+            if limit:  # hinted; past the limit Spark's own size threshold decides
+                assert "BroadcastHashJoin" in lines._jdf.queryExecution().executedPlan().toString()
             got = sorted((r["line_no"], r["line"], r["file_line_no"]) for r in lines.collect())
             want = [(i, f"a-{i:05d}", i) for i in range(3000)]
             want += [(3000 + i, f"b-{i:05d}", i) for i in range(10)]
