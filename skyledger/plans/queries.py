@@ -41,8 +41,10 @@ STAGED_FILES = 8
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def feed_lines(spark: SparkSession, sf_dir: str, batch_s: int | None = None) -> DataFrame:
-    lines = read_events_feed(spark, sf_dir)
+def feed_lines(
+    spark: SparkSession, sf_dir: str, batch_s: int | None = None, spread: bool = True
+) -> DataFrame:
+    lines = read_events_feed(spark, sf_dir, spread)
     if batch_s is None:
         return with_batches(lines)
     return with_batches(lines, batch_s=batch_s)
@@ -53,7 +55,7 @@ def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_lines(spark, sf_dir).select("line_no", "arrival_s", "batch_no")
+    return feed_lines(spark, sf_dir, spread=False).select("line_no", "arrival_s", "batch_no")
 
 
 def q_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +77,7 @@ def q_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_batch_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = feed_lines(spark, sf_dir, batch_s=PREVIEW_BATCH_S)
+    lines = feed_lines(spark, sf_dir, batch_s=PREVIEW_BATCH_S, spread=False)
     return batch_preview(lines, PREVIEW_N).select("batch_no", "line_no")
 
 

@@ -54,5 +54,8 @@ def events_feed(events: DataFrame) -> DataFrame:
     return events.selectExpr("event_id AS line_no", f"{LINE_SQL} AS line")
 
 
-def read_events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_feed(spread_narrow(spark.read.parquet(f"{sf_dir}/events.parquet")))
+def read_events_feed(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    """The stand-in feed; ``spread`` spreads a narrow ``events`` scan over the cores
+    (worth it when parsing or rendering follows, not for a bare projection)."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events_feed(spread_narrow(events) if spread else events)
