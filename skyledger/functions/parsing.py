@@ -60,23 +60,28 @@ def int_grammar(max_value: int = INT_MAX) -> str:
 # Grammar of one field of each kind (Java regex, no separator inside).
 INT_GRAMMAR = int_grammar()
 FLOAT_GRAMMAR = (
-    r"[\x00-\x20]*[+-]?"
-    r"(?:NaN|Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[fFdD]?)"
-    r"[\x00-\x20]*"
+    r"[\x00-\x20]*+[+-]?+"
+    r"(?:NaN|Infinity|(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+[fFdD]?+)"
+    r"[\x00-\x20]*+"
 )
-STRING_GRAMMAR = r"[^;]*"
+STRING_GRAMMAR = r"[^;]*+"
 
 _GRAMMAR = {"int": INT_GRAMMAR, "float": FLOAT_GRAMMAR, "string": STRING_GRAMMAR}
 
 # After the last separator that the arity rule needs, a non-separator must
 # follow somewhere: the same as "split drops trailing empties, >= 21 remain".
-_TAIL = r";*[^;]"
-ARITY_PATTERN = r"^(?:[^;]*;){%d}%s" % (N_FIELDS - 1, _TAIL)
+_TAIL = r";*+[^;]"
+ARITY_PATTERN = r"^(?:[^;]*+;){%d}%s" % (N_FIELDS - 1, _TAIL)
 
 # Every field before the last one by its own grammar, then the arity tail.
+# Each field and its separator form an atomic group: once a field has
+# matched up to its separator the engine never comes back into it, and the
+# possessive quantifiers (``*+``, ``++``) skip backtracking inside floats
+# and strings.  Integers keep plain quantifiers, since ``0*`` may have to
+# give back a zero.
 RECORD_PATTERN = (
     "^"
-    + "".join("(?:%s);" % _GRAMMAR[kind] for _, kind in RECORD_FIELDS[:-1])
+    + "".join("(?>%s;)" % _GRAMMAR[kind] for _, kind in RECORD_FIELDS[:-1])
     + _TAIL
 )
 
