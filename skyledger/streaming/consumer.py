@@ -111,13 +111,13 @@ def main(argv: list[str] | None = None) -> None:
 
     from ..session import build_session
     from .sink import ensure_tables
-    from .source import file_lines_stream, kafka_lines_stream
+    from .source import FEED_TOPIC, file_lines_stream, kafka_lines_stream
 
     ap = argparse.ArgumentParser(description="Flight-segment feed stream consumer")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--input-dir", help="folder of feed files (one header line each)")
     src.add_argument("--kafka", help="bootstrap servers")
-    ap.add_argument("--topic", default="feds")
+    ap.add_argument("--topic", default=FEED_TOPIC)
     ap.add_argument("--starting-offsets", default="latest")
     ap.add_argument("--max-per-trigger", type=int, help="files or messages per micro-batch")
     ap.add_argument("--results", required=True, help="result root, ideally with a run id")
