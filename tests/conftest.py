@@ -13,7 +13,8 @@ TESTDATA = "/root/testdata"
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
-    ckpt = str(tmp_path_factory.mktemp("checkpoints"))
+    from skyledger.session import ensure_checkpoint_dir
+
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
     session = (
         SparkSession.builder.master("local[*]")
@@ -21,11 +22,13 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", ckpt)
         .config("spark.sql.warehouse.dir", warehouse)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    # The session's spark.checkpoint.dir is used as given; only a session
+    # without one gets a private temporary folder.
+    ensure_checkpoint_dir(session)
     yield session
     session.stop()
 
