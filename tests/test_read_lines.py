@@ -89,3 +89,34 @@ def test_gzip_files(spark, tmp_path):
     got = sorted((r["line_no"], r["line"]) for r in read_lines(spark, str(folder)).collect())
     want = [(i, f"a-{i:05d}") for i in range(500)] + [(500 + i, f"b-{i:05d}") for i in range(7)]
     assert got == want
+
+
+def test_numbering_property(spark, tmp_path_factory):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(
+        st.lists(st.integers(min_value=0, max_value=400), min_size=1, max_size=4),
+        st.integers(min_value=300, max_value=5000),
+        st.integers(min_value=0, max_value=2),
+    )
+    def check(sizes, split_bytes, headers):
+        folder = tmp_path_factory.mktemp("prop")
+        want = []
+        for f, n in enumerate(sizes):
+            body = [f"f{f}-{i:04d}" + "x" * (i % 7) for i in range(n)]
+            head = [f"H{f}-{h}" for h in range(headers)]
+            (folder / f"part-{f:03d}.txt").write_text("".join(line + "\n" for line in head + body))
+            want += body
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            lines = read_lines(spark, str(folder), header_lines=headers)
+            got = sorted((r["line_no"], r["line"]) for r in lines.collect())
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == list(enumerate(want))
+
+    check()
