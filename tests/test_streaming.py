@@ -176,3 +176,37 @@ def test_stream_reader_keeps_lines_verbatim(spark, tmp_path):
     q.awaitTermination(60)
     got = [r["line"] for r in spark.sql("SELECT line FROM verbatim_lines").collect()]
     assert sorted(got) == sorted(tricky)
+
+
+def test_stream_equals_batch_whole_feed(spark, tmp_path):
+    import glob
+    import os
+
+    per_file, batch_s = 60, 300  # 60 lines x 5 s = one 300 s batch per file
+    feed = read_events_feed(spark, SF)
+    staged = str(tmp_path / "staged")
+    stage_replay_files(feed, staged, lines_per_file=per_file)
+    files = glob.glob(os.path.join(staged, "file_no=*", "*.csv"))
+    for f in files:
+        n = int(f.split("file_no=")[1].split("/")[0])
+        os.utime(f, (3_000_000 + n * 10, 3_000_000 + n * 10))
+    tables = ResultTables(root=str(tmp_path / "results"))
+    q = start_consumer(
+        file_lines_stream(spark, staged, max_files_per_trigger=1),
+        tables,
+        agency="click",
+        flight="F3",
+        query_name="whole_feed",
+        checkpoint=str(tmp_path / "ckpt"),
+        available_now=True,
+    )
+    q.awaitTermination(300)
+    assert q.exception() is None
+
+    records = parse_records(with_batches(feed, batch_s=batch_s)).records
+    want_w = sorted(tuple(r) for r in agency_winners(records).collect())
+    got_w = sorted(tuple(r) for r in read_history(spark, tables, WINNERS).collect())
+    assert len(want_w) == len(files) and got_w == want_w
+    want_s = sorted(tuple(r) for r in speed_stats(records, "click", flight="F3").collect())
+    got_s = sorted(tuple(r) for r in read_history(spark, tables, SPEED).collect())
+    assert got_s == want_s
