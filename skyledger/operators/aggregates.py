@@ -74,9 +74,10 @@ def speed_stats(
     the label then defaults to the flight id.  Filters reach the scan when
     the records come from a columnar table.
     """
-    selected = records.filter(F.col("agency") == F.lit(agency))
+    wanted = F.col("agency") == F.lit(agency)
     if flight is not None:
-        selected = selected.filter(F.col("flight_id") == F.lit(flight))
+        wanted = wanted & (F.col("flight_id") == F.lit(flight))
+    selected = records.filter(wanted)
     segment = label if label is not None else flight
     stats = selected.groupBy(*keys).agg(
         F.max("speed").alias("max_speed"),

@@ -26,7 +26,7 @@ def with_batches(
     """Add ``arrival_s = line_no * interval_s`` and ``batch_no``."""
     if interval_s < 0 or batch_s <= 0:
         raise ValueError("interval_s must be >= 0 and batch_s > 0")
-    arrival = F.col(line_col) * F.lit(interval_s).cast("bigint")
-    return lines.withColumn("arrival_s", arrival).withColumn(
-        "batch_no", F.expr(f"arrival_s div {int(batch_s)}")
+    arrival = f"CAST(`{line_col}` AS BIGINT) * {int(interval_s)}"
+    return lines.withColumns(
+        {"arrival_s": F.expr(arrival), "batch_no": F.expr(f"({arrival}) div {int(batch_s)}")}
     )
