@@ -2,7 +2,14 @@
 
 from .consumer import FeedBatchWriter, start_consumer, start_preview
 from .replay import publish_to_topic, stage_feed_files, stage_replay_files
-from .sink import ResultTables, ensure_tables, latest_views, read_history, write_history
+from .sink import (
+    ResultTables,
+    ensure_tables,
+    latest_views,
+    read_history,
+    write_histories,
+    write_history,
+)
 from .source import FEED_TOPIC, file_lines_stream, kafka_lines_stream
 
 __all__ = [
@@ -19,5 +26,6 @@ __all__ = [
     "stage_replay_files",
     "start_consumer",
     "start_preview",
+    "write_histories",
     "write_history",
 ]

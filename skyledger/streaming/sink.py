@@ -9,6 +9,8 @@ before.  The current tables are ``latest_per_key`` views over the history.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,24 +69,29 @@ def ensure_tables(spark: SparkSession, tables: ResultTables) -> None:
         )
 
 
-def write_history(df: DataFrame, tables: ResultTables, name: str) -> None:
-    """Overwrite the ``batch_no`` partitions present in ``df``, nothing else."""
+@contextmanager
+def dynamic_partition_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only the partitions a write produces, for the duration of the block."""
+    conf = spark.conf
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key, None)
+    conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        if before is None:
+            conf.unset(key)
+        else:
+            conf.set(key, before)
+
+
+def _write(df: DataFrame, tables: ResultTables, name: str) -> None:
     schema = _SCHEMAS[name]
     out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     table = tables.table(name)
     if table:
-        conf = df.sparkSession.conf
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = conf.get(key, None)
-        conf.set(key, "dynamic")
-        try:
-            ordered = [c for c in out.columns if c != "batch_no"] + ["batch_no"]
-            out.select(*ordered).write.insertInto(table, overwrite=True)
-        finally:
-            if before is None:
-                conf.unset(key)
-            else:
-                conf.set(key, before)
+        ordered = [c for c in out.columns if c != "batch_no"] + ["batch_no"]
+        out.select(*ordered).write.insertInto(table, overwrite=True)
     else:
         (
             out.write.mode("overwrite")
@@ -94,6 +101,25 @@ def write_history(df: DataFrame, tables: ResultTables, name: str) -> None:
         )
 
 
+def write_history(df: DataFrame, tables: ResultTables, name: str) -> None:
+    """Overwrite the ``batch_no`` partitions present in ``df``, nothing else."""
+    with dynamic_partition_overwrite(df.sparkSession):
+        _write(df, tables, name)
+
+
+def write_histories(frames: dict[str, DataFrame], tables: ResultTables) -> None:
+    """Write several results at once: one Spark job per result, run concurrently."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if not frames:
+        return
+    spark = next(iter(frames.values())).sparkSession
+    with dynamic_partition_overwrite(spark), ThreadPoolExecutor(len(frames)) as pool:
+        futures = [pool.submit(_write, df, tables, name) for name, df in frames.items()]
+        for future in futures:
+            future.result()
+
+
 def read_history(spark: SparkSession, tables: ResultTables, name: str) -> DataFrame:
     schema = _SCHEMAS[name]
     table = tables.table(name)
