@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
 
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
     session = (
-        SparkSession.builder.master("local[*]")
+        SparkSession.builder.master(os.environ.get("SKYLEDGER_TEST_MASTER", "local[*]"))
         .appName("skyledger-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
