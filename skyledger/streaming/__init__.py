@@ -7,6 +7,7 @@ from .sink import (
     ensure_tables,
     latest_views,
     read_history,
+    snapshot_current,
     write_histories,
     write_history,
 )
@@ -23,6 +24,7 @@ __all__ = [
     "publish_to_topic",
     "read_history",
     "stage_feed_files",
+    "snapshot_current",
     "stage_replay_files",
     "start_consumer",
     "start_preview",

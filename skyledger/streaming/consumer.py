@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.aggregates import agency_counts, agency_winners, speed_stats
 from ..operators.parse import parse_lines, split_parsed
 from ..session import checkpoint_path
-from .sink import REJECTS, SPEED, WINNERS, ResultTables, write_histories
+from .sink import REJECTS, SPEED, WINNERS, ResultTables, snapshot_current, write_histories
 
 BATCH_SECONDS = 30
 
@@ -31,6 +31,7 @@ class FeedBatchWriter:
     label: str | None = None
     write_rejects: bool = True
     echo_rows: int = 0  # > 0: print up to this many agency counts per batch
+    snapshot_every: int = 0  # > 0: rewrite the current tables every N batches
 
     def results(self, parsed: DataFrame) -> dict[str, DataFrame]:
         """Result frames of one parsed batch (``parse_lines`` output with ``batch_no``)."""
@@ -60,6 +61,8 @@ class FeedBatchWriter:
             write_histories(self.results(parsed), self.tables)
         finally:
             parsed.unpersist()
+        if self.snapshot_every > 0 and (batch_id + 1) % self.snapshot_every == 0:
+            snapshot_current(batch.sparkSession, self.tables)
 
 
 def start_consumer(
@@ -73,6 +76,7 @@ def start_consumer(
     batch_seconds: int | None = BATCH_SECONDS,
     available_now: bool = False,
     echo_rows: int = 0,
+    snapshot_every: int = 0,
 ) -> StreamingQuery:
     """Start the consumer; results go to ``tables`` per micro-batch.
 
@@ -83,7 +87,11 @@ def start_consumer(
     location = checkpoint or checkpoint_path(spark, "streams", query_name)
     writer = (
         lines_stream.writeStream.queryName(query_name)
-        .foreachBatch(FeedBatchWriter(tables, agency, flight, label, echo_rows=echo_rows))
+        .foreachBatch(
+            FeedBatchWriter(
+                tables, agency, flight, label, echo_rows=echo_rows, snapshot_every=snapshot_every
+            )
+        )
         .option("checkpointLocation", location)
     )
     if available_now:
@@ -129,6 +137,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--batch-seconds", type=int, default=BATCH_SECONDS)
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--echo-rows", type=int, default=0)
+    ap.add_argument("--snapshot-every", type=int, default=0, help="rewrite current tables every N batches")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
 
@@ -150,6 +159,7 @@ def main(argv: list[str] | None = None) -> None:
         batch_seconds=args.batch_seconds,
         available_now=args.available_now,
         echo_rows=args.echo_rows,
+        snapshot_every=args.snapshot_every,
     )
     query.awaitTermination()
 

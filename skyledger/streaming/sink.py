@@ -137,3 +137,18 @@ def latest_views(spark: SparkSession, tables: ResultTables, prefix: str = "") ->
     for name, df in views.items():
         df.createOrReplaceTempView(f"{prefix}{name}")
     return views
+
+
+def snapshot_current(spark: SparkSession, tables: ResultTables) -> dict[str, str]:
+    """Write the latest-per-key views as tables: one row per key, like upserts.
+
+    The snapshot is rebuilt from the history each time (overwrite), so a
+    failed or repeated run leaves a consistent table.  Paths are
+    ``<root>/current/<name>``.
+    """
+    paths = {}
+    for name, df in latest_views(spark, tables).items():
+        path = tables.path(f"current/{name}")
+        df.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths

@@ -73,6 +73,13 @@ def test_stream_equals_batch(spark, tmp_path, database):
     views = latest_views(spark, tables, prefix=f"t_{database or 'path'}_")
     assert views[WINNERS].count() == len({r[1] for r in want_w})
 
+    from skyledger.streaming import snapshot_current
+
+    paths = snapshot_current(spark, tables)
+    current = spark.read.parquet(paths[WINNERS])
+    assert sorted(tuple(r) for r in current.collect()) == sorted(tuple(r) for r in views[WINNERS].collect())
+    assert spark.read.parquet(paths[SPEED]).count() == 1
+
 
 def test_batch_retry_is_idempotent(spark, tmp_path):
     tables = ResultTables(root=str(tmp_path / "results"))
