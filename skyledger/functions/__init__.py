@@ -1,6 +1,6 @@
 """Scalar column functions (all built-in Spark expressions)."""
 
-from .formatting import RECORD_TEXT_FORMAT, record_text, set_label
+from .formatting import RECORD_TEXT_SEPARATOR, record_text, set_label
 from .parsing import (
     ARITY_PATTERN,
     RECORD_PATTERN,
@@ -14,7 +14,7 @@ from .parsing import (
 __all__ = [
     "ARITY_PATTERN",
     "RECORD_PATTERN",
-    "RECORD_TEXT_FORMAT",
+    "RECORD_TEXT_SEPARATOR",
     "arity_ok",
     "event_time",
     "record_ok",

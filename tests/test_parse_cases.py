@@ -91,3 +91,24 @@ def test_event_time(spark):
     df = spark.createDataFrame([("2015-08-18T07:58:54Z",), ("2015-08-18 07:58:54",), ("x",)], "t string")
     got = [r[0] for r in df.select(event_time(F.col("t")).cast("string")).collect()]
     assert got == ["2015-08-18 07:58:54", None, None]
+
+
+def test_record_text_equals_full_pattern(spark):
+    from skyledger.functions import record_text
+    from skyledger.plans.oracle import _RENDER_FORMAT
+    from skyledger.schema import RECORD_SCHEMA
+
+    base = ["A1", "F1", 1.0, 2.0, 1, 2, 3, 4, "T", "ts", "N", "", "", "n", "s", 5, "m", "md", 6, 7, "ag"]
+    floats = [0.0, -0.0, 33.6, -117.25, 1e-7, 3.4e38, float("nan"), float("inf"), float("-inf"), None]
+    ints = [0, -1, 2147483647, -2147483648, None]
+    rows = []
+    for i, f in enumerate(floats):
+        r = list(base)
+        r[2], r[3], r[5] = f, -f if f is not None else None, ints[i % len(ints)]
+        r[10] = None if i == 3 else r[10]
+        rows.append(tuple(r))
+    df = spark.createDataFrame(rows, RECORD_SCHEMA)
+    cols = [F.col(c) for c in RECORD_SCHEMA.fieldNames()]
+    got = df.select(record_text().alias("a"), F.format_string(_RENDER_FORMAT, *cols).alias("b")).collect()
+    for r in got:
+        assert r["a"] == r["b"]
