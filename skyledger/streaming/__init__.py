@@ -1,7 +1,12 @@
 """Structured Streaming: sources, the foreachBatch consumer, sinks, replay."""
 
 from .consumer import FeedBatchWriter, start_consumer, start_preview
-from .replay import publish_to_topic, stage_feed_files, stage_replay_files
+from .replay import (
+    publish_stream_to_topic,
+    publish_to_topic,
+    stage_feed_files,
+    stage_replay_files,
+)
 from .sink import (
     ResultTables,
     ensure_tables,
@@ -21,6 +26,7 @@ __all__ = [
     "file_lines_stream",
     "kafka_lines_stream",
     "latest_views",
+    "publish_stream_to_topic",
     "publish_to_topic",
     "read_history",
     "stage_feed_files",

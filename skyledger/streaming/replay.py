@@ -92,3 +92,25 @@ def publish_to_topic(
         .option("topic", topic)
         .save()
     )
+
+
+def publish_stream_to_topic(
+    lines_stream: DataFrame,
+    bootstrap_servers: str,
+    checkpoint: str,
+    topic: str = FEED_TOPIC,
+    line_col: str = "line",
+):
+    """Forward a stream of lines to a topic (needs the Kafka connector).
+
+    With a file stream read at ``maxFilesPerTrigger`` this is a paced replay
+    into the topic; the checkpoint makes the forwarding resume after a stop.
+    """
+    return (
+        lines_stream.select(F.col(line_col).cast("string").alias("value"))
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )

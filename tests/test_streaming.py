@@ -102,6 +102,21 @@ def test_kafka_source_needs_connector(spark):
         kafka_lines_stream(spark, "localhost:9092").writeStream.format("noop").start().stop()
 
 
+def test_topic_publishers_need_connector(spark, tmp_path):
+    from skyledger.streaming import publish_stream_to_topic, publish_to_topic
+
+    lines = read_events_feed(spark, SF).select("line")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        publish_to_topic(lines, "localhost:9092")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "f.csv").write_text("H\nx\n")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        publish_stream_to_topic(
+            file_lines_stream(spark, str(folder)), "localhost:9092", str(tmp_path / "ck")
+        ).stop()
+
+
 def test_echo_prints_agency_counts(spark, tmp_path, capsys):
     tables = ResultTables(root=str(tmp_path / "results"))
     writer = FeedBatchWriter(tables, agency="click", label="F3", echo_rows=5)
