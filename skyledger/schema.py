@@ -74,3 +74,11 @@ REJECTS_SCHEMA = T.StructType(
         T.StructField("reason", T.StringType(), True),
     ]
 )
+
+# Input tables, as declared reads: only the columns used.  A declared
+# schema spares the footer-reading job that schema inference runs for
+# every read, and an incompatible column type fails the read.
+EVENTS_INPUT_SCHEMA = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+)
+DOCUMENTS_INPUT_SCHEMA = "text STRING"

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schema import SEPARATOR
+from ..schema import EVENTS_INPUT_SCHEMA, SEPARATOR
 from .spread import spread_narrow
 
 EMPTY_SPEED_EVERY = 97
@@ -57,5 +57,5 @@ def events_feed(events: DataFrame) -> DataFrame:
 def read_events_feed(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
     """The stand-in feed; ``spread`` spreads a narrow ``events`` scan over the cores
     (worth it when parsing or rendering follows, not for a bare projection)."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENTS_INPUT_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     return events_feed(spread_narrow(events) if spread else events)

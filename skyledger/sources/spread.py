@@ -6,11 +6,22 @@ and everything before the first shuffle then runs in those few tasks.
 ``spread_narrow`` adds one round-robin shuffle in that case only.  On
 inputs with at least as many splits as cores, the usual case at scale, it
 returns the frame unchanged.
+
+Catalyst moves deterministic filters below a repartition, so a per-row
+filter applied later (the feed's accept pattern, say) would run back in
+the scan's few tasks and the shuffle would only carry its survivors.  The
+spread frame therefore ends in an observation of its row count: filters do
+not move below ``observe``, so per-row work stays after the shuffle, and
+the count (``rows``) is reported to listeners under ``spread_<id>`` when the
+query runs.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -21,4 +32,6 @@ def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame
         return df
     if current >= target:
         return df
-    return df.repartition(target)
+    # One observation name per spread frame: a plan may hold several.
+    name = f"spread_{uuid.uuid4().hex[:12]}"
+    return df.repartition(target).observe(name, F.count(F.lit(1)).alias("rows"))

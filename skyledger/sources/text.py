@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schema import DOCUMENTS_INPUT_SCHEMA
 from .spread import spread_narrow
 
 
@@ -15,4 +16,6 @@ def read_text_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table, only its ``text`` column is read."""
-    return spread_narrow(spark.read.parquet(f"{sf_dir}/documents.parquet").select("text"))
+    return spread_narrow(
+        spark.read.schema(DOCUMENTS_INPUT_SCHEMA).parquet(f"{sf_dir}/documents.parquet")
+    )

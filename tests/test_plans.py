@@ -42,3 +42,15 @@ def test_word_count_reads_text_only(spark):
     text = plan(word_count(read_documents(spark, SF)))
     assert "ReadSchema: struct<text:string>" in text
     assert "partial_count" in text
+
+
+def test_narrow_feed_parses_after_spreading(spark):
+    # sf0.001 events is one row group, so the scan is one task and the feed
+    # is spread; the accept filter must run after that shuffle, not in the scan.
+    if spark.sparkContext.defaultParallelism < 2:
+        return
+    records = parse_records(feed_lines(spark, SF)).records
+    lines = records._jdf.queryExecution().sparkPlan().toString().splitlines()
+    exchange = next(i for i, n in enumerate(lines) if "RoundRobinPartitioning" in n)
+    accept = next(i for i, n in enumerate(lines) if "Filter" in n and "RLIKE" in n)
+    assert accept < exchange  # printed top-down: the filter sits above the shuffle
