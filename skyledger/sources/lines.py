@@ -59,11 +59,41 @@ def _split_table(raw: DataFrame, header_lines: int) -> DataFrame:
     files = splits.groupBy("source_file").agg(
         F.greatest(F.sum("_rows") - header_lines, F.lit(0)).alias("_data_rows")
     )
-    earlier_files = Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.withColumn(
-        "_line_base", F.coalesce(F.sum("_data_rows").over(earlier_files), F.lit(0))
+    n_ranges = raw.sparkSession.sparkContext.defaultParallelism
+    return splits.join(_file_line_bases(files, n_ranges), "source_file")
+
+
+def _file_line_bases(files: DataFrame, n_ranges: int) -> DataFrame:
+    """``(source_file, _line_base)``: data lines in all files whose path sorts first.
+
+    A prefix sum over the file list that never puts the list in one task:
+    the files are range-partitioned by path, each range is totalled (one row
+    per range), the few range totals get their own prefix sum, and each file
+    adds the lines of the files before it in its range.
+    """
+    before = (Window.unboundedPreceding, -1)
+    ranged = files.repartitionByRange(n_ranges, "source_file").withColumn(
+        "_range", F.spark_partition_id()
+    )
+    range_base = (
+        ranged.groupBy("_range")
+        .agg(F.sum("_data_rows").alias("_range_rows"))
+        .withColumn(
+            "_range_base",
+            F.coalesce(
+                F.sum("_range_rows").over(Window.orderBy("_range").rowsBetween(*before)),
+                F.lit(0),
+            ),
+        )
+    )
+    in_range = Window.partitionBy("_range").orderBy("source_file").rowsBetween(*before)
+    # At most n_ranges rows: a bounded broadcast.
+    return ranged.join(F.broadcast(range_base.select("_range", "_range_base")), "_range").select(
+        "source_file",
+        (
+            F.col("_range_base") + F.coalesce(F.sum("_data_rows").over(in_range), F.lit(0))
+        ).alias("_line_base"),
     )
-    return splits.join(files.select("source_file", "_line_base"), "source_file")
 
 
 def read_lines(

@@ -120,3 +120,19 @@ def test_numbering_property(spark, tmp_path_factory):
         assert got == list(enumerate(want))
 
     check()
+
+
+def test_file_line_bases_match_prefix_sum(spark):
+    import random
+
+    from skyledger.sources.lines import _file_line_bases
+
+    rng = random.Random(7)
+    counts = {f"file:/feed/part-{i:04d}.txt": rng.choice([0, 1, 5, 300]) for i in range(500)}
+    files = spark.createDataFrame(list(counts.items()), "source_file string, _data_rows long")
+    got = dict(_file_line_bases(files, 7).collect())
+    want, total = {}, 0
+    for path in sorted(counts):
+        want[path] = total
+        total += counts[path]
+    assert got == want
