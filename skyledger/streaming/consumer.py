@@ -62,7 +62,7 @@ class FeedBatchWriter:
         finally:
             parsed.unpersist()
         if self.snapshot_every > 0 and (batch_id + 1) % self.snapshot_every == 0:
-            snapshot_current(batch.sparkSession, self.tables)
+            snapshot_current(batch.sparkSession, self.tables, upto=batch_id)
 
 
 def start_consumer(

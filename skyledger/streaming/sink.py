@@ -13,8 +13,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.latest import agency_winners_latest, speed_stats_latest
 from ..schema import AGENCY_WINNERS_SCHEMA, REJECTS_SCHEMA, SPEED_STATS_SCHEMA
@@ -139,16 +141,61 @@ def latest_views(spark: SparkSession, tables: ResultTables, prefix: str = "") ->
     return views
 
 
-def snapshot_current(spark: SparkSession, tables: ResultTables) -> dict[str, str]:
-    """Write the latest-per-key views as tables: one row per key, like upserts.
+_LATEST = {WINNERS: agency_winners_latest, SPEED: speed_stats_latest}
 
-    The snapshot is rebuilt from the history each time (overwrite), so a
-    failed or repeated run leaves a consistent table.  Paths are
-    ``<root>/current/<name>``.
+
+def _snapshot_batches(spark: SparkSession, folder: str, schema: T.StructType) -> list[int]:
+    """The ``upto`` values of the snapshots under ``folder`` (from the file listing)."""
+    try:
+        files = spark.read.schema(schema).parquet(folder).inputFiles()
+    except AnalysisException:  # no snapshot yet
+        return []
+    found = set()
+    for path in files:
+        for part in path.split("/"):
+            if part.startswith("upto=") and part[5:].lstrip("-").isdigit():
+                found.add(int(part[5:]))
+    return sorted(found)
+
+
+def snapshot_current(
+    spark: SparkSession, tables: ResultTables, upto: int | None = None
+) -> dict[str, str]:
+    """Write the current tables: one row per key with its latest batch, like upserts.
+
+    A snapshot is the previous snapshot merged with the history partitions
+    written after it (``batch_no`` above the previous ``upto``, pruned at the
+    scan), so its work grows with the new batches, not with the history.
+    Each snapshot has its own folder ``<root>/current/<name>/upto=<N>``, N
+    being the last batch it covers (the consumer passes its batch id;
+    otherwise it is the highest batch in the new partitions).  A snapshot is
+    never overwritten while it is read, and a repeated run for the same N
+    rebuilds that folder from the snapshot before it.  Returns the folder of
+    the newest snapshot per table; rows carry ``batch_no``.
     """
     paths = {}
-    for name, df in latest_views(spark, tables).items():
-        path = tables.path(f"current/{name}")
-        df.write.mode("overwrite").parquet(path)
+    for name, latest in _LATEST.items():
+        folder = tables.path(f"current/{name}")
+        history = read_history(spark, tables, name)
+        schema = latest(history, keep_batch=True).schema
+        earlier = [
+            b for b in _snapshot_batches(spark, folder, schema) if upto is None or b < upto
+        ]
+        prev_upto = earlier[-1] if earlier else None
+        new = history if prev_upto is None else history.filter(F.col("batch_no") > prev_upto)
+        target = upto
+        if target is None:
+            target = new.agg(F.max("batch_no")).first()[0]
+            if target is None:  # nothing new since the last snapshot
+                if prev_upto is not None:
+                    paths[name] = f"{folder}/upto={prev_upto}"
+                    continue
+                target = -1
+        new = new.filter(F.col("batch_no") <= target)
+        if prev_upto is not None:
+            prev = spark.read.schema(schema).parquet(f"{folder}/upto={prev_upto}")
+            new = prev.unionByName(new.select(*schema.fieldNames()))
+        path = f"{folder}/upto={target}"
+        latest(new, keep_batch=True).write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
