@@ -73,7 +73,8 @@ def q_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_lines(read_events_feed(spark, sf_dir), FIRST_LINES_N)
+    # Only the first lines are kept: no parse follows, so the scan is not spread.
+    return first_lines(read_events_feed(spark, sf_dir, spread=False), FIRST_LINES_N)
 
 
 def q_batch_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
