@@ -16,11 +16,13 @@ from .queries import AGENCY, FIRST_LINES_N, FLIGHT, PREVIEW_BATCH_S, PREVIEW_N
 _BATCH = f"(event_id * {PUBLISH_INTERVAL_S}) // {BATCH_INTERVAL_S}"
 _GOOD = f"event_id % {EMPTY_SPEED_EVERY} <> 0 AND event_id % {EMPTY_AGENCY_EVERY} <> 0"
 
-_RECORDS = f"""
+
+def _records(batch: str = _BATCH) -> str:
+    return f"""
 rec AS (
   SELECT
     event_id AS line_no,
-    {_BATCH} AS batch_no,
+    {batch} AS batch_no,
     'A' || CAST(user_id AS VARCHAR) AS adshex,
     'F' || CAST(user_id % 10 AS VARCHAR) AS flight_id,
     CAST(event_id % 90 + 0.5 AS REAL) AS latitude,
@@ -46,6 +48,11 @@ rec AS (
   WHERE {_GOOD}
 )"""
 
+
+_RECORDS = _records()
+# The stream queries drain the whole feed as one micro-batch, batch 0.
+_STREAM_RECORDS = _records("CAST(0 AS BIGINT)")
+
 _FIELDS = (
     'adshex, flight_id, latitude, longitude, altitude, speed, track, squawk, "type", '
     '"timestamp", "name", other_names1, other_names2, n_number, serial_number, '
@@ -144,6 +151,14 @@ SELECT flight_segment,
        arg_max(avg_speed, batch_no) AS avg_speed,
        arg_max(num_of_flight_segments, batch_no) AS num_of_flight_segments
 FROM spd GROUP BY flight_segment""",
+    "stream_agency_winners": f"WITH {_STREAM_RECORDS}, {_WINNERS}\nSELECT * FROM win",
+    "stream_speed_stats": f"WITH {_STREAM_RECORDS}, {_speed()}\nSELECT * FROM spd",
+    "stream_rejects": f"""
+SELECT CAST(0 AS BIGINT) AS batch_no,
+       {_LINE} AS line,
+       CASE WHEN event_id % {EMPTY_AGENCY_EVERY} = 0 THEN 'arity' ELSE 'number' END AS reason
+FROM events
+WHERE NOT ({_GOOD})""",
     "word_count": r"""
 SELECT word, count(*) AS n FROM (
   SELECT unnest(string_split_regex(text, '[ \t\n\r\f]+')) AS word FROM documents) t
