@@ -129,6 +129,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--topic", default=FEED_TOPIC)
     ap.add_argument("--starting-offsets", default="latest")
     ap.add_argument("--max-per-trigger", type=int, help="files or messages per micro-batch")
+    ap.add_argument(
+        "--min-partitions", type=int, help="topic only: split topic partitions into at least this many tasks"
+    )
     ap.add_argument("--results", required=True, help="result root, ideally with a run id")
     ap.add_argument("--database")
     ap.add_argument("--agency", required=True)
@@ -144,7 +147,12 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master, app_name="skyledger-consumer")
     if args.kafka:
         lines = kafka_lines_stream(
-            spark, args.kafka, args.topic, args.starting_offsets, args.max_per_trigger
+            spark,
+            args.kafka,
+            args.topic,
+            args.starting_offsets,
+            args.max_per_trigger,
+            min_partitions=args.min_partitions or spark.sparkContext.defaultParallelism,
         ).select("line", "line_no")
     else:
         lines = file_lines_stream(spark, args.input_dir, args.max_per_trigger)

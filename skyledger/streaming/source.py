@@ -44,11 +44,16 @@ def kafka_lines_stream(
     starting_offsets: str = "latest",
     max_offsets_per_trigger: int | None = None,
     extra_options: dict[str, str] | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Lines from a topic: ``(line, partition, line_no)``; ``line_no`` is the offset.
 
     ``startingOffsets`` defaults to ``latest`` like the reference's effective
     setting; the query's checkpoint makes a restart resume where it stopped.
+    A topic with few partitions reads into as few tasks, and the parse of a
+    micro-batch runs in them: ``min_partitions`` (the source's
+    ``minPartitions``) cuts large topic partitions into offset ranges so a
+    micro-batch spreads over at least that many tasks.
     Needs the Spark Kafka connector on the classpath.
     """
     reader = (
@@ -59,6 +64,8 @@ def kafka_lines_stream(
     )
     if max_offsets_per_trigger is not None:
         reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    if min_partitions is not None:
+        reader = reader.option("minPartitions", int(min_partitions))
     for key, value in (extra_options or {}).items():
         reader = reader.option(key, value)
     return reader.load().select(
