@@ -27,6 +27,13 @@ from pyspark.sql import functions as F
 def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        # Every file is at least one split.  The file list is already on the
+        # driver (listed when the scan was built), so a wide input is known
+        # without planning its splits, which for a very large scan would be
+        # planned twice.  (All files of the table count, before partition
+        # pruning; a heavily pruned scan is then left as it is.)
+        if len(df.inputFiles()) >= target:
+            return df
         current = df.rdd.getNumPartitions()
     except Exception:  # e.g. a Spark Connect session: no RDD view; leave as is
         return df

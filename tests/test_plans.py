@@ -54,3 +54,21 @@ def test_narrow_feed_parses_after_spreading(spark):
     exchange = next(i for i, n in enumerate(lines) if "RoundRobinPartitioning" in n)
     accept = next(i for i, n in enumerate(lines) if "Filter" in n and "RLIKE" in n)
     assert accept < exchange  # printed top-down: the filter sits above the shuffle
+
+
+def test_spread_only_narrow_inputs(spark, tmp_path):
+    from skyledger.sources import spread_narrow
+
+    cores = spark.sparkContext.defaultParallelism
+    wide = str(tmp_path / "wide")
+    spark.range(cores * 100).repartition(cores).write.parquet(wide)
+    df = spark.read.parquet(wide)
+    assert spread_narrow(df) is df  # as many files as cores: left as is
+
+    narrow = str(tmp_path / "narrow")
+    spark.range(1000).coalesce(1).write.parquet(narrow)
+    spread = spread_narrow(spark.read.parquet(narrow))
+    if cores > 1:
+        text = plan(spread)
+        assert "RoundRobinPartitioning" in text and "CollectMetrics" in text
+    assert spread.count() == 1000
