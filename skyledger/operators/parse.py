@@ -78,11 +78,21 @@ class Parsed:
         return self.lines.filter(~record_ok(line)).select(*extra, line, reason.alias("reason"))
 
 
-def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """All input columns, the 21 typed fields and ``reason`` (null if good)."""
+def parse_lines(lines: DataFrame, line_col: str = "line", keep_good_lines: bool = True) -> DataFrame:
+    """All input columns, the 21 typed fields and ``reason`` (null if good).
+
+    ``keep_good_lines=False`` nulls the raw text of accepted lines: only
+    rejects need it, and it is the widest column of a persisted or written
+    parse.
+    """
     keep = [c for c in lines.columns if c not in FIELD_NAMES]
     typed = lines.selectExpr(*_quoted(keep), *typed_field_sql(f"`{line_col}`"))
-    return typed.withColumn("reason", _reason(F.col(line_col)))
+    reason = _reason(F.col(line_col))
+    if keep_good_lines:
+        return typed.withColumn("reason", reason)
+    return typed.withColumns(
+        {"reason": reason, line_col: F.when(reason.isNotNull(), F.col(line_col))}
+    )
 
 
 def parse_records(lines: DataFrame, line_col: str = "line", on_error: str = "reject") -> Parsed:

@@ -14,7 +14,6 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import (
     agency_winners,
@@ -37,10 +36,8 @@ def write_parsed(lines: DataFrame, path: str) -> None:
     every parquet row group holds few agencies and its min/max statistics
     let a scan with ``agency = x`` pushed down skip the other row groups.
     """
-    parsed = parse_lines(lines)
-    parsed.withColumn(
-        "line", F.when(F.col("reason").isNotNull(), F.col("line"))
-    ).sortWithinPartitions("agency", "batch_no").write.mode("overwrite").parquet(path)
+    parsed = parse_lines(lines, keep_good_lines=False)
+    parsed.sortWithinPartitions("agency", "batch_no").write.mode("overwrite").parquet(path)
 
 
 def run_job(

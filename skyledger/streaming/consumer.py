@@ -52,7 +52,8 @@ class FeedBatchWriter:
             F.lit(batch_id).cast("bigint").alias("batch_no"),
             *[c for c in batch.columns if c != "batch_no"],
         )
-        parsed = parse_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
+        # Raw text is kept for rejected lines only: the persisted batch stays narrow.
+        parsed = parse_lines(lines, keep_good_lines=False).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if self.echo_rows > 0:
                 counts = agency_counts(split_parsed(parsed).records)
