@@ -29,7 +29,7 @@ from ..schema import FIELD_NAMES
 from ..session import checkpoint_path
 from ..sources import read_documents, read_events_feed, read_lines
 from ..streaming.consumer import start_consumer
-from ..streaming.replay import stage_feed_files
+from ..streaming.replay import lines_per_staged_file, stage_feed_files
 from ..streaming.sink import REJECTS, SPEED, WINNERS, ResultTables, read_history
 from ..streaming.source import file_lines_stream
 
@@ -39,7 +39,9 @@ FLIGHT = "F3"
 FIRST_LINES_N = 20
 PREVIEW_N = 10
 PREVIEW_BATCH_S = 300  # 60 lines per batch, so that the preview limit bites
-STAGED_FILES = 8
+# Staged feed files: at least this many, each at most this many lines (~300 MB).
+STAGED_FILES_MIN = 8
+STAGED_FILE_MAX_LINES = 2_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +59,12 @@ def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_records(feed_lines(spark, sf_dir)).records
 
 
+def stage_feed(lines: DataFrame, folder: str) -> None:
+    """The feed as header-per-file text files, their number growing with the feed."""
+    per_file = lines_per_staged_file(lines, STAGED_FILES_MIN, STAGED_FILE_MAX_LINES)
+    stage_feed_files(lines, folder, per_file)
+
+
 def q_replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_lines(spark, sf_dir, spread=False).select("line_no", "arrival_s", "batch_no")
 
@@ -71,7 +79,7 @@ def q_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
     folder = checkpoint_path(spark, "staged-feed", uuid.uuid4().hex)
-    stage_feed_files(read_events_feed(spark, sf_dir), folder, STAGED_FILES)
+    stage_feed(read_events_feed(spark, sf_dir, spread=False), folder)
     return with_batches(read_lines(spark, folder)).select("line_no", "batch_no", "line")
 
 
@@ -141,7 +149,7 @@ def drain_feed_through_consumer(spark: SparkSession, sf_dir: str) -> ResultTable
     run = uuid.uuid4().hex
     root = checkpoint_path(spark, "stream-replay", run)
     staged = f"{root}/staged"
-    stage_feed_files(read_events_feed(spark, sf_dir, spread=False), staged, STAGED_FILES)
+    stage_feed(read_events_feed(spark, sf_dir, spread=False), staged)
     tables = ResultTables(f"{root}/results")
     query = start_consumer(
         file_lines_stream(spark, staged, max_files_per_trigger=None),

@@ -53,23 +53,35 @@ def stage_replay_files(
 def stage_feed_files(
     lines: DataFrame,
     path: str,
-    n_files: int,
+    lines_per_file: int,
     line_col: str = "line",
     order_col: str = "line_no",
 ) -> None:
-    """Write ``lines`` as ``n_files`` feed files in line order, a header in each.
-
-    Range partitioning on the line number gives every file a contiguous run
-    of lines; part files are named by partition index, so path order is line
-    order.  Reading the folder back with ``read_lines`` restores the numbers.
+    """Write ``lines`` as feed files in line order, a header in each.
+
+    A file holds the lines whose numbers fall in one block of
+    ``lines_per_file`` consecutive numbers, so no file is larger than that,
+    and the number of files grows with the data.  Files live in
+    ``path/file=<block number, zero-padded>/``, so path order is line order,
+    and reading the folder back with ``read_lines`` restores the numbers.
+    Lines are hash-partitioned by block (each block whole in one task) and
+    sorted within their task, so the write runs with the shuffle's
+    parallelism, however many files there are.
     """
-    if n_files <= 0:
-        raise ValueError("n_files must be > 0")
+    if lines_per_file <= 0:
+        raise ValueError("lines_per_file must be > 0")
+    block = f"lpad(CAST(`{order_col}` div {int(lines_per_file)} AS STRING), 20, '0')"
+    staged = lines.select(
+        F.expr(block).alias("file"),
+        F.col(order_col).alias("_order"),
+        F.col(line_col).alias(HEADER_LINE),
+    )
     (
-        lines.repartitionByRange(int(n_files), order_col)
-        .sortWithinPartitions(order_col)
-        .select(F.col(line_col).alias(HEADER_LINE))
+        staged.repartition("file")
+        .sortWithinPartitions("file", "_order")
+        .drop("_order")
         .write.mode("overwrite")
+        .partitionBy("file")
         .option("header", "true")
         .option("sep", "\u0001")
         .option("quote", "")
@@ -78,6 +90,18 @@ def stage_feed_files(
     )
 
 
+def lines_per_staged_file(lines: DataFrame, min_files: int, max_lines: int) -> int:
+    """Lines per staged file: at least ``min_files`` files, none above ``max_lines`` lines.
+
+    Counts the lines (on a parquet source the count comes from file
+    metadata) and assumes line numbers run from 0 without large gaps; gaps
+    only make files smaller.
+    """
+    n = lines.count()
+    files = max(min_files, -(-n // max_lines), 1)
+    return max(1, -(-n // files))
+
+
 def publish_to_topic(
     lines: DataFrame,
     bootstrap_servers: str,

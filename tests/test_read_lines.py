@@ -136,3 +136,28 @@ def test_file_line_bases_match_prefix_sum(spark):
         want[path] = total
         total += counts[path]
     assert got == want
+
+
+def test_staged_feed_files_round_trip(spark, tmp_path):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from skyledger.schema import HEADER_LINE
+    from skyledger.streaming import stage_feed_files
+
+    lines = spark.range(50).select(
+        F.col("id").alias("line_no"), F.concat(F.lit("row-"), F.col("id")).alias("line")
+    )
+    folder = str(tmp_path / "staged")
+    stage_feed_files(lines.repartition(3), folder, lines_per_file=7)
+    dirs = sorted(glob.glob(f"{folder}/file=*"))
+    assert len(dirs) == 8  # ceil(50 / 7) blocks, one folder each
+    for k, d in enumerate(dirs):
+        parts = glob.glob(f"{d}/*.csv")
+        assert len(parts) == 1  # a block is written whole by one task
+        text = open(parts[0]).read().splitlines()
+        assert text[0] == HEADER_LINE
+        assert text[1:] == [f"row-{i}" for i in range(7 * k, min(50, 7 * k + 7))]
+    got = sorted((r["line_no"], r["line"]) for r in read_lines(spark, folder).collect())
+    assert got == [(i, f"row-{i}") for i in range(50)]
