@@ -11,7 +11,15 @@ from __future__ import annotations
 
 from ..operators.replay import BATCH_INTERVAL_S, PUBLISH_INTERVAL_S
 from ..sources.feed import EMPTY_AGENCY_EVERY, EMPTY_SPEED_EVERY
-from .queries import AGENCY, FIRST_LINES_N, FLIGHT, PREVIEW_BATCH_S, PREVIEW_N
+from .queries import (
+    AGENCY,
+    FIRST_LINES_N,
+    FLIGHT,
+    PREVIEW_BATCH_S,
+    PREVIEW_N,
+    STAGED_FILE_MAX_LINES,
+    STAGED_FILES_MIN,
+)
 
 _BATCH = f"(event_id * {PUBLISH_INTERVAL_S}) // {BATCH_INTERVAL_S}"
 _GOOD = f"event_id % {EMPTY_SPEED_EVERY} <> 0 AND event_id % {EMPTY_AGENCY_EVERY} <> 0"
@@ -50,8 +58,12 @@ rec AS (
 
 
 _RECORDS = _records()
-# The stream queries drain the whole feed as one micro-batch, batch 0.
-_STREAM_RECORDS = _records("CAST(0 AS BIGINT)")
+# The stream queries key results by staged file: blocks of consecutive
+# event ids, at least STAGED_FILES_MIN files of at most STAGED_FILE_MAX_LINES.
+_PER_FILE = f"""(SELECT CAST(ceil(n / greatest({STAGED_FILES_MIN}, ceil(n / {STAGED_FILE_MAX_LINES}.0)))
+               AS BIGINT) FROM (SELECT count(*) AS n FROM events) c)"""
+_STREAM_BATCH = f"event_id // {_PER_FILE}"
+_STREAM_RECORDS = _records(_STREAM_BATCH)
 
 _FIELDS = (
     'adshex, flight_id, latitude, longitude, altitude, speed, track, squawk, "type", '
@@ -154,7 +166,7 @@ FROM spd GROUP BY flight_segment""",
     "stream_agency_winners": f"WITH {_STREAM_RECORDS}, {_WINNERS}\nSELECT * FROM win",
     "stream_speed_stats": f"WITH {_STREAM_RECORDS}, {_speed()}\nSELECT * FROM spd",
     "stream_rejects": f"""
-SELECT CAST(0 AS BIGINT) AS batch_no,
+SELECT {_STREAM_BATCH} AS batch_no,
        {_LINE} AS line,
        CASE WHEN event_id % {EMPTY_AGENCY_EVERY} = 0 THEN 'arity' ELSE 'number' END AS reason
 FROM events

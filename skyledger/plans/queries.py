@@ -139,10 +139,12 @@ def drain_feed_through_consumer(spark: SparkSession, sf_dir: str) -> ResultTable
 
     Exercises the streaming path end to end: file source with a header per
     file, ``foreachBatch``, one parse persisted per micro-batch, history
-    sinks.  Every file is there when the query starts and no per-trigger
-    limit is set, so ``availableNow`` takes them all as micro-batch 0,
-    whatever order the files are listed in.  Files, checkpoint and results
-    go to a fresh folder under the session's checkpoint root.
+    sinks.  A micro-batch takes at most one staged file per core, so its size
+    is bounded however large the feed.  Results are keyed by the staged
+    file's block of line numbers: each file is read whole in one micro-batch,
+    so they do not depend on the order in which files are listed.  Files,
+    checkpoint and results go to a fresh folder under the session's
+    checkpoint root.
     """
     import uuid
 
@@ -152,13 +154,19 @@ def drain_feed_through_consumer(spark: SparkSession, sf_dir: str) -> ResultTable
     stage_feed(read_events_feed(spark, sf_dir, spread=False), staged)
     tables = ResultTables(f"{root}/results")
     query = start_consumer(
-        file_lines_stream(spark, staged, max_files_per_trigger=None),
+        file_lines_stream(
+            spark,
+            staged,
+            max_files_per_trigger=spark.sparkContext.defaultParallelism,
+            block_batches=True,
+        ),
         tables,
         agency=AGENCY,
         label=FLIGHT,
         query_name=f"feed_replay_{run[:12]}",
         checkpoint=f"{root}/checkpoint",
         available_now=True,
+        batches_from_input=True,
     )
     query.awaitTermination()  # raises if the stream failed
     return tables

@@ -32,6 +32,15 @@ class FeedBatchWriter:
     write_rejects: bool = True
     echo_rows: int = 0  # > 0: print up to this many agency counts per batch
     snapshot_every: int = 0  # > 0: rewrite the current tables every N batches
+    # True: the input's own batch_no column (e.g. staged file blocks) is the
+    # batch key; otherwise the micro-batch id is.
+    batches_from_input: bool = False
+
+    def __post_init__(self) -> None:
+        if self.batches_from_input and self.snapshot_every > 0:
+            # Incremental snapshots take batches above the last snapshot as
+            # new; input batch numbers need not arrive in increasing order.
+            raise ValueError("snapshot_every needs micro-batch ids as batch keys")
 
     def results(self, parsed: DataFrame) -> dict[str, DataFrame]:
         """Result frames of one parsed batch (``parse_lines`` output with ``batch_no``)."""
@@ -48,10 +57,12 @@ class FeedBatchWriter:
         return out
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        lines = batch.select(
-            F.lit(batch_id).cast("bigint").alias("batch_no"),
-            *[c for c in batch.columns if c != "batch_no"],
+        key = (
+            F.col("batch_no").cast("bigint")
+            if self.batches_from_input
+            else F.lit(batch_id).cast("bigint")
         )
+        lines = batch.select(key.alias("batch_no"), *[c for c in batch.columns if c != "batch_no"])
         # Raw text is kept for rejected lines only: the persisted batch stays narrow.
         parsed = parse_lines(lines, keep_good_lines=False).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -78,6 +89,7 @@ def start_consumer(
     available_now: bool = False,
     echo_rows: int = 0,
     snapshot_every: int = 0,
+    batches_from_input: bool = False,
 ) -> StreamingQuery:
     """Start the consumer; results go to ``tables`` per micro-batch.
 
@@ -90,7 +102,13 @@ def start_consumer(
         lines_stream.writeStream.queryName(query_name)
         .foreachBatch(
             FeedBatchWriter(
-                tables, agency, flight, label, echo_rows=echo_rows, snapshot_every=snapshot_every
+                tables,
+                agency,
+                flight,
+                label,
+                echo_rows=echo_rows,
+                snapshot_every=snapshot_every,
+                batches_from_input=batches_from_input,
             )
         )
         .option("checkpointLocation", location)

@@ -17,16 +17,24 @@ FEED_TOPIC = "feds"
 _LINE_CSV = {"sep": "\u0001", "quote": "", "header": "true", "enforceSchema": "true"}
 
 
+# Staged feed files live in folders named by their block of line numbers.
+STAGED_BLOCK = r"/file=([0-9]+)/"
+
+
 def file_lines_stream(
     spark: SparkSession,
     path: str,
     max_files_per_trigger: int | None = 1,
     header: bool = True,
+    block_batches: bool = False,
 ) -> DataFrame:
     """Lines of files arriving in ``path``; the first line of each is a header.
 
     ``max_files_per_trigger`` paces the replay: with one file per batch of
-    lines, every micro-batch sees exactly one file.
+    lines, every micro-batch sees exactly one file.  ``block_batches`` adds
+    ``batch_no``, the block number of the staged file a line came from
+    (``stage_feed_files``): a file is read whole within one micro-batch, so
+    per-block results do not depend on which micro-batch took which file.
     """
     reader = spark.readStream.schema("line string")
     options = dict(_LINE_CSV, header="true" if header else "false")
@@ -34,7 +42,11 @@ def file_lines_stream(
         reader = reader.option(key, value)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.csv(path).filter(F.col("line").isNotNull())
+    lines = reader.csv(path)
+    if block_batches:
+        block = F.regexp_extract(F.col("_metadata.file_path"), STAGED_BLOCK, 1)
+        lines = lines.select("line", block.cast("bigint").alias("batch_no"))
+    return lines.filter(F.col("line").isNotNull())
 
 
 def kafka_lines_stream(

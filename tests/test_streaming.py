@@ -261,3 +261,40 @@ def test_snapshots_merge_only_new_batches(spark, tmp_path):
     assert second[WINNERS].endswith("upto=5")
     check(second)
     assert snapshot_current(spark, tables) == second  # nothing new: same snapshot
+
+
+def test_block_batches_do_not_depend_on_micro_batches(spark, tmp_path):
+    from skyledger.streaming import stage_feed_files
+
+    feed = read_events_feed(spark, SF, spread=False)
+    staged = str(tmp_path / "staged")
+    stage_feed_files(feed, staged, lines_per_file=120)  # 9 files of at most 120 lines
+    tables = ResultTables(root=str(tmp_path / "results"))
+    query = start_consumer(
+        file_lines_stream(spark, staged, max_files_per_trigger=2, block_batches=True),
+        tables,
+        agency="click",
+        label="F3",
+        query_name="block_batches",
+        checkpoint=str(tmp_path / "ckpt"),
+        available_now=True,
+        batches_from_input=True,
+    )
+    query.awaitTermination(120)
+    assert query.exception() is None
+    assert len(query.recentProgress) >= 5  # several micro-batches of two files
+
+    records = parse_records(
+        feed.withColumn("batch_no", F.expr("line_no div 120"))
+    ).records
+    want_w = sorted(tuple(r) for r in agency_winners(records).collect())
+    assert sorted(tuple(r) for r in read_history(spark, tables, WINNERS).collect()) == want_w
+    want_s = sorted(tuple(r) for r in speed_stats(records, "click", label="F3").collect())
+    assert sorted(tuple(r) for r in read_history(spark, tables, SPEED).collect()) == want_s
+
+
+def test_block_batches_refuse_snapshots(tmp_path):
+    with pytest.raises(ValueError):
+        FeedBatchWriter(
+            ResultTables(str(tmp_path)), "click", snapshot_every=2, batches_from_input=True
+        )
