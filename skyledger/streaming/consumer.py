@@ -144,6 +144,11 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="Flight-segment feed stream consumer")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--input-dir", help="folder of feed files (one header line each)")
+    ap.add_argument(
+        "--block-batches",
+        action="store_true",
+        help="input-dir only: key results by staged file block instead of micro-batch id",
+    )
     src.add_argument("--kafka", help="bootstrap servers")
     ap.add_argument("--topic", default=FEED_TOPIC)
     ap.add_argument("--starting-offsets", default="latest")
@@ -174,7 +179,9 @@ def main(argv: list[str] | None = None) -> None:
             min_partitions=args.min_partitions or spark.sparkContext.defaultParallelism,
         ).select("line", "line_no")
     else:
-        lines = file_lines_stream(spark, args.input_dir, args.max_per_trigger)
+        lines = file_lines_stream(
+            spark, args.input_dir, args.max_per_trigger, block_batches=args.block_batches
+        )
     tables = ResultTables(args.results, args.database)
     ensure_tables(spark, tables)
     query = start_consumer(
@@ -187,6 +194,7 @@ def main(argv: list[str] | None = None) -> None:
         available_now=args.available_now,
         echo_rows=args.echo_rows,
         snapshot_every=args.snapshot_every,
+        batches_from_input=bool(args.input_dir and args.block_batches),
     )
     query.awaitTermination()
 
