@@ -49,6 +49,8 @@ def _split_table(raw: DataFrame, header_lines: int) -> DataFrame:
     splits = raw.groupBy("source_file", "_split").agg(
         F.min("_row_id").alias("_first_row"), F.count(F.lit(1)).alias("_rows")
     )
+    # One row per split here (partial aggregate map-side), so a file's window
+    # group holds its split count (33 TB of one file = 260,000 rows), not its lines.
     before_in_file = Window.partitionBy("source_file").orderBy("_split").rowsBetween(
         Window.unboundedPreceding, -1
     )
