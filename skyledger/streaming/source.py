@@ -44,8 +44,11 @@ def file_lines_stream(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     lines = reader.csv(path)
     if block_batches:
-        block = F.regexp_extract(F.col("_metadata.file_path"), STAGED_BLOCK, 1)
-        lines = lines.select("line", block.cast("bigint").alias("batch_no"))
+        path = F.col("_metadata.file_path")
+        block = F.regexp_extract(path, STAGED_BLOCK, 1)
+        not_staged = F.concat(F.lit("not in a staged block folder (file=<n>): "), path)
+        batch_no = F.when(block != "", block.cast("bigint")).otherwise(F.raise_error(not_staged))
+        lines = lines.select("line", batch_no.alias("batch_no"))
     return lines.filter(F.col("line").isNotNull())
 
 
