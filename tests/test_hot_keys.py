@@ -1,0 +1,77 @@
+"""Hot keys: one batch or one agency holding a large share of all rows.
+
+Results must equal a brute-force model, and the plans must combine rows
+map-side (partial aggregate, partial group limit) before any shuffle on
+the hot key, so no task receives the hot group's rows whole.
+"""
+
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from skyledger.operators import agency_winners, parse_records, speed_stats, with_batches
+from skyledger.plans.queries import feed_lines
+
+SF = "/root/testdata/sf0.001"
+
+
+def _physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _combined_before_hash_shuffle(text):
+    """Every hash exchange has a partial aggregate or partial group limit below it."""
+    lines = text.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = "\n".join(lines[i + 1 :])
+            assert "partial_" in below or "WindowGroupLimit" in below, line
+
+
+def test_one_batch_holds_every_line(spark):
+    # interval_s = 0: every line arrives at time 0, so one batch holds the feed.
+    lines = with_batches(feed_lines(spark, SF).drop("arrival_s", "batch_no"), interval_s=0)
+    records = parse_records(lines).records
+    rows = records.select("batch_no", "agency", "flight_id", "speed").collect()
+    assert {r["batch_no"] for r in rows} == {0}
+
+    counts = Counter(r["agency"] for r in rows)
+    top = max(counts.values())
+    want = {(0, "[" + ", ".join(sorted(a for a, n in counts.items() if n == top)) + "]", top)}
+    winners = agency_winners(records)
+    assert {tuple(r) for r in winners.collect()} == want
+    _combined_before_hash_shuffle(_physical(winners))
+
+    speeds = [r["speed"] for r in rows if r["agency"] == "click"]
+    stats = speed_stats(records, "click", label="F3")
+    got = stats.collect()
+    assert [(r["batch_no"], r["max_speed"], r["min_speed"], r["num_of_flight_segments"]) for r in got] == [
+        (0, max(speeds), min(speeds), len(speeds))
+    ]
+    assert abs(got[0]["avg_speed"] - sum(speeds) / len(speeds)) < 1e-9
+    _combined_before_hash_shuffle(_physical(stats))
+
+
+def test_one_agency_holds_a_third(spark):
+    # Rewrite the agency field of two lines in three to one name.
+    lines = feed_lines(spark, SF).withColumn(
+        "line",
+        F.when(
+            F.col("line_no") % 3 != 0,
+            F.regexp_replace("line", ";[^;]*$", ";hot"),
+        ).otherwise(F.col("line")),
+    )
+    records = parse_records(lines).records
+    rows = records.select("batch_no", "agency").collect()
+    assert sum(r["agency"] == "hot" for r in rows) > len(rows) / 3
+
+    per_batch = defaultdict(Counter)
+    for r in rows:
+        per_batch[r["batch_no"]][r["agency"]] += 1
+    want = set()
+    for b, c in per_batch.items():
+        top = max(c.values())
+        want.add((b, "[" + ", ".join(sorted(a for a, n in c.items() if n == top)) + "]", top))
+    winners = agency_winners(records)
+    assert {tuple(r) for r in winners.collect()} == want
+    _combined_before_hash_shuffle(_physical(winners))
