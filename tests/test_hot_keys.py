@@ -75,3 +75,20 @@ def test_one_agency_holds_a_third(spark):
     winners = agency_winners(records)
     assert {tuple(r) for r in winners.collect()} == want
     _combined_before_hash_shuffle(_physical(winners))
+
+
+def test_one_word_is_a_third_of_all_words(spark):
+    import re
+
+    from skyledger.operators import word_count
+    from skyledger.sources import read_documents
+
+    docs = read_documents(spark, SF).select(
+        F.concat_ws(" ", "text", F.array_join(F.array_repeat(F.lit("hot"), 400), " ")).alias("text")
+    )
+    texts = [r["text"] for r in docs.collect()]
+    want = Counter(w for t in texts if t for w in re.split(r"[ \t\n\r\f]+", t) if w)
+    assert want["hot"] > sum(want.values()) / 3
+    counts = word_count(docs)
+    assert {r["word"]: r["n"] for r in counts.collect()} == dict(want)
+    _combined_before_hash_shuffle(_physical(counts))
