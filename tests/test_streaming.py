@@ -298,3 +298,21 @@ def test_block_batches_refuse_snapshots(tmp_path):
         FeedBatchWriter(
             ResultTables(str(tmp_path)), "click", snapshot_every=2, batches_from_input=True
         )
+
+
+def test_console_preview_consumes_the_stream(spark, tmp_path):
+    from skyledger.streaming import start_preview
+
+    staged = str(tmp_path / "staged")
+    _stage(spark, staged)
+    query = start_preview(
+        file_lines_stream(spark, staged, max_files_per_trigger=5),
+        rows=3,
+        checkpoint=str(tmp_path / "ckpt"),
+    )
+    try:
+        query.processAllAvailable()
+        assert query.exception() is None
+        assert sum(p["numInputRows"] for p in query.recentProgress) == 6 * N_FILES
+    finally:
+        query.stop()
