@@ -6,7 +6,7 @@ from .parse import Parsed, parse_lines, parse_records, split_parsed
 from .preview import batch_preview, first_lines
 from .render import render_records
 from .replay import BATCH_INTERVAL_S, PUBLISH_INTERVAL_S, with_batches
-from .wordcount import word_count, words
+from .wordcount import word_count, word_count_lines, words, write_word_counts
 
 __all__ = [
     "BATCH_INTERVAL_S",
@@ -28,5 +28,7 @@ __all__ = [
     "split_parsed",
     "with_batches",
     "word_count",
+    "word_count_lines",
     "words",
+    "write_word_counts",
 ]

@@ -171,6 +171,12 @@ SELECT {_STREAM_BATCH} AS batch_no,
        CASE WHEN event_id % {EMPTY_AGENCY_EVERY} = 0 THEN 'arity' ELSE 'number' END AS reason
 FROM events
 WHERE NOT ({_GOOD})""",
+    "word_count_lines": r"""
+SELECT word || chr(9) || CAST(count(*) AS VARCHAR) AS line FROM (
+  SELECT unnest(string_split_regex(text, '[ \t\n\r\f]+')) AS word FROM documents) t
+WHERE word <> ''
+GROUP BY word
+ORDER BY word""",
     "word_count": r"""
 SELECT word, count(*) AS n FROM (
   SELECT unnest(string_split_regex(text, '[ \t\n\r\f]+')) AS word FROM documents) t

@@ -24,6 +24,7 @@ from ..operators import (
     speed_stats_latest,
     with_batches,
     word_count,
+    word_count_lines,
 )
 from ..schema import FIELD_NAMES
 from ..session import checkpoint_path
@@ -134,6 +135,10 @@ def q_speed_stats_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speed_stats_latest(speed_stats(feed_records(spark, sf_dir), AGENCY, label=FLIGHT))
 
 
+def q_word_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_count_lines(word_count(read_documents(spark, sf_dir)))
+
+
 def drain_feed_through_consumer(spark: SparkSession, sf_dir: str) -> ResultTables:
     """Stage the whole feed as files and run the stream consumer over them.
 
@@ -206,6 +211,7 @@ QUERIES: dict[str, Query] = {
     "speed_stats_agency_flight": q_speed_stats_agency_flight,
     "speed_stats_latest": q_speed_stats_latest,
     "word_count": q_word_count,
+    "word_count_lines": q_word_count_lines,
     "stream_agency_winners": q_stream_agency_winners,
     "stream_speed_stats": q_stream_speed_stats,
     "stream_rejects": q_stream_rejects,

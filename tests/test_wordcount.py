@@ -17,3 +17,20 @@ def test_delimiters(spark):
     df = spark.createDataFrame([("  a\tb\n\nc\r\fa  ",), ("",), (None,), ("a b",)], "text string")
     got = sorted((r["word"], r["n"]) for r in word_count(df).collect())
     assert got == [("a", 2), ("a b", 1), ("b", 1), ("c", 1)]
+
+
+def test_documented_output_text(spark, tmp_path):
+    import glob
+
+    from skyledger.operators import write_word_counts
+
+    folder = tmp_path / "input"
+    folder.mkdir()
+    (folder / "file1.txt").write_text("Hello Hadoop\n")
+    (folder / "file2.txt").write_text("Hello Docker\n")
+    out = str(tmp_path / "output")
+    write_word_counts(word_count(read_text_files(spark, str(folder))), out)
+    lines = []
+    for part in sorted(glob.glob(f"{out}/part-*")):
+        lines += open(part).read().splitlines()
+    assert lines == ["Docker\t1", "Hadoop\t1", "Hello\t2"]
