@@ -138,3 +138,39 @@ def publish_stream_to_topic(
         .option("checkpointLocation", checkpoint)
         .start()
     )
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Replay feed files: to a topic, or as paced files for a file stream.
+
+    The header of every input file is skipped and lines keep file order.
+    ``--kafka`` sends each line as one message with a null key (the
+    consumer's rate limit and trigger pace it); ``--output-dir`` writes
+    ``--lines-per-file`` lines per file (6 = one 30 s batch at one line per
+    5 s), to be read with ``maxFilesPerTrigger``.
+    """
+    import argparse
+
+    from ..session import build_session
+    from ..sources import read_lines
+
+    ap = argparse.ArgumentParser(description="Flight-segment feed replay")
+    ap.add_argument("--input", required=True, nargs="+", help="feed files or folders")
+    dest = ap.add_mutually_exclusive_group(required=True)
+    dest.add_argument("--kafka", help="bootstrap servers")
+    dest.add_argument("--output-dir", help="folder for the replay files")
+    ap.add_argument("--topic", default=FEED_TOPIC)
+    ap.add_argument("--lines-per-file", type=int, default=LINES_PER_FILE)
+    ap.add_argument("--master")
+    args = ap.parse_args(argv)
+
+    spark = build_session(args.master, app_name="skyledger-replay")
+    lines = read_lines(spark, args.input)
+    if args.kafka:
+        publish_to_topic(lines, args.kafka, args.topic)
+    else:
+        stage_replay_files(lines, args.output_dir, lines_per_file=args.lines_per_file)
+
+
+if __name__ == "__main__":
+    main()

@@ -316,3 +316,23 @@ def test_console_preview_consumes_the_stream(spark, tmp_path):
         assert sum(p["numInputRows"] for p in query.recentProgress) == 6 * N_FILES
     finally:
         query.stop()
+
+
+def test_replay_cli_writes_paced_files(spark, tmp_path):
+    import glob
+
+    from skyledger.schema import HEADER_LINE
+    from skyledger.streaming.replay import main
+
+    feed = tmp_path / "feed.csv"
+    body = [f"line-{i}" for i in range(14)]
+    feed.write_text("\n".join([HEADER_LINE, *body]) + "\n")
+    out = str(tmp_path / "replay")
+    main(["--input", str(feed), "--output-dir", out, "--lines-per-file", "6"])
+    files = {}
+    for path in glob.glob(f"{out}/file_no=*/*.csv"):
+        n = int(path.split("file_no=")[1].split("/")[0])
+        text = open(path).read().splitlines()
+        assert text[0] == HEADER_LINE
+        files[n] = text[1:]
+    assert files == {0: body[0:6], 1: body[6:12], 2: body[12:14]}

@@ -34,3 +34,16 @@ def test_documented_output_text(spark, tmp_path):
     for part in sorted(glob.glob(f"{out}/part-*")):
         lines += open(part).read().splitlines()
     assert lines == ["Docker\t1", "Hadoop\t1", "Hello\t2"]
+
+
+def test_wordcount_cli(spark, tmp_path):
+    import glob
+
+    from skyledger.plans.wordcount import main
+
+    (tmp_path / "a.txt").write_text("Hello Hadoop\n")
+    (tmp_path / "b.txt").write_text("Hello Docker\n")
+    out = str(tmp_path / "out")
+    main(["--input", str(tmp_path / "a.txt"), str(tmp_path / "b.txt"), "--output", out])
+    lines = [ln for part in sorted(glob.glob(f"{out}/part-*")) for ln in open(part).read().splitlines()]
+    assert lines == ["Docker\t1", "Hadoop\t1", "Hello\t2"]
