@@ -57,17 +57,28 @@ def run_job(
         "speed_stats": speed_stats(parsed.records, agency, flight, label),
         "rejects": parsed.rejects,
     }
-    paths = {}
-    for name, df in results.items():
-        paths[name] = f"{out}/{name}"
-        df.write.mode("overwrite").parquet(paths[name])
+    paths = _write_all(results, out)
     latest = {
         "agency_winners_latest": agency_winners_latest(spark.read.parquet(paths["agency_winners"])),
         "speed_stats_latest": speed_stats_latest(spark.read.parquet(paths["speed_stats"])),
     }
-    for name, df in latest.items():
-        paths[name] = f"{out}/{name}"
-        df.write.mode("overwrite").parquet(paths[name])
+    paths.update(_write_all(latest, out))
+    return paths
+
+
+def _write_all(frames: dict[str, DataFrame], out: str) -> dict[str, str]:
+    """Write each frame to ``out/<name>``, one Spark job per frame, run concurrently
+    so that a light result does not wait behind a heavy one's tail."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    paths = {name: f"{out}/{name}" for name in frames}
+    with ThreadPoolExecutor(len(frames)) as pool:
+        futures = [
+            pool.submit(df.write.mode("overwrite").parquet, paths[name])
+            for name, df in frames.items()
+        ]
+        for future in futures:
+            future.result()
     return paths
 
 
