@@ -45,12 +45,22 @@ def pin_split_sizing(spark: SparkSession) -> None:
         spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
 
 
-def _split_table(raw: DataFrame, header_lines: int) -> DataFrame:
-    splits = raw.groupBy("source_file", "_split").agg(
+def _per_split(raw: DataFrame) -> DataFrame:
+    """One row per file split: its first row id and its number of lines."""
+    return raw.groupBy("source_file", "_split").agg(
         F.min("_row_id").alias("_first_row"), F.count(F.lit(1)).alias("_rows")
     )
-    # One row per split here (partial aggregate map-side), so a file's window
-    # group holds its split count (33 TB of one file = 260,000 rows), not its lines.
+
+
+def _split_table(splits: DataFrame, header_lines: int) -> DataFrame:
+    """Add each split's line offset in its file and its file's first line number.
+
+    ``splits`` is ``_per_split`` output read back from storage: it feeds three
+    branches here (per-file offsets, file totals, range totals), and each
+    would otherwise rescan the text.
+    """
+    # One row per split, so a file's window group holds its split count
+    # (33 TB of one file = 260,000 rows), not its lines.
     before_in_file = Window.partitionBy("source_file").orderBy("_split").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -61,7 +71,7 @@ def _split_table(raw: DataFrame, header_lines: int) -> DataFrame:
     files = splits.groupBy("source_file").agg(
         F.greatest(F.sum("_rows") - header_lines, F.lit(0)).alias("_data_rows")
     )
-    n_ranges = raw.sparkSession.sparkContext.defaultParallelism
+    n_ranges = splits.sparkSession.sparkContext.defaultParallelism
     return splits.join(_file_line_bases(files, n_ranges), "source_file")
 
 
@@ -119,11 +129,14 @@ def read_lines(
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_row_id"),
     )
-    # Written once to the shared checkpoint folder: one pass over the text,
-    # and the numbering survives a lost executor without a rescan.
-    split_path = checkpoint_path(spark, "line-splits", uuid.uuid4().hex)
-    _split_table(raw, header_lines).write.parquet(split_path)
-    splits = spark.read.parquet(split_path)
+    # Written to the shared checkpoint folder: the per-split counts are the
+    # only scan of the text in this pass (everything after reads one row per
+    # split), and the numbering survives a lost executor without a rescan.
+    split_root = checkpoint_path(spark, "line-splits", uuid.uuid4().hex)
+    _per_split(raw).write.parquet(f"{split_root}/counts")
+    counts = spark.read.parquet(f"{split_root}/counts")
+    _split_table(counts, header_lines).write.parquet(f"{split_root}/table")
+    splits = spark.read.parquet(f"{split_root}/table")
     size = splits.agg(
         F.count(F.lit(1)).alias("rows"), F.max(F.length("source_file")).alias("path")
     ).first()
