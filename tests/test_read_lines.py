@@ -161,3 +161,25 @@ def test_staged_feed_files_round_trip(spark, tmp_path):
         assert text[1:] == [f"row-{i}" for i in range(7 * k, min(50, 7 * k + 7))]
     got = sorted((r["line_no"], r["line"]) for r in read_lines(spark, folder).collect())
     assert got == [(i, f"row-{i}") for i in range(50)]
+
+
+def test_split_table_reads_counts_not_text(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from skyledger.sources.lines import _per_split, _split_table
+
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    for k in range(3):
+        _write(str(folder / f"part-{k}.txt"), "HEAD", 50, f"f{k}")
+    raw = spark.read.text(str(folder)).select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_row_id"),
+    )
+    counts_path = str(tmp_path / "counts")
+    _per_split(raw).write.parquet(counts_path)
+    table = _split_table(spark.read.parquet(counts_path), 1)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan  # the one text scan was the counts write
+    assert sorted(r["_line_base"] for r in table.collect()) == [0, 50, 100]
