@@ -336,3 +336,21 @@ def test_replay_cli_writes_paced_files(spark, tmp_path):
         assert text[0] == HEADER_LINE
         files[n] = text[1:]
     assert files == {0: body[0:6], 1: body[6:12], 2: body[12:14]}
+
+
+def test_consumer_cli_drains_staged_files(spark, tmp_path):
+    from skyledger.streaming import stage_feed_files
+    from skyledger.streaming.consumer import main
+
+    feed = read_events_feed(spark, SF, spread=False)
+    staged = str(tmp_path / "staged")
+    stage_feed_files(feed, staged, lines_per_file=250)
+    results = str(tmp_path / "results")
+    main([
+        "--input-dir", staged, "--block-batches", "--max-per-trigger", "2",
+        "--results", results, "--agency", "click", "--label", "F3", "--available-now",
+    ])
+    records = parse_records(feed.withColumn("batch_no", F.expr("line_no div 250"))).records
+    want = sorted(tuple(r) for r in agency_winners(records).collect())
+    got = sorted(tuple(r) for r in read_history(spark, ResultTables(results), WINNERS).collect())
+    assert got == want
