@@ -165,6 +165,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--echo-rows", type=int, default=0)
     ap.add_argument("--snapshot-every", type=int, default=0, help="rewrite current tables every N batches")
+    ap.add_argument("--query-name", default="feed_consumer")
+    ap.add_argument(
+        "--checkpoint", help="default: <spark.checkpoint.dir>/streams/<query name>; one per consumer"
+    )
     ap.add_argument("--master")
     args = ap.parse_args(argv)
 
@@ -195,6 +199,8 @@ def main(argv: list[str] | None = None) -> None:
         echo_rows=args.echo_rows,
         snapshot_every=args.snapshot_every,
         batches_from_input=bool(args.input_dir and args.block_batches),
+        query_name=args.query_name,
+        checkpoint=args.checkpoint,
     )
     query.awaitTermination()
 

@@ -349,6 +349,7 @@ def test_consumer_cli_drains_staged_files(spark, tmp_path):
     main([
         "--input-dir", staged, "--block-batches", "--max-per-trigger", "2",
         "--results", results, "--agency", "click", "--label", "F3", "--available-now",
+        "--query-name", "cli_test", "--checkpoint", str(tmp_path / "ckpt"),
     ])
     records = parse_records(feed.withColumn("batch_no", F.expr("line_no div 250"))).records
     want = sorted(tuple(r) for r in agency_winners(records).collect())
