@@ -165,6 +165,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--echo-rows", type=int, default=0)
     ap.add_argument("--snapshot-every", type=int, default=0, help="rewrite current tables every N batches")
+    ap.add_argument("--run-id", help="keeps this run's history apart (use one per checkpoint)")
     ap.add_argument("--query-name", default="feed_consumer")
     ap.add_argument(
         "--checkpoint", help="default: <spark.checkpoint.dir>/streams/<query name>; one per consumer"
@@ -186,7 +187,7 @@ def main(argv: list[str] | None = None) -> None:
         lines = file_lines_stream(
             spark, args.input_dir, args.max_per_trigger, block_batches=args.block_batches
         )
-    tables = ResultTables(args.results, args.database)
+    tables = ResultTables(args.results, args.database, args.run_id)
     ensure_tables(spark, tables)
     query = start_consumer(
         lines,
