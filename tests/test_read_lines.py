@@ -183,3 +183,27 @@ def test_split_table_reads_counts_not_text(spark, tmp_path):
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert "FileScan text" not in plan  # the one text scan was the counts write
     assert sorted(r["_line_base"] for r in table.collect()) == [0, 50, 100]
+
+
+def test_file_line_bases_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from skyledger.sources.lines import _file_line_bases
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(
+        st.lists(st.integers(min_value=0, max_value=1000), min_size=1, max_size=60),
+        st.integers(min_value=1, max_value=16),
+    )
+    def check(rows, n_ranges):
+        counts = {f"file:/f/{i:03d}-{r}": r for i, r in enumerate(rows)}
+        files = spark.createDataFrame(list(counts.items()), "source_file string, _data_rows long")
+        got = dict(_file_line_bases(files, n_ranges).collect())
+        want, total = {}, 0
+        for path in sorted(counts):
+            want[path] = total
+            total += counts[path]
+        assert got == want
+
+    check()
