@@ -18,7 +18,15 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.aggregates import agency_counts, agency_winners, speed_stats
 from ..operators.parse import parse_lines, split_parsed
 from ..session import checkpoint_path
-from .sink import REJECTS, SPEED, WINNERS, ResultTables, snapshot_current, write_histories
+from .sink import (
+    REJECTS,
+    SPEED,
+    WINNERS,
+    ResultTables,
+    ensure_tables,
+    snapshot_current,
+    write_histories,
+)
 
 BATCH_SECONDS = 30
 
@@ -93,10 +101,13 @@ def start_consumer(
 ) -> StreamingQuery:
     """Start the consumer; results go to ``tables`` per micro-batch.
 
+    The result tables are created first if absent (empty until a batch).
+
     The checkpoint defaults to a folder under the session's shared
     checkpoint root, so a restarted query resumes at its last offsets.
     """
     spark = lines_stream.sparkSession
+    ensure_tables(spark, tables)
     location = checkpoint or checkpoint_path(spark, "streams", query_name)
     writer = (
         lines_stream.writeStream.queryName(query_name)
@@ -138,7 +149,6 @@ def main(argv: list[str] | None = None) -> None:
     import argparse
 
     from ..session import build_session
-    from .sink import ensure_tables
     from .source import FEED_TOPIC, file_lines_stream, kafka_lines_stream
 
     ap = argparse.ArgumentParser(description="Flight-segment feed stream consumer")
@@ -188,7 +198,6 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.input_dir, args.max_per_trigger, block_batches=args.block_batches
         )
     tables = ResultTables(args.results, args.database, args.run_id)
-    ensure_tables(spark, tables)
     query = start_consumer(
         lines,
         tables,

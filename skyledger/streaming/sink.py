@@ -55,8 +55,19 @@ class ResultTables:
 
 
 def ensure_tables(spark: SparkSession, tables: ResultTables) -> None:
-    """``CREATE DATABASE / TABLE IF NOT EXISTS`` for the three history tables."""
+    """Create the three history tables if absent, so they read as empty before any batch.
+
+    Catalog tables: ``CREATE DATABASE / TABLE IF NOT EXISTS``.  Path tables:
+    an empty append, which makes the folder and leaves existing data alone.
+    """
     if not tables.database:
+        for name, schema in _SCHEMAS.items():
+            (
+                spark.createDataFrame([], schema)
+                .write.mode("append")
+                .partitionBy("batch_no")
+                .parquet(tables.path(name))
+            )
         return
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{tables.database}`")
     for name, schema in _SCHEMAS.items():

@@ -355,3 +355,11 @@ def test_consumer_cli_drains_staged_files(spark, tmp_path):
     want = sorted(tuple(r) for r in agency_winners(records).collect())
     got = sorted(tuple(r) for r in read_history(spark, ResultTables(results), WINNERS).collect())
     assert got == want
+
+
+def test_path_tables_read_empty_before_any_batch(spark, tmp_path):
+    tables = ResultTables(root=str(tmp_path / "results"))
+    ensure_tables(spark, tables)
+    ensure_tables(spark, tables)  # again: nothing changes
+    for name in (WINNERS, SPEED, REJECTS):
+        assert read_history(spark, tables, name).count() == 0
