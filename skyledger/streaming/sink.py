@@ -142,13 +142,18 @@ def read_history(spark: SparkSession, tables: ResultTables, name: str) -> DataFr
 
 
 def latest_views(spark: SparkSession, tables: ResultTables, prefix: str = "") -> dict[str, DataFrame]:
-    """Register and return the current (latest-per-key) result views."""
-    views = {
-        WINNERS: agency_winners_latest(read_history(spark, tables, WINNERS)),
-        SPEED: speed_stats_latest(read_history(spark, tables, SPEED)),
-    }
-    for name, df in views.items():
-        df.createOrReplaceTempView(f"{prefix}{name}")
+    """Register and return the current (latest-per-key) result views.
+
+    Each view starts from the newest snapshot, if any, and adds only the
+    history partitions after it, so reading the current state does not
+    aggregate the whole history once snapshots are kept.
+    """
+    views = {}
+    for name in _LATEST:
+        snapshots = _snapshot_batches(spark, _snapshot_folder(tables, name), _snapshot_schema(spark, tables, name))
+        latest = _latest_from(spark, tables, name, snapshots[-1] if snapshots else None)
+        views[name] = latest.drop("batch_no")
+        views[name].createOrReplaceTempView(f"{prefix}{name}")
     return views
 
 
@@ -169,6 +174,36 @@ def _snapshot_batches(spark: SparkSession, folder: str, schema: T.StructType) ->
     return sorted(found)
 
 
+def _snapshot_folder(tables: ResultTables, name: str) -> str:
+    return tables.path(f"current/{name}")
+
+
+def _snapshot_schema(spark: SparkSession, tables: ResultTables, name: str) -> T.StructType:
+    return _LATEST[name](read_history(spark, tables, name), keep_batch=True).schema
+
+
+def _latest_from(
+    spark: SparkSession,
+    tables: ResultTables,
+    name: str,
+    snapshot: int | None,
+    upto: int | None = None,
+) -> DataFrame:
+    """Latest row per key (with ``batch_no``): snapshot ``snapshot`` merged with
+    the history partitions after it (up to ``upto``); the whole history when
+    there is no snapshot."""
+    latest = _LATEST[name]
+    history = read_history(spark, tables, name)
+    new = history if snapshot is None else history.filter(F.col("batch_no") > snapshot)
+    if upto is not None:
+        new = new.filter(F.col("batch_no") <= upto)
+    if snapshot is not None:
+        schema = latest(history, keep_batch=True).schema
+        prev = spark.read.schema(schema).parquet(f"{_snapshot_folder(tables, name)}/upto={snapshot}")
+        new = prev.unionByName(new.select(*schema.fieldNames()))
+    return latest(new, keep_batch=True)
+
+
 def snapshot_current(
     spark: SparkSession, tables: ResultTables, upto: int | None = None
 ) -> dict[str, str]:
@@ -185,28 +220,25 @@ def snapshot_current(
     the newest snapshot per table; rows carry ``batch_no``.
     """
     paths = {}
-    for name, latest in _LATEST.items():
-        folder = tables.path(f"current/{name}")
-        history = read_history(spark, tables, name)
-        schema = latest(history, keep_batch=True).schema
+    for name in _LATEST:
+        folder = _snapshot_folder(tables, name)
+        schema = _snapshot_schema(spark, tables, name)
         earlier = [
             b for b in _snapshot_batches(spark, folder, schema) if upto is None or b < upto
         ]
         prev_upto = earlier[-1] if earlier else None
-        new = history if prev_upto is None else history.filter(F.col("batch_no") > prev_upto)
         target = upto
         if target is None:
-            target = new.agg(F.max("batch_no")).first()[0]
+            history = read_history(spark, tables, name)
+            if prev_upto is not None:
+                history = history.filter(F.col("batch_no") > prev_upto)
+            target = history.agg(F.max("batch_no")).first()[0]
             if target is None:  # nothing new since the last snapshot
                 if prev_upto is not None:
                     paths[name] = f"{folder}/upto={prev_upto}"
                     continue
                 target = -1
-        new = new.filter(F.col("batch_no") <= target)
-        if prev_upto is not None:
-            prev = spark.read.schema(schema).parquet(f"{folder}/upto={prev_upto}")
-            new = prev.unionByName(new.select(*schema.fieldNames()))
         path = f"{folder}/upto={target}"
-        latest(new, keep_batch=True).write.mode("overwrite").parquet(path)
+        _latest_from(spark, tables, name, prev_upto, target).write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths

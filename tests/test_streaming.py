@@ -3,7 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.operators import agency_winners, parse_records, speed_stats, with_batches
+from skyledger.operators import (
+    agency_winners,
+    agency_winners_latest,
+    parse_records,
+    speed_stats,
+    speed_stats_latest,
+    with_batches,
+)
 from skyledger.sources import read_events_feed
 from skyledger.streaming import (
     FeedBatchWriter,
@@ -244,11 +251,20 @@ def test_snapshots_merge_only_new_batches(spark, tmp_path):
     def rows(df):
         return sorted(tuple(r) for r in df.collect())
 
+    def full():
+        # Independent of snapshots: latest per key over the whole history.
+        return {
+            WINNERS: agency_winners_latest(read_history(spark, tables, WINNERS)),
+            SPEED: speed_stats_latest(read_history(spark, tables, SPEED)),
+        }
+
     def check(paths):
+        want = full()
         views = latest_views(spark, tables)
         for name in (WINNERS, SPEED):
             current = spark.read.parquet(paths[name])
-            assert rows(current.drop("batch_no")) == rows(views[name])
+            assert rows(current.drop("batch_no")) == rows(want[name])
+            assert rows(views[name]) == rows(want[name])
 
     for b in range(3):
         writer(feed.filter(F.col("line_no").between(12 * b, 12 * b + 11)), b)
@@ -261,6 +277,11 @@ def test_snapshots_merge_only_new_batches(spark, tmp_path):
     assert second[WINNERS].endswith("upto=5")
     check(second)
     assert snapshot_current(spark, tables) == second  # nothing new: same snapshot
+    for b in range(6, 8):  # newer than the last snapshot: the views add them
+        writer(feed.filter(F.col("line_no").between(12 * b, 12 * b + 11)), b)
+    want, views = full(), latest_views(spark, tables)
+    for name in (WINNERS, SPEED):
+        assert rows(views[name]) == rows(want[name])
 
 
 def test_block_batches_do_not_depend_on_micro_batches(spark, tmp_path):
