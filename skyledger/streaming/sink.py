@@ -150,7 +150,8 @@ def latest_views(spark: SparkSession, tables: ResultTables, prefix: str = "") ->
     """
     views = {}
     for name in _LATEST:
-        snapshots = _snapshot_batches(spark, _snapshot_folder(tables, name), _snapshot_schema(spark, tables, name))
+        folder, schema = _snapshot_folder(tables, name), _snapshot_schema(spark, tables, name)
+        snapshots = _snapshot_batches(spark, folder, schema)
         latest = _latest_from(spark, tables, name, snapshots[-1] if snapshots else None)
         views[name] = latest.drop("batch_no")
         views[name].createOrReplaceTempView(f"{prefix}{name}")
