@@ -207,3 +207,14 @@ def test_file_line_bases_property(spark):
         assert got == want
 
     check()
+
+
+def test_lines_per_staged_file_bounds(spark):
+    from skyledger.streaming.replay import lines_per_staged_file
+
+    for n, min_files, max_lines in [(10_000, 8, 2_000_000), (100, 8, 7), (5, 8, 100), (0, 8, 100)]:
+        per_file = lines_per_staged_file(spark.range(n), min_files, max_lines)
+        files = -(-n // per_file)
+        assert per_file <= max_lines
+        assert n == 0 or files >= min(min_files, n)  # never more files than lines
+    assert lines_per_staged_file(spark.range(10_000), 8, 2_000_000) == 1250
