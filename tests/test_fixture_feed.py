@@ -132,3 +132,16 @@ def test_latest_per_key_modes(spark):
     for unique in (True, False):
         got = latest_per_key(hist, ["k"], values=["v", "s"], keep_order_col=True, unique_order=unique)
         assert rows(got, "k", "v", "s", "batch_no") == [("x", 30, "c", 3), ("y", 20, "b", 2)]
+
+
+def test_batch_job_cli(spark, tmp_path):
+    from skyledger.plans.job import main
+
+    path = write_feed(str(tmp_path / "feed.csv"))
+    out = str(tmp_path / "out")
+    main(["--input", path, "--output", out, "--agency", "dhs", "--flight", "F1"])
+    stats = spark.read.parquet(f"{out}/speed_stats")
+    # With --flight only F1's rows count: batch 0 only (FIXTURES.md section 1).
+    assert rows(stats, "batch_no", "max_speed", "min_speed", "avg_speed", "num_of_flight_segments") == [
+        (0, 120, 100, 110.0, 2)
+    ]
