@@ -277,6 +277,10 @@ def test_snapshots_merge_only_new_batches(spark, tmp_path):
     assert second[WINNERS].endswith("upto=5")
     check(second)
     assert snapshot_current(spark, tables) == second  # nothing new: same snapshot
+    before = {n: rows(spark.read.parquet(second[n])) for n in (WINNERS, SPEED)}
+    again = snapshot_current(spark, tables, upto=5)  # as after a retried batch 5
+    assert again == second
+    assert {n: rows(spark.read.parquet(again[n])) for n in (WINNERS, SPEED)} == before
     for b in range(6, 8):  # newer than the last snapshot: the views add them
         writer(feed.filter(F.col("line_no").between(12 * b, 12 * b + 11)), b)
     want, views = full(), latest_views(spark, tables)
