@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracle
 from .common import read_table
 from .quality_rules import judge_quality
+from .url_filter import RULES, judge_urls
+from .winnowing import decontaminate
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +22,32 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    found = decontaminate(documents, benchmark)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return judge_urls(read_table(spark, sf_dir, "pages"), listed)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
+    "op8_winnowing": op8_winnowing,
+    "op9_url_filter": op9_url_filter,
 }
 
 # DuckDB SQL with the same rows, where SQL can express the query.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_winnowing": oracle.WINNOWING,
+    "op9_url_filter": oracle.URL_FILTER,
+}
