@@ -10,10 +10,24 @@ from pyspark.sql import functions as F
 from . import oracle
 from .common import read_table
 from .quality_rules import judge_quality
+from .suffix_dedup import remove_repeats
 from .url_filter import RULES, judge_urls
 from .winnowing import decontaminate
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = remove_repeats(documents)
+    kept = F.octet_length("kept").cast("bigint")
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - kept).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(read_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -41,6 +55,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_winnowing": op8_winnowing,
     "op9_url_filter": op9_url_filter,
