@@ -9,12 +9,25 @@ from pyspark.sql import functions as F
 
 from . import oracle
 from .common import read_table
+from .packing import pack_documents
 from .quality_rules import judge_quality
 from .suffix_dedup import remove_repeats
 from .url_filter import RULES, judge_urls
 from .winnowing import decontaminate
 
 
+def tokenizer_path(name: str) -> str:
+    """The file of a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return pack_documents(documents, tokenizer_path("word_bpe_49k.json"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = remove_repeats(documents)
@@ -55,6 +68,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_winnowing": op8_winnowing,
