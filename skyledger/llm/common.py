@@ -48,6 +48,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt_table(rows: DataFrame, column: str, parts: int) -> str:
+    """Deal ``rows`` by ``column`` once and keep them as a bucketed table; its name.
+
+    Reading the table grouped by ``column`` needs no shuffle, so operators
+    that go over the same texts several times move them only here.  The
+    table ``skyledger_parts_<id>`` stays for the result that reads it; drop
+    it afterwards.
+    """
+    name = f"skyledger_parts_{uuid.uuid4().hex}"
+    writer = rows.repartition(parts, column).write.option("compression", "zstd")
+    writer.bucketBy(parts, column).format("parquet").saveAsTable(name)
+    return name
+
+
 def field(df: DataFrame, column: str, name: str | None = None) -> T.StructField:
     """A field of ``df`` for the schema of a Python stage."""
     return T.StructField(name or column, df.schema[column].dataType, True)

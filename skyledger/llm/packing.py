@@ -1,6 +1,6 @@
 """Best-fit packing of tokenised documents into sequences.
 
-Linear grouping: pieces longer than an eighth of a sequence are sorted by
+Linear grouping: pieces longer than a quarter of a sequence are sorted by
 length and cut into groups of equal cardinality, every length rounded up to
 its group's largest.  With so few sizes the best mix of configurations
 (multisets of sizes that fit a sequence) is a small linear programme, solved
@@ -40,8 +40,8 @@ from .common import field, materialize, slices, text_of
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
-LARGE_SHARE = 8  # pieces longer than capacity / LARGE_SHARE count as large
-GROUPS = 48  # cardinality groups of large pieces
+LARGE_SHARE = 4  # pieces longer than capacity / LARGE_SHARE count as large
+GROUPS = (8, 16, 32)  # numbers of cardinality groups that are tried; the fewest sequences win
 _CACHED_PARTS = 400_000  # of an encoder; a full cache starts again, which changes no result
 _SLICE_BYTES = 16 << 20
 
@@ -270,8 +270,17 @@ def _next_pieces(queue: list[list[int]], n: int) -> list[list[int]]:
     return out
 
 
-def plan_packing(counts: dict[int, int], capacity: int, groups: int = GROUPS) -> list[Run]:
-    """The runs that place all pieces, given the number of pieces of each length."""
+def plan_packing(counts: dict[int, int], capacity: int, groups: tuple[int, ...] = GROUPS) -> list[Run]:
+    """The runs that place all pieces, given the number of pieces of each length.
+
+    Fewer groups leave more room to short pieces, more groups waste less room
+    on long ones; which is better depends on the lengths.
+    """
+    plans = [_plan(counts, capacity, g) for g in groups]
+    return min(plans, key=lambda runs: max((r.sequence + r.count // r.each for r in runs), default=0))
+
+
+def _plan(counts: dict[int, int], capacity: int, groups: int) -> list[Run]:
     bins = _Bins(capacity)
     large = {n: c for n, c in counts.items() if capacity // LARGE_SHARE < n < capacity}
     bins.add(0, (None, capacity, 1), counts.get(capacity, 0))
@@ -327,7 +336,7 @@ def pack_documents(
     text_column: str = "text",
     capacity: int = SEQUENCE_TOKENS,
     end_id: int = END_ID,
-    groups: int = GROUPS,
+    groups: tuple[int, ...] = GROUPS,
 ) -> DataFrame:
     """Per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``."""
     with open(tokenizer_path, encoding="utf-8") as f:

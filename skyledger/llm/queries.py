@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
-from .common import read_table
+from .common import id_remainder, read_table
 from .packing import pack_documents
+from .ppm import score_documents
 from .quality_rules import judge_quality
 from .suffix_dedup import remove_repeats
 from .url_filter import RULES, judge_urls
@@ -41,6 +42,14 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder("doc_id", 7) == 2
+    scored = score_documents(read_table(spark, sf_dir, "documents"), train=~held_out)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(read_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -70,6 +79,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op5_ppm": op5_ppm,
     "op7_quality_rules": op7_quality_rules,
     "op8_winnowing": op8_winnowing,
     "op9_url_filter": op9_url_filter,

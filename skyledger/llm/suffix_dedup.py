@@ -42,7 +42,6 @@ extra columns pass unchanged.  An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -51,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, text_of
+from .common import dealt_table, materialize, text_of
 
 MIN_BYTES = 100
 COVER_PERIOD = 31
@@ -319,8 +318,7 @@ def remove_repeats(
     """The rows of ``docs``, all columns but the text, with ``n_bytes`` (of the text), ``spans``
     (the removed runs: start, length in bytes) and ``kept`` (the remaining bytes).
 
-    Leaves a bucketed table ``skyledger_chunks_<id>`` in the warehouse, which the result reads;
-    drop it when the result has been used.
+    The result reads a table in the warehouse (``dealt_table``).
     """
     if not isinstance(docs.schema[id_column].dataType, T.IntegralType):
         raise TypeError(f"{id_column} must be an integer: its order says which copy is first")
@@ -333,10 +331,8 @@ def remove_repeats(
     number = F.pmod(F.xxhash64(id_column, text_column), F.lit(plan.n_chunks)).cast("int")
     rows = docs.select(
         *others, text_of(text_column).alias(_TEXT), order.alias(_ID), number.alias(_CHUNK)
-    ).repartition(plan.n_chunks, _CHUNK)
-    table = f"skyledger_chunks_{uuid.uuid4().hex}"
-    writer = rows.write.option("compression", "zstd").bucketBy(plan.n_chunks, _CHUNK)
-    writer.format("parquet").saveAsTable(table)
+    )
+    table = dealt_table(rows, _CHUNK, plan.n_chunks)
 
     def chunks():
         return spark.table(table).groupBy(_CHUNK)
