@@ -32,6 +32,7 @@ and all byte values are equally likely.  An empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -51,7 +52,7 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _CODEC = "zstd"
 _WORDS, _CELLS = 0, 1  # kinds of request
 _REQUEST = "kind int, bucket int, chunk int, n int, keys binary, counts binary"
-_ANSWER = "kind int, bucket int, chunk int, n int, vals binary"
+_ANSWER = "kind int, bucket int, chunk int, n int, keys binary, vals binary"
 
 
 def _pack(data: bytes) -> bytes:
@@ -93,33 +94,38 @@ class Chunk:
         starts = np.cumsum(self.sizes + ORDER) - self.sizes
         here = np.repeat(starts - (np.cumsum(self.sizes) - self.sizes), self.sizes)
         here += np.arange(len(here))  # the place of every scored byte in ``data``
-        self.cells = data[here].astype(np.uint64)
+        cells = data.astype(np.uint64)
+        wide = cells.copy()
         for k in range(1, ORDER + 1):  # the nearest byte of the context comes first
-            self.cells |= data[here - k].astype(np.uint64) << np.uint64(8 * (ORDER + 1 - k))
-
-    def distinct_cells(self, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct cells by branch, sorted within each; and the bounds of the branches."""
-        cells = np.unique(self.cells)
+            cells[k:] |= wide[:-k] << np.uint64(8 * (ORDER + 1 - k))
+        self.cells = cells[here]
+
+    def cell_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct cells of all documents, sorted, with their counts in training documents."""
+        train = np.repeat(self.train, self.sizes)
+        seen, times = np.unique(self.cells[train], return_counts=True)
+        cells = np.union1d(seen, np.unique(self.cells[~train]))
+        counts = np.zeros(len(cells), dtype=np.int64)
+        counts[np.searchsorted(cells, seen)] = times
+        return cells, counts
+
+    @staticmethod
+    def branches(cells: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """An order of the cells by branch, sorted within each; and the bounds of the branches."""
         context = cells >> np.uint64(8 * (ORDER - 2))  # three bytes
         branch = ((context * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(n_buckets)
         order = np.argsort(branch, kind="stable")
-        return cells[order], np.searchsorted(branch[order], np.arange(n_buckets + 1, dtype=np.uint64))
-
-    def distinct_words(self, n_buckets: int) -> list[list[bytes]]:
-        """Distinct words of all documents by bucket, sorted; the empty word is the end."""
-        found = set().union(*self.words)
-        found.add(b"")
-        parts: list[list[bytes]] = [[] for _ in range(n_buckets)]
-        for word in sorted(found):
-            parts[zlib.crc32(word) % n_buckets].append(word)
-        return parts
-
-    def word_counts(self) -> dict[bytes, int]:
-        counts: dict[bytes, int] = {b"": int(self.train.sum())}
+        return order, np.searchsorted(branch[order], np.arange(n_buckets + 1, dtype=np.uint64))
+
+    def word_counts(self) -> Counter:
+        """Training counts of all documents' words; the empty word is the end."""
+        counts = Counter({b"": int(self.train.sum())})
         for words, train in zip(self.words, self.train.tolist(), strict=True):
             if train:
-                for word in words:
-                    counts[word] = counts.get(word, 0) + 1
+                counts.update(words)
+        for words, train in zip(self.words, self.train.tolist(), strict=True):
+            if not train:
+                counts.update(dict.fromkeys(words, 0))
         return counts
 
 
@@ -128,20 +134,21 @@ def _ask(n_buckets: int) -> Callable[[pa.Table], pa.Table]:
         number = rows.column(_CHUNK)[0].as_py()
         chunk, out = Chunk(rows), []
         counts = chunk.word_counts()
-        for bucket, words in enumerate(chunk.distinct_words(n_buckets)):
+        buckets: list[list[bytes]] = [[] for _ in range(n_buckets)]
+        for word in sorted(counts):
+            buckets[zlib.crc32(word) % n_buckets].append(word)
+        for bucket, words in enumerate(buckets):
             if words:
-                n = np.array([counts.get(w, 0) for w in words], dtype=np.int64)
+                n = np.fromiter(map(counts.__getitem__, words), np.int64, len(words))
                 out.append((_WORDS, bucket, number, len(words), _pack_words(words), _pack_numbers(n)))
-        cells, bounds = chunk.distinct_cells(n_buckets)
-        seen, times = np.unique(chunk.cells[np.repeat(chunk.train, chunk.sizes)], return_counts=True)
+        cells, times = chunk.cell_counts()
+        order, bounds = chunk.branches(cells, n_buckets)
+        cells, times = cells[order], times[order]
         for bucket in np.flatnonzero(np.diff(bounds)).tolist():
-            part = cells[bounds[bucket] : bounds[bucket + 1]]
-            n = np.zeros(len(part), dtype=np.int64)
-            if len(seen):
-                at = np.minimum(np.searchsorted(seen, part), len(seen) - 1)
-                n = np.where(seen[at] == part, times[at], 0).astype(np.int64)
-            deltas = np.diff(part, prepend=np.uint64(0))
-            out.append((_CELLS, bucket, number, len(part), _pack_numbers(deltas), _pack_numbers(n)))
+            part = slice(bounds[bucket], bounds[bucket + 1])
+            deltas = np.diff(cells[part], prepend=np.uint64(0))
+            n = len(deltas)
+            out.append((_CELLS, bucket, number, n, _pack_numbers(deltas), _pack_numbers(times[part].copy())))
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         names = ("kind", "bucket", "chunk", "n", "keys", "counts")
         columns = zip(*out, strict=True)
@@ -150,6 +157,38 @@ def _ask(n_buckets: int) -> Callable[[pa.Table], pa.Table]:
     return ask
 
 
+class CellTable:
+    """Values by cell: a hash table with linear probing, filled and read in arrays."""
+
+    def __init__(self, cells: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(cells)).bit_length())
+        self.keys = np.full(1 << self.bits, np.uint64(0xFFFFFFFFFFFFFFFF))  # no cell: its top bytes are 0
+        self.values = np.zeros(1 << self.bits, dtype=values.dtype)
+        slot, mask = self._slot(cells), (1 << self.bits) - 1
+        while len(cells):
+            free = self.keys[slot] == np.uint64(0xFFFFFFFFFFFFFFFF)
+            self.keys[slot[free]] = cells[free]  # of several for a slot one stays
+            won = free & (self.keys[slot] == cells)
+            self.values[slot[won]] = values[won]
+            cells, values, slot = cells[~won], values[~won], (slot[~won] + 1) & mask
+
+    def _slot(self, cells: np.ndarray) -> np.ndarray:
+        return ((cells * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, cells: np.ndarray) -> np.ndarray:
+        """The values of cells that are all in the table."""
+        slot, mask = self._slot(cells), (1 << self.bits) - 1
+        out = self.values[slot]
+        rest = np.flatnonzero(self.keys[slot] != cells)
+        slot = slot[rest]
+        while len(rest):
+            slot = (slot + 1) & mask
+            found = self.keys[slot] == cells[rest]
+            out[rest[found]] = self.values[slot[found]]
+            rest, slot = rest[~found], slot[~found]
+        return out
+
+
 class Level:
     """All cells of one context length, with counts by cell and by context."""
 
@@ -255,8 +294,8 @@ def _answer(low: tuple[np.ndarray, np.ndarray]) -> Callable[[pa.Table], pa.Table
         sizes = requests.column("n").to_pylist()
         kind = requests.column("kind")[0].as_py()
         values = (of_words if kind == _WORDS else of_cells)(requests, sizes)
-        kept = [requests.column(c).cast(pa.int32()) for c in ("kind", "bucket", "chunk", "n")]
-        return pa.table([*kept, pa.array(values, pa.binary())], names=["kind", "bucket", "chunk", "n", "vals"])
+        names = ["kind", "bucket", "chunk", "n", "keys"]
+        return requests.select(names).append_column("vals", pa.array(values, pa.binary()))
 
     return answer
 
@@ -280,30 +319,28 @@ def _low_cells(requests: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table.column("cell").to_numpy().astype(np.uint64), table.column("n").to_numpy().astype(np.int64)
 
 
-def _score(n_buckets: int, tokens: int, vocabulary: int, names: list[str]) -> Callable:
+def _score(tokens: int, vocabulary: int, names: list[str]) -> Callable:
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = Chunk(rows)
-        answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
-        got: dict[int, list[np.ndarray]] = {_WORDS: [], _CELLS: []}
-        fields = (answers.column(c).to_pylist() for c in ("kind", "n", "vals"))
-        for kind, n, values in zip(*fields, strict=True):
-            got[kind].append(_unpack_numbers(values, n, np.int64 if kind == _WORDS else np.float32))
-        words = [w for part in chunk.distinct_words(n_buckets) for w in part]
-        counts = np.concatenate(got[_WORDS])
-        number = dict(zip(words, range(len(words)), strict=True))
-        end = number[b""]
-        ids = [n for ws in chunk.words for n in (*map(number.__getitem__, ws), end)]
-        counts = counts[np.array(ids, dtype=np.int64)]
+        words: dict[bytes, int] = {}
+        cells, values = [], []
+        fields = (answers.column(c).to_pylist() for c in ("kind", "n", "keys", "vals"))
+        for kind, n, keys, vals in zip(*fields, strict=True):
+            if kind == _WORDS:
+                words.update(zip(_unpack_words(keys), _unpack_numbers(vals, n, np.int64).tolist(), strict=True))
+            else:
+                cells.append(np.cumsum(_unpack_numbers(keys, n, np.uint64)))
+                values.append(_unpack_numbers(vals, n, np.float32))
         n_tokens = np.array([len(w) + 1 for w in chunk.words], dtype=np.int64)
+        end = words[b""]
+        counts = np.fromiter(
+            (n for ws in chunk.words for n in (*map(words.__getitem__, ws), end)), np.int64, int(n_tokens.sum())
+        )
         first = np.cumsum(n_tokens) - n_tokens
         n_known = np.add.reduceat((counts > 0).astype(np.int64), first)
         base = np.add.reduceat(np.log10(counts + 1.0), first) - n_tokens * np.log10(tokens + vocabulary + 1.0)
-
-        cells, _ = chunk.distinct_cells(n_buckets)
-        values = np.concatenate(got[_CELLS]).astype(np.float64)
-        order = np.argsort(cells)
-        values = values[order][np.searchsorted(cells[order], chunk.cells)]
-        total = np.add.reduceat(values, np.cumsum(chunk.sizes) - chunk.sizes)
+        logs = CellTable(np.concatenate(cells), np.concatenate(values)).of(chunk.cells)
+        total = np.add.reduceat(logs.astype(np.float64), np.cumsum(chunk.sizes) - chunk.sizes)
         out = rows.select(names[:-6])
         out = out.append_column("n_bytes", pa.array(chunk.sizes))
         out = out.append_column("n_tokens", pa.array(n_tokens))
@@ -347,7 +384,7 @@ def score_documents(
     for name in ("n_bytes", "n_tokens", "n_known", "train_tokens"):
         schema = schema.add(name, T.LongType())
     schema = schema.add("base_score", T.DoubleType()).add("score", T.DoubleType())
-    score = _score(n_buckets, tokens, vocabulary, schema.names)
+    score = _score(tokens, vocabulary, schema.names)
     scored = spark.table(table).groupBy(_CHUNK).cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
     return scored.withColumnRenamed(_TRAIN, "train")
 
