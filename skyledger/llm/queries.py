@@ -13,6 +13,7 @@ from .packing import pack_documents
 from .ppm import score_documents
 from .quality_rules import judge_quality
 from .suffix_dedup import remove_repeats
+from .toxicity import score_toxicity
 from .url_filter import RULES, judge_urls
 from .winnowing import decontaminate
 
@@ -76,6 +77,17 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read_table(spark, sf_dir, "pages"), listed)
 
 
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = score_toxicity(documents, labels, learn=id_remainder("doc_id", 5) != 0)
+    return scored.select(
+        "doc_id",
+        (id_remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_suffix_dedup": op3_suffix_dedup,
@@ -83,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_winnowing": op8_winnowing,
     "op9_url_filter": op9_url_filter,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 
 # DuckDB SQL with the same rows, where SQL can express the query.
