@@ -57,6 +57,7 @@ _MULTIPLIERS = np.array(
 _COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
     "n_lines", "n_upper", "n_lower", "n_marks", "n_stop_words", "n_distinct_words",
+    "n_doubled_words",
 )
 
 
@@ -101,6 +102,7 @@ def text_counts(text: bytes, vocabulary: defaultdict) -> tuple[int, ...]:
         letters - len(solid.translate(None, _PUNCT)),
         sum(map(_STOP_WORDS.__contains__, words)),
         len(set(words)),
+        int((ids[1:] == ids[:-1]).sum()),
     )
 
 

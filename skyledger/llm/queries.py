@@ -12,6 +12,7 @@ from .common import id_remainder, read_table
 from .packing import pack_documents
 from .ppm import score_documents
 from .quality_rules import judge_quality
+from .rule_ensemble import score_quality
 from .suffix_dedup import remove_repeats
 from .toxicity import score_toxicity
 from .url_filter import RULES, judge_urls
@@ -30,6 +31,17 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents, tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = score_quality(documents, labels, learn=id_remainder("doc_id", 3) != 1)
+    return scored.select(
+        "doc_id",
+        (id_remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = remove_repeats(documents)
@@ -90,6 +102,7 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_rule_ensemble": op2_rule_ensemble,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op5_ppm": op5_ppm,
     "op7_quality_rules": op7_quality_rules,
