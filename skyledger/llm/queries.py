@@ -14,6 +14,7 @@ from .ppm import score_documents
 from .quality_rules import judge_quality
 from .rule_ensemble import score_quality
 from .suffix_dedup import remove_repeats
+from .token_counts import Vocabulary, count_tokens
 from .toxicity import score_toxicity
 from .url_filter import RULES, judge_urls
 from .winnowing import decontaminate
@@ -63,6 +64,11 @@ def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = Vocabulary.from_sentencepiece(tokenizer_path("piece_bpe_32k.model"))
+    return count_tokens(read_table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(read_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_rule_ensemble": op2_rule_ensemble,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op5_ppm": op5_ppm,
+    "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op8_winnowing": op8_winnowing,
     "op9_url_filter": op9_url_filter,
