@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import oracle
 from .common import id_remainder, read_table
+from .jaccard_join import join_similar
 from .packing import pack_documents
 from .ppm import score_documents
 from .quality_rules import judge_quality
@@ -56,6 +57,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = join_similar(read_table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "class_id", "n_links", "n_shingles")
+
+
 def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder("doc_id", 7) == 2
     scored = score_documents(read_table(spark, sf_dir, "documents"), train=~held_out)
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_rule_ensemble": op2_rule_ensemble,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_ppm": op5_ppm,
     "op6_token_counts": op6_token_counts,
     "op7_quality_rules": op7_quality_rules,
