@@ -26,9 +26,12 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import string
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +45,10 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 LARGE_SHARE = 4  # pieces longer than capacity / LARGE_SHARE count as large
 GROUPS = (8, 16, 32)  # numbers of cardinality groups that are tried; the fewest sequences win
-_CACHED_PARTS = 400_000  # of an encoder; a full cache starts again, which changes no result
+_CACHED_PARTS, _CACHED_WORDS = 600_000, 1_000_000  # a full cache starts again, which changes no result
+_WORDS_A_CALL = 100
+_MARKS = string.punctuation.replace("'", "")  # an apostrophe may begin a token of letters
+_HOME = "_skyledger_llm_worker"
 _SLICE_BYTES = 16 << 20
 
 
@@ -51,7 +57,9 @@ class Encoder:
 
     White space never lies inside a token of this tokenizer and no merge
     crosses it, so a text's ids are those of its parts between white space,
-    in order.  Parts recur, hence the cache.
+    in order.  A part of letters and final marks is again the lower-cased
+    letters and the marks, as the tokenizer always splits there.  Parts
+    recur, hence the caches.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -59,30 +67,70 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.cache: dict[str, bytes] = {}
+        ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+        self.ends_word[ends] = True
+        self.parts_seen: dict[str, bytes] = {}
+        self.words_seen: dict[str, bytes] = {}
 
     @staticmethod
     def parts(text: str) -> list[str]:
         return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
+    def _encode_each(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for at in range(0, len(texts), 5_000):
+            for found in self.tokenizer.encode_batch_fast(texts[at : at + 5_000], add_special_tokens=False):
+                yield np.array(found.ids, dtype="<u4")
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of letters: one token run each, so that many can share a call."""
+        groups = [words[k : k + _WORDS_A_CALL] for k in range(0, len(words), _WORDS_A_CALL)]
+        for group, ids in zip(groups, self._encode_each([" ".join(g) for g in groups]), strict=True):
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+            for word, first, last in zip(group, bounds[:-1], bounds[1:], strict=True):
+                self.words_seen[word] = data[first:last]
+
     def learn(self, texts: list[list[str]]) -> None:
-        if len(self.cache) > _CACHED_PARTS:
-            self.cache.clear()
-        new = list(set().union(*texts).difference(self.cache))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, found in zip(
-                part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True
-            ):
-                self.cache[word] = np.array(found.ids, dtype="<u4").tobytes()
+        if len(self.parts_seen) > _CACHED_PARTS:
+            self.parts_seen.clear()
+        if len(self.words_seen) > _CACHED_WORDS:
+            self.words_seen.clear()
+        made, words, others = [], set(), set()
+        for part in set().union(*texts).difference(self.parts_seen):
+            word = part.rstrip(_MARKS)
+            if word.isalpha() and (word.isascii() or max(word) <= "\xff"):
+                marks, word = part[len(word) :], word.lower()
+                words.add(word)
+                others.add(marks)
+            else:
+                marks, word = part, ""
+                others.add(part)
+            made.append((part, word, marks))
+        self._learn_words(list(words.difference(self.words_seen)))
+        rest = list(others)
+        of = dict(zip(rest, (ids.tobytes() for ids in self._encode_each(rest)), strict=True))
+        seen = self.words_seen
+        seen[""] = b""
+        for part, word, marks in made:
+            self.parts_seen[part] = seen[word] + of[marks] if marks else seen[word]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.parts(t) for t in texts]
         self.learn(split)
-        of = self.cache.__getitem__
+        of = self.parts_seen.__getitem__
         return [b"".join(map(of, parts)) for parts in split]
 
 
+def _encoder(tokenizer_json: str) -> Encoder:
+    """The encoder of this worker process; it outlives the task, so that later tasks find its caches."""
+    home = sys.modules.setdefault(_HOME, ModuleType(_HOME))
+    key = hash(tokenizer_json)
+    if key not in home.__dict__.setdefault("encoders", {}):
+        home.encoders = {key: Encoder(tokenizer_json)}
+    return home.encoders[key]
+
+
 def token_pieces(
     docs: DataFrame, tokenizer_json: str, id_column: str, text_column: str, capacity: int, end_id: int
 ) -> DataFrame:
@@ -90,7 +138,7 @@ def token_pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_json)
+        encoder = _encoder(tokenizer_json)
         for batch in slices(batches, 1, _SLICE_BYTES):
             rows, columns = [], ([], [], [], [])
             for row, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
