@@ -50,6 +50,7 @@ _CHUNK, _TEXT, _TRAIN = "_chunk", "_text", "_train"
 _END = 0xFF  # no byte of UTF-8
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _CODEC = "zstd"
+_STEP = 1 << 20  # cells worked on at a time
 _WORDS, _CELLS = 0, 1  # kinds of request
 _REQUEST = "kind int, bucket int, chunk int, n int, keys binary, counts binary"
 _ANSWER = "kind int, bucket int, chunk int, n int, keys binary, vals binary"
@@ -80,6 +81,20 @@ def _unpack_words(data: bytes) -> list[bytes]:
     return pa.decompress(data[8:], decompressed_size=size, codec=_CODEC, asbytes=True).split(b" ")
 
 
+def _cells(plain: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """The cells of all bytes and ends of the texts."""
+    pad, end = bytes([_END] * ORDER), bytes([_END])
+    data = np.frombuffer(b"".join(pad + p + end for p in plain), dtype=np.uint8)
+    starts = np.cumsum(sizes + ORDER) - sizes
+    here = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    here += np.arange(len(here))  # the place of every scored byte in ``data``
+    wide = data.astype(np.uint64)
+    cells = wide.copy()
+    for k in range(1, ORDER + 1):  # the nearest byte of the context comes first
+        cells[k:] |= wide[:-k] << np.uint64(8 * (ORDER + 1 - k))
+    return cells[here]
+
+
 class Chunk:
     """The documents of one chunk as words and as cells."""
 
@@ -87,24 +102,22 @@ class Chunk:
         texts = [(t or b"").translate(_LOWER) for t in rows.column(_TEXT).cast(pa.binary()).to_pylist()]
         self.words = [t.split() for t in texts]
         self.train = np.array(rows.column(_TRAIN).to_pylist(), dtype=bool)
-        pad, end = bytes([_END] * ORDER), bytes([_END])
         plain = [b" ".join(w) for w in self.words]
         self.sizes = np.array([len(p) + 1 for p in plain], dtype=np.int64)  # bytes and the end
-        data = np.frombuffer(b"".join(pad + p + end for p in plain), dtype=np.uint8)
-        starts = np.cumsum(self.sizes + ORDER) - self.sizes
-        here = np.repeat(starts - (np.cumsum(self.sizes) - self.sizes), self.sizes)
-        here += np.arange(len(here))  # the place of every scored byte in ``data``
-        cells = data.astype(np.uint64)
-        wide = cells.copy()
-        for k in range(1, ORDER + 1):  # the nearest byte of the context comes first
-            cells[k:] |= wide[:-k] << np.uint64(8 * (ORDER + 1 - k))
-        self.cells = cells[here]
+        self.cells = np.empty(int(self.sizes.sum()), dtype=np.uint64)
+        done, first, ends = 0, 0, np.cumsum(self.sizes)
+        while first < len(plain):  # in steps, to bound what is held beside the cells
+            last = max(first + 1, int(np.searchsorted(ends, done + _STEP, side="right")))
+            part = _cells(plain[first:last], self.sizes[first:last])
+            self.cells[done : done + len(part)] = part
+            done, first = done + len(part), last
 
     def cell_counts(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct cells of all documents, sorted, with their counts in training documents."""
         train = np.repeat(self.train, self.sizes)
         seen, times = np.unique(self.cells[train], return_counts=True)
-        cells = np.union1d(seen, np.unique(self.cells[~train]))
+        others = np.unique(self.cells[~train])
+        cells = np.union1d(seen, others)
         counts = np.zeros(len(cells), dtype=np.int64)
         counts[np.searchsorted(cells, seen)] = times
         return cells, counts
@@ -177,6 +190,12 @@ class CellTable:
 
     def of(self, cells: np.ndarray) -> np.ndarray:
         """The values of cells that are all in the table."""
+        out = np.empty(len(cells), dtype=self.values.dtype)
+        for at in range(0, len(cells), _STEP):
+            out[at : at + _STEP] = self._of(cells[at : at + _STEP])
+        return out
+
+    def _of(self, cells: np.ndarray) -> np.ndarray:
         slot, mask = self._slot(cells), (1 << self.bits) - 1
         out = self.values[slot]
         rest = np.flatnonzero(self.keys[slot] != cells)
