@@ -400,11 +400,11 @@ def first_of_each_class(docs: DataFrame, id_column: str = "doc_id", text_column:
     kept = first.select("first.*").unionByName(
         rows.filter("class_node is null").select("keep_id", "row_key").distinct()
     )
-    copies = rows.groupBy("keep_id", "row_key").agg(
+    copies = rows.groupBy(F.col("keep_id").alias("copy_id"), F.col("row_key").alias("copy_key")).agg(
         F.count(F.lit(1)).alias("n"), F.max(F.col("class_node").isNotNull()).alias("has_words")
     )
-    kept = kept.join(copies, (kept["keep_id"].eqNullSafe(copies["keep_id"])) & (kept["row_key"] == copies["row_key"]))
-    kept = kept.select(kept["keep_id"], kept["row_key"], (F.col("has_words") & (F.col("n") > 1)).alias("repeated"))
+    kept = kept.join(copies, F.col("keep_id").eqNullSafe(F.col("copy_id")) & (F.col("row_key") == F.col("copy_key")))
+    kept = kept.select("keep_id", "row_key", (F.col("has_words") & (F.col("n") > 1)).alias("repeated"))
     kept = materialize(kept, "kept")
     same = docs[id_column].eqNullSafe(F.col("keep_id")) & (row_key(text_of(docs[text_column])) == F.col("row_key"))
     once = docs.join(kept.filter("not repeated"), same, "left_semi")

@@ -253,3 +253,9 @@ def judge_quality(
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold))
     )
+
+
+def keep_good(docs: DataFrame, text_column: str = "text", **parameters) -> DataFrame:
+    """The rows of ``docs`` that ``judge_quality`` keeps, all columns unchanged."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_column).alias("text"))
+    return judge_quality(rows, "row", "text", **parameters).filter("kept").select("row.*")

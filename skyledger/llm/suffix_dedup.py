@@ -293,7 +293,22 @@ def _asking(step: int, plan: Plan) -> Callable:
     return ask
 
 
-def _finish(plan: Plan, columns: list[str]) -> Callable:
+def _whole_characters(text: bytes, spans: list[dict]) -> str:
+    """The text without the spans, each shrunk to whole UTF-8 characters."""
+    kept, at = [], 0
+    for span in spans:
+        start, end = span["start"], span["start"] + span["length"]
+        while start < end and text[start] & 0xC0 == 0x80:  # inside a character that began before
+            start += 1
+        while end > start and end < len(text) and text[end] & 0xC0 == 0x80:  # cuts the last character
+            end -= 1
+        kept.append(text[at:start])
+        at = end
+    kept.append(text[at:])
+    return b"".join(kept).decode("utf-8")
+
+
+def _finish(plan: Plan, columns: list[str], as_text: bool) -> Callable:
     def finish(rows: pa.Table, answers: pa.Table) -> pa.Table:
         chunk, got = Chunk(rows, plan), _answers(answers)
         gone = chunk.removed(got[1], got[2], got[3])
@@ -302,21 +317,30 @@ def _finish(plan: Plan, columns: list[str]) -> Callable:
             mask = gone[start:end]
             edges = np.flatnonzero(np.diff(mask, prepend=False, append=False)).tolist()
             spans.append([{"start": a, "length": b - a} for a, b in zip(edges[::2], edges[1::2], strict=True)])
-            kept.append(chunk.data[start:end][~mask].tobytes() if edges else chunk.data[start:end].tobytes())
+            whole = chunk.data[start:end]
+            if as_text:
+                kept.append(_whole_characters(whole.tobytes(), spans[-1]))
+            else:
+                kept.append((whole[~mask] if edges else whole).tobytes())
         out = chunk.rows.select(columns)
         out = out.append_column("n_bytes", pa.array(chunk.ends - chunk.starts, pa.int64()))
         span = pa.struct([("start", pa.int64()), ("length", pa.int64())])
         out = out.append_column("spans", pa.array(spans, pa.list_(span)))
-        return out.append_column("kept", pa.array(kept, pa.binary()))
+        return out.append_column("kept", pa.array(kept, pa.string() if as_text else pa.binary()))
 
     return finish
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_bytes: int = MIN_BYTES
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    min_bytes: int = MIN_BYTES,
+    as_text: bool = False,
 ) -> DataFrame:
     """The rows of ``docs``, all columns but the text, with ``n_bytes`` (of the text), ``spans``
-    (the removed runs: start, length in bytes) and ``kept`` (the remaining bytes).
+    (the removed runs: start, length in bytes) and ``kept``: the remaining bytes, or with ``as_text``
+    the remaining text, for which runs that cut a character are shortened to whole characters.
 
     The result reads a table in the warehouse (``dealt_table``).
     """
@@ -344,5 +368,15 @@ def remove_repeats(
         answers = answers.unionByName(materialize(answered, f"answers{step}"))
     span = T.StructType().add("start", T.LongType()).add("length", T.LongType())
     schema = T.StructType([docs.schema[c] for c in others])
-    schema = schema.add("n_bytes", T.LongType()).add("spans", T.ArrayType(span)).add("kept", T.BinaryType())
-    return chunks().cogroup(answers.groupBy("chunk")).applyInArrow(_finish(plan, others), schema)
+    schema = schema.add("n_bytes", T.LongType()).add("spans", T.ArrayType(span)).add("kept", T.StringType() if as_text else T.BinaryType())
+    return chunks().cogroup(answers.groupBy("chunk")).applyInArrow(_finish(plan, others, as_text), schema)
+
+
+def without_repeats(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_bytes: int = MIN_BYTES
+) -> DataFrame:
+    """``docs`` with every text cut to what ``remove_repeats`` keeps, all other columns unchanged."""
+    others = [F.col(c) for c in docs.columns if c != text_column]
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.struct(*others).alias("row"))
+    kept = remove_repeats(rows, "id", "text", min_bytes, as_text=True)
+    return kept.select("row.*", F.col("kept").alias(text_column)).select(*docs.columns)
