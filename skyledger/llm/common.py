@@ -8,8 +8,10 @@ white space (0x20, 0x09-0x0D), and intermediate tables go to the folder in
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator
+from types import ModuleType
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
@@ -20,6 +22,9 @@ from pyspark.sql import types as T
 from ..session import checkpoint_path
 
 
+_HOME = "_skyledger_llm_worker"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,6 +67,12 @@ def dealt_table(rows: DataFrame, column: str, parts: int) -> str:
     return name
 
 
+def worker_store() -> dict:
+    """A dictionary of this Python worker process that outlives the task, for caches."""
+    home = sys.modules.setdefault(_HOME, ModuleType(_HOME))
+    return home.__dict__
+
+
 def field(df: DataFrame, column: str, name: str | None = None) -> T.StructField:
     """A field of ``df`` for the schema of a Python stage."""
     return T.StructField(name or column, df.schema[column].dataType, True)

@@ -27,11 +27,9 @@ from __future__ import annotations
 
 import os
 import string
-import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import field, materialize, slices, text_of
+from .common import field, materialize, slices, text_of, worker_store
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
@@ -48,7 +46,6 @@ GROUPS = (8, 16, 32)  # numbers of cardinality groups that are tried; the fewest
 _CACHED_PARTS, _CACHED_WORDS = 600_000, 1_000_000  # a full cache starts again, which changes no result
 _WORDS_A_CALL = 100
 _MARKS = string.punctuation.replace("'", "")  # an apostrophe may begin a token of letters
-_HOME = "_skyledger_llm_worker"
 _SLICE_BYTES = 16 << 20
 
 
@@ -124,11 +121,10 @@ class Encoder:
 
 def _encoder(tokenizer_json: str) -> Encoder:
     """The encoder of this worker process; it outlives the task, so that later tasks find its caches."""
-    home = sys.modules.setdefault(_HOME, ModuleType(_HOME))
-    key = hash(tokenizer_json)
-    if key not in home.__dict__.setdefault("encoders", {}):
-        home.encoders = {key: Encoder(tokenizer_json)}
-    return home.encoders[key]
+    store, key = worker_store(), hash(tokenizer_json)
+    if key not in store.get("encoders", {}):
+        store["encoders"] = {key: Encoder(tokenizer_json)}
+    return store["encoders"][key]
 
 
 def token_pieces(

@@ -34,6 +34,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +82,15 @@ def _unpack_words(data: bytes) -> list[bytes]:
     return pa.decompress(data[8:], decompressed_size=size, codec=_CODEC, asbytes=True).split(b" ")
 
 
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive parts of the given sizes, which may be 0."""
+    out = np.zeros(len(sizes), dtype=np.float64 if values.dtype.kind == "f" else np.int64)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        out[some] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[some], dtype=out.dtype)
+    return out
+
+
 def _cells(plain: list[bytes], sizes: np.ndarray) -> np.ndarray:
     """The cells of all bytes and ends of the texts."""
     pad, end = bytes([_END] * ORDER), bytes([_END])
@@ -350,16 +360,15 @@ def _score(tokens: int, vocabulary: int, names: list[str]) -> Callable:
             else:
                 cells.append(np.cumsum(_unpack_numbers(keys, n, np.uint64)))
                 values.append(_unpack_numbers(vals, n, np.float32))
-        n_tokens = np.array([len(w) + 1 for w in chunk.words], dtype=np.int64)
-        end = words[b""]
-        counts = np.fromiter(
-            (n for ws in chunk.words for n in (*map(words.__getitem__, ws), end)), np.int64, int(n_tokens.sum())
-        )
-        first = np.cumsum(n_tokens) - n_tokens
-        n_known = np.add.reduceat((counts > 0).astype(np.int64), first)
-        base = np.add.reduceat(np.log10(counts + 1.0), first) - n_tokens * np.log10(tokens + vocabulary + 1.0)
+        n_words = np.array([len(w) for w in chunk.words], dtype=np.int64)
+        every = list(chain.from_iterable(chunk.words))
+        counts = np.fromiter(map(words.__getitem__, every), np.int64, len(every))
+        end, n_tokens = words[b""], n_words + 1
+        n_known = _sums(counts > 0, n_words) + (end > 0)
+        base = _sums(np.log10(counts + 1.0), n_words) + np.log10(end + 1.0)
+        base -= n_tokens * np.log10(tokens + vocabulary + 1.0)
         logs = CellTable(np.concatenate(cells), np.concatenate(values)).of(chunk.cells)
-        total = np.add.reduceat(logs.astype(np.float64), np.cumsum(chunk.sizes) - chunk.sizes)
+        total = _sums(logs, chunk.sizes)
         out = rows.select(names[:-6])
         out = out.append_column("n_bytes", pa.array(chunk.sizes))
         out = out.append_column("n_tokens", pa.array(n_tokens))

@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import dealt_table, materialize, text_of
+from .common import dealt_table, materialize, text_of, worker_store
 
 MIN_BYTES = 100
 COVER_PERIOD = 31
@@ -113,10 +113,28 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
 
 
 def _spread(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
-    """True at every place in some [first, last)."""
-    marks = np.bincount(first, minlength=n + 1)
-    marks -= np.bincount(last, minlength=n + 1)
-    return np.cumsum(marks)[:n] > 0
+    """True at every place in some [first, last); both come in ascending order."""
+    some = last > first
+    first, last = first[some], last[some]
+    marks = np.zeros(n + 1, dtype=np.int8)
+    if len(first):
+        apart = first[1:] > last[:-1]  # runs that neither overlap nor touch
+        marks[first[np.append(True, apart)]] = 1
+        marks[last[np.append(apart, True)]] = -1
+    return np.cumsum(marks[:n], dtype=np.int8).view(bool)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, the first place of each, which of them each place has, counts."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    at = np.flatnonzero(new)
+    first = np.minimum.reduceat(order, at) if len(at) else order
+    which = np.empty(len(keys), dtype=np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ranked[at], first, which, np.diff(np.append(at, len(keys)))
 
 
 class Plan:
@@ -146,7 +164,10 @@ class Chunk:
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.ids = self.rows.column(_ID).to_numpy()
-        self.hasher = Hasher(plan.settled_bytes)
+        store = worker_store()
+        if store.get("hashed_bytes") != plan.settled_bytes:
+            store["hashed_bytes"], store["hasher"] = plan.settled_bytes, Hasher(plan.settled_bytes)
+        self.hasher = store["hasher"]
 
     def samples(self) -> np.ndarray:
         """Places of the cover sample whose first ``sample_bytes`` lie in their document."""
@@ -165,7 +186,7 @@ class Chunk:
         places = self.samples()
         keys = self.hasher.keys(self.data, places, self.plan.sample_bytes)
         keys >>= np.uint64(64 - self.plan.key_bits)
-        return places, *np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+        return places, *_distinct(keys)
 
     def step2(self, answer1: np.ndarray):
         """Tied samples; also the mask of windows that hold one."""
@@ -178,16 +199,16 @@ class Chunk:
         open_windows &= _spread(self.starts, closing, n)
         long = tied[tied + self.plan.settled_bytes <= self.ends[doc]]
         keys = self.hasher.keys(self.data, long, self.plan.settled_bytes)
-        return open_windows, long, *np.unique(keys, return_index=True, return_inverse=True)
+        return open_windows, long, *_distinct(keys)
 
     def step3(self, answer1: np.ndarray, answer2: np.ndarray):
         """Windows that long ties left open; also the samples that settled theirs."""
-        open_windows, long, _, first, which = self.step2(answer1)
+        open_windows, long, _, first, which, _ = self.step2(answer1)
         settled = long[self._later(answer2, first, which)]
         open_windows &= ~_spread(settled, settled + COVER_PERIOD + 1, len(self.data))
         places = np.flatnonzero(open_windows)
         keys = self.hasher.keys(self.data, places, self.plan.min_bytes)
-        return settled, places, *np.unique(keys, return_index=True, return_inverse=True)
+        return settled, places, *_distinct(keys)
 
     @staticmethod
     def _later(answer: np.ndarray, first: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -198,7 +219,7 @@ class Chunk:
         return later | local
 
     def removed(self, answer1, answer2, answer3) -> np.ndarray:
-        settled, places, _, first, which = self.step3(answer1, answer2)
+        settled, places, _, first, which, _ = self.step3(answer1, answer2)
         later = places[self._later(answer3, first, which)]
         n = len(self.data)
         return _spread(settled, settled + self.plan.settled_bytes, n) | _spread(
@@ -285,9 +306,9 @@ def _asking(step: int, plan: Plan) -> Callable:
         if step == 1:
             return _requests(number, chunk.step1()[1], None, plan.key_bits, plan)
         if step == 2:
-            _, places, keys, first, _ = chunk.step2(got[1])
+            _, places, keys, first, _, _ = chunk.step2(got[1])
         else:
-            _, places, keys, first, _ = chunk.step3(got[1], got[2])
+            _, places, keys, first, _, _ = chunk.step3(got[1], got[2])
         return _requests(number, keys, chunk.first_ids(places[first]), 64, plan)
 
     return ask
