@@ -115,15 +115,14 @@ def typed_field_sql(line_sql: str) -> list[str]:
     return out
 
 
-# Fixed value: text form of the record's timestamp field.
-TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+# Fixed value: text form of the record's timestamp field, which ends in Z.
+TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ssX"
 
 
 def event_time(text: Column) -> Column:
-    """The ``timestamp`` text as a timestamp (UTC), null when malformed.
+    """The ``timestamp`` text as a timestamp, null when malformed.
 
     The record keeps the text; this is the optional typed form for
-    event-time work.  Pin ``spark.sql.session.timeZone=UTC``: the trailing
-    ``Z`` is matched literally.
+    event-time work.  ``Z`` is read as UTC, whatever the session's zone.
     """
-    return F.try_to_timestamp(text, F.lit(TIMESTAMP_PATTERN))
+    return F.when(text.endswith("Z"), F.try_to_timestamp(text, F.lit(TIMESTAMP_PATTERN)))

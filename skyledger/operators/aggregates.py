@@ -36,7 +36,11 @@ def agency_leaders(records: DataFrame, keys: Keys = BATCH_KEYS) -> DataFrame:
     ``WindowGroupLimit`` before the shuffle on the batch key, so each map
     task forwards only its local leaders of a batch.
     """
-    counts = agency_counts(records, keys)
+    return leaders_of_counts(agency_counts(records, keys), keys)
+
+
+def leaders_of_counts(counts: DataFrame, keys: Keys = BATCH_KEYS) -> DataFrame:
+    """``agency_leaders`` from ``agency_counts`` output."""
     by_count = Window.partitionBy(*keys).orderBy(F.col("n").desc())
     return (
         counts.withColumn("_rank", F.rank().over(by_count))
@@ -52,7 +56,12 @@ def agency_winners(records: DataFrame, keys: Keys = BATCH_KEYS) -> DataFrame:
     lists all tied agencies sorted, e.g. ``[dhs, fbi]``.  Only the leaders
     are collected, and the grouping reuses the window's partitioning.
     """
-    leaders = agency_leaders(records, keys)
+    return winners_of_counts(agency_counts(records, keys), keys)
+
+
+def winners_of_counts(counts: DataFrame, keys: Keys = BATCH_KEYS) -> DataFrame:
+    """``agency_winners`` from ``agency_counts`` output."""
+    leaders = leaders_of_counts(counts, keys)
     return leaders.groupBy(*keys).agg(
         set_label(F.collect_list("agency")).alias("agency_most_flight_segs"),
         F.max("n").alias("num_of_flight_segs"),
@@ -74,22 +83,42 @@ def speed_stats(
     the label then defaults to the flight id.  Filters reach the scan when
     the records come from a columnar table.
     """
+    return finish_speed_stats(speed_parts(records, agency, flight, label, keys), keys)
+
+
+def speed_parts(
+    records: DataFrame,
+    agency: str,
+    flight: str | None = None,
+    label: str | None = None,
+    keys: Keys = BATCH_KEYS,
+) -> DataFrame:
+    """Mergeable speed statistics of one agency: ``(*keys, flight_segment, max_speed, min_speed,
+    sum_speed, n)``.  Parts of the same keys add up in ``finish_speed_stats``."""
     wanted = F.col("agency") == F.lit(agency)
     if flight is not None:
         wanted = wanted & (F.col("flight_id") == F.lit(flight))
-    selected = records.filter(wanted)
     segment = label if label is not None else flight
-    stats = selected.groupBy(*keys).agg(
+    parts = records.filter(wanted).groupBy(*keys).agg(
         F.max("speed").alias("max_speed"),
         F.min("speed").alias("min_speed"),
-        F.avg("speed").alias("avg_speed"),
-        F.count(F.lit(1)).alias("num_of_flight_segments"),
-    )
-    return stats.select(
-        *keys,
-        F.lit(segment).cast("string").alias("flight_segment"),
-        "max_speed",
-        "min_speed",
-        "avg_speed",
-        "num_of_flight_segments",
+        F.sum(F.col("speed").cast("bigint")).alias("sum_speed"),
+        F.count(F.lit(1)).alias("n"),
     )
+    return parts.withColumn("flight_segment", F.lit(segment).cast("string"))
+
+
+_SPEED = ("flight_segment", "max_speed", "min_speed", "avg_speed", "num_of_flight_segments")
+
+
+def finish_speed_stats(parts: DataFrame, keys: Keys = BATCH_KEYS, merge: bool = False) -> DataFrame:
+    """Statistics from ``speed_parts``; ``merge`` adds up several parts of the same keys first."""
+    if merge:
+        parts = parts.groupBy(*keys, "flight_segment").agg(
+            F.max("max_speed").alias("max_speed"),
+            F.min("min_speed").alias("min_speed"),
+            F.sum("sum_speed").alias("sum_speed"),
+            F.sum("n").alias("n"),
+        )
+    average = F.col("sum_speed").cast("double") / F.col("n")
+    return parts.withColumns({"avg_speed": average, "num_of_flight_segments": F.col("n")}).select(*keys, *_SPEED)

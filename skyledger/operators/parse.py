@@ -19,12 +19,32 @@ REASON_ARITY = "arity"
 REASON_NUMBER = "number"
 
 
-def _reason(line: Column) -> Column:
-    return (
-        F.when(record_ok(line), F.lit(None).cast("string"))
-        .when(~arity_ok(line), F.lit(REASON_ARITY))
-        .otherwise(F.lit(REASON_NUMBER))
-    )
+def _good(line: Column) -> Column:
+    """Whether the line is a record; a null line is not."""
+    return F.coalesce(record_ok(line), F.lit(False))
+
+
+def _bad_reason(line: Column) -> Column:
+    """Why a line that is no record is none; a null line has no fields."""
+    has_fields = F.coalesce(arity_ok(line), F.lit(False))
+    return F.when(has_fields, F.lit(REASON_NUMBER)).otherwise(F.lit(REASON_ARITY))
+
+
+def _reason(line: Column, on_error: str = "reject") -> Column:
+    bad = _bad_reason(line)
+    if on_error == "fail":
+        bad = F.raise_error(_failure(line))
+    return F.when(_good(line), F.lit(None).cast("string")).otherwise(bad)
+
+
+def _failure(line: Column) -> Column:
+    text = F.coalesce(line, F.lit("null"))
+    return F.concat(F.lit("bad feed line ("), _bad_reason(line), F.lit("): "), text)
+
+
+def _check_mode(on_error: str) -> None:
+    if on_error not in ("reject", "fail"):
+        raise ValueError("on_error must be 'reject' or 'fail'")
 
 
 def _passthrough(columns: list[str], line_col: str) -> list[str]:
@@ -40,13 +60,12 @@ class Parsed:
 
     ``records`` keeps the input's other columns (line number, batch key, ...)
     and adds the 21 typed fields.  ``rejects`` keeps the input columns and
-    adds ``reason``: ``arity`` for fewer than 21 fields, else ``number``.
+    adds ``reason``: ``arity`` for fewer than 21 fields (a null line has none), else ``number``.
     ``parsed`` is every line with its typed fields and reason.
     """
 
     def __init__(self, lines: DataFrame, line_col: str = "line", on_error: str = "reject"):
-        if on_error not in ("reject", "fail"):
-            raise ValueError("on_error must be 'reject' or 'fail'")
+        _check_mode(on_error)
         self.lines = lines
         self.line_col = line_col
         self.on_error = on_error
@@ -55,10 +74,9 @@ class Parsed:
     def records(self) -> DataFrame:
         line = F.col(self.line_col)
         if self.on_error == "fail":
-            message = F.concat(F.lit("bad feed line ("), _reason(line), F.lit("): "), line)
-            good = F.when(record_ok(line), F.lit(True)).otherwise(F.raise_error(message))
+            good = F.when(_good(line), F.lit(True)).otherwise(F.raise_error(_failure(line)))
         else:
-            good = record_ok(line)
+            good = _good(line)
         extra = _passthrough(self.lines.columns, self.line_col)
         # The accept filter reads only the line, so it runs before the split.
         return self.lines.filter(good).selectExpr(
@@ -74,20 +92,22 @@ class Parsed:
         line = F.col(self.line_col)
         extra = _passthrough(self.lines.columns, self.line_col)
         # One pattern match per line; only rejected lines get the arity test.
-        reason = F.when(arity_ok(line), F.lit(REASON_NUMBER)).otherwise(F.lit(REASON_ARITY))
-        return self.lines.filter(~record_ok(line)).select(*extra, line, reason.alias("reason"))
+        return self.lines.filter(~_good(line)).select(*extra, line, _bad_reason(line).alias("reason"))
 
 
-def parse_lines(lines: DataFrame, line_col: str = "line", keep_good_lines: bool = True) -> DataFrame:
+def parse_lines(
+    lines: DataFrame, line_col: str = "line", keep_good_lines: bool = True, on_error: str = "reject"
+) -> DataFrame:
     """All input columns, the 21 typed fields and ``reason`` (null if good).
 
     ``keep_good_lines=False`` nulls the raw text of accepted lines: only
     rejects need it, and it is the widest column of a persisted or written
-    parse.
+    parse.  ``on_error="fail"`` makes the first bad line fail the job.
     """
+    _check_mode(on_error)
     keep = [c for c in lines.columns if c not in FIELD_NAMES]
     typed = lines.selectExpr(*_quoted(keep), *typed_field_sql(f"`{line_col}`"))
-    reason = _reason(F.col(line_col))
+    reason = _reason(F.col(line_col), on_error)
     if keep_good_lines:
         return typed.withColumn("reason", reason)
     return typed.withColumns(

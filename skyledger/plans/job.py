@@ -12,6 +12,7 @@ pushes the agency / flight filters into the scan.
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,7 @@ from ..operators import (
     with_batches,
 )
 from ..operators.replay import BATCH_INTERVAL_S, PUBLISH_INTERVAL_S
-from ..session import build_session
+from ..session import build_session, run_together
 from ..sources import read_lines
 
 
@@ -69,16 +70,9 @@ def run_job(
 def _write_all(frames: dict[str, DataFrame], out: str) -> dict[str, str]:
     """Write each frame to ``out/<name>``, one Spark job per frame, run concurrently
     so that a light result does not wait behind a heavy one's tail."""
-    from concurrent.futures import ThreadPoolExecutor
-
     paths = {name: f"{out}/{name}" for name in frames}
-    with ThreadPoolExecutor(len(frames)) as pool:
-        futures = [
-            pool.submit(df.write.mode("overwrite").parquet, paths[name])
-            for name, df in frames.items()
-        ]
-        for future in futures:
-            future.result()
+    spark = next(iter(frames.values())).sparkSession
+    run_together(spark, [partial(df.write.mode("overwrite").parquet, paths[name]) for name, df in frames.items()])
     return paths
 
 

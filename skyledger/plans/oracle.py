@@ -17,20 +17,19 @@ from .queries import (
     FLIGHT,
     PREVIEW_BATCH_S,
     PREVIEW_N,
-    STAGED_FILE_MAX_LINES,
-    STAGED_FILES_MIN,
+    TOPIC_PARTITIONS,
 )
 
 _BATCH = f"(event_id * {PUBLISH_INTERVAL_S}) // {BATCH_INTERVAL_S}"
 _GOOD = f"event_id % {EMPTY_SPEED_EVERY} <> 0 AND event_id % {EMPTY_AGENCY_EVERY} <> 0"
 
 
-def _records(batch: str = _BATCH) -> str:
+def _records() -> str:
     return f"""
 rec AS (
   SELECT
     event_id AS line_no,
-    {batch} AS batch_no,
+    {_BATCH} AS batch_no,
     'A' || CAST(user_id AS VARCHAR) AS adshex,
     'F' || CAST(user_id % 10 AS VARCHAR) AS flight_id,
     CAST(event_id % 90 + 0.5 AS REAL) AS latitude,
@@ -58,13 +57,8 @@ rec AS (
 
 
 _RECORDS = _records()
-# The stream queries key results by staged file: blocks of consecutive
-# event ids, at least STAGED_FILES_MIN files of at most STAGED_FILE_MAX_LINES.
-_PER_FILE = f"""(SELECT CAST(ceil(n / greatest({STAGED_FILES_MIN}, ceil(n / {STAGED_FILE_MAX_LINES}.0)))
-               AS BIGINT) FROM (SELECT count(*) AS n FROM events) c)"""
-_STREAM_BATCH = f"event_id // {_PER_FILE}"
-_STREAM_RECORDS = _records(_STREAM_BATCH)
 
+# Field names and the format of a record's text.
 _FIELDS = (
     'adshex, flight_id, latitude, longitude, altitude, speed, track, squawk, "type", '
     '"timestamp", "name", other_names1, other_names2, n_number, serial_number, '
@@ -123,7 +117,8 @@ ORACLE_SQL: dict[str, str] = {
     "replay_lines": f"""
 SELECT event_id AS line_no,
        event_id * {PUBLISH_INTERVAL_S} AS arrival_s,
-       {_BATCH} AS batch_no
+       {_BATCH} AS batch_no,
+       {_LINE} AS line
 FROM events""",
     "file_lines": f"""
 SELECT event_id AS line_no, {_BATCH} AS batch_no, {_LINE} AS line
@@ -132,21 +127,26 @@ FROM events""",
 SELECT event_id AS line_no, {_LINE} AS line
 FROM events ORDER BY event_id LIMIT {FIRST_LINES_N}""",
     "batch_preview": f"""
-SELECT batch_no, line_no FROM (
+SELECT batch_no, line_no, line FROM (
   SELECT (event_id * {PUBLISH_INTERVAL_S}) // {PREVIEW_BATCH_S} AS batch_no,
-         event_id AS line_no,
+         event_id AS line_no, {_LINE} AS line,
          row_number() OVER (PARTITION BY (event_id * {PUBLISH_INTERVAL_S}) // {PREVIEW_BATCH_S}
                             ORDER BY event_id) AS rn
   FROM events) t
 WHERE rn <= {PREVIEW_N}""",
     "parse_records": f"WITH {_RECORDS}\nSELECT line_no, {_FIELDS} FROM rec",
     "rejects": f"""
-SELECT event_id AS line_no,
+SELECT event_id AS line_no, {_LINE} AS line,
        CASE WHEN event_id % {EMPTY_AGENCY_EVERY} = 0 THEN 'arity' ELSE 'number' END AS reason
 FROM events
 WHERE NOT ({_GOOD})""",
     "render_records": f"""WITH {_RECORDS}
 SELECT line_no, printf('{_RENDER_FORMAT}', {_FIELDS}) AS text FROM rec""",
+    "event_times": f"""
+SELECT event_id AS line_no, CAST(floor(epoch(ts)) AS BIGINT) AS epoch_s FROM events WHERE {_GOOD}""",
+    "message_lines": f"""
+SELECT {_LINE} AS line, CAST(event_id % {TOPIC_PARTITIONS} AS INTEGER) AS partition, event_id AS line_no
+FROM events""",
     "batch_counts": f"WITH {_RECORDS}\nSELECT batch_no, count(*) AS n FROM rec GROUP BY batch_no",
     "agency_counts": f"WITH {_RECORDS}, {_COUNTS}\nSELECT batch_no, agency, n FROM cnt",
     "agency_winners": f"WITH {_RECORDS}, {_WINNERS}\nSELECT * FROM win",
@@ -163,11 +163,11 @@ SELECT flight_segment,
        arg_max(avg_speed, batch_no) AS avg_speed,
        arg_max(num_of_flight_segments, batch_no) AS num_of_flight_segments
 FROM spd GROUP BY flight_segment""",
-    "stream_agency_winners": f"WITH {_STREAM_RECORDS}, {_WINNERS}\nSELECT * FROM win",
-    "stream_speed_stats": f"WITH {_STREAM_RECORDS}, {_speed()}\nSELECT * FROM spd",
+    "stream_agency_winners": f"WITH {_RECORDS}, {_WINNERS}\nSELECT * FROM win",
+    "stream_agency_counts": f"WITH {_RECORDS}, {_COUNTS}\nSELECT batch_no, agency, n FROM cnt",
+    "stream_speed_stats": f"WITH {_RECORDS}, {_speed()}\nSELECT * FROM spd",
     "stream_rejects": f"""
-SELECT {_STREAM_BATCH} AS batch_no,
-       {_LINE} AS line,
+SELECT {_BATCH} AS batch_no, event_id AS line_no, {_LINE} AS line,
        CASE WHEN event_id % {EMPTY_AGENCY_EVERY} = 0 THEN 'arity' ELSE 'number' END AS reason
 FROM events
 WHERE NOT ({_GOOD})""",

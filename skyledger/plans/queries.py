@@ -7,10 +7,13 @@ file or stream feed would: parse, batch by replay time, aggregate.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.parsing import event_time
 from ..operators import (
     agency_counts,
     agency_winners,
@@ -28,11 +31,11 @@ from ..operators import (
 )
 from ..schema import FIELD_NAMES
 from ..session import checkpoint_path
-from ..sources import read_documents, read_events_feed, read_lines
-from ..streaming.consumer import start_consumer
-from ..streaming.replay import lines_per_staged_file, stage_feed_files
-from ..streaming.sink import REJECTS, SPEED, WINNERS, ResultTables, read_history
-from ..streaming.source import file_lines_stream
+from ..sources import events_feed, read_documents, read_events, read_events_feed, read_lines
+from ..streaming.consumer import FILES_PER_TRIGGER, start_consumer
+from ..streaming.replay import BLOCK_LINES, stage_lines, write_feed_files
+from ..streaming.sink import COUNTS, REJECTS, SPEED, SPEED_PARTS, WINNERS, ResultTables, read_history
+from ..streaming.source import STAGED_SCHEMA, message_lines, staged_lines_stream
 
 # Parameters of the registered queries.
 AGENCY = "click"
@@ -40,9 +43,7 @@ FLIGHT = "F3"
 FIRST_LINES_N = 20
 PREVIEW_N = 10
 PREVIEW_BATCH_S = 300  # 60 lines per batch, so that the preview limit bites
-# Staged feed files: at least this many, each at most this many lines (~300 MB).
-STAGED_FILES_MIN = 8
-STAGED_FILE_MAX_LINES = 2_000_000
+TOPIC_PARTITIONS = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,37 +61,58 @@ def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_records(feed_lines(spark, sf_dir)).records
 
 
-def stage_feed(lines: DataFrame, folder: str) -> None:
-    """The feed as header-per-file text files, their number growing with the feed."""
-    per_file = lines_per_staged_file(lines, STAGED_FILES_MIN, STAGED_FILE_MAX_LINES)
-    stage_feed_files(lines, folder, per_file)
+def _folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's checkpoint root."""
+    return checkpoint_path(spark, name, uuid.uuid4().hex)
 
 
 def q_replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_lines(spark, sf_dir, spread=False).select("line_no", "arrival_s", "batch_no")
+    """The feed staged for a replay and read back, with its replay times."""
+    folder = _folder(spark, "staged-feed")
+    stage_lines(read_events_feed(spark, sf_dir), folder)
+    staged = spark.read.schema(STAGED_SCHEMA).parquet(folder)
+    return with_batches(staged).select("line_no", "arrival_s", "batch_no", "line")
 
 
 def q_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed written as header-per-file text files, read back and numbered.
 
     Exercises the file source: header skip per file and line numbers over
-    several files.  The files go to a fresh folder under the session's
-    checkpoint root.
+    several files.
     """
-    import uuid
-
-    folder = checkpoint_path(spark, "staged-feed", uuid.uuid4().hex)
-    stage_feed(read_events_feed(spark, sf_dir, spread=False), folder)
+    folder = _folder(spark, "feed-files")
+    write_feed_files(read_events_feed(spark, sf_dir), folder, BLOCK_LINES)
     return with_batches(read_lines(spark, folder)).select("line_no", "batch_no", "line")
 
 
 def q_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_lines(read_events_feed(spark, sf_dir), FIRST_LINES_N)
+    """The first lines: the lowest numbers first, then only these are rendered."""
+    first = first_lines(read_events(spark, sf_dir), FIRST_LINES_N, "event_id")
+    return events_feed(first)
 
 
 def q_batch_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = feed_lines(spark, sf_dir, batch_s=PREVIEW_BATCH_S, spread=False)
-    return batch_preview(lines, PREVIEW_N).select("batch_no", "line_no")
+    lines = feed_lines(spark, sf_dir, batch_s=PREVIEW_BATCH_S)
+    return batch_preview(lines, PREVIEW_N).select("batch_no", "line_no", "line")
+
+
+def q_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records' timestamps as seconds since 1970 (UTC)."""
+    records = feed_records(spark, sf_dir)
+    return records.select("line_no", F.unix_seconds(event_time(F.col("timestamp"))).alias("epoch_s"))
+
+
+def q_message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The projection of topic messages, on a frame with a topic's columns."""
+    feed = read_events_feed(spark, sf_dir)
+    partition = (F.col("line_no") % TOPIC_PARTITIONS).cast("int")
+    messages = feed.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.col("line").cast("binary").alias("value"),
+        partition.alias("partition"),
+        F.col("line_no").alias("offset"),
+    )
+    return message_lines(messages)
 
 
 def q_parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +120,7 @@ def q_parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_records(feed_lines(spark, sf_dir)).rejects.select("line_no", "reason")
+    return parse_records(feed_lines(spark, sf_dir)).rejects.select("line_no", "line", "reason")
 
 
 def q_render_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,56 +161,49 @@ def q_word_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count_lines(word_count(read_documents(spark, sf_dir)))
 
 
-def drain_feed_through_consumer(spark: SparkSession, sf_dir: str) -> ResultTables:
-    """Stage the whole feed as files and run the stream consumer over them.
+def drain_feed_through_consumer(spark: SparkSession, sf_dir: str, *outputs: str) -> ResultTables:
+    """Stage the whole feed in blocks and run the stream consumer over them.
 
-    Exercises the streaming path end to end: file source with a header per
-    file, ``foreachBatch``, one parse persisted per micro-batch, history
-    sinks.  A micro-batch takes at most one staged file per core, so its size
-    is bounded however large the feed.  Results are keyed by the staged
-    file's block of line numbers: each file is read whole in one micro-batch,
-    so they do not depend on the order in which files are listed.  Files,
-    checkpoint and results go to a fresh folder under the session's
-    checkpoint root.
+    Exercises the streaming path end to end: staged source, ``foreachBatch``,
+    one parse persisted per micro-batch, mergeable parts.  A micro-batch
+    takes a fixed number of blocks of fixed size; results are keyed by the
+    replay time of the lines, so they are those of the batch queries however
+    blocks, files and micro-batches fall.
     """
-    import uuid
-
-    run = uuid.uuid4().hex
-    root = checkpoint_path(spark, "stream-replay", run)
-    staged = f"{root}/staged"
-    stage_feed(read_events_feed(spark, sf_dir, spread=False), staged)
+    root = _folder(spark, "stream-replay")
+    stage_lines(read_events_feed(spark, sf_dir), f"{root}/staged")
     tables = ResultTables(f"{root}/results")
+    staged = staged_lines_stream(spark, f"{root}/staged", FILES_PER_TRIGGER)
     query = start_consumer(
-        file_lines_stream(
-            spark,
-            staged,
-            max_files_per_trigger=spark.sparkContext.defaultParallelism,
-            block_batches=True,
-        ),
+        with_batches(staged).drop("arrival_s"),
         tables,
         agency=AGENCY,
         label=FLIGHT,
-        query_name=f"feed_replay_{run[:12]}",
+        query_name=f"feed_replay_{uuid.uuid4().hex[:12]}",
         checkpoint=f"{root}/checkpoint",
         available_now=True,
         batches_from_input=True,
+        outputs=outputs,
     )
     query.awaitTermination()  # raises if the stream failed
     return tables
 
 
 def q_stream_agency_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_history(spark, drain_feed_through_consumer(spark, sf_dir), WINNERS)
+    return read_history(spark, drain_feed_through_consumer(spark, sf_dir, COUNTS), WINNERS)
+
+
+def q_stream_agency_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_history(spark, drain_feed_through_consumer(spark, sf_dir, COUNTS), COUNTS)
 
 
 def q_stream_speed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_history(spark, drain_feed_through_consumer(spark, sf_dir), SPEED)
+    return read_history(spark, drain_feed_through_consumer(spark, sf_dir, SPEED_PARTS), SPEED)
 
 
 def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # File streams carry no line number; a reject is identified by its text.
-    rejects = read_history(spark, drain_feed_through_consumer(spark, sf_dir), REJECTS)
-    return rejects.select("batch_no", "line", "reason")
+    rejects = read_history(spark, drain_feed_through_consumer(spark, sf_dir, REJECTS), REJECTS)
+    return rejects.select("batch_no", "line_no", "line", "reason")
 
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,6 +218,8 @@ QUERIES: dict[str, Query] = {
     "parse_records": q_parse_records,
     "rejects": q_rejects,
     "render_records": q_render_records,
+    "event_times": q_event_times,
+    "message_lines": q_message_lines,
     "batch_counts": q_batch_counts,
     "agency_counts": q_agency_counts,
     "agency_winners": q_agency_winners,
@@ -213,9 +230,15 @@ QUERIES: dict[str, Query] = {
     "word_count": q_word_count,
     "word_count_lines": q_word_count_lines,
     "stream_agency_winners": q_stream_agency_winners,
+    "stream_agency_counts": q_stream_agency_counts,
     "stream_speed_stats": q_stream_speed_stats,
     "stream_rejects": q_stream_rejects,
 }
 
 # Queries that run a stream to completion; the bench times them apart.
-STREAM_QUERIES = ("stream_agency_winners", "stream_speed_stats", "stream_rejects")
+STREAM_QUERIES = (
+    "stream_agency_winners",
+    "stream_agency_counts",
+    "stream_speed_stats",
+    "stream_rejects",
+)

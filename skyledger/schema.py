@@ -46,29 +46,31 @@ RECORD_SCHEMA = T.StructType(
     [T.StructField(name, _SPARK_TYPES[kind], True) for name, kind in RECORD_FIELDS]
 )
 
-# Result tables (history form: keyed by batch_no as well).
-SPEED_STATS_SCHEMA = T.StructType(
+# Stored history: parts of one micro-batch that add up by batch_no.
+COUNT_PARTS_SCHEMA = T.StructType(
     [
-        T.StructField("batch_no", T.LongType(), False),
-        T.StructField("flight_segment", T.StringType(), True),
-        T.StructField("max_speed", T.IntegerType(), True),
-        T.StructField("min_speed", T.IntegerType(), True),
-        T.StructField("avg_speed", T.DoubleType(), True),
-        T.StructField("num_of_flight_segments", T.LongType(), False),
+        T.StructField("batch_no", T.LongType(), True),
+        T.StructField("agency", T.StringType(), True),
+        T.StructField("n", T.LongType(), True),
     ]
 )
 
-AGENCY_WINNERS_SCHEMA = T.StructType(
+SPEED_PARTS_SCHEMA = T.StructType(
     [
-        T.StructField("batch_no", T.LongType(), False),
-        T.StructField("agency_most_flight_segs", T.StringType(), True),
-        T.StructField("num_of_flight_segs", T.LongType(), True),
+        T.StructField("batch_no", T.LongType(), True),
+        T.StructField("flight_segment", T.StringType(), True),
+        T.StructField("max_speed", T.IntegerType(), True),
+        T.StructField("min_speed", T.IntegerType(), True),
+        T.StructField("sum_speed", T.LongType(), True),
+        T.StructField("n", T.LongType(), True),
     ]
 )
 
+# A line of a topic is identified by its partition and offset (line_no).
 REJECTS_SCHEMA = T.StructType(
     [
         T.StructField("batch_no", T.LongType(), True),
+        T.StructField("partition", T.IntegerType(), True),
         T.StructField("line_no", T.LongType(), True),
         T.StructField("line", T.StringType(), True),
         T.StructField("reason", T.StringType(), True),

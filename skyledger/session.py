@@ -1,14 +1,17 @@
 """Spark session defaults and the shared checkpoint folder.
 
 On a cluster the session comes configured (``spark.checkpoint.dir`` points
-at a shared folder).  ``build_session`` only fills settings that are unset,
-so it never overrides what the cluster provides.
+at a shared folder).  ``build_session`` fills settings that neither the
+submitted configuration nor an active session names, and overrides none.
 """
 
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkConf, SparkContext, inheritable_thread_target
 from pyspark.sql import SparkSession
 
 _DEFAULTS = {
@@ -26,11 +29,14 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Get or create a session; local runs get small-data defaults."""
+    """Get or create a session; settings that are not named elsewhere get defaults.
+
+    ``shuffle_partitions`` and ``extra`` are the caller's own settings and always hold.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
+    conf = unset_defaults()
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra:
@@ -43,6 +49,29 @@ def build_session(
     return spark
 
 
+def unset_defaults() -> dict[str, str]:
+    """The defaults that neither an active session nor the submitted configuration has."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return {k: v for k, v in _DEFAULTS.items() if active.conf.get(k, None) is None}
+    SparkContext._ensure_initialized()  # without a JVM, SparkConf sees no submitted settings
+    submitted = SparkConf()
+    return {k: v for k, v in _DEFAULTS.items() if not submitted.contains(k)}
+
+
+def run_together(spark: SparkSession, calls: Sequence[Callable[[], object]]) -> None:
+    """Run the calls, each a Spark job, side by side; the first failure is raised.
+
+    The threads inherit the caller's job group and scheduler pool, so that
+    cancelling the group (as stopping a stream does) reaches their jobs.
+    """
+    if not calls:
+        return
+    with ThreadPoolExecutor(len(calls)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]:
+            done.result()
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     value = spark.conf.get("spark.checkpoint.dir", None)
@@ -52,20 +81,29 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; create a private one only when unset.
+    """Return the checkpoint folder.
 
-    A cluster sets ``spark.checkpoint.dir`` to a shared folder and that is
-    used as is.  Only a session without it (local tests) gets a fresh
-    temporary folder.
+    A cluster names a shared folder in ``spark.checkpoint.dir`` and that is
+    used as is.  Only a local session without it gets a fresh temporary
+    folder; on any other master its absence is an error, as executors could
+    not see a folder of the driver's machine.
     """
     root = checkpoint_root(spark)
     if not root:
+        master = spark.sparkContext.master
+        if not is_local(master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         root = tempfile.mkdtemp(prefix="skyledger-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -57,5 +57,9 @@ def events_feed(events: DataFrame) -> DataFrame:
 def read_events_feed(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
     """The stand-in feed; ``spread`` spreads a narrow ``events`` scan over the cores
     (worth it when parsing or rendering follows, not for a bare projection)."""
-    events = spark.read.schema(EVENTS_INPUT_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    events = read_events(spark, sf_dir)
     return events_feed(spread_narrow(events) if spread else events)
+
+
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS_INPUT_SCHEMA).parquet(f"{sf_dir}/events.parquet")

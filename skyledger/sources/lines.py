@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_path
 
-# Split tables up to this estimated size are broadcast.  A row is a file
-# path and four longs; 100 TB in 128 MB splits is ~800,000 rows, ~120 MB
-# with 100-character paths.
-MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+# Split tables up to this estimated size are broadcast, larger ones joined by
+# a shuffle; the lines are the same either way.  A row is a file path and four
+# longs: 64 MB is about 400,000 splits with 100-character paths.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 _SPLIT_ROW_FIXED_BYTES = 48
 
 
@@ -52,12 +52,12 @@ def _per_split(raw: DataFrame) -> DataFrame:
     )
 
 
-def _split_table(splits: DataFrame, header_lines: int) -> DataFrame:
+def _split_table(splits: DataFrame, header_lines: int, folder: str) -> DataFrame:
     """Add each split's line offset in its file and its file's first line number.
 
     ``splits`` is ``_per_split`` output read back from storage: it feeds three
     branches here (per-file offsets, file totals, range totals), and each
-    would otherwise rescan the text.
+    would otherwise rescan the text.  ``folder`` takes the ranged file totals.
     """
     # One row per split, so a file's window group holds its split count
     # (33 TB of one file = 260,000 rows), not its lines.
@@ -72,21 +72,23 @@ def _split_table(splits: DataFrame, header_lines: int) -> DataFrame:
         F.greatest(F.sum("_rows") - header_lines, F.lit(0)).alias("_data_rows")
     )
     n_ranges = splits.sparkSession.sparkContext.defaultParallelism
-    return splits.join(_file_line_bases(files, n_ranges), "source_file")
+    return splits.join(_file_line_bases(files, n_ranges, f"{folder}/files"), "source_file")
 
 
-def _file_line_bases(files: DataFrame, n_ranges: int) -> DataFrame:
+def _file_line_bases(files: DataFrame, n_ranges: int, folder: str) -> DataFrame:
     """``(source_file, _line_base)``: data lines in all files whose path sorts first.
 
     A prefix sum over the file list that never puts the list in one task:
     the files are range-partitioned by path, each range is totalled (one row
     per range), the few range totals get their own prefix sum, and each file
-    adds the lines of the files before it in its range.
+    adds the lines of the files before it in its range.  The ranges are
+    sampled, so they are written to ``folder`` once and both uses read them.
     """
     before = (Window.unboundedPreceding, -1)
-    ranged = files.repartitionByRange(n_ranges, "source_file").withColumn(
+    files.repartitionByRange(n_ranges, "source_file").withColumn(
         "_range", F.spark_partition_id()
-    )
+    ).write.parquet(folder)
+    ranged = files.sparkSession.read.parquet(folder)
     range_base = (
         ranged.groupBy("_range")
         .agg(F.sum("_data_rows").alias("_range_rows"))
@@ -119,6 +121,11 @@ def read_lines(
     The first ``header_lines`` lines of every file are dropped.  ``line_no``
     counts data lines from 0 over all files in path order; ``file_line_no``
     counts within a file.  A missing path fails with Spark's own error.
+
+    The call itself scans the text once and writes the split table (one row
+    per file split) under ``<checkpoint folder>/line-splits``; the returned
+    frame reads it, so it stays.  The session's
+    ``spark.sql.files.minPartitionNum`` is set if it was unset.
     """
     if header_lines < 0:
         raise ValueError("header_lines must be >= 0")
@@ -135,7 +142,7 @@ def read_lines(
     split_root = checkpoint_path(spark, "line-splits", uuid.uuid4().hex)
     _per_split(raw).write.parquet(f"{split_root}/counts")
     counts = spark.read.parquet(f"{split_root}/counts")
-    _split_table(counts, header_lines).write.parquet(f"{split_root}/table")
+    _split_table(counts, header_lines, split_root).write.parquet(f"{split_root}/table")
     splits = spark.read.parquet(f"{split_root}/table")
     size = splits.agg(
         F.count(F.lit(1)).alias("rows"), F.max(F.length("source_file")).alias("path")

@@ -35,7 +35,7 @@ def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame
         if len(df.inputFiles()) >= target:
             return df
         current = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: no RDD view; leave as is
+    except (NotImplementedError, AttributeError):  # a Spark Connect session has no RDD view
         return df
     if current >= target:
         return df

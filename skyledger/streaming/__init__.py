@@ -1,22 +1,23 @@
 """Structured Streaming: sources, the foreachBatch consumer, sinks, replay."""
 
 from .consumer import FeedBatchWriter, start_consumer, start_preview
-from .replay import (
-    publish_stream_to_topic,
-    publish_to_topic,
-    stage_feed_files,
-    stage_replay_files,
-)
+from .replay import publish_stream_to_topic, publish_to_topic, stage_lines, write_feed_files
 from .sink import (
     ResultTables,
     ensure_tables,
     latest_views,
     read_history,
+    read_parts,
     snapshot_current,
     write_histories,
-    write_history,
 )
-from .source import FEED_TOPIC, file_lines_stream, kafka_lines_stream
+from .source import (
+    FEED_TOPIC,
+    file_lines_stream,
+    kafka_lines_stream,
+    message_lines,
+    staged_lines_stream,
+)
 
 __all__ = [
     "FEED_TOPIC",
@@ -26,14 +27,16 @@ __all__ = [
     "file_lines_stream",
     "kafka_lines_stream",
     "latest_views",
+    "message_lines",
     "publish_stream_to_topic",
     "publish_to_topic",
     "read_history",
-    "stage_feed_files",
+    "read_parts",
     "snapshot_current",
-    "stage_replay_files",
+    "stage_lines",
+    "staged_lines_stream",
     "start_consumer",
     "start_preview",
+    "write_feed_files",
     "write_histories",
-    "write_history",
 ]

@@ -1,9 +1,10 @@
-"""The stream consumer: parse each micro-batch once, write both results.
+"""The stream consumer: parse each micro-batch once, write its mergeable parts.
 
-``FeedBatchWriter`` is the ``foreachBatch`` function.  The micro-batch id is
-the batch key, so every operator is the same one the batch job uses.  The
-parsed batch is persisted for its three outputs, which are written by
-concurrent jobs, and released after.
+``FeedBatchWriter`` is the ``foreachBatch`` function.  The batch key is the
+micro-batch id (live), or the input's own ``batch_no`` (a replay, keyed by
+``with_batches`` from the line number), so every operator is the same one the
+batch job uses.  The parsed batch is persisted for its outputs, which are
+written by concurrent jobs, and released after.
 """
 
 from __future__ import annotations
@@ -15,13 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.aggregates import agency_counts, agency_winners, speed_stats
+from ..operators.aggregates import agency_counts, speed_parts
 from ..operators.parse import parse_lines, split_parsed
 from ..session import checkpoint_path
 from .sink import (
+    COUNTS,
     REJECTS,
-    SPEED,
-    WINNERS,
+    SPEED_PARTS,
+    STORED,
     ResultTables,
     ensure_tables,
     snapshot_current,
@@ -29,6 +31,9 @@ from .sink import (
 )
 
 BATCH_SECONDS = 30
+# Bounds of one micro-batch, which is persisted: files, or messages of a topic.
+FILES_PER_TRIGGER = 8
+MESSAGES_PER_TRIGGER = 1_000_000
 
 
 @dataclass
@@ -37,12 +42,12 @@ class FeedBatchWriter:
     agency: str
     flight: str | None = None
     label: str | None = None
-    write_rejects: bool = True
-    echo_rows: int = 0  # > 0: print up to this many agency counts per batch
+    outputs: tuple[str, ...] = tuple(STORED)
+    echo_rows: int = 0  # > 0: print up to this many agency counts per batch (all are in COUNTS)
     snapshot_every: int = 0  # > 0: rewrite the current tables every N batches
-    # True: the input's own batch_no column (e.g. staged file blocks) is the
-    # batch key; otherwise the micro-batch id is.
+    # True: the input's own batch_no column is the batch key; otherwise the micro-batch id is.
     batches_from_input: bool = False
+    on_error: str = "reject"  # "fail": the first bad line fails the stream
 
     def __post_init__(self) -> None:
         if self.batches_from_input and self.snapshot_every > 0:
@@ -51,34 +56,34 @@ class FeedBatchWriter:
             raise ValueError("snapshot_every needs micro-batch ids as batch keys")
 
     def results(self, parsed: DataFrame) -> dict[str, DataFrame]:
-        """Result frames of one parsed batch (``parse_lines`` output with ``batch_no``)."""
+        """Parts of one parsed micro-batch (``parse_lines`` output with ``batch_no``)."""
         split = split_parsed(parsed)
-        out = {
-            WINNERS: agency_winners(split.records),
-            SPEED: speed_stats(split.records, self.agency, self.flight, self.label),
-        }
-        if self.write_rejects:
+        out = {}
+        if COUNTS in self.outputs:
+            out[COUNTS] = agency_counts(split.records)
+        if SPEED_PARTS in self.outputs:
+            out[SPEED_PARTS] = speed_parts(split.records, self.agency, self.flight, self.label)
+        if REJECTS in self.outputs:
             rejects = split.rejects
-            if "line_no" not in rejects.columns:
-                rejects = rejects.withColumn("line_no", F.lit(None).cast("bigint"))
+            for column in ("line_no", "partition"):
+                if column not in rejects.columns:
+                    rejects = rejects.withColumn(column, F.lit(None))
             out[REJECTS] = rejects
         return out
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        key = (
-            F.col("batch_no").cast("bigint")
-            if self.batches_from_input
-            else F.lit(batch_id).cast("bigint")
-        )
-        lines = batch.select(key.alias("batch_no"), *[c for c in batch.columns if c != "batch_no"])
+        key = F.col("batch_no") if self.batches_from_input else F.lit(batch_id)
+        others = [c for c in batch.columns if c != "batch_no"]
+        lines = batch.select(key.cast("bigint").alias("batch_no"), *others)
         # Raw text is kept for rejected lines only: the persisted batch stays narrow.
-        parsed = parse_lines(lines, keep_good_lines=False).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parse_lines(lines, keep_good_lines=False, on_error=self.on_error)
+        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if self.echo_rows > 0:
                 counts = agency_counts(split_parsed(parsed).records)
                 counts.orderBy(F.col("n").desc(), "agency").show(self.echo_rows, truncate=False)
             # The outputs read the same persisted parse; their jobs run side by side.
-            write_histories(self.results(parsed), self.tables)
+            write_histories(self.results(parsed), batch_id, self.tables)
         finally:
             parsed.unpersist()
         if self.snapshot_every > 0 and (batch_id + 1) % self.snapshot_every == 0:
@@ -95,13 +100,12 @@ def start_consumer(
     checkpoint: str | None = None,
     batch_seconds: int | None = BATCH_SECONDS,
     available_now: bool = False,
-    echo_rows: int = 0,
-    snapshot_every: int = 0,
-    batches_from_input: bool = False,
+    **writer_options,
 ) -> StreamingQuery:
-    """Start the consumer; results go to ``tables`` per micro-batch.
+    """Start the consumer; parts go to ``tables`` per micro-batch.
 
-    The result tables are created first if absent (empty until a batch).
+    The tables are created first if absent (empty until a batch).
+    ``writer_options`` are further fields of ``FeedBatchWriter``.
 
     The checkpoint defaults to a folder under the session's shared
     checkpoint root, so a restarted query resumes at its last offsets.
@@ -111,17 +115,7 @@ def start_consumer(
     location = checkpoint or checkpoint_path(spark, "streams", query_name)
     writer = (
         lines_stream.writeStream.queryName(query_name)
-        .foreachBatch(
-            FeedBatchWriter(
-                tables,
-                agency,
-                flight,
-                label,
-                echo_rows=echo_rows,
-                snapshot_every=snapshot_every,
-                batches_from_input=batches_from_input,
-            )
-        )
+        .foreachBatch(FeedBatchWriter(tables, agency, flight, label, **writer_options))
         .option("checkpointLocation", location)
     )
     if available_now:
@@ -148,21 +142,23 @@ def main(argv: list[str] | None = None) -> None:
     """Run the consumer until stopped (or, with ``--available-now``, until drained)."""
     import argparse
 
+    from ..operators.replay import BATCH_INTERVAL_S, PUBLISH_INTERVAL_S, with_batches
     from ..session import build_session
-    from .source import FEED_TOPIC, file_lines_stream, kafka_lines_stream
+    from .source import FEED_TOPIC, file_lines_stream, kafka_lines_stream, staged_lines_stream
 
     ap = argparse.ArgumentParser(description="Flight-segment feed stream consumer")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--input-dir", help="folder of feed files (one header line each)")
+    src.add_argument("--staged-dir", help="folder of staged lines; results are keyed by replay time")
     src.add_argument("--kafka", help="bootstrap servers")
-    ap.add_argument(
-        "--block-batches",
-        action="store_true",
-        help="input-dir only: key results by staged file block instead of micro-batch id",
-    )
+    ap.add_argument("--interval-s", type=int, default=PUBLISH_INTERVAL_S, help="staged-dir: seconds per line")
+    ap.add_argument("--batch-s", type=int, default=BATCH_INTERVAL_S, help="staged-dir: seconds per batch")
     ap.add_argument("--topic", default=FEED_TOPIC)
     ap.add_argument("--starting-offsets", default="latest")
-    ap.add_argument("--max-per-trigger", type=int, help="files or messages per micro-batch")
+    ap.add_argument(
+        "--max-per-trigger", type=int,
+        help=f"per micro-batch: files (default {FILES_PER_TRIGGER}) or messages (default {MESSAGES_PER_TRIGGER})",
+    )
     ap.add_argument(
         "--min-partitions", type=int, help="topic only: split topic partitions into at least this many tasks"
     )
@@ -171,6 +167,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--agency", required=True)
     ap.add_argument("--flight")
     ap.add_argument("--label")
+    ap.add_argument("--on-error", choices=("reject", "fail"), default="reject")
     ap.add_argument("--batch-seconds", type=int, default=BATCH_SECONDS)
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--echo-rows", type=int, default=0)
@@ -184,23 +181,24 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = build_session(args.master, app_name="skyledger-consumer")
+    files = args.max_per_trigger or FILES_PER_TRIGGER
     if args.kafka:
         lines = kafka_lines_stream(
             spark,
             args.kafka,
             args.topic,
             args.starting_offsets,
-            args.max_per_trigger,
+            args.max_per_trigger or MESSAGES_PER_TRIGGER,
             min_partitions=args.min_partitions or spark.sparkContext.defaultParallelism,
-        ).select("line", "line_no")
-    else:
-        lines = file_lines_stream(
-            spark, args.input_dir, args.max_per_trigger, block_batches=args.block_batches
         )
-    tables = ResultTables(args.results, args.database, args.run_id)
+    elif args.staged_dir:
+        staged = staged_lines_stream(spark, args.staged_dir, files)
+        lines = with_batches(staged, args.interval_s, args.batch_s).drop("arrival_s")
+    else:
+        lines = file_lines_stream(spark, args.input_dir, files).select("line")
     query = start_consumer(
         lines,
-        tables,
+        ResultTables(args.results, args.database, args.run_id),
         args.agency,
         args.flight,
         args.label,
@@ -208,7 +206,8 @@ def main(argv: list[str] | None = None) -> None:
         available_now=args.available_now,
         echo_rows=args.echo_rows,
         snapshot_every=args.snapshot_every,
-        batches_from_input=bool(args.input_dir and args.block_batches),
+        batches_from_input=bool(args.staged_dir),
+        on_error=args.on_error,
         query_name=args.query_name,
         checkpoint=args.checkpoint,
     )

@@ -1,105 +1,89 @@
-"""Replay of feed lines into a stream's input: files or a topic.
+"""Replay of feed lines into a stream's input: staged blocks, feed files or a topic.
 
 The reference sends one line every few seconds from a single loop.  Here
 the lines are written by one Spark job; pacing is the consumer's rate limit
-(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``) and its trigger.
+(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``) and its trigger, and the
+replay time of a line follows from its number (``with_batches``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import HEADER_LINE
 from .source import FEED_TOPIC
 
-LINES_PER_FILE = 6
+# Lines of one staged block: 10,000 batches of the reference (6 lines each), about 9 MB.
+BLOCK_LINES = 60_000
 
 
-def stage_replay_files(
+def stage_lines(
     lines: DataFrame,
     path: str,
-    lines_per_file: int = LINES_PER_FILE,
+    block_lines: int = BLOCK_LINES,
     line_col: str = "line",
     order_col: str = "line_no",
 ) -> None:
-    """Write ``lines`` as files of ``lines_per_file`` lines, each with a header.
+    """Write ``(line_no, line)`` as parquet, a folder ``block=<n>`` per ``block_lines`` line numbers.
 
-    Files live in ``path/file_no=N/``; a file holds consecutive line numbers
-    in order.  ``file_no`` is derived from the line number, so no file is
-    larger than ``lines_per_file`` lines whatever the data's skew.
+    A line is kept byte for byte, null lines too.  The block size is fixed,
+    so the work of a micro-batch of so many blocks does not depend on the
+    size of the feed; a multiple of a batch's lines keeps most batches in
+    one block, but nothing relies on it.
     """
-    if lines_per_file <= 0:
-        raise ValueError("lines_per_file must be > 0")
+    if block_lines <= 0:
+        raise ValueError("block_lines must be > 0")
     staged = lines.select(
-        F.expr(f"{order_col} div {int(lines_per_file)}").alias("file_no"),
-        F.col(order_col).alias("_order"),
-        F.col(line_col).alias(HEADER_LINE),
+        F.expr(f"`{order_col}` div {int(block_lines)}").alias("block"),
+        F.col(order_col).cast("bigint").alias("line_no"),
+        F.col(line_col).alias("line"),
     )
     (
-        staged.repartition("file_no")
-        .sortWithinPartitions("file_no", "_order")
-        .drop("_order")
+        staged.repartition("block")
+        .sortWithinPartitions("block", "line_no")
         .write.mode("overwrite")
-        .partitionBy("file_no")
-        .option("header", "true")
-        .option("sep", "\u0001")
-        .option("quote", "")
-        .option("escapeQuotes", "false")
-        .csv(path)
+        .partitionBy("block")
+        .parquet(path)
     )
 
 
-def stage_feed_files(
+def write_feed_files(
     lines: DataFrame,
     path: str,
     lines_per_file: int,
     line_col: str = "line",
     order_col: str = "line_no",
 ) -> None:
-    """Write ``lines`` as feed files in line order, a header in each.
+    """Write ``lines`` as text feed files in line order, a header in each.
 
     A file holds the lines whose numbers fall in one block of
-    ``lines_per_file`` consecutive numbers, so no file is larger than that,
-    and the number of files grows with the data.  Files live in
-    ``path/file=<block number, zero-padded>/``, so path order is line order,
-    and reading the folder back with ``read_lines`` restores the numbers.
-    Lines are hash-partitioned by block (each block whole in one task) and
-    sorted within their task, so the write runs with the shuffle's
-    parallelism, however many files there are.
+    ``lines_per_file`` consecutive numbers, byte for byte (a null line is an
+    empty one).  Files live in ``path/file=<block number, zero-padded>/``, so
+    path order is line order, and reading the folder back with ``read_lines``
+    restores the numbers.
     """
     if lines_per_file <= 0:
         raise ValueError("lines_per_file must be > 0")
     block = f"lpad(CAST(`{order_col}` div {int(lines_per_file)} AS STRING), 20, '0')"
-    staged = lines.select(
-        F.expr(block).alias("file"),
-        F.col(order_col).alias("_order"),
-        F.col(line_col).alias(HEADER_LINE),
-    )
+    text = F.coalesce(F.col(line_col), F.lit(""))
+    staged = lines.select(F.expr(block).alias("file"), F.col(order_col).alias("_order"), text.alias("value"))
+    first = F.row_number().over(Window.partitionBy("file").orderBy("_order")) == 1
+    with_header = F.when(first, F.concat(F.lit(HEADER_LINE + "\n"), "value")).otherwise(F.col("value"))
     (
-        staged.repartition("file")
+        staged.withColumn("value", with_header)
         .sortWithinPartitions("file", "_order")
-        .drop("_order")
+        .select("file", "value")
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", 0)  # a second file of a block would lack its header
         .partitionBy("file")
-        .option("header", "true")
-        .option("sep", "\u0001")
-        .option("quote", "")
-        .option("escapeQuotes", "false")
-        .csv(path)
+        .text(path)
     )
 
 
-def lines_per_staged_file(lines: DataFrame, min_files: int, max_lines: int) -> int:
-    """Lines per staged file: at least ``min_files`` files, none above ``max_lines`` lines.
-
-    Counts the lines (on a parquet source the count comes from file
-    metadata) and assumes line numbers run from 0 without large gaps; gaps
-    only make files smaller.
-    """
-    n = lines.count()
-    files = max(min_files, -(-n // max_lines), 1)
-    return max(1, -(-n // files))
+def topic_write_options(bootstrap_servers: str, topic: str = FEED_TOPIC) -> dict[str, str]:
+    """Writer options of the topic sink."""
+    return {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic}
 
 
 def publish_to_topic(
@@ -112,8 +96,7 @@ def publish_to_topic(
     (
         lines.select(F.col(line_col).cast("string").alias("value"))
         .write.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("topic", topic)
+        .options(**topic_write_options(bootstrap_servers, topic))
         .save()
     )
 
@@ -133,21 +116,20 @@ def publish_stream_to_topic(
     return (
         lines_stream.select(F.col(line_col).cast("string").alias("value"))
         .writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("topic", topic)
+        .options(**topic_write_options(bootstrap_servers, topic))
         .option("checkpointLocation", checkpoint)
         .start()
     )
 
 
 def main(argv: list[str] | None = None) -> None:
-    """Replay feed files: to a topic, or as paced files for a file stream.
+    """Replay feed files: to a topic, or as staged blocks for a stream.
 
     The header of every input file is skipped and lines keep file order.
-    ``--kafka`` sends each line as one message with a null key (the
-    consumer's rate limit and trigger pace it); ``--output-dir`` writes
-    ``--lines-per-file`` lines per file (6 = one 30 s batch at one line per
-    5 s), to be read with ``maxFilesPerTrigger``.
+    ``--kafka`` sends each line as one message with a null key;
+    ``--output-dir`` writes blocks of ``--block-lines`` lines, to be read
+    with the consumer's ``--staged-dir``.  The consumer's rate limit and
+    trigger pace both.
     """
     import argparse
 
@@ -158,9 +140,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--input", required=True, nargs="+", help="feed files or folders")
     dest = ap.add_mutually_exclusive_group(required=True)
     dest.add_argument("--kafka", help="bootstrap servers")
-    dest.add_argument("--output-dir", help="folder for the replay files")
+    dest.add_argument("--output-dir", help="folder for the staged blocks")
     ap.add_argument("--topic", default=FEED_TOPIC)
-    ap.add_argument("--lines-per-file", type=int, default=LINES_PER_FILE)
+    ap.add_argument("--block-lines", type=int, default=BLOCK_LINES)
     ap.add_argument("--master")
     args = ap.parse_args(argv)
 
@@ -169,7 +151,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.kafka:
         publish_to_topic(lines, args.kafka, args.topic)
     else:
-        stage_replay_files(lines, args.output_dir, lines_per_file=args.lines_per_file)
+        stage_lines(lines, args.output_dir, block_lines=args.block_lines)
 
 
 if __name__ == "__main__":

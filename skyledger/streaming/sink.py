@@ -1,10 +1,13 @@
-"""Result tables: per-batch history plus latest-per-key views.
+"""Result tables: mergeable history per micro-batch plus latest-per-key views.
 
 The reference upserts into two tables keyed by winner label and by flight
-segment.  Parquet tables cannot be merged into, so each result is kept as
-history partitioned by ``batch_no``; a batch is written by overwriting its
-own partitions only, so a retried micro-batch replaces what it wrote
-before.  The current tables are ``latest_per_key`` views over the history.
+segment.  Parquet tables cannot be merged into, so each micro-batch writes
+what it found as parts that add up: counts by agency, and maximum, minimum,
+sum and count of the speeds.  Results are finished on read, so a replay batch
+whose lines arrive in several files or micro-batches is complete, and a
+retried micro-batch overwrites its own partition and nothing else.  Partitions
+are ``block`` (1000 micro-batches) and ``micro_batch`` in it; ``batch_no`` is
+a column.  The current tables are ``latest_per_key`` views over the history.
 """
 
 from __future__ import annotations
@@ -12,20 +15,29 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.aggregates import finish_speed_stats, winners_of_counts
 from ..operators.latest import agency_winners_latest, speed_stats_latest
-from ..schema import AGENCY_WINNERS_SCHEMA, REJECTS_SCHEMA, SPEED_STATS_SCHEMA
+from ..schema import COUNT_PARTS_SCHEMA, REJECTS_SCHEMA, SPEED_PARTS_SCHEMA
+from ..session import run_together
 
+# Result names; winners and speed statistics are finished from parts.
 WINNERS = "agencies_most_flight_segs"
 SPEED = "speed_stat_table"
+# Stored tables.
+COUNTS = "agency_counts"
+SPEED_PARTS = "speed_stat_parts"
 REJECTS = "feed_rejects"
 
-_SCHEMAS = {WINNERS: AGENCY_WINNERS_SCHEMA, SPEED: SPEED_STATS_SCHEMA, REJECTS: REJECTS_SCHEMA}
+STORED = {COUNTS: COUNT_PARTS_SCHEMA, SPEED_PARTS: SPEED_PARTS_SCHEMA, REJECTS: REJECTS_SCHEMA}
+BLOCK_MICRO_BATCHES = 1000
+_PARTITIONS = ("block", "micro_batch")
 
 
 @dataclass(frozen=True)
@@ -54,32 +66,45 @@ class ResultTables:
         return f"{self.database}.{name}{suffix}"
 
 
+def _stored_schema(name: str) -> T.StructType:
+    """The table's columns, partition columns last."""
+    schema = T.StructType(list(STORED[name].fields))
+    for column in _PARTITIONS:
+        schema = schema.add(column, T.LongType())
+    return schema
+
+
 def ensure_tables(spark: SparkSession, tables: ResultTables) -> None:
-    """Create the three history tables if absent, so they read as empty before any batch.
+    """Create the history tables if absent, so they read as empty before any batch.
 
-    Catalog tables: ``CREATE DATABASE / TABLE IF NOT EXISTS``.  Path tables:
-    an empty append, which makes the folder and leaves existing data alone.
+    Catalog tables: ``CREATE DATABASE / TABLE IF NOT EXISTS``, and views of
+    the finished results under the reference's table names.  Path tables: an
+    empty append, which makes the folder and leaves existing data alone.
     """
     if not tables.database:
-        for name, schema in _SCHEMAS.items():
-            (
-                spark.createDataFrame([], schema)
-                .write.mode("append")
-                .partitionBy("batch_no")
-                .parquet(tables.path(name))
-            )
+        for name in STORED:
+            empty = spark.createDataFrame([], _stored_schema(name))
+            empty.write.mode("append").partitionBy(*_PARTITIONS).parquet(tables.path(name))
         return
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{tables.database}`")
-    for name, schema in _SCHEMAS.items():
-        # Partition column last, as Spark stores it.
-        ordered = [f for f in schema.fields if f.name != "batch_no"] + [
-            f for f in schema.fields if f.name == "batch_no"
-        ]
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered)
+    for name in STORED:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _stored_schema(name).fields)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {tables.table(name)} ({cols}) USING parquet "
-            f"PARTITIONED BY (batch_no) LOCATION '{tables.path(name)}'"
+            f"PARTITIONED BY ({', '.join(_PARTITIONS)}) LOCATION '{tables.path(name)}'"
         )
+    spark.sql(f"""
+        CREATE VIEW IF NOT EXISTS {tables.table(SPEED)} AS
+        SELECT batch_no, flight_segment, max(max_speed) AS max_speed, min(min_speed) AS min_speed,
+               sum(sum_speed) / sum(n) AS avg_speed, sum(n) AS num_of_flight_segments
+        FROM {tables.table(SPEED_PARTS)} GROUP BY batch_no, flight_segment""")
+    spark.sql(f"""
+        CREATE VIEW IF NOT EXISTS {tables.table(WINNERS)} AS
+        SELECT batch_no, concat('[', array_join(sort_array(collect_list(agency)), ', '), ']')
+                 AS agency_most_flight_segs, max(n) AS num_of_flight_segs
+        FROM (SELECT batch_no, agency, n, rank() OVER (PARTITION BY batch_no ORDER BY n DESC) AS place
+              FROM (SELECT batch_no, agency, sum(n) AS n FROM {tables.table(COUNTS)} GROUP BY batch_no, agency))
+        WHERE place = 1 GROUP BY batch_no""")
 
 
 @contextmanager
@@ -98,47 +123,56 @@ def dynamic_partition_overwrite(spark: SparkSession) -> Iterator[None]:
             conf.set(key, before)
 
 
-def _write(df: DataFrame, tables: ResultTables, name: str) -> None:
-    schema = _SCHEMAS[name]
-    out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+def _write(df: DataFrame, micro_batch: int, tables: ResultTables, name: str) -> None:
+    number = F.lit(micro_batch).cast("bigint")
+    out = df.withColumns({"micro_batch": number, "block": F.floor(number / BLOCK_MICRO_BATCHES)})
+    out = out.select(*[F.col(f.name).cast(f.dataType) for f in _stored_schema(name).fields])
     table = tables.table(name)
     if table:
-        ordered = [c for c in out.columns if c != "batch_no"] + ["batch_no"]
-        out.select(*ordered).write.insertInto(table, overwrite=True)
+        out.write.insertInto(table, overwrite=True)
     else:
         (
             out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_no")
+            .partitionBy(*_PARTITIONS)
             .parquet(tables.path(name))
         )
 
 
-def write_history(df: DataFrame, tables: ResultTables, name: str) -> None:
-    """Overwrite the ``batch_no`` partitions present in ``df``, nothing else."""
-    with dynamic_partition_overwrite(df.sparkSession):
-        _write(df, tables, name)
-
-
-def write_histories(frames: dict[str, DataFrame], tables: ResultTables) -> None:
-    """Write several results at once: one Spark job per result, run concurrently."""
-    from concurrent.futures import ThreadPoolExecutor
-
+def write_histories(frames: dict[str, DataFrame], micro_batch: int, tables: ResultTables) -> None:
+    """Write the parts of one micro-batch, replacing what it wrote before: one Spark job per table,
+    run side by side."""
     if not frames:
         return
     spark = next(iter(frames.values())).sparkSession
-    with dynamic_partition_overwrite(spark), ThreadPoolExecutor(len(frames)) as pool:
-        futures = [pool.submit(_write, df, tables, name) for name, df in frames.items()]
-        for future in futures:
-            future.result()
+    with dynamic_partition_overwrite(spark):
+        run_together(spark, [partial(_write, df, micro_batch, tables, name) for name, df in frames.items()])
 
 
-def read_history(spark: SparkSession, tables: ResultTables, name: str) -> DataFrame:
-    schema = _SCHEMAS[name]
-    table = tables.table(name)
+def read_parts(
+    spark: SparkSession, tables: ResultTables, name: str, after: int | None = None, upto: int | None = None
+) -> DataFrame:
+    """A stored table, of the micro-batches after ``after`` and up to ``upto`` (pruned at the scan)."""
+    schema, table = _stored_schema(name), tables.table(name)
     df = spark.read.table(table) if table else spark.read.schema(schema).parquet(tables.path(name))
-    # Partition values read back as int; restore the declared types.
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    if after is not None:
+        df = df.filter((F.col("micro_batch") > after) & (F.col("block") >= (after + 1) // BLOCK_MICRO_BATCHES))
+    if upto is not None:
+        df = df.filter((F.col("micro_batch") <= upto) & (F.col("block") <= upto // BLOCK_MICRO_BATCHES))
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in STORED[name].fields])
+
+
+def read_history(
+    spark: SparkSession, tables: ResultTables, name: str, after: int | None = None, upto: int | None = None
+) -> DataFrame:
+    """A result per batch: winners, speed statistics, agency counts or rejects."""
+    if name == SPEED:
+        return finish_speed_stats(read_parts(spark, tables, SPEED_PARTS, after, upto), merge=True)
+    if name == REJECTS:
+        return read_parts(spark, tables, REJECTS, after, upto)
+    parts = read_parts(spark, tables, COUNTS, after, upto)
+    counts = parts.groupBy("batch_no", "agency").agg(F.sum("n").alias("n"))
+    return counts if name == COUNTS else winners_of_counts(counts)
 
 
 def latest_views(spark: SparkSession, tables: ResultTables, prefix: str = "") -> dict[str, DataFrame]:
@@ -194,12 +228,9 @@ def _latest_from(
     the history partitions after it (up to ``upto``); the whole history when
     there is no snapshot."""
     latest = _LATEST[name]
-    history = read_history(spark, tables, name)
-    new = history if snapshot is None else history.filter(F.col("batch_no") > snapshot)
-    if upto is not None:
-        new = new.filter(F.col("batch_no") <= upto)
+    new = read_history(spark, tables, name, after=snapshot, upto=upto)
     if snapshot is not None:
-        schema = latest(history, keep_batch=True).schema
+        schema = latest(new, keep_batch=True).schema
         prev = spark.read.schema(schema).parquet(f"{_snapshot_folder(tables, name)}/upto={snapshot}")
         new = prev.unionByName(new.select(*schema.fieldNames()))
     return latest(new, keep_batch=True)
@@ -211,8 +242,8 @@ def snapshot_current(
     """Write the current tables: one row per key with its latest batch, like upserts.
 
     A snapshot is the previous snapshot merged with the history partitions
-    written after it (``batch_no`` above the previous ``upto``, pruned at the
-    scan), so its work grows with the new batches, not with the history.
+    written after it (micro-batches above the previous ``upto``, pruned at the
+    scan; micro-batch ids are the batch keys here), so its work grows with the new batches, not with the history.
     Each snapshot has its own folder ``<root>/current/<name>/upto=<N>``, N
     being the last batch it covers (the consumer passes its batch id;
     otherwise it is the highest batch in the new partitions).  A snapshot is
@@ -230,9 +261,7 @@ def snapshot_current(
         prev_upto = earlier[-1] if earlier else None
         target = upto
         if target is None:
-            history = read_history(spark, tables, name)
-            if prev_upto is not None:
-                history = history.filter(F.col("batch_no") > prev_upto)
+            history = read_history(spark, tables, name, after=prev_upto)
             target = history.agg(F.max("batch_no")).first()[0]
             if target is None:  # nothing new since the last snapshot
                 if prev_upto is not None:

@@ -1,7 +1,8 @@
-"""Streaming line sources: a folder of feed files, or a message topic.
+"""Streaming line sources: folders of feed files or staged lines, or a message topic.
 
-Both return a streaming DataFrame with a string column ``line``; the topic
-source also carries its partition and offset, which identify a line.
+All return a streaming DataFrame with a string column ``line``, byte for byte
+as it was written; the topic source also carries partition and offset, which
+identify a line.
 """
 
 from __future__ import annotations
@@ -12,44 +13,75 @@ from pyspark.sql import functions as F
 # Fixed value: the reference's topic name.
 FEED_TOPIC = "feds"
 
-# One-column CSV: a separator that does not occur in feed lines and no
-# quoting, so the whole line is the value and the header is skipped per file.
-_LINE_CSV = {"sep": "\u0001", "quote": "", "header": "true", "enforceSchema": "true"}
-
-
-# Staged feed files live in folders named by their block of line numbers.
-STAGED_BLOCK = r"/file=([0-9]+)/"
+STAGED_SCHEMA = "line_no BIGINT, line STRING"
 
 
 def file_lines_stream(
     spark: SparkSession,
     path: str,
     max_files_per_trigger: int | None = 1,
-    header: bool = True,
-    block_batches: bool = False,
+    header_lines: int = 1,
 ) -> DataFrame:
-    """Lines of files arriving in ``path``; the first line of each is a header.
+    """Lines of files arriving in ``path``: ``(line, source_file, file_line_no)``.
 
+    The first ``header_lines`` lines of a file are dropped by position; every
+    other line is kept as it is, blank ones too.  A file is read whole by one
+    task (it must be under 2 GB), so what arrives should be files of a batch
+    or a few; long feeds are staged as blocks (``stage_lines``).
     ``max_files_per_trigger`` paces the replay: with one file per batch of
-    lines, every micro-batch sees exactly one file.  ``block_batches`` adds
-    ``batch_no``, the block number of the staged file a line came from
-    (``stage_feed_files``): a file is read whole within one micro-batch, so
-    per-block results do not depend on which micro-batch took which file.
+    lines, every micro-batch sees exactly one file.
     """
-    reader = spark.readStream.schema("line string")
-    options = dict(_LINE_CSV, header="true" if header else "false")
-    for key, value in options.items():
-        reader = reader.option(key, value)
+    reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    lines = reader.csv(path)
-    if block_batches:
-        path = F.col("_metadata.file_path")
-        block = F.regexp_extract(path, STAGED_BLOCK, 1)
-        not_staged = F.concat(F.lit("not in a staged block folder (file=<n>): "), path)
-        batch_no = F.when(block != "", block.cast("bigint")).otherwise(F.raise_error(not_staged))
-        lines = lines.select("line", batch_no.alias("batch_no"))
-    return lines.filter(F.col("line").isNotNull())
+    files = reader.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("source_file"))
+    # As the batch reader has it: LF, CR LF or CR ends a line, and the last end opens no new line.
+    text = F.regexp_replace("value", r"(\r\n|\n|\r)\z", "")
+    lines = F.when(F.col("value") == "", F.array().cast("array<string>")).otherwise(F.split(text, r"\r\n|\n|\r", -1))
+    return (
+        files.select("source_file", F.posexplode(lines).alias("at", "line"))
+        .filter(F.col("at") >= header_lines)
+        .select("line", "source_file", (F.col("at") - header_lines).cast("bigint").alias("file_line_no"))
+    )
+
+
+def staged_lines_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = 1
+) -> DataFrame:
+    """``(line_no, line)`` of the blocks that ``stage_lines`` wrote to ``path``."""
+    reader = spark.readStream.schema(STAGED_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader.parquet(path).select("line_no", "line")
+
+
+def topic_read_options(
+    bootstrap_servers: str,
+    topic: str = FEED_TOPIC,
+    starting_offsets: str = "latest",
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+) -> dict[str, str]:
+    """Reader options of the topic source."""
+    options = {
+        "kafka.bootstrap.servers": bootstrap_servers,
+        "subscribe": topic,
+        "startingOffsets": starting_offsets,
+    }
+    if max_offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions is not None:
+        options["minPartitions"] = str(int(min_partitions))
+    return options
+
+
+def message_lines(messages: DataFrame) -> DataFrame:
+    """``(line, partition, line_no)`` of a frame with a topic's columns; ``line_no`` is the offset."""
+    return messages.select(
+        F.col("value").cast("string").alias("line"),
+        F.col("partition").cast("int").alias("partition"),
+        F.col("offset").cast("bigint").alias("line_no"),
+    )
 
 
 def kafka_lines_stream(
@@ -61,7 +93,7 @@ def kafka_lines_stream(
     extra_options: dict[str, str] | None = None,
     min_partitions: int | None = None,
 ) -> DataFrame:
-    """Lines from a topic: ``(line, partition, line_no)``; ``line_no`` is the offset.
+    """Lines from a topic, see ``message_lines``.
 
     ``startingOffsets`` defaults to ``latest`` like the reference's effective
     setting; the query's checkpoint makes a restart resume where it stopped.
@@ -71,20 +103,8 @@ def kafka_lines_stream(
     micro-batch spreads over at least that many tasks.
     Needs the Spark Kafka connector on the classpath.
     """
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting_offsets)
-    )
-    if max_offsets_per_trigger is not None:
-        reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
-    if min_partitions is not None:
-        reader = reader.option("minPartitions", int(min_partitions))
-    for key, value in (extra_options or {}).items():
-        reader = reader.option(key, value)
-    return reader.load().select(
-        F.col("value").cast("string").alias("line"),
-        F.col("partition"),
-        F.col("offset").alias("line_no"),
+    options = topic_read_options(
+        bootstrap_servers, topic, starting_offsets, max_offsets_per_trigger, min_partitions
     )
+    reader = spark.readStream.format("kafka").options(**options, **(extra_options or {}))
+    return message_lines(reader.load())

@@ -112,3 +112,24 @@ def test_record_text_equals_full_pattern(spark):
     got = df.select(record_text().alias("a"), F.format_string(_RENDER_FORMAT, *cols).alias("b")).collect()
     for r in got:
         assert r["a"] == r["b"]
+
+
+def test_null_lines_are_rejects(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from skyledger.operators import parse_lines, split_parsed
+
+    good = ";".join(["a", "f", "1.5", "2.5", "1", "2", "3", "4", "B", "t", "n", "", "", "N", "S", "5", "m", "x", "6", "7", "dhs"])
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.sampled_from([None, "", " ", "a;b", good, good + ";", good.replace("2.5", "x")]), max_size=12))
+    def check(lines):
+        frame = spark.createDataFrame([(x,) for x in lines], "line string")
+        for parsed in (parse_records(frame), split_parsed(parse_lines(frame))):
+            rejects = parsed.rejects.collect()
+            assert parsed.records.count() + len(rejects) == len(lines)
+            assert sum(r["line"] is None for r in rejects) == lines.count(None)
+            assert all(r["reason"] == "arity" for r in rejects if r["line"] is None)
+
+    check()

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from skyledger.sources import first_lines_of, read_lines
 
 
@@ -122,7 +124,7 @@ def test_numbering_property(spark, tmp_path_factory):
     check()
 
 
-def test_file_line_bases_match_prefix_sum(spark):
+def test_file_line_bases_match_prefix_sum(spark, tmp_path):
     import random
 
     from skyledger.sources.lines import _file_line_bases
@@ -130,7 +132,7 @@ def test_file_line_bases_match_prefix_sum(spark):
     rng = random.Random(7)
     counts = {f"file:/feed/part-{i:04d}.txt": rng.choice([0, 1, 5, 300]) for i in range(500)}
     files = spark.createDataFrame(list(counts.items()), "source_file string, _data_rows long")
-    got = dict(_file_line_bases(files, 7).collect())
+    got = dict(_file_line_bases(files, 7, str(tmp_path / "files")).collect())
     want, total = {}, 0
     for path in sorted(counts):
         want[path] = total
@@ -144,17 +146,17 @@ def test_staged_feed_files_round_trip(spark, tmp_path):
     from pyspark.sql import functions as F
 
     from skyledger.schema import HEADER_LINE
-    from skyledger.streaming import stage_feed_files
+    from skyledger.streaming import write_feed_files
 
     lines = spark.range(50).select(
         F.col("id").alias("line_no"), F.concat(F.lit("row-"), F.col("id")).alias("line")
     )
     folder = str(tmp_path / "staged")
-    stage_feed_files(lines.repartition(3), folder, lines_per_file=7)
+    write_feed_files(lines.repartition(3), folder, lines_per_file=7)
     dirs = sorted(glob.glob(f"{folder}/file=*"))
     assert len(dirs) == 8  # ceil(50 / 7) blocks, one folder each
     for k, d in enumerate(dirs):
-        parts = glob.glob(f"{d}/*.csv")
+        parts = glob.glob(f"{d}/*.txt")
         assert len(parts) == 1  # a block is written whole by one task
         text = open(parts[0]).read().splitlines()
         assert text[0] == HEADER_LINE
@@ -179,13 +181,13 @@ def test_split_table_reads_counts_not_text(spark, tmp_path):
     )
     counts_path = str(tmp_path / "counts")
     _per_split(raw).write.parquet(counts_path)
-    table = _split_table(spark.read.parquet(counts_path), 1)
+    table = _split_table(spark.read.parquet(counts_path), 1, str(tmp_path / "table"))
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert "FileScan text" not in plan  # the one text scan was the counts write
     assert sorted(r["_line_base"] for r in table.collect()) == [0, 50, 100]
 
 
-def test_file_line_bases_property(spark):
+def test_file_line_bases_property(spark, tmp_path_factory):
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
 
@@ -199,7 +201,7 @@ def test_file_line_bases_property(spark):
     def check(rows, n_ranges):
         counts = {f"file:/f/{i:03d}-{r}": r for i, r in enumerate(rows)}
         files = spark.createDataFrame(list(counts.items()), "source_file string, _data_rows long")
-        got = dict(_file_line_bases(files, n_ranges).collect())
+        got = dict(_file_line_bases(files, n_ranges, str(tmp_path_factory.mktemp("bases") / "files")).collect())
         want, total = {}, 0
         for path in sorted(counts):
             want[path] = total
@@ -209,12 +211,22 @@ def test_file_line_bases_property(spark):
     check()
 
 
-def test_lines_per_staged_file_bounds(spark):
-    from skyledger.streaming.replay import lines_per_staged_file
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_file_line_bases_do_not_rest_on_exchange_reuse(spark, tmp_path, reuse):
+    from pyspark.sql import functions as F
+
+    from skyledger.sources.lines import _file_line_bases
 
-    for n, min_files, max_lines in [(10_000, 8, 2_000_000), (100, 8, 7), (5, 8, 100), (0, 8, 100)]:
-        per_file = lines_per_staged_file(spark.range(n), min_files, max_lines)
-        files = -(-n // per_file)
-        assert per_file <= max_lines
-        assert n == 0 or files >= min(min_files, n)  # never more files than lines
-    assert lines_per_staged_file(spark.range(10_000), 8, 2_000_000) == 1250
+    n = 300_000
+    name = F.concat(F.lit("file:/feed/"), F.lpad(F.col("id").cast("string"), 7, "0"))
+    files = spark.range(n).select(name.alias("source_file"), (F.col("id") % 5).alias("_data_rows"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        bases = _file_line_bases(files.repartition(16), 64, str(tmp_path / "files"))
+        # Whole groups of five files hold ten lines.
+        number = F.substring("source_file", 12, 7).cast("bigint")
+        within = F.expr("element_at(array(0, 0, 1, 3, 6), cast(k % 5 as int) + 1)")
+        wrong = bases.withColumn("k", number).filter(F.col("_line_base") != F.expr("k div 5 * 10") + within)
+        assert bases.count() == n and wrong.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
