@@ -112,25 +112,29 @@ class Chunk:
         texts = [(t or b"").translate(_LOWER) for t in rows.column(_TEXT).cast(pa.binary()).to_pylist()]
         self.words = [t.split() for t in texts]
         self.train = np.array(rows.column(_TRAIN).to_pylist(), dtype=bool)
-        plain = [b" ".join(w) for w in self.words]
-        self.sizes = np.array([len(p) + 1 for p in plain], dtype=np.int64)  # bytes and the end
-        self.cells = np.empty(int(self.sizes.sum()), dtype=np.uint64)
+        # Bytes and the end of each document.
+        self.sizes = np.array([sum(map(len, w)) + max(len(w), 1) for w in self.words], dtype=np.int64)
+
+    def cells(self) -> Iterator[tuple[slice, np.ndarray]]:
+        """Documents and their cells, in steps that bound what is held at a time."""
         done, first, ends = 0, 0, np.cumsum(self.sizes)
-        while first < len(plain):  # in steps, to bound what is held beside the cells
+        while first < len(self.words):
             last = max(first + 1, int(np.searchsorted(ends, done + _STEP, side="right")))
-            part = _cells(plain[first:last], self.sizes[first:last])
-            self.cells[done : done + len(part)] = part
-            done, first = done + len(part), last
+            part = slice(first, last)
+            yield part, _cells([b" ".join(w) for w in self.words[part]], self.sizes[part])
+            done, first = int(ends[last - 1]), last
 
     def cell_counts(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct cells of all documents, sorted, with their counts in training documents."""
-        train = np.repeat(self.train, self.sizes)
-        seen, times = np.unique(self.cells[train], return_counts=True)
-        others = np.unique(self.cells[~train])
-        cells = np.union1d(seen, others)
-        counts = np.zeros(len(cells), dtype=np.int64)
-        counts[np.searchsorted(cells, seen)] = times
-        return cells, counts
+        found, counts = [], []
+        for part, cells in self.cells():
+            train = np.repeat(self.train[part], self.sizes[part])
+            seen, times = np.unique(cells[train], return_counts=True)
+            others = np.unique(cells[~train])
+            found += [seen, others]
+            counts += [times, np.zeros(len(others), dtype=np.int64)]
+        cells, which = np.unique(np.concatenate(found), return_inverse=True)
+        return cells, np.bincount(which, np.concatenate(counts), len(cells)).astype(np.int64)
 
     @staticmethod
     def branches(cells: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -200,12 +204,6 @@ class CellTable:
 
     def of(self, cells: np.ndarray) -> np.ndarray:
         """The values of cells that are all in the table."""
-        out = np.empty(len(cells), dtype=self.values.dtype)
-        for at in range(0, len(cells), _STEP):
-            out[at : at + _STEP] = self._of(cells[at : at + _STEP])
-        return out
-
-    def _of(self, cells: np.ndarray) -> np.ndarray:
         slot, mask = self._slot(cells), (1 << self.bits) - 1
         out = self.values[slot]
         rest = np.flatnonzero(self.keys[slot] != cells)
@@ -367,8 +365,8 @@ def _score(tokens: int, vocabulary: int, names: list[str]) -> Callable:
         n_known = _sums(counts > 0, n_words) + (end > 0)
         base = _sums(np.log10(counts + 1.0), n_words) + np.log10(end + 1.0)
         base -= n_tokens * np.log10(tokens + vocabulary + 1.0)
-        logs = CellTable(np.concatenate(cells), np.concatenate(values)).of(chunk.cells)
-        total = _sums(logs, chunk.sizes)
+        table = CellTable(np.concatenate(cells), np.concatenate(values))
+        total = np.concatenate([_sums(table.of(found), chunk.sizes[part]) for part, found in chunk.cells()])
         out = rows.select(names[:-6])
         out = out.append_column("n_bytes", pa.array(chunk.sizes))
         out = out.append_column("n_tokens", pa.array(n_tokens))
