@@ -164,9 +164,9 @@ class Chunk:
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.ids = self.rows.column(_ID).to_numpy()
-        store = worker_store()
-        if store.get("hashed_bytes") != plan.settled_bytes:
-            store["hashed_bytes"], store["hasher"] = plan.settled_bytes, Hasher(plan.settled_bytes)
+        store, sizes = worker_store(), (plan.settled_bytes, _STEP)
+        if store.get("hasher_of") != sizes:
+            store["hasher_of"], store["hasher"] = sizes, Hasher(plan.settled_bytes)
         self.hasher = store["hasher"]
 
     def samples(self) -> np.ndarray:

@@ -207,7 +207,7 @@ def _statistics(contrast: Contrast, names: list[str]) -> Callable:
             arrays = [batch.column(0), pa.array(sizes)]
             for margin in MARGINS:
                 above = np.maximum(evidence - margin, 0)[ids]
-                arrays.append(pa.array(np.bincount(text_of_word, above, len(texts))))
+                arrays.append(pa.array(np.bincount(text_of_word, above, len(texts)).astype(np.float64)))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return score
