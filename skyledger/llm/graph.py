@@ -14,7 +14,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Every round hooks each node's larger neighbours, then its smaller ones,
     to the least of them (large and small stars), on the shrinking edge table
     alone: aggregates and joins on one node at a time, no group is gathered.
-    Rounds grow with the logarithm of the longest path.
+    Both sides of a join are plain tables, so that adaptive execution can
+    split the partition of a node with very many neighbours.  Rounds grow
+    with the logarithm of the longest path.
     """
     larger, smaller = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     stars = materialize(edges.filter("a <> b").select(larger, smaller).distinct(), "edges")
@@ -29,7 +31,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         before = now
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = materialize(least, "least")
         hooked = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = hooked.groupBy("u").agg(F.min("v").alias("m"))
+        hooked = materialize(hooked, "hooked")
+        least = materialize(hooked.groupBy("u").agg(F.min("v").alias("m")), "least")
         moved = hooked.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = materialize(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")

@@ -13,7 +13,7 @@ score is the log10 probability of all its bytes.
 
 Scale.  The code length of a byte depends on the byte and the five before it
 only, so it is worked out once for every distinct six-byte cell, not once for
-every place.  Documents are dealt once into chunks of 1 to 64 MB, kept as a
+every place.  Documents are dealt once into chunks of 1 to 16 MB, kept as a
 bucketed table.  Each chunk sends its distinct cells, with their training
 counts, to the trie's branches (a branch is a set of three-byte contexts with
 all that lies below them); a branch merges the counts of all chunks, works
@@ -46,7 +46,7 @@ from .common import dealt_table, field, materialize, text_of
 
 ORDER = 5  # bytes of the longest context; a cell is a context and the byte after it
 LOW_ORDER = 2  # contexts up to this length are one bounded table
-SMALLEST_CHUNK, LARGEST_CHUNK = 1 << 20, 64 << 20  # bytes of text
+SMALLEST_CHUNK, LARGEST_CHUNK = 1 << 20, 16 << 20  # bytes of text
 _CHUNK, _TEXT, _TRAIN = "_chunk", "_text", "_train"
 _END = 0xFF  # no byte of UTF-8
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))

@@ -25,7 +25,7 @@ modulo 2^64, then mixed) instead of the bytes: a suffix costs 8 bytes or less
 on the wire, never 100.  Step 1 uses short fingerprints, as a false tie there
 only leaves more for step 3.
 
-Layout.  Documents are dealt once into chunks of 1 to 128 MB and kept as a
+Layout.  Documents are dealt once into chunks of 1 to 32 MB and kept as a
 bucketed table, so every later step finds a chunk's rows together without a
 shuffle.  A chunk sends, per bucket of the key range, its distinct keys as one
 delta-coded blob (a key that a chunk holds many times travels once), and gets
@@ -55,8 +55,10 @@ from .common import dealt_table, materialize, text_of, worker_store
 MIN_BYTES = 100
 COVER_PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)  # every residue mod 31 is a difference of two of these
-SMALLEST_CHUNK, LARGEST_CHUNK = 1 << 20, 128 << 20  # bytes of text
-SMALLEST_BUCKET, LARGEST_BUCKET = 1 << 18, 1 << 26  # keys
+# Between their bounds both grow with the input, a 256th of it each.  The upper bounds are for
+# about 1 GB of Python memory a core; raise them with it, as larger chunks and buckets mean fewer blobs.
+SMALLEST_CHUNK, LARGEST_CHUNK = 1 << 20, 32 << 20  # bytes of text
+SMALLEST_BUCKET, LARGEST_BUCKET = 1 << 18, 1 << 23  # keys
 SPARE_BITS = 10  # step 1: keys have log2(samples) + 10 bits, so about 0.1 % are false ties
 
 _CODEC = "zstd"
