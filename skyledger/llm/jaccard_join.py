@@ -310,6 +310,7 @@ def join_similar(
     nodes = signed.filter("node is not null").groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"),
         F.min(F.struct("id", "row_key")).alias("example"),
+        F.min("id").alias("least_id"),
         F.first("bands").alias("bands"),
         F.first("signature").alias("signature"),
     )
@@ -337,7 +338,7 @@ def join_similar(
     classes = connected_components(links.select(F.col("node").alias("a"), F.col("other").alias("b")))
 
     judged = (
-        nodes.select("node", "copies", F.col("example.id").alias("least_id"))
+        nodes.select("node", "copies", "least_id")
         .join(links.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
         .join(classes, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
@@ -391,7 +392,8 @@ def _sets_of(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def first_of_each_class(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` without all but the first (least id) document of each class of near duplicates."""
+    """The rows of ``docs`` without all but the first document (least id, a null id before all) of each
+    class of near duplicates; all columns unchanged."""
     joined = join_similar(docs, id_column, text_column)
     rows = materialize(joined.select(F.col(id_column).alias("keep_id"), "row_key", "class_node"), "rows")
     first = rows.filter("class_node is not null").groupBy("class_node").agg(

@@ -146,6 +146,14 @@ def test_jaccard_join_equals_brute_force(docs_of, monkeypatch, block):
     assert got == similar_classes(enumerate(texts))
 
 
+def test_jaccard_null_and_repeated_ids(docs_of):
+    rows = J.join_similar(docs_of(["a b c", "a b c", "a b c", "", None], [None, 7, 7, None, 7])).collect()
+    got = sorted(((r["doc_id"], r["class_id"], r["n_links"], r["n_shingles"]) for r in rows), key=repr)
+    want = [(7, 7, 2, 1), (7, 7, 2, 1), (7, 7, 0, 0), (None, 7, 2, 1), (None, None, 0, 0)]
+    assert got == sorted(want, key=repr)
+    assert J.join_similar(docs_of([])).collect() == []
+
+
 def test_jaccard_query_equals_brute_force(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in QUERIES["op4_jaccard_join"](spark, SF).collect()}
