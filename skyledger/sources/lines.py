@@ -27,8 +27,9 @@ from ..session import checkpoint_path
 
 # Split tables up to this estimated size are broadcast, larger ones joined by
 # a shuffle; the lines are the same either way.  A row is a file path and four
-# longs: 64 MB is about 400,000 splits with 100-character paths.
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# longs: 160 MB is about a million splits with 100-character paths (100 TB in
+# 128 MB splits is 800,000), for which the driver should have 4 GB.
+MAX_BROADCAST_BYTES = 160 * 1024 * 1024
 _SPLIT_ROW_FIXED_BYTES = 48
 
 
