@@ -47,7 +47,7 @@ SIMILARITY = 0.8
 RECALL = 0.99999  # of pairs exactly at SIMILARITY; more similar pairs have more
 MAX_HASHES = 160
 BLOCK = 256  # nodes of one block of a band key or cluster
-_SLICE_BYTES = 16 << 20
+_SLICE_BYTES = 8 << 20
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     dtype=np.uint64,

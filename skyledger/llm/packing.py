@@ -30,6 +30,7 @@ import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +44,10 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 LARGE_SHARE = 4  # pieces longer than capacity / LARGE_SHARE count as large
 GROUPS = (8, 16, 32)  # numbers of cardinality groups that are tried; the fewest sequences win
-_CACHED_PARTS, _CACHED_WORDS = 600_000, 1_000_000  # a full cache starts again, which changes no result
+_CACHED_WORDS, _CACHED_PARTS = 300_000, 200_000  # about 100 MB that a worker process keeps
 _WORDS_A_CALL = 100
 _MARKS = string.punctuation.replace("'", "")  # an apostrophe may begin a token of letters
-_SLICE_BYTES = 16 << 20
+_SLICE_BYTES = 10 << 20
 
 
 class Encoder:
@@ -55,8 +56,9 @@ class Encoder:
     White space never lies inside a token of this tokenizer and no merge
     crosses it, so a text's ids are those of its parts between white space,
     in order.  A part of letters and final marks is again the lower-cased
-    letters and the marks, as the tokenizer always splits there.  Parts
-    recur, hence the caches.
+    letters and the marks, as the tokenizer always splits there.  The first
+    words and parts seen, the frequent ones among them, are kept for later
+    texts; others are encoded again, which changes no result.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -67,8 +69,8 @@ class Encoder:
         ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
         self.ends_word[ends] = True
-        self.parts_seen: dict[str, bytes] = {}
         self.words_seen: dict[str, bytes] = {}
+        self.parts_seen: dict[str, bytes] = {}
 
     @staticmethod
     def parts(text: str) -> list[str]:
@@ -79,48 +81,48 @@ class Encoder:
             for found in self.tokenizer.encode_batch_fast(texts[at : at + 5_000], add_special_tokens=False):
                 yield np.array(found.ids, dtype="<u4")
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Words of letters: one token run each, so that many can share a call."""
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Words of letters: each ends with a token that says so, so that many can share a call."""
+        found = {}
         groups = [words[k : k + _WORDS_A_CALL] for k in range(0, len(words), _WORDS_A_CALL)]
         for group, ids in zip(groups, self._encode_each([" ".join(g) for g in groups]), strict=True):
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
             for word, first, last in zip(group, bounds[:-1], bounds[1:], strict=True):
-                self.words_seen[word] = data[first:last]
+                found[word] = data[first:last]
+        return found
 
-    def learn(self, texts: list[list[str]]) -> None:
-        if len(self.parts_seen) > _CACHED_PARTS:
-            self.parts_seen.clear()
-        if len(self.words_seen) > _CACHED_WORDS:
-            self.words_seen.clear()
+    def _encode_parts(self, parts: set[str]) -> dict[str, bytes]:
         made, words, others = [], set(), set()
-        for part in set().union(*texts).difference(self.parts_seen):
+        for part in parts:
             word = part.rstrip(_MARKS)
             if word.isalpha() and (word.isascii() or max(word) <= "\xff"):
                 marks, word = part[len(word) :], word.lower()
                 words.add(word)
-                others.add(marks)
             else:
                 marks, word = part, ""
-                others.add(part)
+            others.add(marks)
             made.append((part, word, marks))
-        self._learn_words(list(words.difference(self.words_seen)))
-        rest = list(others)
-        of = dict(zip(rest, (ids.tobytes() for ids in self._encode_each(rest)), strict=True))
         seen = self.words_seen
-        seen[""] = b""
-        for part, word, marks in made:
-            self.parts_seen[part] = seen[word] + of[marks] if marks else seen[word]
+        found = self._encode_words(list(words.difference(seen)))
+        if len(seen) < _CACHED_WORDS:
+            seen.update(islice(found.items(), _CACHED_WORDS - len(seen)))
+        rest = list(others)
+        of_marks = dict(zip(rest, (ids.tobytes() for ids in self._encode_each(rest)), strict=True))
+        found[""] = b""
+        return {p: (found[w] if w in found else seen[w]) + of_marks[m] for p, w, m in made}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.parts(t) for t in texts]
-        self.learn(split)
-        of = self.parts_seen.__getitem__
-        return [b"".join(map(of, parts)) for parts in split]
+        found = self._encode_parts(set().union(*split).difference(self.parts_seen))
+        known = {**self.parts_seen, **found}
+        if len(self.parts_seen) < _CACHED_PARTS:
+            self.parts_seen.update(islice(found.items(), _CACHED_PARTS - len(self.parts_seen)))
+        return [b"".join(map(known.__getitem__, parts)) for parts in split]
 
 
 def _encoder(tokenizer_json: str) -> Encoder:
-    """The encoder of this worker process; it outlives the task, so that later tasks find its caches."""
+    """The encoder of this worker process; it outlives the task, so that later tasks find its words."""
     store, key = worker_store(), hash(tokenizer_json)
     if key not in store.get("encoders", {}):
         store["encoders"] = {key: Encoder(tokenizer_json)}

@@ -9,7 +9,7 @@ a prefix are computed once for all pre-tokens that share it; a node where a
 pre-token ends stores its token count.
 
 Scale.  One pass without a shuffle: every task builds the trie of the distinct
-pre-tokens of one slice of texts (about 16 MB) depth first, so that only the
+pre-tokens of one slice of texts (about 8 MB) depth first, so that only the
 scores along one path are held, and keeps the terminal counts for its texts.
 Memory is bounded by the slice, however many documents there are.
 
@@ -33,7 +33,7 @@ from .common import byte_values, field, slices, text_of
 
 BLANK = "▁"  # marks the blank before a word
 UNKNOWN_PENALTY = 10  # below the lowest piece score, for each byte of an unknown character
-_SLICE_BYTES = 16 << 20
+_SLICE_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)

@@ -48,7 +48,7 @@ FIT_ROWS = 1000  # labelled rows per class and half that models and curve are fi
 MARGINS = (1.0, 2.0, 3.0)  # nats of evidence that count as none; the best is taken
 STEADY = 10  # words added to a document's length, so that one word does not decide alone
 _BUCKETS = 1 << 20
-_SLICE_BYTES = 16 << 20
+_SLICE_BYTES = 8 << 20
 _END = 0x20  # ends a word; before a word's first byte there are zeros
 
 
