@@ -107,18 +107,13 @@ def text_counts(text: bytes, vocabulary: defaultdict) -> tuple[int, ...]:
 
 
 def _count_stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, batch_text_column, _SLICE_BYTES):
+    """From (id, text) to (id, the counts of the text)."""
+    for batch in slices(batches, 1, _SLICE_BYTES):
         vocabulary: defaultdict = defaultdict()
         vocabulary.default_factory = vocabulary.__len__
-        rows = [text_counts(text, vocabulary) for text in byte_values(batch, batch_text_column)]
-        columns = zip(*rows, strict=True)
-        arrays = [batch.column(k) for k in range(batch_text_column)]
-        arrays += [pa.array(c, pa.int64()) for c in columns]
-        names = batch.schema.names[:batch_text_column] + list(_COUNTS)
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-
-batch_text_column = 1  # the stages see (doc_id, text)
+        rows = [text_counts(text, vocabulary) for text in byte_values(batch, 1)]
+        arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True))]
+        yield pa.RecordBatch.from_arrays(arrays, names=[batch.schema.names[0], *_COUNTS])
 
 
 def text_statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
