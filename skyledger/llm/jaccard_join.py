@@ -248,11 +248,11 @@ def _verified(similarity: float):
             labels = np.arange(table.num_rows)
             block, copies = table.column("block").to_numpy(), table.column("copies").to_numpy()
             pair = table.column("i").to_numpy() != table.column("j").to_numpy()
-            shingles = table.column("shingles").to_pylist()
+            shingles = table.column("shingles")
             for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
                 if hi - lo < 2:
                     continue
-                sets = [np.frombuffer(s, dtype="<u8") for s in shingles[lo:hi]]
+                sets = [np.frombuffer(s, dtype="<u8") for s in shingles.slice(lo, hi - lo).to_pylist()]
                 sizes = np.array([len(s) for s in sets])
                 both = _intersections(sets)
                 union = sizes[:, None] + sizes[None, :] - both

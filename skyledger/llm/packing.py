@@ -38,13 +38,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import field, materialize, slices, text_of, worker_store
+from .common import field, materialize, slices, text_of
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 LARGE_SHARE = 4  # pieces longer than capacity / LARGE_SHARE count as large
 GROUPS = (8, 16, 32)  # numbers of cardinality groups that are tried; the fewest sequences win
-_CACHED_WORDS, _CACHED_PARTS = 300_000, 200_000  # about 100 MB that a worker process keeps
+_CACHED_WORDS, _CACHED_PARTS = 300_000, 200_000  # about 100 MB, until the task ends
 _WORDS_A_CALL = 100
 _MARKS = string.punctuation.replace("'", "")  # an apostrophe may begin a token of letters
 _SLICE_BYTES = 10 << 20
@@ -121,14 +121,6 @@ class Encoder:
         return [b"".join(map(known.__getitem__, parts)) for parts in split]
 
 
-def _encoder(tokenizer_json: str) -> Encoder:
-    """The encoder of this worker process; it outlives the task, so that later tasks find its words."""
-    store, key = worker_store(), hash(tokenizer_json)
-    if key not in store.get("encoders", {}):
-        store["encoders"] = {key: Encoder(tokenizer_json)}
-    return store["encoders"][key]
-
-
 def token_pieces(
     docs: DataFrame, tokenizer_json: str, id_column: str, text_column: str, capacity: int, end_id: int
 ) -> DataFrame:
@@ -136,7 +128,7 @@ def token_pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_json)
+        encoder = Encoder(tokenizer_json)
         for batch in slices(batches, 1, _SLICE_BYTES):
             rows, columns = [], ([], [], [], [])
             for row, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):

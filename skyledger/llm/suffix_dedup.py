@@ -62,7 +62,7 @@ SMALLEST_BUCKET, LARGEST_BUCKET = 1 << 18, 1 << 23  # keys
 SPARE_BITS = 10  # step 1: keys have log2(samples) + 10 bits, so about 0.1 % are false ties
 
 _CODEC = "zstd"
-_STEP = 1 << 20  # places hashed at a time
+_STEP = 1 << 19  # places hashed at a time
 _BASE = 0x9E3779B97F4A7C15
 _CHUNK, _ID, _TEXT = "_chunk", "_id", "_text"  # internal columns beside the caller's
 
