@@ -47,7 +47,7 @@ def benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents, packed into sequences."""
-    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), keep_encoder=False)
 
 
 STAGES = [

@@ -38,13 +38,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import field, materialize, slices, text_of
+from .common import field, materialize, slices, text_of, worker_store
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 LARGE_SHARE = 4  # pieces longer than capacity / LARGE_SHARE count as large
 GROUPS = (8, 16, 32)  # numbers of cardinality groups that are tried; the fewest sequences win
-_CACHED_WORDS, _CACHED_PARTS = 300_000, 200_000  # about 100 MB, until the task ends
+_CACHED_WORDS, _CACHED_PARTS = 300_000, 200_000  # about 100 MB of an encoder
 _WORDS_A_CALL = 100
 _MARKS = string.punctuation.replace("'", "")  # an apostrophe may begin a token of letters
 _SLICE_BYTES = 10 << 20
@@ -121,14 +121,28 @@ class Encoder:
         return [b"".join(map(known.__getitem__, parts)) for parts in split]
 
 
+def _kept_encoder(tokenizer_json: str) -> Encoder:
+    """The encoder of this worker process, which outlives the task with its words and parts."""
+    store, key = worker_store(), hash(tokenizer_json)
+    if key not in store.get("encoders", {}):
+        store["encoders"] = {key: Encoder(tokenizer_json)}
+    return store["encoders"][key]
+
+
 def token_pieces(
-    docs: DataFrame, tokenizer_json: str, id_column: str, text_column: str, capacity: int, end_id: int
+    docs: DataFrame,
+    tokenizer_json: str,
+    id_column: str,
+    text_column: str,
+    capacity: int,
+    end_id: int,
+    keep_encoder: bool,
 ) -> DataFrame:
     """One row per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_json)
+        encoder = (_kept_encoder if keep_encoder else Encoder)(tokenizer_json)
         for batch in slices(batches, 1, _SLICE_BYTES):
             rows, columns = [], ([], [], [], [])
             for row, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
@@ -375,11 +389,17 @@ def pack_documents(
     capacity: int = SEQUENCE_TOKENS,
     end_id: int = END_ID,
     groups: tuple[int, ...] = GROUPS,
+    keep_encoder: bool = True,
 ) -> DataFrame:
-    """Per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``."""
+    """Per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
+
+    ``keep_encoder`` lets worker processes keep tokenizer and frequent words
+    from task to task (some 150 MB each); off, every task starts anew, which
+    costs a quarter more time and leaves the memory to other stages.
+    """
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer_json = f.read()
-    pieces = token_pieces(docs, tokenizer_json, id_column, text_column, capacity, end_id)
+    pieces = token_pieces(docs, tokenizer_json, id_column, text_column, capacity, end_id, keep_encoder)
     pieces = materialize(pieces, "pieces")
     rows = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()  # at most ``capacity`` rows
     counts = {r["length"]: r["n"] for r in sorted(rows)}
