@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
-from .common import id_remainder, read_table
+from .common import id_remainder, read_table, text_of
 from .jaccard_join import join_similar
+from .line_dedup import MIN_CHARS, kept_text, mark_lines
+from .merkle import as_hex, ascii_lower, fold, leaves_of, merkle_manifest, proof_digest
 from .packing import pack_documents
 from .ppm import score_documents
 from .quality_rules import judge_quality
@@ -18,6 +20,7 @@ from .suffix_dedup import remove_repeats
 from .token_counts import Vocabulary, count_tokens
 from .toxicity import score_toxicity
 from .url_filter import RULES, judge_urls
+from .whitening import whiten
 from .winnowing import decontaminate
 
 
@@ -112,6 +115,39 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    marked = mark_lines(documents, F.struct("doc_id", "text"), "doc_id", "text", MIN_CHARS)
+    text = F.col("carried")["text"]
+    kept = F.when(F.col("n_dropped") == 0, text_of(text)).otherwise(kept_text(text, F.col("keep")))
+    return marked.select(
+        F.col("carried")["doc_id"].alias("doc_id"),
+        F.col("n_lines").cast("bigint").alias("n_lines"),
+        F.col("n_dropped").cast("bigint").alias("n_dropped"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    tampered = F.col("doc_id").isNotNull() & (id_remainder("doc_id", 3) == 0)
+    proven = merkle_manifest(leaves_of(documents, tampered, ascii_lower(F.col("text"))))
+    folded = proven.withColumn("folded_root", as_hex(fold(F.col("presented"), F.col("path"))))
+    return folded.select(
+        F.col("id").alias("doc_id"),
+        as_hex(F.col("digest")).alias("leaf"),
+        as_hex(F.col("subroot")).alias("subroot"),
+        as_hex(F.col("root")).alias("root"),
+        proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == as_hex(F.col("root"))).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_rule_ensemble": op2_rule_ensemble,
@@ -123,10 +159,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_url_filter": op9_url_filter,
     "op10_kneser_ney": op10_kneser_ney,
+    "op11_cholesky_whitening": op11_cholesky_whitening,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 # DuckDB SQL with the same rows, where SQL can express the query.
 ORACLE_SQL: dict[str, str] = {
     "op8_winnowing": oracle.WINNOWING,
     "op9_url_filter": oracle.URL_FILTER,
+    "op12_line_dedup": oracle.LINE_DEDUP,
+    "op13_merkle_manifest": oracle.MERKLE,
 }
