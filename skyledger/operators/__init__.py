@@ -14,13 +14,14 @@ from .latest import agency_winners_latest, latest_per_key, speed_stats_latest
 from .parse import Parsed, parse_lines, parse_records, split_parsed
 from .preview import batch_preview, first_lines
 from .render import render_records
-from .replay import BATCH_INTERVAL_S, PUBLISH_INTERVAL_S, with_batches
+from .replay import BATCH_INTERVAL_S, PUBLISH_INTERVAL_S, ReplayClock, with_batches
 from .wordcount import word_count, word_count_lines, words, write_word_counts
 
 __all__ = [
     "BATCH_INTERVAL_S",
     "PUBLISH_INTERVAL_S",
     "Parsed",
+    "ReplayClock",
     "agency_counts",
     "agency_leaders",
     "agency_winners",

@@ -11,10 +11,12 @@ from __future__ import annotations
 
 from ..operators.replay import BATCH_INTERVAL_S, PUBLISH_INTERVAL_S
 from ..sources.feed import EMPTY_AGENCY_EVERY, EMPTY_SPEED_EVERY
+from ..streaming.replay import BLOCK_LINES
 from .queries import (
     AGENCY,
     FIRST_LINES_N,
     FLIGHT,
+    PACED_LINES,
     PREVIEW_BATCH_S,
     PREVIEW_N,
     TOPIC_PARTITIONS,
@@ -113,6 +115,19 @@ spd AS (
 
 _RENDER_FORMAT = "%s,%s,%e,%e,%d,%d,%d,%d,%s,%s,%s,%s,%s,%s,%s,%d,%s,%s,%d,%d,%s"
 
+_PREVIEW = f"""
+SELECT batch_no, line_no, line FROM (
+  SELECT (event_id * {PUBLISH_INTERVAL_S}) // {PREVIEW_BATCH_S} AS batch_no,
+         event_id AS line_no, {_LINE} AS line,
+         row_number() OVER (PARTITION BY (event_id * {PUBLISH_INTERVAL_S}) // {PREVIEW_BATCH_S}
+                            ORDER BY event_id) AS rn
+  FROM events) t
+WHERE rn <= {PREVIEW_N}"""
+
+_WINNERS_LATEST = f"""WITH {_RECORDS}, {_WINNERS}
+SELECT agency_most_flight_segs, arg_max(num_of_flight_segs, batch_no) AS num_of_flight_segs
+FROM win GROUP BY agency_most_flight_segs"""
+
 ORACLE_SQL: dict[str, str] = {
     "replay_lines": f"""
 SELECT event_id AS line_no,
@@ -126,14 +141,7 @@ FROM events""",
     "first_lines": f"""
 SELECT event_id AS line_no, {_LINE} AS line
 FROM events ORDER BY event_id LIMIT {FIRST_LINES_N}""",
-    "batch_preview": f"""
-SELECT batch_no, line_no, line FROM (
-  SELECT (event_id * {PUBLISH_INTERVAL_S}) // {PREVIEW_BATCH_S} AS batch_no,
-         event_id AS line_no, {_LINE} AS line,
-         row_number() OVER (PARTITION BY (event_id * {PUBLISH_INTERVAL_S}) // {PREVIEW_BATCH_S}
-                            ORDER BY event_id) AS rn
-  FROM events) t
-WHERE rn <= {PREVIEW_N}""",
+    "batch_preview": _PREVIEW,
     "parse_records": f"WITH {_RECORDS}\nSELECT line_no, {_FIELDS} FROM rec",
     "rejects": f"""
 SELECT event_id AS line_no, {_LINE} AS line,
@@ -150,9 +158,7 @@ FROM events""",
     "batch_counts": f"WITH {_RECORDS}\nSELECT batch_no, count(*) AS n FROM rec GROUP BY batch_no",
     "agency_counts": f"WITH {_RECORDS}, {_COUNTS}\nSELECT batch_no, agency, n FROM cnt",
     "agency_winners": f"WITH {_RECORDS}, {_WINNERS}\nSELECT * FROM win",
-    "agency_winners_latest": f"""WITH {_RECORDS}, {_WINNERS}
-SELECT agency_most_flight_segs, arg_max(num_of_flight_segs, batch_no) AS num_of_flight_segs
-FROM win GROUP BY agency_most_flight_segs""",
+    "agency_winners_latest": _WINNERS_LATEST,
     "speed_stats_agency": f"WITH {_RECORDS}, {_speed()}\nSELECT * FROM spd",
     "speed_stats_agency_flight": f"""WITH {_RECORDS}, {_speed(f"AND flight_id = '{FLIGHT}'")}
 SELECT * FROM spd""",
@@ -171,6 +177,21 @@ SELECT {_BATCH} AS batch_no, event_id AS line_no, {_LINE} AS line,
        CASE WHEN event_id % {EMPTY_AGENCY_EVERY} = 0 THEN 'arity' ELSE 'number' END AS reason
 FROM events
 WHERE NOT ({_GOOD})""",
+    "first_file_lines": f"""
+SELECT event_id AS line_no, {_LINE} AS line
+FROM events ORDER BY event_id LIMIT {FIRST_LINES_N}""",
+    "stream_batch_preview": _PREVIEW,
+    "stream_closed_winners": f"""WITH {_RECORDS}, {_WINNERS}
+SELECT * FROM win
+WHERE batch_no < (SELECT (max(event_id) + 1) * {PUBLISH_INTERVAL_S} // {BATCH_INTERVAL_S} FROM events)""",
+    "stream_file_lines": f"""
+SELECT event_id // {BLOCK_LINES} AS file_no, event_id % {BLOCK_LINES} AS file_line_no, {_LINE} AS line
+FROM events""",
+    "latest_from_snapshot": _WINNERS_LATEST,
+    "folded_speed_stats": f"WITH {_RECORDS}, {_speed()}\nSELECT * FROM spd",
+    "catalog_winners": f"WITH {_RECORDS}, {_WINNERS}\nSELECT * FROM win",
+    "paced_replay_lines": f"""
+SELECT event_id // {PACED_LINES} AS step, event_id AS line_no, {_LINE} AS line FROM events""",
     "word_count_lines": r"""
 SELECT word || chr(9) || CAST(count(*) AS VARCHAR) AS line FROM (
   SELECT unnest(string_split_regex(text, '[ \t\n\r\f]+')) AS word FROM documents) t

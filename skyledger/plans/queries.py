@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import event_time
 from ..operators import (
+    ReplayClock,
     agency_counts,
     agency_winners,
     agency_winners_latest,
@@ -29,13 +30,39 @@ from ..operators import (
     word_count,
     word_count_lines,
 )
+from ..operators.replay import BATCH_INTERVAL_S
 from ..schema import FIELD_NAMES
 from ..session import checkpoint_path
-from ..sources import events_feed, read_documents, read_events, read_events_feed, read_lines
+from ..sources import (
+    events_feed,
+    first_file_lines,
+    read_documents,
+    read_events,
+    read_events_feed,
+    read_lines,
+)
 from ..streaming.consumer import FILES_PER_TRIGGER, start_consumer
-from ..streaming.replay import BLOCK_LINES, stage_lines, write_feed_files
-from ..streaming.sink import COUNTS, REJECTS, SPEED, SPEED_PARTS, WINNERS, ResultTables, read_history
-from ..streaming.source import STAGED_SCHEMA, message_lines, staged_lines_stream
+from ..streaming.replay import BLOCK_LINES, deliver_to_folder, run_paced_replay, stage_lines, write_feed_files
+from ..streaming.sink import (
+    COUNTS,
+    PREVIEW,
+    REJECTS,
+    SPEED,
+    SPEED_PARTS,
+    WINNERS,
+    ResultTables,
+    latest_views,
+    read_history,
+)
+from ..streaming.source import (
+    STAGED_SCHEMA,
+    message_lines,
+    place_lines,
+    split_counts,
+    split_lines_stream,
+    staged_lines_stream,
+    with_row_ids,
+)
 
 # Parameters of the registered queries.
 AGENCY = "click"
@@ -44,6 +71,12 @@ FIRST_LINES_N = 20
 PREVIEW_N = 10
 PREVIEW_BATCH_S = 300  # 60 lines per batch, so that the preview limit bites
 TOPIC_PARTITIONS = 4
+# Lines of a block whose micro-batches split batches (no multiple of a batch's six lines).
+SPLIT_BLOCK_LINES = 8_001
+# A paced replay of the whole feed, at a pace that suits a query.
+PACED_LINES, PACED_S = 25_000, 1.0
+# Lines of each of the feed files that the first lines are taken from.
+FIRST_FILE_LINES = 2_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,7 +194,16 @@ def q_word_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count_lines(word_count(read_documents(spark, sf_dir)))
 
 
-def drain_feed_through_consumer(spark: SparkSession, sf_dir: str, *outputs: str) -> ResultTables:
+def drain_feed_through_consumer(
+    spark: SparkSession,
+    sf_dir: str,
+    *outputs: str,
+    block_lines: int = BLOCK_LINES,
+    files: int = FILES_PER_TRIGGER,
+    batch_s: int = BATCH_INTERVAL_S,
+    database: str | None = None,
+    **options,
+) -> ResultTables:
     """Stage the whole feed in blocks and run the stream consumer over them.
 
     Exercises the streaming path end to end: staged source, ``foreachBatch``,
@@ -171,11 +213,11 @@ def drain_feed_through_consumer(spark: SparkSession, sf_dir: str, *outputs: str)
     blocks, files and micro-batches fall.
     """
     root = _folder(spark, "stream-replay")
-    stage_lines(read_events_feed(spark, sf_dir), f"{root}/staged")
-    tables = ResultTables(f"{root}/results")
-    staged = staged_lines_stream(spark, f"{root}/staged", FILES_PER_TRIGGER)
+    stage_lines(read_events_feed(spark, sf_dir), f"{root}/staged", block_lines)
+    tables = ResultTables(f"{root}/results", database)
+    staged = staged_lines_stream(spark, f"{root}/staged", files)
     query = start_consumer(
-        with_batches(staged).drop("arrival_s"),
+        with_batches(staged, batch_s=batch_s).drop("arrival_s"),
         tables,
         agency=AGENCY,
         label=FLIGHT,
@@ -184,6 +226,7 @@ def drain_feed_through_consumer(spark: SparkSession, sf_dir: str, *outputs: str)
         available_now=True,
         batches_from_input=True,
         outputs=outputs,
+        **options,
     )
     query.awaitTermination()  # raises if the stream failed
     return tables
@@ -206,6 +249,85 @@ def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("batch_no", "line_no", "line", "reason")
 
 
+def q_stream_batch_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first lines of every batch, kept by the consumer as a table."""
+    tables = drain_feed_through_consumer(spark, sf_dir, batch_s=PREVIEW_BATCH_S, preview_rows=PREVIEW_N)
+    return read_history(spark, tables, PREVIEW).select("batch_no", "line_no", "line")
+
+
+def q_stream_closed_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winners of the batches that are known to be complete: the feed's last batch is open
+    unless its lines end with it."""
+    tables = drain_feed_through_consumer(spark, sf_dir, COUNTS, clock=ReplayClock())
+    return read_history(spark, tables, WINNERS, closed=True)
+
+
+def q_latest_from_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current winners of a replay whose blocks split batches, with a snapshot after every micro-batch."""
+    tables = drain_feed_through_consumer(
+        spark, sf_dir, COUNTS, SPEED_PARTS, block_lines=SPLIT_BLOCK_LINES, files=1, snapshot_every=1
+    )
+    return latest_views(spark, tables, "current_")[WINNERS]
+
+
+def q_folded_speed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speed statistics from a history that is folded after every second micro-batch."""
+    tables = drain_feed_through_consumer(
+        spark, sf_dir, SPEED_PARTS, block_lines=SPLIT_BLOCK_LINES, files=1, fold_every=2
+    )
+    return read_history(spark, tables, SPEED)
+
+
+def q_catalog_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winners through the catalog view of the reference's table name, created before any batch."""
+    tables = drain_feed_through_consumer(spark, sf_dir, COUNTS, database=f"skyledger_{uuid.uuid4().hex[:12]}")
+    return spark.read.table(tables.table(WINNERS))
+
+
+def q_first_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first lines of the feed's files, of which only the leading ones are opened."""
+    folder = _folder(spark, "feed-files")
+    write_feed_files(read_events_feed(spark, sf_dir), folder, FIRST_FILE_LINES)
+    return first_file_lines(spark, folder, FIRST_LINES_N).select("line_no", "line")
+
+
+def q_stream_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of feed files with their places, streamed by byte range."""
+    root = _folder(spark, "stream-files")
+    write_feed_files(read_events_feed(spark, sf_dir), f"{root}/files", BLOCK_LINES)
+
+    def place(batch: DataFrame, number: int) -> None:
+        lines = with_row_ids(batch).persist()
+        try:
+            placed = place_lines(lines, split_counts(lines)).select("source_file", "file_line_no", "line")
+            placed.write.mode("overwrite").parquet(f"{root}/lines/micro_batch={number}")
+        finally:
+            lines.unpersist()
+
+    stream = split_lines_stream(spark, f"{root}/files", FILES_PER_TRIGGER).writeStream.foreachBatch(place)
+    stream.trigger(availableNow=True).option("checkpointLocation", f"{root}/checkpoint").start().awaitTermination()
+    number = F.regexp_extract("source_file", "/file=([0-9]+)/", 1).cast("bigint")
+    lines = spark.read.parquet(f"{root}/lines")
+    return lines.select(number.alias("file_no"), "file_line_no", "line")
+
+
+def q_paced_replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed delivered step by step at a fixed pace, with the step of each line."""
+    root = _folder(spark, "paced-replay")
+    stage_lines(read_events_feed(spark, sf_dir), f"{root}/staged")
+    run_paced_replay(
+        spark,
+        f"{root}/staged",
+        deliver_to_folder(f"{root}/arrived"),
+        PACED_LINES,
+        PACED_S,
+        f"{root}/checkpoint",
+        query_name=f"paced_{uuid.uuid4().hex[:12]}",
+    )
+    arrived = spark.read.parquet(f"{root}/arrived")
+    return arrived.select(F.col("step").cast("bigint").alias("step"), "line_no", "line")
+
+
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count(read_documents(spark, sf_dir))
 
@@ -233,6 +355,14 @@ QUERIES: dict[str, Query] = {
     "stream_agency_counts": q_stream_agency_counts,
     "stream_speed_stats": q_stream_speed_stats,
     "stream_rejects": q_stream_rejects,
+    "first_file_lines": q_first_file_lines,
+    "stream_batch_preview": q_stream_batch_preview,
+    "stream_closed_winners": q_stream_closed_winners,
+    "stream_file_lines": q_stream_file_lines,
+    "latest_from_snapshot": q_latest_from_snapshot,
+    "folded_speed_stats": q_folded_speed_stats,
+    "catalog_winners": q_catalog_winners,
+    "paced_replay_lines": q_paced_replay_lines,
 }
 
 # Queries that run a stream to completion; the bench times them apart.
@@ -241,4 +371,11 @@ STREAM_QUERIES = (
     "stream_agency_counts",
     "stream_speed_stats",
     "stream_rejects",
+    "stream_batch_preview",
+    "stream_closed_winners",
+    "stream_file_lines",
+    "latest_from_snapshot",
+    "folded_speed_stats",
+    "catalog_winners",
+    "paced_replay_lines",
 )

@@ -46,6 +46,26 @@ RECORD_SCHEMA = T.StructType(
     [T.StructField(name, _SPARK_TYPES[kind], True) for name, kind in RECORD_FIELDS]
 )
 
+# Current tables: a row per key with its latest batch.
+WINNERS_LATEST_SCHEMA = T.StructType(
+    [
+        T.StructField("agency_most_flight_segs", T.StringType(), True),
+        T.StructField("num_of_flight_segs", T.LongType(), True),
+        T.StructField("batch_no", T.LongType(), True),
+    ]
+)
+
+SPEED_LATEST_SCHEMA = T.StructType(
+    [
+        T.StructField("flight_segment", T.StringType(), True),
+        T.StructField("max_speed", T.IntegerType(), True),
+        T.StructField("min_speed", T.IntegerType(), True),
+        T.StructField("avg_speed", T.DoubleType(), True),
+        T.StructField("num_of_flight_segments", T.LongType(), True),
+        T.StructField("batch_no", T.LongType(), True),
+    ]
+)
+
 # Stored history: parts of one micro-batch that add up by batch_no.
 COUNT_PARTS_SCHEMA = T.StructType(
     [
@@ -66,7 +86,8 @@ SPEED_PARTS_SCHEMA = T.StructType(
     ]
 )
 
-# A line of a topic is identified by its partition and offset (line_no).
+# A line of a topic is identified by its partition and offset (line_no), one of
+# a feed file by the file and its place in it.
 REJECTS_SCHEMA = T.StructType(
     [
         T.StructField("batch_no", T.LongType(), True),
@@ -74,6 +95,26 @@ REJECTS_SCHEMA = T.StructType(
         T.StructField("line_no", T.LongType(), True),
         T.StructField("line", T.StringType(), True),
         T.StructField("reason", T.StringType(), True),
+        T.StructField("source_file", T.StringType(), True),
+    ]
+)
+
+# First lines of a batch; parts are cut to ``rows`` lines again when they meet.
+PREVIEW_SCHEMA = T.StructType(
+    [*(f for f in REJECTS_SCHEMA.fields if f.name != "reason"), T.StructField("rows", T.IntegerType(), True)]
+)
+
+LINE_PARTS_SCHEMA = T.StructType(
+    [T.StructField("batch_no", T.LongType(), True), T.StructField("n_lines", T.LongType(), True)]
+)
+
+# The record that makes the parts of a micro-batch visible.
+COMMITS_SCHEMA = T.StructType(
+    [
+        T.StructField("closed_upto", T.LongType(), True),
+        T.StructField("low_line", T.LongType(), True),
+        T.StructField("first_batch", T.LongType(), True),
+        T.StructField("last_batch", T.LongType(), True),
     ]
 )
 

@@ -19,6 +19,8 @@ is missing from the table fails the job instead of being dropped.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +35,9 @@ MAX_BROADCAST_BYTES = 160 * 1024 * 1024
 _SPLIT_ROW_FIXED_BYTES = 48
 
 
+# Lines that ``first_file_lines`` brings to the driver at most.
+MAX_FIRST_LINES = 1_000_000
+
 SPLITS_CHANGED = (
     "file splits differ between the two passes of read_lines; "
     "keep spark.sql.files.* settings fixed while it runs"
@@ -172,6 +177,40 @@ def read_lines(
     )
 
 
+def first_file_lines(
+    spark: SparkSession, paths: str | list[str], n: int, header_lines: int = 1, files_per_step: int = 32
+) -> DataFrame:
+    """The first ``n`` lines of feed files in path order: ``(line_no, line, source_file, file_line_no)``.
+
+    As ``read_lines`` with ``line_no < n``, but reading stops when ``n`` lines
+    are there: files are opened in path order, one, then two, four, up to
+    ``files_per_step`` in a step, parts of a file in their order, and no task
+    reads on after so many lines as are missing.  The lines pass through the
+    driver, as a preview does, so ``n`` is at most ``MAX_FIRST_LINES``; beyond
+    that filter ``read_lines``.  A missing path fails with Spark's own error.
+    """
+    if n < 0 or header_lines < 0:
+        raise ValueError("n and header_lines must be >= 0")
+    if n > MAX_FIRST_LINES:
+        raise ValueError(f"more than {MAX_FIRST_LINES} lines: use read_lines and filter line_no")
+    files = sorted(spark.read.text(paths).inputFiles())  # the driver holds this listing for any read
+    found: list[tuple[int, str, str, int]] = []
+    step, at = 1, 0
+    while len(found) < n and at < len(files):
+        group = files[at : at + step]
+        # A union keeps the order of its sides, and a collected limit takes partitions in order.
+        path = F.col("_metadata.file_path").alias("path")
+        texts = [spark.read.text(unquote(f)).select(F.lit(k).alias("file"), "value", path) for k, f in enumerate(group)]
+        leading = reduce(DataFrame.unionAll, texts).limit(n - len(found) + header_lines * len(group)).collect()
+        places = dict.fromkeys(range(len(group)), -header_lines)
+        for row in leading:
+            place, places[row["file"]] = places[row["file"]], places[row["file"]] + 1
+            if place >= 0 and len(found) < n:
+                found.append((len(found), row["value"], row["path"], place))
+        at, step = at + step, min(2 * step, files_per_step)
+    return spark.createDataFrame(found, "line_no bigint, line string, source_file string, file_line_no bigint")
+
+
 def first_lines_of(
     lines: DataFrame, n: int, order_col: str = "line_no", dense: bool = False
 ) -> DataFrame:

@@ -18,22 +18,33 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.aggregates import agency_counts, speed_parts
 from ..operators.parse import parse_lines, split_parsed
+from ..operators.replay import ReplayClock
 from ..session import checkpoint_path
 from .sink import (
     COUNTS,
+    LINES,
+    PREVIEW,
     REJECTS,
     SPEED_PARTS,
-    STORED,
+    CommitFacts,
     ResultTables,
     ensure_tables,
+    fold_history,
+    is_committed,
+    lines_from,
+    low_line,
+    merge_parts,
+    preview_parts,
     snapshot_current,
     write_histories,
 )
+from .source import SPLIT_COLUMNS, place_lines, split_counts, with_row_ids
 
 BATCH_SECONDS = 30
 # Bounds of one micro-batch, which is persisted: files, or messages of a topic.
 FILES_PER_TRIGGER = 8
 MESSAGES_PER_TRIGGER = 1_000_000
+OUTPUTS = (COUNTS, SPEED_PARTS, REJECTS)
 
 
 @dataclass
@@ -42,18 +53,20 @@ class FeedBatchWriter:
     agency: str
     flight: str | None = None
     label: str | None = None
-    outputs: tuple[str, ...] = tuple(STORED)
+    outputs: tuple[str, ...] = OUTPUTS
     echo_rows: int = 0  # > 0: print up to this many agency counts per batch (all are in COUNTS)
-    snapshot_every: int = 0  # > 0: rewrite the current tables every N batches
+    preview_rows: int = 0  # > 0: keep the first so many lines of every batch (in PREVIEW)
+    snapshot_every: int = 0  # > 0: rewrite the current tables every N micro-batches
+    fold_every: int = 0  # > 0: fold the history every N micro-batches
     # True: the input's own batch_no column is the batch key; otherwise the micro-batch id is.
     batches_from_input: bool = False
+    clock: ReplayClock | None = None  # of a replay: tells which batches are complete
+    header_lines: int = 1  # of a file whose lines come by byte range
     on_error: str = "reject"  # "fail": the first bad line fails the stream
 
     def __post_init__(self) -> None:
-        if self.batches_from_input and self.snapshot_every > 0:
-            # Incremental snapshots take batches above the last snapshot as
-            # new; input batch numbers need not arrive in increasing order.
-            raise ValueError("snapshot_every needs micro-batch ids as batch keys")
+        if self.clock and not self.batches_from_input:
+            raise ValueError("a replay clock needs the batches of the input")
 
     def results(self, parsed: DataFrame) -> dict[str, DataFrame]:
         """Parts of one parsed micro-batch (``parse_lines`` output with ``batch_no``)."""
@@ -64,30 +77,95 @@ class FeedBatchWriter:
         if SPEED_PARTS in self.outputs:
             out[SPEED_PARTS] = speed_parts(split.records, self.agency, self.flight, self.label)
         if REJECTS in self.outputs:
-            rejects = split.rejects
-            for column in ("line_no", "partition"):
-                if column not in rejects.columns:
-                    rejects = rejects.withColumn(column, F.lit(None))
-            out[REJECTS] = rejects
+            out[REJECTS] = _located(split.rejects)
+        if self.preview_rows > 0:
+            columns = ("batch_no", "source_file", "partition", "line_no", "line")
+            out[PREVIEW] = preview_parts(_located(parsed).select(*columns), self.preview_rows)
+        if self.clock:
+            out[LINES] = parsed.groupBy("batch_no").agg(F.count(F.lit(1)).alias("n_lines"))
         return out
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if is_committed(spark, self.tables, batch_id):  # the stream stopped between the commit and its own log
+            return
         key = F.col("batch_no") if self.batches_from_input else F.lit(batch_id)
         others = [c for c in batch.columns if c != "batch_no"]
         lines = batch.select(key.cast("bigint").alias("batch_no"), *others)
-        # Raw text is kept for rejected lines only: the persisted batch stays narrow.
-        parsed = parse_lines(lines, keep_good_lines=False, on_error=self.on_error)
+        by_split = set(SPLIT_COLUMNS) <= set(lines.columns)
+        if by_split:
+            lines = with_row_ids(lines)
+        # Raw text is kept for rejected lines only, unless it is to be shown: the persisted batch stays narrow.
+        # Headers are still among the lines of byte ranges, and are no bad lines.
+        early = "reject" if by_split else self.on_error
+        parsed = parse_lines(lines, keep_good_lines=self.preview_rows > 0, on_error=early)
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = [parsed]
         try:
+            if by_split:
+                kept.append(split_counts(parsed).persist(StorageLevel.MEMORY_AND_DISK))
+                parsed = place_lines(parsed, kept[1], self.header_lines)
+                if self.on_error == "fail":
+                    _fail_on_bad(split_parsed(parsed).rejects)
             if self.echo_rows > 0:
                 counts = agency_counts(split_parsed(parsed).records)
                 counts.orderBy(F.col("n").desc(), "agency").show(self.echo_rows, truncate=False)
             # The outputs read the same persisted parse; their jobs run side by side.
-            write_histories(self.results(parsed), batch_id, self.tables)
+            results = self.results(parsed)
+            write_histories(results, batch_id, self.tables, self._facts(parsed, results, batch_id))
         finally:
-            parsed.unpersist()
+            for frame in kept:
+                frame.unpersist()
         if self.snapshot_every > 0 and (batch_id + 1) % self.snapshot_every == 0:
-            snapshot_current(batch.sparkSession, self.tables, upto=batch_id)
+            snapshot_current(spark, self.tables, upto=batch_id)
+        if self.fold_every > 0 and (batch_id + 1) % self.fold_every == 0:
+            fold_history(spark, self.tables)
+
+    def _facts(self, parsed: DataFrame, results: dict[str, DataFrame], batch_id: int) -> CommitFacts | None:
+        """What the commit record says of a replay's micro-batch."""
+        if not self.batches_from_input:
+            return None
+        ends = parsed.agg(F.min("batch_no").alias("first"), F.max("batch_no").alias("last")).first()
+        if not self.clock:
+            return CommitFacts(None, None, *ends)
+        spark, clock = parsed.sparkSession, self.clock
+        low = low_line(spark, self.tables)
+        # Only batches at or above the mark can close; earlier parts of theirs are few.
+        start = clock.closed_upto(low)
+        before = lines_from(spark, self.tables, start)
+        seen = merge_parts(before.unionByName(results[LINES]), LINES).filter(F.col("batch_no") >= start)
+        low = max(low, _low_line(seen, clock, low))
+        return CommitFacts(clock.closed_upto(low), low, *ends)
+
+
+def _low_line(seen: DataFrame, clock: ReplayClock, low: int) -> int:
+    """The first line from ``low`` on that does not belong to a complete batch of ``seen``.
+
+    A complete batch covers the lines up to the first one of the next batch;
+    the mark is the least of these ends that no other complete batch begins at.
+    """
+    begin, end = clock.first_line(F.col("batch_no")), clock.first_line(F.col("batch_no") + 1)
+    covered = seen.select(begin.alias("begin"), end.alias("end"), "n_lines")
+    covered = covered.filter((F.col("n_lines") >= F.col("end") - F.col("begin")) & (F.col("end") > F.col("begin")))
+    ends = covered.select(F.col("end").alias("at")).unionByName(covered.sparkSession.range(low, low + 1).toDF("at"))
+    gaps = ends.filter(F.col("at") >= low).join(covered, F.col("at") == F.col("begin"), "left_anti")
+    return gaps.agg(F.min("at")).first()[0]
+
+
+def _located(lines: DataFrame) -> DataFrame:
+    """Lines with all columns that say where they were: of a topic, a replay or a file."""
+    if "line_no" not in lines.columns and "file_line_no" in lines.columns:
+        lines = lines.withColumn("line_no", F.col("file_line_no"))
+    for column in ("line_no", "partition", "source_file"):
+        if column not in lines.columns:
+            lines = lines.withColumn(column, F.lit(None))
+    return lines
+
+
+def _fail_on_bad(rejects: DataFrame) -> None:
+    bad = rejects.select("reason", "line").first()
+    if bad:
+        raise ValueError(f"bad feed line ({bad['reason']}): {bad['line']}")
 
 
 def start_consumer(
@@ -144,7 +222,7 @@ def main(argv: list[str] | None = None) -> None:
 
     from ..operators.replay import BATCH_INTERVAL_S, PUBLISH_INTERVAL_S, with_batches
     from ..session import build_session
-    from .source import FEED_TOPIC, file_lines_stream, kafka_lines_stream, staged_lines_stream
+    from .source import FEED_TOPIC, kafka_lines_stream, split_lines_stream, staged_lines_stream
 
     ap = argparse.ArgumentParser(description="Flight-segment feed stream consumer")
     src = ap.add_mutually_exclusive_group(required=True)
@@ -171,7 +249,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--batch-seconds", type=int, default=BATCH_SECONDS)
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--echo-rows", type=int, default=0)
-    ap.add_argument("--snapshot-every", type=int, default=0, help="rewrite current tables every N batches")
+    ap.add_argument("--preview-rows", type=int, default=0, help="keep the first N lines of every batch")
+    ap.add_argument("--snapshot-every", type=int, default=0, help="rewrite current tables every N micro-batches")
+    ap.add_argument("--fold-every", type=int, default=0, help="fold the history every N micro-batches")
+    ap.add_argument("--feed-lines", type=int, help="staged-dir: lines of the whole feed, closes its last batch")
     ap.add_argument("--run-id", help="keeps this run's history apart (use one per checkpoint)")
     ap.add_argument("--query-name", default="feed_consumer")
     ap.add_argument(
@@ -182,6 +263,9 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session(args.master, app_name="skyledger-consumer")
     files = args.max_per_trigger or FILES_PER_TRIGGER
+    # With all lines due at once there is one batch, and nothing to follow.
+    follows = args.staged_dir and args.interval_s > 0
+    clock = ReplayClock(args.interval_s, args.batch_s, args.feed_lines) if follows else None
     if args.kafka:
         lines = kafka_lines_stream(
             spark,
@@ -195,7 +279,7 @@ def main(argv: list[str] | None = None) -> None:
         staged = staged_lines_stream(spark, args.staged_dir, files)
         lines = with_batches(staged, args.interval_s, args.batch_s).drop("arrival_s")
     else:
-        lines = file_lines_stream(spark, args.input_dir, files).select("line")
+        lines = split_lines_stream(spark, args.input_dir, files)
     query = start_consumer(
         lines,
         ResultTables(args.results, args.database, args.run_id),
@@ -205,8 +289,11 @@ def main(argv: list[str] | None = None) -> None:
         batch_seconds=args.batch_seconds,
         available_now=args.available_now,
         echo_rows=args.echo_rows,
+        preview_rows=args.preview_rows,
         snapshot_every=args.snapshot_every,
+        fold_every=args.fold_every,
         batches_from_input=bool(args.staged_dir),
+        clock=clock,
         on_error=args.on_error,
         query_name=args.query_name,
         checkpoint=args.checkpoint,

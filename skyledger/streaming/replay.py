@@ -1,18 +1,24 @@
 """Replay of feed lines into a stream's input: staged blocks, feed files or a topic.
 
-The reference sends one line every few seconds from a single loop.  Here
-the lines are written by one Spark job; pacing is the consumer's rate limit
-(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``) and its trigger, and the
-replay time of a line follows from its number (``with_batches``).
+The reference sends one line every few seconds from a single loop.  Here the
+lines are staged by one Spark job and delivered in steps: a paced replay is a
+stream whose trigger is the clock and whose rate source says which line numbers
+are due, so that every step moves the lines of one batch, however large
+(``start_paced_replay``).  Without pacing the consumer's rate limit
+(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``) bounds a micro-batch.  Either
+way the replay time of a line follows from its number (``with_batches``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import HEADER_LINE
-from .source import FEED_TOPIC
+from .source import FEED_TOPIC, STAGED_SCHEMA
 
 # Lines of one staged block: 10,000 batches of the reference (6 lines each), about 9 MB.
 BLOCK_LINES = 60_000
@@ -107,33 +113,130 @@ def publish_stream_to_topic(
     checkpoint: str,
     topic: str = FEED_TOPIC,
     line_col: str = "line",
+    trigger_s: float | None = None,
 ):
-    """Forward a stream of lines to a topic (needs the Kafka connector).
+    """Forward a stream of lines to a topic (needs the Kafka connector), a step every ``trigger_s`` seconds.
 
-    With a file stream read at ``maxFilesPerTrigger`` this is a paced replay
-    into the topic; the checkpoint makes the forwarding resume after a stop.
+    The checkpoint makes the forwarding resume after a stop.  A stream of
+    files forwards what has arrived; a paced replay of staged lines is
+    ``start_paced_replay`` with ``deliver_to_topic``.
     """
-    return (
+    writer = (
         lines_stream.select(F.col(line_col).cast("string").alias("value"))
         .writeStream.format("kafka")
         .options(**topic_write_options(bootstrap_servers, topic))
         .option("checkpointLocation", checkpoint)
+    )
+    if trigger_s is not None:
+        writer = writer.trigger(processingTime=f"{round(trigger_s * 1000)} milliseconds")
+    return writer.start()
+
+
+Deliver = Callable[[DataFrame, int], None]
+
+
+def deliver_to_folder(path: str) -> Deliver:
+    """Deliveries as parquet ``(line_no, line, arrived_at)`` in a folder ``step=<n>`` each.
+
+    ``staged_lines_stream`` of the folder sees a step when it is complete; a
+    step that is delivered again replaces itself.
+    """
+
+    def deliver(lines: DataFrame, step: int) -> None:
+        stamped = lines.withColumn("arrived_at", F.current_timestamp())
+        stamped.write.mode("overwrite").parquet(f"{path.rstrip('/')}/step={step:012d}")
+
+    return deliver
+
+
+def deliver_to_topic(bootstrap_servers: str, topic: str = FEED_TOPIC) -> Deliver:
+    """Deliveries as messages of a topic (needs the Kafka connector)."""
+    return lambda lines, step: publish_to_topic(lines, bootstrap_servers, topic)
+
+
+def staged_range(spark: SparkSession, staged: str, first: int, last: int, block_lines: int = BLOCK_LINES) -> DataFrame:
+    """The staged lines with numbers ``first`` to ``last``; only their blocks are read."""
+    blocks = F.col("block").between(first // block_lines, last // block_lines)
+    lines = spark.read.schema(f"{STAGED_SCHEMA}, block BIGINT").parquet(staged).filter(blocks)
+    return lines.filter(F.col("line_no").between(first, last)).select("line_no", "line")
+
+
+def start_paced_replay(
+    spark: SparkSession,
+    staged: str,
+    deliver: Deliver,
+    lines_per_step: int,
+    step_s: float,
+    checkpoint: str,
+    block_lines: int = BLOCK_LINES,
+    query_name: str = "paced_replay",
+) -> StreamingQuery:
+    """Deliver the lines of ``stage_lines`` in order, ``lines_per_step`` of them every ``step_s`` seconds.
+
+    The stream's trigger is the clock.  Its source counts line numbers, a fixed
+    number for each micro-batch, and its checkpoint knows the next one, so a
+    restarted replay goes on where it stopped.  A step that is late shifts
+    those after it and is not made up for by a burst.  Steps after the last
+    line deliver nothing.
+    """
+    due = (
+        spark.readStream.format("rate-micro-batch")
+        .option("rowsPerBatch", int(lines_per_step))
+        .option("numPartitions", 1)
+        .load()
+    )
+
+    def step(numbers: DataFrame, number: int) -> None:
+        # A micro-batch's numbers are a range, and follow from its own number.
+        first = number * int(lines_per_step)
+        lines = staged_range(spark, staged, first, first + int(lines_per_step) - 1, block_lines)
+        if not lines.isEmpty():
+            deliver(lines, number)
+
+    return (
+        due.writeStream.queryName(query_name)
+        .foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=f"{round(step_s * 1000)} milliseconds")
         .start()
     )
 
 
+def run_paced_replay(
+    spark: SparkSession, staged: str, deliver: Deliver, lines_per_step: int, step_s: float, checkpoint: str, **options
+) -> None:
+    """``start_paced_replay``, stopped when the last staged line has been delivered."""
+    last = spark.read.schema(STAGED_SCHEMA).parquet(staged).agg(F.max("line_no")).first()[0]
+    if last is None:
+        return
+    done = last // int(lines_per_step)
+    query = start_paced_replay(spark, staged, deliver, lines_per_step, step_s, checkpoint, **options)
+    try:
+        while not query.awaitTermination(min(1.0, step_s)):
+            progress = query.lastProgress
+            if progress and progress["batchId"] >= done:  # reported when the step has ended
+                return
+        raise query.exception() or RuntimeError("the replay ended before its last line")
+    finally:
+        query.stop()
+
+
 def main(argv: list[str] | None = None) -> None:
     """Replay feed files: to a topic, or as staged blocks for a stream.
 
     The header of every input file is skipped and lines keep file order.
     ``--kafka`` sends each line as one message with a null key;
     ``--output-dir`` writes blocks of ``--block-lines`` lines, to be read
-    with the consumer's ``--staged-dir``.  The consumer's rate limit and
-    trigger pace both.
+    with the consumer's ``--staged-dir``.  With ``--pace`` the lines are
+    staged first and then delivered at one line every ``--interval-s``
+    seconds, those of ``--batch-s`` seconds in a step.
     """
     import argparse
 
-    from ..session import build_session
+    import uuid
+
+    from ..operators.replay import BATCH_INTERVAL_S, PUBLISH_INTERVAL_S
+    from ..session import build_session, checkpoint_path
     from ..sources import read_lines
 
     ap = argparse.ArgumentParser(description="Flight-segment feed replay")
@@ -143,12 +246,26 @@ def main(argv: list[str] | None = None) -> None:
     dest.add_argument("--output-dir", help="folder for the staged blocks")
     ap.add_argument("--topic", default=FEED_TOPIC)
     ap.add_argument("--block-lines", type=int, default=BLOCK_LINES)
+    ap.add_argument("--pace", action="store_true", help="deliver lines when they are due")
+    ap.add_argument("--interval-s", type=float, default=PUBLISH_INTERVAL_S, help="seconds per line")
+    ap.add_argument("--batch-s", type=float, default=BATCH_INTERVAL_S, help="seconds per step")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
 
     spark = build_session(args.master, app_name="skyledger-replay")
     lines = read_lines(spark, args.input)
-    if args.kafka:
+    if args.pace:
+        if args.interval_s <= 0 or args.batch_s <= 0:
+            ap.error("--pace needs --interval-s and --batch-s above 0")
+        root = checkpoint_path(spark, "paced-replay", uuid.uuid4().hex)
+        stage_lines(lines, f"{root}/staged", block_lines=args.block_lines)
+        deliver = deliver_to_topic(args.kafka, args.topic) if args.kafka else deliver_to_folder(args.output_dir)
+        lines_per_step = max(1, round(args.batch_s / args.interval_s))
+        run_paced_replay(
+            spark, f"{root}/staged", deliver, lines_per_step, args.batch_s, f"{root}/checkpoint",
+            block_lines=args.block_lines,
+        )
+    elif args.kafka:
         publish_to_topic(lines, args.kafka, args.topic)
     else:
         stage_lines(lines, args.output_dir, block_lines=args.block_lines)

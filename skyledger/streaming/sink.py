@@ -1,30 +1,55 @@
-"""Result tables: mergeable history per micro-batch plus latest-per-key views.
+"""Result tables: mergeable history per micro-batch, commit records, current tables.
 
 The reference upserts into two tables keyed by winner label and by flight
 segment.  Parquet tables cannot be merged into, so each micro-batch writes
-what it found as parts that add up: counts by agency, and maximum, minimum,
-sum and count of the speeds.  Results are finished on read, so a replay batch
-whose lines arrive in several files or micro-batches is complete, and a
-retried micro-batch overwrites its own partition and nothing else.  Partitions
-are ``block`` (1000 micro-batches) and ``micro_batch`` in it; ``batch_no`` is
-a column.  The current tables are ``latest_per_key`` views over the history.
+what it found as parts that add up: counts by agency, maximum, minimum, sum and
+count of the speeds, lines by batch, first lines.  Results are finished on read,
+so a replay batch whose lines arrive in several files or micro-batches is
+complete.
+
+Commits.  All tables of a micro-batch are written under the name of one attempt
+and become visible together, when a record naming the attempt is added to the
+``feed_commits`` table.  Readers see the parts of committed attempts only (a
+semi-join with the records), so a write that fails between two tables shows
+nothing, and its retry shows all.  A micro-batch that is committed is not
+written again; if two attempts were, the first by name counts.
+
+Two clocks.  ``micro_batch`` says when a part arrived, ``batch_no`` which result
+it belongs to.  They are the same for a live feed.  In a replay a late part may
+reach an old batch, whose result then changes; a snapshot of the current tables
+therefore remembers the micro-batch that it covers, and what arrives later
+makes the batches that it touches be finished anew from all their parts.
+
+Folding.  ``fold_history`` adds up the parts of all micro-batches so far into
+one set of files and commits it as the new start of the history; what it
+replaces is deleted by the fold after it, when no reader uses it any more.
+
+Partitions are ``block`` (1000 micro-batches; -1 for folds) and ``micro_batch``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import uuid
 from dataclasses import dataclass
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.aggregates import finish_speed_stats, winners_of_counts
 from ..operators.latest import agency_winners_latest, speed_stats_latest
-from ..schema import COUNT_PARTS_SCHEMA, REJECTS_SCHEMA, SPEED_PARTS_SCHEMA
+from ..schema import (
+    COMMITS_SCHEMA,
+    COUNT_PARTS_SCHEMA,
+    LINE_PARTS_SCHEMA,
+    PREVIEW_SCHEMA,
+    REJECTS_SCHEMA,
+    SPEED_LATEST_SCHEMA,
+    SPEED_PARTS_SCHEMA,
+    WINNERS_LATEST_SCHEMA,
+)
 from ..session import run_together
 
 # Result names; winners and speed statistics are finished from parts.
@@ -34,10 +59,30 @@ SPEED = "speed_stat_table"
 COUNTS = "agency_counts"
 SPEED_PARTS = "speed_stat_parts"
 REJECTS = "feed_rejects"
-
-STORED = {COUNTS: COUNT_PARTS_SCHEMA, SPEED_PARTS: SPEED_PARTS_SCHEMA, REJECTS: REJECTS_SCHEMA}
+LINES = "batch_lines"
+PREVIEW = "batch_preview"
+COMMITS = "feed_commits"
+
+STORED = {
+    COUNTS: COUNT_PARTS_SCHEMA,
+    SPEED_PARTS: SPEED_PARTS_SCHEMA,
+    REJECTS: REJECTS_SCHEMA,
+    LINES: LINE_PARTS_SCHEMA,
+    PREVIEW: PREVIEW_SCHEMA,
+}
 BLOCK_MICRO_BATCHES = 1000
+FOLDS = -1  # the block of folds
 _PARTITIONS = ("block", "micro_batch")
+_ATTEMPT = "attempt"
+# Stored parts are summed up by these functions when they are folded or read.
+_MERGED = {
+    COUNTS: (("batch_no", "agency"), {"n": F.sum}),
+    SPEED_PARTS: (
+        ("batch_no", "flight_segment"),
+        {"max_speed": F.max, "min_speed": F.min, "sum_speed": F.sum, "n": F.sum},
+    ),
+    LINES: (("batch_no",), {"n_lines": F.sum}),
+}
 
 
 @dataclass(frozen=True)
@@ -45,8 +90,8 @@ class ResultTables:
     """Where the history of each result lives.
 
     Give a ``run_id`` per checkpoint: a stream restarted without its
-    checkpoint counts batches from 0 again and must not overwrite the
-    partitions of an earlier run.
+    checkpoint counts micro-batches from 0 again, and these are taken as
+    written already.
     """
 
     root: str
@@ -66,9 +111,39 @@ class ResultTables:
         return f"{self.database}.{name}{suffix}"
 
 
+@dataclass(frozen=True)
+class Fold:
+    """A committed fold: the parts of all micro-batches up to ``micro_batch``."""
+
+    micro_batch: int
+    attempt: str
+
+
+@dataclass(frozen=True)
+class CommitFacts:
+    """What the record of a micro-batch says beside its attempt.
+
+    ``closed_upto``: no batch below it will get another part; ``low_line``:
+    all lines of the feed below it are committed; ``first_batch`` and
+    ``last_batch``: the batches that the parts belong to.
+    """
+
+    closed_upto: int | None
+    low_line: int | None
+    first_batch: int | None
+    last_batch: int | None
+
+
+_FACTS = {"closed_upto": F.max, "low_line": F.max, "first_batch": F.min, "last_batch": F.max}
+
+
+def _schema(name: str) -> T.StructType:
+    return COMMITS_SCHEMA if name == COMMITS else STORED[name]
+
+
 def _stored_schema(name: str) -> T.StructType:
     """The table's columns, partition columns last."""
-    schema = T.StructType(list(STORED[name].fields))
+    schema = T.StructType([*_schema(name).fields, T.StructField(_ATTEMPT, T.StringType(), True)])
     for column in _PARTITIONS:
         schema = schema.add(column, T.LongType())
     return schema
@@ -81,98 +156,258 @@ def ensure_tables(spark: SparkSession, tables: ResultTables) -> None:
     the finished results under the reference's table names.  Path tables: an
     empty append, which makes the folder and leaves existing data alone.
     """
+    stored = [*STORED, COMMITS]
     if not tables.database:
-        for name in STORED:
+        for name in stored:
             empty = spark.createDataFrame([], _stored_schema(name))
             empty.write.mode("append").partitionBy(*_PARTITIONS).parquet(tables.path(name))
         return
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{tables.database}`")
-    for name in STORED:
+    for name in stored:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _stored_schema(name).fields)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {tables.table(name)} ({cols}) USING parquet "
             f"PARTITIONED BY ({', '.join(_PARTITIONS)}) LOCATION '{tables.path(name)}'"
         )
+
+    def parts(name: str) -> str:
+        commits = tables.table(COMMITS)
+        return f"""(
+          WITH fold AS (SELECT max(micro_batch) AS upto FROM {commits} WHERE block = {FOLDS}),
+          seen AS (
+            SELECT min(block) AS block, micro_batch, min({_ATTEMPT}) AS {_ATTEMPT} FROM {commits}
+            WHERE CASE WHEN block = {FOLDS} THEN micro_batch = (SELECT upto FROM fold)
+                       ELSE micro_batch > coalesce((SELECT upto FROM fold), -1) END
+            GROUP BY block = {FOLDS}, micro_batch)
+          SELECT p.* FROM {tables.table(name)} p LEFT SEMI JOIN seen
+          ON p.block = seen.block AND p.micro_batch = seen.micro_batch AND p.{_ATTEMPT} = seen.{_ATTEMPT})"""
+
     spark.sql(f"""
         CREATE VIEW IF NOT EXISTS {tables.table(SPEED)} AS
         SELECT batch_no, flight_segment, max(max_speed) AS max_speed, min(min_speed) AS min_speed,
                sum(sum_speed) / sum(n) AS avg_speed, sum(n) AS num_of_flight_segments
-        FROM {tables.table(SPEED_PARTS)} GROUP BY batch_no, flight_segment""")
+        FROM {parts(SPEED_PARTS)} GROUP BY batch_no, flight_segment""")
     spark.sql(f"""
         CREATE VIEW IF NOT EXISTS {tables.table(WINNERS)} AS
         SELECT batch_no, concat('[', array_join(sort_array(collect_list(agency)), ', '), ']')
                  AS agency_most_flight_segs, max(n) AS num_of_flight_segs
         FROM (SELECT batch_no, agency, n, rank() OVER (PARTITION BY batch_no ORDER BY n DESC) AS place
-              FROM (SELECT batch_no, agency, sum(n) AS n FROM {tables.table(COUNTS)} GROUP BY batch_no, agency))
+              FROM (SELECT batch_no, agency, sum(n) AS n FROM {parts(COUNTS)} GROUP BY batch_no, agency))
         WHERE place = 1 GROUP BY batch_no""")
 
 
-@contextmanager
-def dynamic_partition_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions a write produces, for the duration of the block."""
-    conf = spark.conf
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key, None)
-    conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        if before is None:
-            conf.unset(key)
-        else:
-            conf.set(key, before)
-
-
-def _write(df: DataFrame, micro_batch: int, tables: ResultTables, name: str) -> None:
-    number = F.lit(micro_batch).cast("bigint")
-    out = df.withColumns({"micro_batch": number, "block": F.floor(number / BLOCK_MICRO_BATCHES)})
+def _write(df: DataFrame, block: int, micro_batch: int, attempt: str, tables: ResultTables, name: str) -> None:
+    out = df.withColumns({_ATTEMPT: F.lit(attempt), "block": F.lit(block), "micro_batch": F.lit(micro_batch)})
     out = out.select(*[F.col(f.name).cast(f.dataType) for f in _stored_schema(name).fields])
-    table = tables.table(name)
-    if table:
-        out.write.insertInto(table, overwrite=True)
+    if tables.database:
+        out.write.insertInto(tables.table(name))
     else:
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*_PARTITIONS)
-            .parquet(tables.path(name))
-        )
+        out.write.mode("append").partitionBy(*_PARTITIONS).parquet(tables.path(name))
+
+
+def _block(micro_batch: int) -> int:
+    return micro_batch // BLOCK_MICRO_BATCHES
+
+
+def _commit(
+    spark: SparkSession, tables: ResultTables, block: int, micro_batch: int, attempt: str, facts: CommitFacts
+) -> None:
+    """Make an attempt visible: one row in one file, which appears whole or not at all."""
+    columns = [F.lit(getattr(facts, f.name)).cast(f.dataType).alias(f.name) for f in COMMITS_SCHEMA.fields]
+    _write(spark.range(0, 1, 1, 1).select(*columns), block, micro_batch, attempt, tables, COMMITS)
 
 
-def write_histories(frames: dict[str, DataFrame], micro_batch: int, tables: ResultTables) -> None:
-    """Write the parts of one micro-batch, replacing what it wrote before: one Spark job per table,
-    run side by side."""
+def write_histories(
+    frames: dict[str, DataFrame], micro_batch: int, tables: ResultTables, facts: CommitFacts | None = None
+) -> bool:
+    """Write the parts of one micro-batch, one Spark job per table side by side, then commit them.
+
+    ``facts`` go into the record; by default the micro-batch is a batch of its
+    own.  False if the micro-batch is committed already; then nothing is
+    written.
+    """
     if not frames:
-        return
+        return False
     spark = next(iter(frames.values())).sparkSession
-    with dynamic_partition_overwrite(spark):
-        run_together(spark, [partial(_write, df, micro_batch, tables, name) for name, df in frames.items()])
+    if is_committed(spark, tables, micro_batch):
+        return False
+    attempt, block = uuid.uuid4().hex, _block(micro_batch)
+    writes = [partial(_write, df, block, micro_batch, attempt, tables, name) for name, df in frames.items()]
+    run_together(spark, writes)
+    own = CommitFacts(micro_batch + 1, None, micro_batch, micro_batch)
+    _commit(spark, tables, block, micro_batch, attempt, facts or own)
+    return True
+
+
+def _table(spark: SparkSession, tables: ResultTables, name: str) -> DataFrame:
+    """A stored table as it lies, with the parts of all attempts; empty if there is none."""
+    schema = _stored_schema(name)
+    if tables.database:
+        return spark.read.table(tables.table(name))
+    try:
+        return spark.read.schema(schema).parquet(tables.path(name))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def newest_fold(spark: SparkSession, tables: ResultTables) -> Fold | None:
+    records = _table(spark, tables, COMMITS).filter(F.col("block") == FOLDS)
+    newest = records.orderBy(F.desc("micro_batch"), _ATTEMPT).select("micro_batch", _ATTEMPT).first()
+    return Fold(newest["micro_batch"], newest[_ATTEMPT]) if newest else None
+
+
+def _after(after: int) -> Column:
+    return (F.col("micro_batch") > after) & (F.col("block") >= _block(after + 1))
+
+
+def _upto(upto: int) -> Column:
+    return (F.col("micro_batch") <= upto) & (F.col("block") <= _block(upto))
+
+
+def committed(
+    spark: SparkSession, tables: ResultTables, fold: Fold | None, after: int | None = None, upto: int | None = None
+) -> DataFrame:
+    """Records of the attempts that count: ``(block, micro_batch, attempt)`` and their facts.
+
+    The fold, unless ``after`` is given, and one attempt for each later micro-batch.
+    """
+    records = _table(spark, tables, COMMITS)
+    since = max(x for x in (-1, after, fold.micro_batch if fold else None) if x is not None)
+    live = records.filter((F.col("block") != FOLDS) & _after(since))
+    if upto is not None:
+        live = live.filter(_upto(upto))
+    one = F.min(F.struct(_ATTEMPT, *_FACTS)).alias("one")
+    live = live.groupBy("block", "micro_batch").agg(one).select("block", "micro_batch", "one.*")
+    if fold is None or after is not None:
+        return live
+    whole = (F.col("block") == FOLDS) & (F.col("micro_batch") == fold.micro_batch) & (F.col(_ATTEMPT) == fold.attempt)
+    return live.unionByName(records.filter(whole).select(*live.columns))
+
+
+def is_committed(spark: SparkSession, tables: ResultTables, micro_batch: int) -> bool:
+    records = _table(spark, tables, COMMITS)
+    own = (F.col("block") == _block(micro_batch)) & (F.col("micro_batch") == micro_batch)
+    folded = (F.col("block") == FOLDS) & (F.col("micro_batch") >= micro_batch)
+    return not records.filter(own | folded).isEmpty()
+
+
+def last_committed(spark: SparkSession, tables: ResultTables) -> int | None:
+    """The highest micro-batch that is committed."""
+    return _table(spark, tables, COMMITS).agg(F.max("micro_batch")).first()[0]
+
+
+def closed_upto(spark: SparkSession, tables: ResultTables) -> int:
+    """The low-water mark of batches: all below it are complete."""
+    return _table(spark, tables, COMMITS).agg(F.max("closed_upto")).first()[0] or 0
+
+
+def low_line(spark: SparkSession, tables: ResultTables) -> int:
+    """The low-water mark of lines: all below it are committed (0 if lines are not followed)."""
+    return _table(spark, tables, COMMITS).agg(F.max("low_line")).first()[0] or 0
 
 
 def read_parts(
     spark: SparkSession, tables: ResultTables, name: str, after: int | None = None, upto: int | None = None
 ) -> DataFrame:
-    """A stored table, of the micro-batches after ``after`` and up to ``upto`` (pruned at the scan)."""
-    schema, table = _stored_schema(name), tables.table(name)
-    df = spark.read.table(table) if table else spark.read.schema(schema).parquet(tables.path(name))
+    """The committed parts of a stored table, of the micro-batches after ``after`` and up to ``upto``
+    (pruned at the scan).  Parts that are folded cannot be told apart by micro-batch any more."""
+    return _parts(spark, tables, name, newest_fold(spark, tables), after, upto)
+
+
+def _parts(
+    spark: SparkSession,
+    tables: ResultTables,
+    name: str,
+    fold: Fold | None,
+    after: int | None = None,
+    upto: int | None = None,
+    from_batch: int | None = None,
+) -> DataFrame:
+    """``read_parts`` with the newest fold known, and only of batches from ``from_batch`` on: the
+    records tell which micro-batches hold some."""
+    if fold and ((after is not None and after < fold.micro_batch) or (upto is not None and upto < fold.micro_batch)):
+        raise ValueError(f"micro-batches up to {fold.micro_batch} are folded")
+    df = _table(spark, tables, name)
     if after is not None:
-        df = df.filter((F.col("micro_batch") > after) & (F.col("block") >= (after + 1) // BLOCK_MICRO_BATCHES))
+        df = df.filter(_after(after))
+    elif fold:
+        own_fold = (F.col("block") == FOLDS) & (F.col("micro_batch") == fold.micro_batch)
+        df = df.filter(own_fold | ((F.col("block") != FOLDS) & _after(fold.micro_batch)))
     if upto is not None:
-        df = df.filter((F.col("micro_batch") <= upto) & (F.col("block") <= upto // BLOCK_MICRO_BATCHES))
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in STORED[name].fields])
+        df = df.filter(_upto(upto) | (F.col("block") == FOLDS))
+    seen = committed(spark, tables, fold, after, upto)
+    if from_batch is not None:
+        df = df.filter(F.col("batch_no") >= from_batch)
+        seen = seen.filter(F.col("last_batch") >= from_batch)
+    parts = df.join(seen.select(*_PARTITIONS, _ATTEMPT), [*_PARTITIONS, _ATTEMPT], "left_semi")
+    return parts.select(*[F.col(f.name).cast(f.dataType) for f in _schema(name).fields])
+
+
+def lines_from(spark: SparkSession, tables: ResultTables, batch_no: int) -> DataFrame:
+    """The committed line counts of batches from ``batch_no`` on."""
+    return _parts(spark, tables, LINES, newest_fold(spark, tables), from_batch=batch_no)
+
+
+def merge_parts(parts: DataFrame, name: str) -> DataFrame:
+    """Parts of the same keys added up; the first lines of a batch cut to as many as were asked for."""
+    if name in _MERGED:
+        keys, sums = _MERGED[name]
+        return parts.groupBy(*keys).agg(*[f(c).alias(c) for c, f in sums.items()])
+    if name == PREVIEW:
+        return _first_of_batches(parts, F.col("rows"))
+    return parts
+
+
+def preview_parts(lines: DataFrame, rows: int) -> DataFrame:
+    """The first ``rows`` lines of every batch: a partial ``WindowGroupLimit`` before the shuffle."""
+    return _first_of_batches(lines, F.lit(rows)).withColumn("rows", F.lit(rows))
+
+
+def _first_of_batches(lines: DataFrame, rows: Column) -> DataFrame:
+    order = [F.col(c).asc_nulls_first() for c in ("source_file", "partition", "line_no", "line")]
+    at = F.row_number().over(Window.partitionBy("batch_no").orderBy(*order))
+    return lines.withColumn("_at", at).filter(F.col("_at") <= rows).drop("_at")
+
+
+def _finished(parts: DataFrame, name: str) -> DataFrame:
+    """A result from its (committed) parts."""
+    if name == SPEED:
+        return finish_speed_stats(parts, merge=True)
+    if name == WINNERS:
+        return winners_of_counts(merge_parts(parts, COUNTS))
+    return merge_parts(parts, name).drop("rows")
+
+
+def _source(name: str) -> str:
+    """The stored table of a result."""
+    return {SPEED: SPEED_PARTS, WINNERS: COUNTS}.get(name, name)
 
 
 def read_history(
-    spark: SparkSession, tables: ResultTables, name: str, after: int | None = None, upto: int | None = None
+    spark: SparkSession,
+    tables: ResultTables,
+    name: str,
+    after: int | None = None,
+    upto: int | None = None,
+    closed: bool = False,
 ) -> DataFrame:
-    """A result per batch: winners, speed statistics, agency counts or rejects."""
-    if name == SPEED:
-        return finish_speed_stats(read_parts(spark, tables, SPEED_PARTS, after, upto), merge=True)
-    if name == REJECTS:
-        return read_parts(spark, tables, REJECTS, after, upto)
-    parts = read_parts(spark, tables, COUNTS, after, upto)
-    counts = parts.groupBy("batch_no", "agency").agg(F.sum("n").alias("n"))
-    return counts if name == COUNTS else winners_of_counts(counts)
+    """A result per batch: winners, speed statistics, agency counts, rejects, lines or first lines.
+
+    ``closed`` leaves out batches that may still get lines: only those below the low-water mark stay.
+    """
+    parts = read_parts(spark, tables, _source(name), after, upto)
+    if closed:
+        parts = parts.filter(F.col("batch_no") < closed_upto(spark, tables))
+    return _finished(parts, name)
+
+
+# Current tables: their latest row, and their key.
+_LATEST = {WINNERS: agency_winners_latest, SPEED: speed_stats_latest}
+_LATEST_SCHEMA = {WINNERS: WINNERS_LATEST_SCHEMA, SPEED: SPEED_LATEST_SCHEMA}
+_KEY = {WINNERS: "agency_most_flight_segs", SPEED: "flight_segment"}
+_LOSES_KEYS = (WINNERS,)  # more parts can take a batch's row from a key
 
 
 def latest_views(spark: SparkSession, tables: ResultTables, prefix: str = "") -> dict[str, DataFrame]:
@@ -182,23 +417,23 @@ def latest_views(spark: SparkSession, tables: ResultTables, prefix: str = "") ->
     history partitions after it, so reading the current state does not
     aggregate the whole history once snapshots are kept.
     """
-    views = {}
+    fold, views = newest_fold(spark, tables), {}
     for name in _LATEST:
-        folder, schema = _snapshot_folder(tables, name), _snapshot_schema(spark, tables, name)
-        snapshots = _snapshot_batches(spark, folder, schema)
-        latest = _latest_from(spark, tables, name, snapshots[-1] if snapshots else None)
+        snapshots = _snapshot_batches(spark, tables, name)
+        latest = _latest_from(spark, tables, name, fold, snapshots[-1] if snapshots else None)
         views[name] = latest.drop("batch_no")
         views[name].createOrReplaceTempView(f"{prefix}{name}")
     return views
 
 
-_LATEST = {WINNERS: agency_winners_latest, SPEED: speed_stats_latest}
+def _snapshot_folder(tables: ResultTables, name: str) -> str:
+    return tables.path(f"current/{name}")
 
 
-def _snapshot_batches(spark: SparkSession, folder: str, schema: T.StructType) -> list[int]:
-    """The ``upto`` values of the snapshots under ``folder`` (from the file listing)."""
+def _snapshot_batches(spark: SparkSession, tables: ResultTables, name: str) -> list[int]:
+    """The ``upto`` values of the snapshots (from the file listing)."""
     try:
-        files = spark.read.schema(schema).parquet(folder).inputFiles()
+        files = spark.read.schema(_LATEST_SCHEMA[name]).parquet(_snapshot_folder(tables, name)).inputFiles()
     except AnalysisException:  # no snapshot yet
         return []
     found = set()
@@ -209,31 +444,57 @@ def _snapshot_batches(spark: SparkSession, folder: str, schema: T.StructType) ->
     return sorted(found)
 
 
-def _snapshot_folder(tables: ResultTables, name: str) -> str:
-    return tables.path(f"current/{name}")
-
-
-def _snapshot_schema(spark: SparkSession, tables: ResultTables, name: str) -> T.StructType:
-    return _LATEST[name](read_history(spark, tables, name), keep_batch=True).schema
-
-
 def _latest_from(
     spark: SparkSession,
     tables: ResultTables,
     name: str,
+    fold: Fold | None,
     snapshot: int | None,
     upto: int | None = None,
 ) -> DataFrame:
-    """Latest row per key (with ``batch_no``): snapshot ``snapshot`` merged with
-    the history partitions after it (up to ``upto``); the whole history when
-    there is no snapshot."""
-    latest = _LATEST[name]
-    new = read_history(spark, tables, name, after=snapshot, upto=upto)
-    if snapshot is not None:
-        schema = latest(new, keep_batch=True).schema
-        prev = spark.read.schema(schema).parquet(f"{_snapshot_folder(tables, name)}/upto={snapshot}")
-        new = prev.unionByName(new.select(*schema.fieldNames()))
-    return latest(new, keep_batch=True)
+    """Latest row per key (with ``batch_no``) of the micro-batches up to ``upto``.
+
+    Without a snapshot, from the whole history.  With one: the batches that
+    later micro-batches touch are finished anew from all their parts, rows of
+    the snapshot that stem from them go, and the rest of it stays.  A key whose
+    row goes, and that no renewed batch as late bears any more, falls back to
+    the latest of its other batches, which only the history knows.
+    """
+    latest, key, source, schema = _LATEST[name], _KEY[name], _source(name), _LATEST_SCHEMA[name]
+    if snapshot is None:
+        return latest(_finished(_parts(spark, tables, source, fold, upto=upto), name), keep_batch=True)
+    columns = schema.fieldNames()
+    before = spark.read.schema(schema).parquet(f"{_snapshot_folder(tables, name)}/upto={snapshot}")
+    new = _parts(spark, tables, source, fold, after=snapshot, upto=upto)
+    first_new, last_old = _batch_ranges(spark, tables, snapshot)
+    if first_new is None or last_old is None or first_new > last_old:
+        # Nothing late: what is new belongs to batches that the snapshot has not seen.
+        return latest(before.select(*columns).unionByName(_finished(new, name).select(*columns)), keep_batch=True)
+    touched = new.select("batch_no").distinct()
+    parts = _parts(spark, tables, source, fold, upto=upto, from_batch=first_new)
+    renewed = _finished(parts.join(touched, "batch_no", "left_semi"), name).select(*columns)
+    rows = before.select(*columns).join(touched, "batch_no", "left_anti").select(*columns).unionByName(renewed)
+    if name not in _LOSES_KEYS:
+        return latest(rows, keep_batch=True)
+    gone = before.join(touched, "batch_no", "left_semi").select(F.col(key).alias("lost"), F.col("batch_no").alias("was"))
+    borne = F.col(key).eqNullSafe(F.col("lost")) & (F.col("batch_no") >= F.col("was"))
+    lost = gone.join(renewed, borne, "left_anti")
+    if not lost.isEmpty():
+        others = _parts(spark, tables, source, fold, upto=upto).join(touched, "batch_no", "left_anti")
+        wanted = F.col(key).eqNullSafe(F.col("lost"))
+        rows = rows.unionByName(_finished(others, name).join(lost, wanted, "left_semi").select(*columns))
+    return latest(rows, keep_batch=True)
+
+
+def _batch_ranges(spark: SparkSession, tables: ResultTables, snapshot: int) -> tuple[int | None, int | None]:
+    """The first batch that micro-batches after ``snapshot`` touch, and the last that those up to it do."""
+    records = _table(spark, tables, COMMITS)
+    old = F.col("micro_batch") <= snapshot
+    ranges = records.agg(
+        F.min(F.when(~old, F.col("first_batch"))).alias("first_new"),
+        F.max(F.when(old, F.col("last_batch"))).alias("last_old"),
+    )
+    return tuple(ranges.first())
 
 
 def snapshot_current(
@@ -241,34 +502,98 @@ def snapshot_current(
 ) -> dict[str, str]:
     """Write the current tables: one row per key with its latest batch, like upserts.
 
-    A snapshot is the previous snapshot merged with the history partitions
-    written after it (micro-batches above the previous ``upto``, pruned at the
-    scan; micro-batch ids are the batch keys here), so its work grows with the new batches, not with the history.
-    Each snapshot has its own folder ``<root>/current/<name>/upto=<N>``, N
-    being the last batch it covers (the consumer passes its batch id;
-    otherwise it is the highest batch in the new partitions).  A snapshot is
-    never overwritten while it is read, and a repeated run for the same N
-    rebuilds that folder from the snapshot before it.  Returns the folder of
-    the newest snapshot per table; rows carry ``batch_no``.
+    A snapshot is the previous snapshot merged with the parts of the
+    micro-batches after it (see ``_latest_from``), so its work grows with the
+    new batches, not with the history, whether batches are keyed by micro-batch
+    or by replay time.  Each snapshot has its own folder
+    ``<root>/current/<name>/upto=<N>``, N being the last micro-batch it covers
+    (the newest committed one unless given).  A snapshot is never overwritten
+    while it is read, and a repeated run for the same N rebuilds that folder
+    from the snapshot before it.  Returns the folder of the newest snapshot per
+    table; rows carry ``batch_no``.
+    """
+    fold = newest_fold(spark, tables)
+    target = upto if upto is not None else last_committed(spark, tables)
+    target = -1 if target is None else target
+
+    def write(name: str) -> None:
+        found = _snapshot_batches(spark, tables, name)
+        if upto is None and 0 <= target and target in found:  # nothing new since the last snapshot
+            return
+        earlier = [b for b in found if b < target]
+        latest = _latest_from(spark, tables, name, fold, earlier[-1] if earlier else None, target)
+        latest.write.mode("overwrite").parquet(f"{_snapshot_folder(tables, name)}/upto={target}")
+
+    run_together(spark, [partial(write, name) for name in _LATEST])
+    return {name: f"{_snapshot_folder(tables, name)}/upto={target}" for name in _LATEST}
+
+
+def fold_history(spark: SparkSession, tables: ResultTables) -> Fold | None:
+    """Add up the parts of all committed micro-batches into one set of files.
+
+    The current tables are written first, for micro-batches that are folded
+    cannot be told apart any more.  The folded parts become the start of the
+    history with one record, like the parts of a micro-batch; a reader that
+    started before still finds the files it has chosen.  What the fold before
+    this one replaced (its micro-batches, the fold before it, older snapshots)
+    is deleted.  The number of folders after it depends on the micro-batches
+    since the last fold only.  None if there is nothing to fold.
     """
-    paths = {}
+    upto, before = last_committed(spark, tables), newest_fold(spark, tables)
+    if upto is None or (before and before.micro_batch == upto):
+        return before
+    snapshot_current(spark, tables, upto)
+    attempt = uuid.uuid4().hex
+
+    def fold(name: str) -> None:
+        merged = merge_parts(_parts(spark, tables, name, before, upto=upto), name)
+        # Files of a size, however many micro-batches they come from.
+        _write(merged.hint("rebalance"), FOLDS, upto, attempt, tables, name)
+
+    run_together(spark, [partial(fold, name) for name in STORED])
+    records = committed(spark, tables, before, upto=upto)
+    facts = records.agg(*[f(c).alias(c) for c, f in _FACTS.items()]).first().asDict()
+    _commit(spark, tables, FOLDS, upto, attempt, CommitFacts(**facts))
+    if before:
+        _delete_replaced(spark, tables, before)
+    return Fold(upto, attempt)
+
+
+def _delete_replaced(spark: SparkSession, tables: ResultTables, fold: Fold) -> None:
+    """Delete what ``fold``, no longer the newest, has replaced."""
+    for name in [*STORED, COMMITS]:
+        gone = []
+        for block_path, block in _numbered(spark, tables.path(name), "block="):
+            for path, number in _numbered(spark, block_path, "micro_batch="):
+                if number < fold.micro_batch or (number == fold.micro_batch and block != FOLDS):
+                    gone.append((path, block, number))
+            if block != FOLDS and block < _block(fold.micro_batch):
+                gone.append((block_path, None, None))
+        if tables.database:
+            for _, block, number in gone:
+                if number is not None:
+                    partition = f"PARTITION (block = {block}, micro_batch = {number})"
+                    spark.sql(f"ALTER TABLE {tables.table(name)} DROP IF EXISTS {partition}")
+        for path, _, _ in gone:
+            _file_system(spark, path).delete(_hadoop_path(spark, path), True)
     for name in _LATEST:
-        folder = _snapshot_folder(tables, name)
-        schema = _snapshot_schema(spark, tables, name)
-        earlier = [
-            b for b in _snapshot_batches(spark, folder, schema) if upto is None or b < upto
-        ]
-        prev_upto = earlier[-1] if earlier else None
-        target = upto
-        if target is None:
-            history = read_history(spark, tables, name, after=prev_upto)
-            target = history.agg(F.max("batch_no")).first()[0]
-            if target is None:  # nothing new since the last snapshot
-                if prev_upto is not None:
-                    paths[name] = f"{folder}/upto={prev_upto}"
-                    continue
-                target = -1
-        path = f"{folder}/upto={target}"
-        _latest_from(spark, tables, name, prev_upto, target).write.mode("overwrite").parquet(path)
-        paths[name] = path
-    return paths
+        for path, upto in _numbered(spark, _snapshot_folder(tables, name), "upto="):
+            if upto < fold.micro_batch:
+                _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _numbered(spark: SparkSession, folder: str, prefix: str) -> list[tuple[str, int]]:
+    """The folders ``<prefix><number>`` in ``folder``."""
+    files = _file_system(spark, folder)
+    if not files.exists(_hadoop_path(spark, folder)):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(_hadoop_path(spark, folder)) if s.isDirectory()]
+    return [(f"{folder}/{n}", int(n[len(prefix) :])) for n in names if n.startswith(prefix)]

@@ -253,7 +253,7 @@ def test_topic_rejects_keep_partition_and_offset(spark, tmp_path):
     tables = ResultTables(str(tmp_path / "results"))
     FeedBatchWriter(tables, agency="click")(lines, 0)
     got = read_history(spark, tables, REJECTS).collect()
-    assert [tuple(r) for r in got] == [(0, 3, 17, "bad", "arity")]
+    assert [tuple(r) for r in got] == [(0, 3, 17, "bad", "arity", None)]
 
 
 def test_topic_needs_connector(spark):
@@ -321,11 +321,6 @@ def test_snapshots_merge_only_new_batches(spark, tmp_path):
         assert re.search(r"PartitionFilters: \[[^\]]*micro_batch#\d+L? > 5", plan)
 
 
-def test_batches_from_input_refuse_snapshots(tmp_path):
-    with pytest.raises(ValueError):
-        FeedBatchWriter(ResultTables(str(tmp_path)), "click", snapshot_every=2, batches_from_input=True)
-
-
 def test_console_preview_consumes_the_stream(spark, tmp_path):
     from skyledger.streaming import start_preview
 
