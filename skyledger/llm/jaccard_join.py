@@ -393,7 +393,8 @@ def _sets_of(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
 def first_of_each_class(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` without all but the first document (least id, a null id before all) of each
-    class of near duplicates; all columns unchanged."""
+    class of near duplicates; all columns unchanged, whatever their names.  Of rows with equal id and
+    text the one that comes first as JSON text stays."""
     joined = join_similar(docs, id_column, text_column)
     rows = materialize(joined.select(F.col(id_column).alias("keep_id"), "row_key", "class_node"), "rows")
     first = rows.filter("class_node is not null").groupBy("class_node").agg(
@@ -408,7 +409,14 @@ def first_of_each_class(docs: DataFrame, id_column: str = "doc_id", text_column:
     kept = kept.join(copies, F.col("keep_id").eqNullSafe(F.col("copy_id")) & (F.col("row_key") == F.col("copy_key")))
     kept = kept.select("keep_id", "row_key", (F.col("has_words") & (F.col("n") > 1)).alias("repeated"))
     kept = materialize(kept, "kept")
-    same = docs[id_column].eqNullSafe(F.col("keep_id")) & (row_key(text_of(docs[text_column])) == F.col("row_key"))
-    once = docs.join(kept.filter("not repeated"), same, "left_semi")
-    again = docs.join(kept.filter("repeated"), same, "left_semi").dropDuplicates([id_column, text_column])
-    return once.unionByName(again)
+    # The caller's columns travel in a struct, so that none of their names can clash.
+    given = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col(id_column).alias("id"),
+        row_key(text_of(text_column)).alias("own_key"),
+    )
+    same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("own_key") == F.col("row_key"))
+    once = given.join(kept.filter("not repeated"), same, "left_semi").select("row")
+    again = given.join(kept.filter("repeated"), same, "left_semi").groupBy("id", "own_key")
+    again = again.agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
+    return once.unionByName(again).select("row.*")

@@ -194,7 +194,11 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFra
     id_column, text_column = columns.get("id_column", "doc_id"), columns.get("text_column", "text")
     hit = decontaminate(docs, benchmark, **columns).filter("n_hit > 0")
     hit = hit.select(F.col(id_column).alias("_hit_id"), F.col("row_key").alias("_hit_key")).distinct()
-    same = docs[id_column].eqNullSafe(F.col("_hit_id")) & (
-        F.xxhash64(text_of(docs[text_column])) == F.col("_hit_key")
+    # The caller's columns travel in a struct, so that none of their names can clash.
+    given = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col(id_column).alias("id"),
+        F.xxhash64(text_of(text_column)).alias("own_key"),
     )
-    return docs.join(hit, same, "left_anti")
+    same = F.col("id").eqNullSafe(F.col("_hit_id")) & (F.col("own_key") == F.col("_hit_key"))
+    return given.join(hit, same, "left_anti").select("row.*")
