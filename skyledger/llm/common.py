@@ -41,6 +41,12 @@ def id_remainder(doc_id: str | Column, modulus: int) -> Column:
     return F.crc32(as_bytes) % modulus
 
 
+# Tables and folders that calls in this driver process have made, for ``release``.
+_made: list[tuple[str | None, str]] = []
+# Of a dealt table.  A bucket holds many parts of a large input; Spark allows 100,000.
+MAX_BUCKETS = 8192
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
@@ -50,23 +56,37 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = checkpoint_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
+    _made.append((None, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 def dealt_table(rows: DataFrame, column: str, parts: int) -> str:
-    """Deal ``rows`` by ``column`` once and keep them as a bucketed table; its name.
+    """Deal ``rows`` by ``column`` (of ``parts`` values) once and keep them as a bucketed table; its name.
 
     Reading the table grouped by ``column`` needs no shuffle, so operators
-    that go over the same texts several times move them only here.  The
-    table ``skyledger_parts_<id>`` stays for the result that reads it; drop
-    it afterwards.
+    that go over the same texts several times move them only here.  Its files
+    are in the checkpoint folder.  It stays for the result that reads it;
+    ``release`` removes it afterwards.
     """
     name = f"skyledger_parts_{uuid.uuid4().hex}"
-    writer = rows.repartition(parts, column).write.option("compression", "zstd")
-    writer.bucketBy(parts, column).format("parquet").saveAsTable(name)
+    path = checkpoint_path(rows.sparkSession, "llm", name)
+    buckets = min(parts, MAX_BUCKETS)
+    writer = rows.repartition(buckets, column).write.option("compression", "zstd").option("path", path)
+    writer.bucketBy(buckets, column).format("parquet").saveAsTable(name)
+    _made.append((name, path))
     return name
 
 
+def release(spark: SparkSession) -> None:
+    """Remove the intermediate tables of all calls so far; results that read them must have been stored."""
+    while _made:
+        name, path = _made.pop()
+        if name:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def worker_store() -> dict:
     """A dictionary of this Python worker process that outlives the task, for caches."""
     home = sys.modules.setdefault(_HOME, ModuleType(_HOME))

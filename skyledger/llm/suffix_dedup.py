@@ -64,7 +64,8 @@ SPARE_BITS = 10  # step 1: keys have log2(samples) + 10 bits, so about 0.1 % are
 _CODEC = "zstd"
 _STEP = 1 << 19  # places hashed at a time
 _BASE = 0x9E3779B97F4A7C15
-_CHUNK, _ID, _TEXT = "_chunk", "_id", "_text"  # internal columns beside the caller's
+_CHUNK, _ID, _TEXT, _ROW = "_chunk", "_id", "_text", "_row"  # _row: the caller's columns, whatever their names
+_RESULT = ("n_bytes", "spans", "kept")
 
 
 class Hasher:
@@ -364,8 +365,9 @@ def remove_repeats(
     """The rows of ``docs``, all columns but the text, with ``n_bytes`` (of the text), ``spans``
     (the removed runs: start, length in bytes) and ``kept``: the remaining bytes, or with ``as_text``
     the remaining text, for which runs that cut a character are shortened to whole characters.
+    These three take the place of columns of ``docs`` with their names.
 
-    The result reads a table in the warehouse (``dealt_table``).
+    The result reads a table in the checkpoint folder (``dealt_table``); ``release`` removes it.
     """
     if not isinstance(docs.schema[id_column].dataType, T.IntegralType):
         raise TypeError(f"{id_column} must be an integer: its order says which copy is first")
@@ -373,11 +375,11 @@ def remove_repeats(
     total = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
     plan = Plan(total, min_bytes)
 
-    others = [c for c in docs.columns if c != text_column]
+    others = [c for c in docs.columns if c not in (text_column, *_RESULT)]
     order = F.coalesce(F.col(id_column).cast("bigint"), F.lit(-(2**63)))
     number = F.pmod(F.xxhash64(id_column, text_column), F.lit(plan.n_chunks)).cast("int")
     rows = docs.select(
-        *others, text_of(text_column).alias(_TEXT), order.alias(_ID), number.alias(_CHUNK)
+        F.struct(*others).alias(_ROW), text_of(text_column).alias(_TEXT), order.alias(_ID), number.alias(_CHUNK)
     )
     table = dealt_table(rows, _CHUNK, plan.n_chunks)
 
@@ -390,9 +392,10 @@ def remove_repeats(
         answered = requests.groupBy("bucket").applyInArrow(_sorted_bucket(step), _ANSWER)
         answers = answers.unionByName(materialize(answered, f"answers{step}"))
     span = T.StructType().add("start", T.LongType()).add("length", T.LongType())
-    schema = T.StructType([docs.schema[c] for c in others])
+    schema = T.StructType([spark.table(table).schema[_ROW]])
     schema = schema.add("n_bytes", T.LongType()).add("spans", T.ArrayType(span)).add("kept", T.StringType() if as_text else T.BinaryType())
-    return chunks().cogroup(answers.groupBy("chunk")).applyInArrow(_finish(plan, others, as_text), schema)
+    found = chunks().cogroup(answers.groupBy("chunk")).applyInArrow(_finish(plan, [_ROW], as_text), schema)
+    return found.select(f"{_ROW}.*", *_RESULT)
 
 
 def without_repeats(
