@@ -3,8 +3,8 @@
 A listed URL is a canonical host and a path prefix.  It fits a page whose
 host is that host or a subdomain and whose path starts with that prefix; the
 longest listed URL that fits decides.  A page's candidates are its host's
-suffixes at dots with its path's prefixes of the lengths that occur in the
-list.  Every candidate is probed in a blocked Bloom filter (one block of 512
+suffixes of as many labels, with its path's prefixes of as many characters, as
+occur in the list.  Every candidate is probed in a blocked Bloom filter (one block of 512
 bits per candidate, four bits in it); the few that pass are joined exactly
 with the list, which removes false positives.
 
@@ -13,7 +13,8 @@ the list itself is joined, not broadcast by hand.  Only candidates that pass
 the filter are shuffled.
 
 Defined results: a null URL, or one without "://", has empty host and path
-and no rule.  Repeated rows give repeated results.  A listed URL given twice
+and no rule.  A host or path may be of any length: only so many suffixes and
+prefixes of it are formed as the list has label counts and path lengths.  Repeated rows give repeated results.  A listed URL given twice
 counts once (block before allow).  Other columns are ignored.  An empty list
 gives the default verdict for every page.
 """
@@ -97,19 +98,23 @@ def judge_urls(
     table, n_words = bloom_filter(listed)
     bits = materialize(table, "bloom").scalar()
     lengths = listed.agg(F.sort_array(F.collect_set(F.length("rule_path"))).alias("n")).scalar()
+    labels = listed.agg(F.sort_array(F.collect_set(F.size(F.split("rule_host", r"\.")))).alias("n")).scalar()
 
-    def suffixes(labels: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(labels))
-        return F.transform(starts, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    def suffixes(host: Column, counts: Column) -> Column:
+        def joined(own: Column) -> Column:
+            fitting = F.filter(counts, lambda n: n <= F.size(own))
+            return F.transform(fitting, lambda n: F.array_join(F.slice(own, F.size(own) - n + 1, n), "."))
 
-    def keys(host: Column, path: Column, lengths: Column) -> Column:
+        return let(F.split(host, r"\."), joined)
+
+    def keys(host: Column, path: Column, lengths: Column, counts: Column) -> Column:
         fitting = F.filter(lengths, lambda n: n <= F.length(path))
         prefixes = F.transform(fitting, lambda n: F.substring(path, F.lit(1), n))
         return let(
             prefixes,
             lambda ps: F.flatten(
                 F.transform(
-                    suffixes(F.split(host, r"\.")),
+                    suffixes(host, counts),
                     lambda h: F.transform(ps, lambda p: F.struct(h.alias("host"), p.alias("path"))),
                 )
             ),
@@ -123,12 +128,12 @@ def judge_urls(
 
     url = F.coalesce(F.col(url_column), F.lit(""))
     split_urls = pages.select(F.col(id_column).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    candidates = keys(F.col("host"), F.col("path"), F.col("lengths"))
+    candidates = keys(F.col("host"), F.col("path"), F.col("lengths"), F.col("labels"))
     possible = let(F.col("bits"), lambda t: F.filter(candidates, lambda k: passes(t, k)))
     found = (
         split_urls.select("host", "path")
         .distinct()
-        .select("host", "path", bits.alias("bits"), lengths.alias("lengths"))
+        .select("host", "path", bits.alias("bits"), lengths.alias("lengths"), labels.alias("labels"))
         .select("host", "path", F.explode(possible).alias("key"))
         .join(
             listed,
