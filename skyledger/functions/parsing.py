@@ -8,8 +8,8 @@ A line is accepted when
 * splitting it on ``;`` and dropping trailing empty fields leaves at least
   21 fields (the arity rule), and
 * every numeric field parses: integers as an optional sign plus decimal
-  digits inside the 32-bit range, floats in Java's decimal notation with
-  optional blank padding, ``NaN`` or ``Infinity``.
+  digits inside the 32-bit range, floats in Java's decimal or hexadecimal
+  notation with optional blank padding, ``NaN`` or ``Infinity``.
 
 One anchored pattern over the first 20 fields decides both, including the
 integer range, so the accept filter never needs the typed values: Catalyst
@@ -59,10 +59,11 @@ def int_grammar(max_value: int = INT_MAX) -> str:
 
 # Grammar of one field of each kind (Java regex, no separator inside).
 INT_GRAMMAR = int_grammar()
+_DECIMAL = r"(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+[fFdD]?+"
+# Its exponent, of two, must be there.  The cast rounds it as Java does: to the nearest float, ties to even.
+_HEXADECIMAL = r"0[xX](?:[0-9a-fA-F]++\.?+[0-9a-fA-F]*+|\.[0-9a-fA-F]++)[pP][+-]?+[0-9]++[fFdD]?+"
 FLOAT_GRAMMAR = (
-    r"[\x00-\x20]*+[+-]?+"
-    r"(?:NaN|Infinity|(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+[fFdD]?+)"
-    r"[\x00-\x20]*+"
+    r"[\x00-\x20]*+[+-]?+" + f"(?:NaN|Infinity|{_DECIMAL}|{_HEXADECIMAL})" + r"[\x00-\x20]*+"
 )
 STRING_GRAMMAR = r"[^;]*+"
 

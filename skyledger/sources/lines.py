@@ -18,10 +18,12 @@ is missing from the table fails the job instead of being dropped.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from functools import reduce
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -116,11 +118,37 @@ def _file_line_bases(files: DataFrame, n_ranges: int, folder: str) -> DataFrame:
     )
 
 
+# Settings that decide how files are cut into splits and these packed into tasks.
+_SPLIT_SETTINGS = ("maxPartitionBytes", "openCostInBytes", "minPartitionNum", "maxPartitionNum")
+
+
+def _index_entry(spark: SparkSession, paths: str | list[str], header_lines: int) -> str:
+    """The folder that names the split table of these files as they are now, if one is kept.
+
+    Two independent sums over the files' paths, sizes and times stand for the
+    listing; no content is read for them.
+    """
+    listed = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+    sums = [F.sum(F.xxhash64(F.lit(seed), *listed.columns).cast("decimal(38,0)")) for seed in (1, 2)]
+    found = listed.agg(F.count(F.lit(1)), F.sum("length"), *sums).first()
+    settings = [spark.conf.get(f"spark.sql.files.{name}", None) for name in _SPLIT_SETTINGS]
+    named = repr((paths, header_lines, settings, [str(v) for v in found]))
+    return checkpoint_path(spark, "line-index", hashlib.sha256(named.encode()).hexdigest())
+
+
+def _kept_root(spark: SparkSession, entry: str) -> str | None:
+    try:
+        return spark.read.schema("root STRING").parquet(entry).agg(F.min("root")).first()[0]
+    except AnalysisException:  # not kept yet
+        return None
+
+
 def read_lines(
     spark: SparkSession,
     paths: str | list[str],
     header_lines: int = 1,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    keep_index: bool = False,
 ) -> DataFrame:
     """Lines of feed files as ``(line_no, line, source_file, file_line_no)``.
 
@@ -130,8 +158,12 @@ def read_lines(
 
     The call itself scans the text once and writes the split table (one row
     per file split) under ``<checkpoint folder>/line-splits``; the returned
-    frame reads it, so it stays.  The session's
-    ``spark.sql.files.minPartitionNum`` is set if it was unset.
+    frame reads it, so it stays.  With ``keep_index`` a later read of the same
+    files uses that table instead of counting again: it is found by path,
+    size and modification time of all files and by the settings that cut them
+    (a file that is rewritten within its time stamp's resolution to the same
+    size is not noticed).  The session's ``spark.sql.files.minPartitionNum``
+    is set if it was unset.
     """
     if header_lines < 0:
         raise ValueError("header_lines must be >= 0")
@@ -145,10 +177,15 @@ def read_lines(
     # Written to the shared checkpoint folder: the per-split counts are the
     # only scan of the text in this pass (everything after reads one row per
     # split), and the numbering survives a lost executor without a rescan.
-    split_root = checkpoint_path(spark, "line-splits", uuid.uuid4().hex)
-    _per_split(raw).write.parquet(f"{split_root}/counts")
-    counts = spark.read.parquet(f"{split_root}/counts")
-    _split_table(counts, header_lines, split_root).write.parquet(f"{split_root}/table")
+    entry = _index_entry(spark, paths, header_lines) if keep_index else None
+    split_root = _kept_root(spark, entry) if entry else None
+    if split_root is None:
+        split_root = checkpoint_path(spark, "line-splits", uuid.uuid4().hex)
+        _per_split(raw).write.parquet(f"{split_root}/counts")
+        counts = spark.read.parquet(f"{split_root}/counts")
+        _split_table(counts, header_lines, split_root).write.parquet(f"{split_root}/table")
+        if entry:
+            spark.range(0, 1, 1, 1).select(F.lit(split_root).alias("root")).write.mode("append").parquet(entry)
     splits = spark.read.parquet(f"{split_root}/table")
     size = splits.agg(
         F.count(F.lit(1)).alias("rows"), F.max(F.length("source_file")).alias("path")

@@ -9,10 +9,10 @@ written by concurrent jobs, and released after.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,12 +31,13 @@ from .sink import (
     ensure_tables,
     fold_history,
     is_committed,
+    last_committed,
     lines_from,
     low_line,
     merge_parts,
     preview_parts,
     snapshot_current,
-    write_histories,
+    write_attempt,
 )
 from .source import SPLIT_COLUMNS, place_lines, split_counts, with_row_ids
 
@@ -64,6 +65,10 @@ class FeedBatchWriter:
     header_lines: int = 1  # of a file whose lines come by byte range
     on_error: str = "reject"  # "fail": the first bad line fails the stream
 
+    # What this writer knows of the tables, so that it need not look after every micro-batch.
+    _committed: int | None = field(default=None, init=False, repr=False)
+    _low_line: int | None = field(default=None, init=False, repr=False)
+
     def __post_init__(self) -> None:
         if self.clock and not self.batches_from_input:
             raise ValueError("a replay clock needs the batches of the input")
@@ -87,7 +92,7 @@ class FeedBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if is_committed(spark, self.tables, batch_id):  # the stream stopped between the commit and its own log
+        if self._is_done(spark, batch_id):  # the stream stopped between the commit and its own log
             return
         key = F.col("batch_no") if self.batches_from_input else F.lit(batch_id)
         others = [c for c in batch.columns if c != "batch_no"]
@@ -112,7 +117,10 @@ class FeedBatchWriter:
                 counts.orderBy(F.col("n").desc(), "agency").show(self.echo_rows, truncate=False)
             # The outputs read the same persisted parse; their jobs run side by side.
             results = self.results(parsed)
-            write_histories(results, batch_id, self.tables, self._facts(parsed, results, batch_id))
+            facts = self._facts(parsed, results)
+            if results:
+                write_attempt(results, batch_id, self.tables, facts)
+                self._committed, self._low_line = batch_id, facts.low_line if facts else None
         finally:
             for frame in kept:
                 frame.unpersist()
@@ -121,7 +129,14 @@ class FeedBatchWriter:
         if self.fold_every > 0 and (batch_id + 1) % self.fold_every == 0:
             fold_history(spark, self.tables)
 
-    def _facts(self, parsed: DataFrame, results: dict[str, DataFrame], batch_id: int) -> CommitFacts | None:
+    def _is_done(self, spark: SparkSession, batch_id: int) -> bool:
+        """Whether the micro-batch is committed; numbers rise, so one look at the tables serves until one comes back."""
+        if self._committed is None:
+            newest = last_committed(spark, self.tables)
+            self._committed = -1 if newest is None else newest
+        return batch_id <= self._committed and is_committed(spark, self.tables, batch_id)
+
+    def _facts(self, parsed: DataFrame, results: dict[str, DataFrame]) -> CommitFacts | None:
         """What the commit record says of a replay's micro-batch."""
         if not self.batches_from_input:
             return None
@@ -129,7 +144,7 @@ class FeedBatchWriter:
         if not self.clock:
             return CommitFacts(None, None, *ends)
         spark, clock = parsed.sparkSession, self.clock
-        low = low_line(spark, self.tables)
+        low = low_line(spark, self.tables) if self._low_line is None else self._low_line
         # Only batches at or above the mark can close; earlier parts of theirs are few.
         start = clock.closed_upto(low)
         before = lines_from(spark, self.tables, start)

@@ -226,17 +226,22 @@ def write_histories(
     own.  False if the micro-batch is committed already; then nothing is
     written.
     """
-    if not frames:
+    if not frames or is_committed(next(iter(frames.values())).sparkSession, tables, micro_batch):
         return False
+    write_attempt(frames, micro_batch, tables, facts)
+    return True
+
+
+def write_attempt(
+    frames: dict[str, DataFrame], micro_batch: int, tables: ResultTables, facts: CommitFacts | None = None
+) -> None:
+    """``write_histories`` of a micro-batch that is known not to be committed."""
     spark = next(iter(frames.values())).sparkSession
-    if is_committed(spark, tables, micro_batch):
-        return False
     attempt, block = uuid.uuid4().hex, _block(micro_batch)
     writes = [partial(_write, df, block, micro_batch, attempt, tables, name) for name, df in frames.items()]
     run_together(spark, writes)
     own = CommitFacts(micro_batch + 1, None, micro_batch, micro_batch)
     _commit(spark, tables, block, micro_batch, attempt, facts or own)
-    return True
 
 
 def _table(spark: SparkSession, tables: ResultTables, name: str) -> DataFrame:

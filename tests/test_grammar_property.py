@@ -1,10 +1,15 @@
 """Property test: the accept rule equals an independent model of Java parsing.
 
 The model below scans strings by hand (no regular expressions) following
-the documented grammar of ``Integer.parseInt`` and ``Float.parseFloat``
-(decimal forms; ASCII digits).
+the documented grammar of ``Integer.parseInt`` (ASCII digits) and
+``Float.parseFloat`` (decimal and hexadecimal forms); the values of
+hexadecimal floats are worked out in exact fractions.
 """
 
+import math
+import random
+from fractions import Fraction
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -33,6 +38,8 @@ def java_float_ok(s: str) -> bool:
         t = t[1:]
     if t in ("NaN", "Infinity"):
         return True
+    if t[:2] in ("0x", "0X"):
+        return java_hex_ok(t[2:])
     if t[-1:] in ("f", "F", "d", "D"):
         t = t[:-1]
     mant, exp = t, None
@@ -50,6 +57,42 @@ def java_float_ok(s: str) -> bool:
     return bool(whole or frac)
 
 
+def java_hex_ok(t: str) -> bool:
+    """What follows 0x: digits with at most one point, p, a decimal exponent, a suffix."""
+    at = max(t.find("p"), t.find("P"))
+    if at < 0 or "p" in t[:at] or "P" in t[:at]:
+        return False
+    digits, exp = t[:at], t[at + 1 :]
+    if exp[-1:] in ("f", "F", "d", "D"):
+        exp = exp[:-1]
+    exp = exp[1:] if exp[:1] in ("+", "-") else exp
+    whole, dot, frac = digits.partition(".")
+    if any(c not in "0123456789abcdefABCDEF" for c in whole + frac) or not exp:
+        return False
+    return bool(whole or frac) and all(c in DIGITS for c in exp)
+
+
+def hex_value(text: str) -> float:
+    """The float nearest to a hexadecimal number, ties to even, by exact fractions."""
+    sign = -1 if text[0] == "-" else 1
+    digits, exp = text.lstrip("+-")[2:].lower().rstrip("fd" if "p" in text.lower() else "").split("p")
+    whole, _, frac = digits.partition(".")
+    exact = Fraction(int(whole + frac or "0", 16), 16 ** len(frac)) * Fraction(2) ** int(exp)
+    if exact == 0:
+        return math.copysign(0.0, sign)
+    power = exact.numerator.bit_length() - exact.denominator.bit_length()
+    while Fraction(2) ** power > exact:
+        power -= 1
+    while Fraction(2) ** (power + 1) <= exact:
+        power += 1
+    unit = Fraction(2) ** (max(power, -126) - 23)
+    steps, rest = divmod(exact, unit)
+    if 2 * rest > unit or (2 * rest == unit and steps % 2):
+        steps += 1
+    rounded = steps * unit
+    return sign * (math.inf if rounded >= Fraction(2) ** 128 else float(rounded))
+
+
 def java_line_ok(fields: list[str]) -> bool:
     # split(";") drops trailing empty strings, then needs index 20.
     while fields and fields[-1] == "":
@@ -69,8 +112,10 @@ BASE = ["A1", "F1", "33.5", "-117.25", "5000", "100", "90", "0453", "C182", "201
 
 number_text = st.one_of(
     st.text(alphabet="0123456789+-.eEfFdD \tNaIinfty", max_size=8),
+    st.text(alphabet="018afAF.pP+-xX d", max_size=8).map(lambda t: "0x" + t),
     st.integers(min_value=-(2**32), max_value=2**32).map(str),
     st.sampled_from(["NaN", "Infinity", "-Infinity", "nan", "inf", "1e5", ".5", "5.", ".", "1.5f", " 2 ",
+                     "0x1p0", "0X.8P-3f", "0x1.", "0x1.8", "0xp1", "0x.p1", "-0x1.fffffep127", " 0xap1 ", "0x1p1e", "x1p1",
                      "2147483647", "2147483648", "-2147483648", "-2147483649", "+0", "00012"]),
 )
 
@@ -95,3 +140,31 @@ def test_accept_rule_matches_java_model(spark, lines):
     for i, s in enumerate(lines):
         assert got[i] == java_line_ok(s.split(";")), s
     assert len(set(got.values())) == 2 or len(set(lines)) < 10
+
+
+def test_hexadecimal_floats_have_javas_values(spark):
+    from skyledger.operators import parse_records
+
+    rng = random.Random(8)
+
+    def number():
+        whole = "".join(rng.choice("0123456789abcdefABCDEF") for _ in range(rng.randrange(0, 10)))
+        frac = "".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(0 if whole else 1, 12)))
+        exponent = rng.choice([0, 5, -5, 90, 127, -126, -140, -149, -150, -160, 300, rng.randrange(-170, 140)])
+        return rng.choice(["", "-", "+"]) + "0x" + whole + ("." + frac if frac else "") + rng.choice("pP") + str(exponent)
+
+    # Ties at 24 bits, at the largest float and among subnormal ones, and just beside them.
+    texts = ["0x1.000001p0", "0x1.000003p0", "0x1.0000010001p0", "0x1.ffffffp0", "0x1.fffffefp127", "0x1.ffffffp127",
+             "0x1p-149", "0x1p-150", "0x1.8p-150", "0x3p-150", "0x0.0p5", "-0x0p0", "0x1.000001p-130"]
+    texts += [number() for _ in range(2000)]
+    lines = []
+    for k, text in enumerate(texts):
+        fields = list(BASE)
+        fields[2] = text
+        lines.append((k, ";".join(fields)))
+    records = parse_records(spark.createDataFrame(lines, "line_no long, line string")).records
+    got = {r["line_no"]: r["latitude"] for r in records.select("line_no", "latitude").collect()}
+    assert len(got) == len(texts)
+    for k, text in enumerate(texts):
+        want = hex_value(text)
+        assert got[k] == want and math.copysign(1, got[k]) == math.copysign(1, want), text

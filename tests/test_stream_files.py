@@ -172,3 +172,25 @@ def bytes_read(spark, action):
     before = sum(s.getBytesRead() for s in statistics())
     action()
     return sum(s.getBytesRead() for s in statistics()) - before
+
+
+def test_kept_index_makes_the_second_read_one_pass(spark, tmp_path, small_splits):
+    folder = feed_folder(spark, tmp_path)
+    seen = []
+
+    def read():
+        seen.append(rows(read_lines(spark, folder, keep_index=True)))
+
+    first, second = bytes_read(spark, read), bytes_read(spark, read)
+    assert seen[0] == seen[1] == rows(read_lines(spark, folder))
+    text = sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder))
+    assert first - second > 0.7 * text, (first, second, text)
+    changed = f"{folder}/b_odd.csv"
+    with open(changed, "ab") as file:
+        file.write(b"\none more;line")
+    read()
+    assert seen[2] == rows(read_lines(spark, folder)) and len(seen[2]) == len(seen[0]) + 1
+    # Another cut of the same files has a table of its own.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    read()
+    assert seen[3] == seen[2]
