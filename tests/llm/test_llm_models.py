@@ -387,5 +387,5 @@ def test_pipeline_empty_table(spark, tmp_path):
 
 def test_every_operator_is_registered():
     names = set(E.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names
