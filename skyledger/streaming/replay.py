@@ -170,6 +170,7 @@ def start_paced_replay(
     checkpoint: str,
     block_lines: int = BLOCK_LINES,
     query_name: str = "paced_replay",
+    last_line: int | None = None,
 ) -> StreamingQuery:
     """Deliver the lines of ``stage_lines`` in order, ``lines_per_step`` of them every ``step_s`` seconds.
 
@@ -177,7 +178,7 @@ def start_paced_replay(
     number for each micro-batch, and its checkpoint knows the next one, so a
     restarted replay goes on where it stopped.  A step that is late shifts
     those after it and is not made up for by a burst.  Steps after the last
-    line deliver nothing.
+    line deliver nothing; if ``last_line`` names it, they read nothing either.
     """
     due = (
         spark.readStream.format("rate-micro-batch")
@@ -189,6 +190,8 @@ def start_paced_replay(
     def step(numbers: DataFrame, number: int) -> None:
         # A micro-batch's numbers are a range, and follow from its own number.
         first = number * int(lines_per_step)
+        if last_line is not None and first > last_line:
+            return
         lines = staged_range(spark, staged, first, first + int(lines_per_step) - 1, block_lines)
         if not lines.isEmpty():
             deliver(lines, number)
@@ -210,6 +213,7 @@ def run_paced_replay(
     if last is None:
         return
     done = last // int(lines_per_step)
+    options["last_line"] = last
     query = start_paced_replay(spark, staged, deliver, lines_per_step, step_s, checkpoint, **options)
     try:
         while not query.awaitTermination(min(1.0, step_s)):
