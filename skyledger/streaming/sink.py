@@ -162,7 +162,8 @@ def ensure_tables(spark: SparkSession, tables: ResultTables) -> None:
             empty = spark.createDataFrame([], _stored_schema(name))
             empty.write.mode("append").partitionBy(*_PARTITIONS).parquet(tables.path(name))
         return
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{tables.database}`")
+    # Beside the tables, so that nothing goes to a warehouse folder of the driver's machine.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{tables.database}` LOCATION '{tables.path('database')}'")
     for name in stored:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _stored_schema(name).fields)
         spark.sql(
