@@ -108,3 +108,16 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, *[p.strip("/") for p in parts]])
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system, of any kind that Spark reads, that a path is on."""
+    return hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return file_system(spark, path).exists(hadoop_path(spark, path))

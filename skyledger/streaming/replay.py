@@ -11,6 +11,7 @@ way the replay time of a line follows from its number (``with_batches``).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import HEADER_LINE
+from ..session import path_exists
 from .source import FEED_TOPIC, STAGED_SCHEMA
 
 # Lines of one staged block: 10,000 batches of the reference (6 lines each), about 9 MB.
@@ -155,9 +157,13 @@ def deliver_to_topic(bootstrap_servers: str, topic: str = FEED_TOPIC) -> Deliver
 
 
 def staged_range(spark: SparkSession, staged: str, first: int, last: int, block_lines: int = BLOCK_LINES) -> DataFrame:
-    """The staged lines with numbers ``first`` to ``last``; only their blocks are read."""
-    blocks = F.col("block").between(first // block_lines, last // block_lines)
-    lines = spark.read.schema(f"{STAGED_SCHEMA}, block BIGINT").parquet(staged).filter(blocks)
+    """The staged lines with numbers ``first`` to ``last``; only their blocks are listed and read."""
+    blocks = range(first // block_lines, last // block_lines + 1)
+    folders = [f"{staged.rstrip('/')}/block={block}" for block in blocks]
+    folders = [f for f in folders if path_exists(spark, f)]
+    if not folders and path_exists(spark, staged):
+        return spark.createDataFrame([], STAGED_SCHEMA)
+    lines = spark.read.schema(STAGED_SCHEMA).parquet(*(folders or [staged]))
     return lines.filter(F.col("line_no").between(first, last)).select("line_no", "line")
 
 
@@ -187,7 +193,13 @@ def start_paced_replay(
         .load()
     )
 
+    began: list[float] = []
+
     def step(numbers: DataFrame, number: int) -> None:
+        # Triggers fall on multiples of the interval, the first one anywhere between: its pause is a whole one too.
+        if began:
+            time.sleep(max(0.0, began.pop() + step_s - time.monotonic()))
+        began.append(time.monotonic())
         # A micro-batch's numbers are a range, and follow from its own number.
         first = number * int(lines_per_step)
         if last_line is not None and first > last_line:

@@ -194,3 +194,21 @@ def test_kept_index_makes_the_second_read_one_pass(spark, tmp_path, small_splits
     spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
     read()
     assert seen[3] == seen[2]
+
+
+def test_paced_step_looks_at_its_own_blocks_only(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    from skyledger.streaming import replay
+
+    staged = str(tmp_path / "staged")
+    lines = spark.range(100).selectExpr("id AS line_no", "concat('l', id) AS line").filter("line_no not between 40 and 59")
+    stage_lines(lines, staged, block_lines=10)
+    read, opened = DataFrameReader.parquet, []
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *paths, **o: opened.append(paths) or read(self, *paths, **o))
+    got = replay.staged_range(spark, staged, 25, 44, 10).collect()
+    assert sorted(r["line_no"] for r in got) == list(range(25, 40))
+    assert opened == [(f"{staged}/block=2", f"{staged}/block=3")]
+    assert replay.staged_range(spark, staged, 40, 59, 10).isEmpty()  # a gap
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        replay.staged_range(spark, str(tmp_path / "none"), 0, 9, 10).collect()
