@@ -583,7 +583,7 @@ def latest_views(spark: SparkSession, tables: ResultTables, prefix: str = "") ->
     """
     log, views = read_log(spark, tables), {}
     for name in _LATEST:
-        latest, _ = _latest_from(spark, tables, name, log, log.snapshots.get(name))
+        latest, _ = _latest_from(spark, tables, name, log, log.snapshots.get(name), scan=True)
         views[name] = latest.drop("batch_no")
         views[name].createOrReplaceTempView(f"{prefix}{name}")
     return views
@@ -608,7 +608,13 @@ def _snapshot_batches(spark: SparkSession, tables: ResultTables, name: str) -> l
 
 
 def _latest_from(
-    spark: SparkSession, tables: ResultTables, name: str, log: CommitLog, snapshot: int | None, upto: int | None = None
+    spark: SparkSession,
+    tables: ResultTables,
+    name: str,
+    log: CommitLog,
+    snapshot: int | None,
+    upto: int | None = None,
+    scan: bool = False,
 ) -> tuple[DataFrame, list[DataFrame]]:
     """Latest row per key (with ``batch_no``) of the micro-batches up to ``upto``, and what was persisted for it.
 
@@ -617,12 +623,13 @@ def _latest_from(
     anew from all their parts, rows of the snapshot that stem from them go, and
     the rest of it stays.  A key whose row goes, and that no renewed batch as
     late bears any more, falls back to the latest of its other batches, which
-    only the history knows.
+    only the history knows.  ``scan``, for frames that are kept by others,
+    reads tables with partition filters and persists nothing.
     """
     latest, key, source, schema = _LATEST[name], _KEY[name], _source(name), _LATEST_SCHEMA[name]
 
     def parts(after: int | None = None, batches: tuple[int, int] | None = None) -> DataFrame:
-        return _parts(spark, tables, source, log.fold, after, upto, batches, log)
+        return _parts(spark, tables, source, log.fold, after, upto, batches, None if scan else log)
 
     if snapshot is None:
         return latest(_finished(parts(), name), keep_batch=True), []
@@ -644,17 +651,18 @@ def _latest_from(
     both = rows.withColumn("was", F.lit(None).cast("bigint")).unionByName(went)
     own = [F.max_by(F.col(c), F.col("batch_no")).alias(c) for c in values]
     now = both.groupBy(key).agg(*own, F.max("batch_no").alias("batch_no"), F.max("was").alias("was"))
-    # Kept rows are not coalesced by themselves: a row per key needs no task for each shuffle partition.
-    now = now.coalesce(spark.sparkContext.defaultParallelism).persist()
+    if not scan:
+        # Kept rows are not coalesced by themselves: a row per key needs no task for each shuffle partition.
+        now = now.coalesce(spark.sparkContext.defaultParallelism).persist()
     lost = now.filter(F.col("was").isNotNull() & (F.coalesce(F.col("batch_no"), F.lit(-1)) < F.col("was")))
     lost = lost.select(F.col(key).alias("lost"))
     found = now.filter(F.col("batch_no").isNotNull()).select(*columns)
     if lost.isEmpty():
-        return found, [now]
+        return found, [] if scan else [now]
     others = _finished(parts().filter(~renewed), name)
     wanted = F.col(key).eqNullSafe(F.col("lost"))
     fallen = others.join(F.broadcast(lost), wanted, "left_semi").select(*columns)
-    return latest(found.unionByName(fallen), keep_batch=True), [now]
+    return latest(found.unionByName(fallen), keep_batch=True), [] if scan else [now]
 
 
 def snapshot_current(
