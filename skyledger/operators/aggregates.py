@@ -100,25 +100,30 @@ def speed_parts(
         wanted = wanted & (F.col("flight_id") == F.lit(flight))
     segment = label if label is not None else flight
     parts = records.filter(wanted).groupBy(*keys).agg(
-        F.max("speed").alias("max_speed"),
-        F.min("speed").alias("min_speed"),
-        F.sum(F.col("speed").cast("bigint")).alias("sum_speed"),
-        F.count(F.lit(1)).alias("n"),
+        F.expr("max(speed) AS max_speed"),
+        F.expr("min(speed) AS min_speed"),
+        F.expr("sum(CAST(speed AS BIGINT)) AS sum_speed"),
+        F.expr("count(1) AS n"),
     )
     return parts.withColumn("flight_segment", F.lit(segment).cast("string"))
 
 
-_SPEED = ("flight_segment", "max_speed", "min_speed", "avg_speed", "num_of_flight_segments")
+_SPEED = (
+    "flight_segment",
+    "max_speed",
+    "min_speed",
+    "CAST(sum_speed AS DOUBLE) / n AS avg_speed",
+    "n AS num_of_flight_segments",
+)
 
 
 def finish_speed_stats(parts: DataFrame, keys: Keys = BATCH_KEYS, merge: bool = False) -> DataFrame:
     """Statistics from ``speed_parts``; ``merge`` adds up several parts of the same keys first."""
     if merge:
         parts = parts.groupBy(*keys, "flight_segment").agg(
-            F.max("max_speed").alias("max_speed"),
-            F.min("min_speed").alias("min_speed"),
-            F.sum("sum_speed").alias("sum_speed"),
-            F.sum("n").alias("n"),
+            F.expr("max(max_speed) AS max_speed"),
+            F.expr("min(min_speed) AS min_speed"),
+            F.expr("sum(sum_speed) AS sum_speed"),
+            F.expr("sum(n) AS n"),
         )
-    average = F.col("sum_speed").cast("double") / F.col("n")
-    return parts.withColumns({"avg_speed": average, "num_of_flight_segments": F.col("n")}).select(*keys, *_SPEED)
+    return parts.selectExpr(*[f"`{key}`" for key in keys], *_SPEED)

@@ -7,8 +7,10 @@ rejects are two filters of the same parse, built only when asked for.
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Iterable
+from functools import cached_property, lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def _passthrough(columns: list[str], line_col: str) -> list[str]:
     return [c for c in columns if c not in FIELD_NAMES and c not in (line_col, "reason")]
 
 
-def _quoted(names: list[str]) -> list[str]:
+def _quoted(names: Iterable[str]) -> list[str]:
     return [f"`{c}`" for c in names]
 
 
@@ -107,7 +109,7 @@ def parse_lines(
     _check_mode(on_error)
     keep = [c for c in lines.columns if c not in FIELD_NAMES]
     typed = lines.selectExpr(*_quoted(keep), *typed_field_sql(f"`{line_col}`"))
-    reason = _reason(F.col(line_col), on_error)
+    reason = _reason_column(line_col, on_error, SparkContext._jvm)
     if keep_good_lines:
         return typed.withColumn("reason", reason)
     return typed.withColumns(
@@ -115,6 +117,12 @@ def parse_lines(
     )
 
 
+@lru_cache(maxsize=8)
+def _reason_column(line_col: str, on_error: str, jvm: object) -> Column:
+    """Built once for a JVM, as it has many parts and is the same for every micro-batch."""
+    return _reason(F.col(line_col), on_error)
+
+
 def parse_records(lines: DataFrame, line_col: str = "line", on_error: str = "reject") -> Parsed:
     """Split ``lines`` into records and rejects (see ``Parsed``).
 
@@ -136,7 +144,8 @@ class _SplitParsed(Parsed):
     @cached_property
     def records(self) -> DataFrame:
         extra = _passthrough(self._parsed.columns, self.line_col)
-        return self._parsed.filter(F.col("reason").isNull()).select(*extra, *FIELD_NAMES)
+        good = self._parsed.filter("reason IS NULL")
+        return good.selectExpr(*_quoted(extra), *_quoted(FIELD_NAMES))
 
     @cached_property
     def rejects(self) -> DataFrame:

@@ -7,9 +7,11 @@ submitted configuration nor an active session names, and overrides none.
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 
 from pyspark import SparkConf, SparkContext, inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -63,12 +65,16 @@ def run_together(spark: SparkSession, calls: Sequence[Callable[[], object]]) ->
     """Run the calls, each a Spark job, side by side; the first failure is raised.
 
     The threads inherit the caller's job group and scheduler pool, so that
-    cancelling the group (as stopping a stream does) reaches their jobs.
+    cancelling the group (as stopping a stream does) reaches their jobs.  The
+    last call runs in the caller's thread: a thread is a connection to the JVM.
     """
     if not calls:
         return
-    with ThreadPoolExecutor(len(calls)) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]:
+    *others, own = calls
+    with ThreadPoolExecutor(max(1, len(others))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(call)) for call in others]
+        own()
+        for done in running:
             done.result()
 
 
@@ -110,8 +116,17 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, *[p.strip("/") for p in parts]])
 
 
+# Every step of a name, and every call, is a message to the JVM, which shows in work that follows each micro-batch.
+@lru_cache(maxsize=16)
+def _java_class(jvm, name: str):
+    found = jvm
+    for part in name.split("."):
+        found = getattr(found, part)
+    return found
+
+
 def hadoop_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+    return _java_class(spark._jvm, "org.apache.hadoop.fs.Path")(path)
 
 
 def file_system(spark: SparkSession, path: str):
@@ -121,3 +136,24 @@ def file_system(spark: SparkSession, path: str):
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system(spark, path).exists(hadoop_path(spark, path))
+
+
+def stored_bytes(spark: SparkSession, paths: Sequence[str]) -> dict[str, int]:
+    """Bytes of the files below each path that there is; all are on one file system."""
+    found = {}
+    for path in paths:
+        at = hadoop_path(spark, path)
+        files = file_system(spark, path) if path is paths[0] else files
+        if files.exists(at):
+            found[path] = files.getContentSummary(at).getLength()
+    return found
+
+
+def numbered_folders(spark: SparkSession, folder: str, prefix: str) -> list[tuple[str, int]]:
+    """The folders ``<prefix><number>`` in ``folder``."""
+    files, at = file_system(spark, folder), hadoop_path(spark, folder)
+    if not files.exists(at):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(at)]
+    found = [re.fullmatch(rf"{re.escape(prefix)}(-?[0-9]+)", name) for name in names]
+    return [(f"{folder}/{m[0]}", int(m[1])) for m in found if m]

@@ -103,9 +103,12 @@ class FeedBatchWriter:
             raise
 
     def _take(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        key = F.col("batch_no") if self.batches_from_input else F.lit(batch_id)
-        others = [c for c in batch.columns if c != "batch_no"]
-        lines = batch.select(key.cast("bigint").alias("batch_no"), *others)
+        key = "batch_no" if self.batches_from_input else int(batch_id)
+        others = [f"`{c}`" for c in batch.columns if c != "batch_no"]
+        lines = batch.selectExpr(f"CAST({key} AS BIGINT) AS batch_no", *others)
+        if batch.rdd.getNumPartitions() == 1:
+            # One task has it all: said to the planner, nothing is exchanged between tasks.
+            lines = lines.coalesce(1)
         by_split = set(SPLIT_COLUMNS) <= set(lines.columns)
         if by_split:
             lines = with_row_ids(lines)
@@ -113,12 +116,13 @@ class FeedBatchWriter:
         # Headers are still among the lines of byte ranges, and are no bad lines.
         early = "reject" if by_split else self.on_error
         parsed = parse_lines(lines, keep_good_lines=self.preview_rows > 0, on_error=early)
-        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-        kept = [parsed]
+        kept = []
+        if by_split or self.echo_rows > 0 or self._n_results() > 1:
+            kept.append(parsed.persist(StorageLevel.MEMORY_AND_DISK))
         try:
             if by_split:
                 kept.append(split_counts(parsed).persist(StorageLevel.MEMORY_AND_DISK))
-                parsed = place_lines(parsed, kept[1], self.header_lines)
+                parsed = place_lines(parsed, kept[-1], self.header_lines)
                 if self.on_error == "fail":
                     _fail_on_bad(split_parsed(parsed).rejects)
             if self.echo_rows > 0:
@@ -127,9 +131,8 @@ class FeedBatchWriter:
             # The outputs read the same persisted parse; their jobs run side by side.
             results = self.results(parsed)
             if results:
-                facts = write_attempt(
-                    results, batch_id, self.tables, lambda: self._facts(parsed, results), self._log
-                )
+                seen = parsed if kept else lines  # a single output parses the lines, nothing else need do so
+                facts = write_attempt(results, batch_id, self.tables, lambda: self._facts(seen, results), self._log)
                 self._low_line = facts.low_line
         finally:
             for frame in kept:
@@ -147,20 +150,24 @@ class FeedBatchWriter:
         newest = self._log.last()
         return newest is not None and batch_id <= newest and is_committed(spark, self.tables, batch_id)
 
-    def _facts(self, parsed: DataFrame, results: dict[str, DataFrame]) -> CommitFacts | None:
-        """What the commit record says of a replay's micro-batch."""
+    def _n_results(self) -> int:
+        stored = [name for name in OUTPUTS if name in self.outputs]
+        return len(stored) + (self.preview_rows > 0) + (self.clock is not None)
+
+    def _facts(self, seen: DataFrame, results: dict[str, DataFrame]) -> CommitFacts | None:
+        """What the commit record says of a replay's micro-batch, from its lines."""
         if not self.batches_from_input:
             return None
-        ends = parsed.agg(F.min("batch_no").alias("first"), F.max("batch_no").alias("last")).first()
+        ends = seen.selectExpr("min(batch_no) AS first", "max(batch_no) AS last").first()
         if not self.clock:
             return CommitFacts(None, None, *ends)
-        spark, clock = parsed.sparkSession, self.clock
+        spark, clock = seen.sparkSession, self.clock
         low = low_line(spark, self.tables) if self._low_line is None else self._low_line
         # Only batches at or above the mark can close; earlier parts of theirs are few.
         start = clock.closed_upto(low)
         before = lines_from(spark, self.tables, start, self._log)
-        seen = merge_parts(before.unionByName(results[LINES]), LINES).filter(F.col("batch_no") >= start)
-        low = max(low, _low_line(seen, clock, low))
+        found = merge_parts(before.unionByName(results[LINES]), LINES).filter(F.col("batch_no") >= start)
+        low = max(low, _low_line(found, clock, low))
         return CommitFacts(clock.closed_upto(low), low, *ends)
 
 

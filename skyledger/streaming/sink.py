@@ -29,15 +29,22 @@ replaces is deleted by the fold after it, when no reader uses it any more.
 Partitions are ``block`` (1000 micro-batches; -1 for folds) and ``micro_batch``.
 A writer keeps the records that count in a ``CommitLog``, and so opens the
 folders that it needs without listing a history that grows.
+
+Work that follows every micro-batch (snapshots, folds) reads a few small files
+most of the time.  Up to ``SMALL_BYTES`` of them one task adds up, as one job
+without exchanges; more is shuffled.
 """
 
 from __future__ import annotations
 
+import io
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import partial
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,7 +62,7 @@ from ..schema import (
     SPEED_PARTS_SCHEMA,
     WINNERS_LATEST_SCHEMA,
 )
-from ..session import file_system, hadoop_path, path_exists, run_together
+from ..session import file_system, hadoop_path, numbered_folders, path_exists, run_together, stored_bytes
 
 # Result names; winners and speed statistics are finished from parts.
 WINNERS = "agencies_most_flight_segs"
@@ -81,12 +88,12 @@ _PARTITIONS = ("block", "micro_batch")
 _ATTEMPT = "attempt"
 # Stored parts are summed up by these functions when they are folded or read.
 _MERGED = {
-    COUNTS: (("batch_no", "agency"), {"n": F.sum}),
+    COUNTS: (("batch_no", "agency"), {"n": "sum"}),
     SPEED_PARTS: (
         ("batch_no", "flight_segment"),
-        {"max_speed": F.max, "min_speed": F.min, "sum_speed": F.sum, "n": F.sum},
+        {"max_speed": "max", "min_speed": "min", "sum_speed": "sum", "n": "sum"},
     ),
-    LINES: (("batch_no",), {"n_lines": F.sum}),
+    LINES: (("batch_no",), {"n_lines": "sum"}),
 }
 
 
@@ -149,6 +156,8 @@ class CommitFacts:
 _FACTS = {"closed_upto": max, "low_line": max, "first_batch": min, "last_batch": max}
 # Up to so many folders are opened one by one; more are found by listing the table.
 _FEW = 32
+# Parquet files up to so many bytes together are added up by one task.
+SMALL_BYTES = 1 << 20
 _LAST_BATCH = 2**63 - 1
 
 
@@ -272,13 +281,17 @@ def ensure_tables(spark: SparkSession, tables: ResultTables) -> None:
 
 
 def _write(df: DataFrame, block: int, micro_batch: int, attempt: str, tables: ResultTables, name: str) -> None:
-    out = df.withColumns({_ATTEMPT: F.lit(attempt), "block": F.lit(block), "micro_batch": F.lit(micro_batch)})
-    out = out.select(*[F.col(f.name).cast(f.dataType) for f in _stored_schema(name).fields])
+    columns = {f.name: f"CAST(`{f.name}` AS {f.dataType.simpleString()})" for f in _schema(name).fields}
+    columns[_ATTEMPT] = f"'{attempt}'"
     if tables.database:
-        out.select(*out.sparkSession.table(tables.table(name)).columns).write.insertInto(tables.table(name))
+        columns.update(block=f"CAST({block} AS BIGINT)", micro_batch=f"CAST({micro_batch} AS BIGINT)")
+        order = df.sparkSession.table(tables.table(name)).columns
+        out = df.selectExpr(*[f"{columns[c]} AS `{c}`" for c in order])
+        out.write.insertInto(tables.table(name))
     else:
         # The one partition is known: no sort by it, and code that does not change with its number.
-        out.drop(*_PARTITIONS).write.mode("append").parquet(_folder(tables, name, block, micro_batch))
+        out = df.selectExpr(*[f"{value} AS `{c}`" for c, value in columns.items()])
+        out.write.mode("append").parquet(_folder(tables, name, block, micro_batch))
 
 
 def _folder(tables: ResultTables, name: str, block: int, micro_batch: int) -> str:
@@ -294,11 +307,31 @@ def _commit(
 ) -> None:
     """Make an attempt visible: one row in one file, which appears whole or not at all."""
     said = {f.name: getattr(facts, f.name) for f in COMMITS_SCHEMA.fields}
+    if not tables.database:  # no catalog to tell: a file of its own, without a job
+        _write_record({**said, _ATTEMPT: attempt}, spark, _folder(tables, COMMITS, block, micro_batch))
+        return
     values = ", ".join("CAST(NULL AS BIGINT)" if v is None else f"CAST({int(v)} AS BIGINT)" for v in said.values())
     record = spark.sql(f"SELECT * FROM VALUES ({values}) AS record({', '.join(said)})")
     _write(record, block, micro_batch, attempt, tables, COMMITS)
 
 
+def _write_record(record: dict[str, int | str | None], spark: SparkSession, folder: str) -> None:
+    """A row as a parquet file in ``folder``; it is hidden until it is whole."""
+    types = {name: pa.string() if name == _ATTEMPT else pa.int64() for name in record}
+    row = pa.table({name: pa.array([value], types[name]) for name, value in record.items()})
+    data = io.BytesIO()
+    pq.write_table(row, data)
+    files, name = file_system(spark, folder), f"part-{record[_ATTEMPT]}.parquet"
+    hidden, shown = (hadoop_path(spark, f"{folder}/{n}") for n in (f".{name}.tmp", name))
+    out = files.create(hidden, True)
+    try:
+        out.write(bytearray(data.getvalue()))
+    finally:
+        out.close()
+    if not files.rename(hidden, shown):
+        raise OSError(f"cannot write {folder}/{name}")
+
+
 def write_histories(
     frames: dict[str, DataFrame], micro_batch: int, tables: ResultTables, facts: CommitFacts | None = None
 ) -> bool:
@@ -383,7 +416,7 @@ def _live_folds(folds: list[Commit]) -> tuple[Fold | None, list[Commit]]:
 
 def is_current(spark: SparkSession, tables: ResultTables, log: CommitLog) -> bool:
     """Whether nobody else has folded the history since (from the few folders of folds)."""
-    folds = [number for _, number in _numbered(spark, f"{tables.path(COMMITS)}/block={FOLDS}", "micro_batch=")]
+    folds = [number for _, number in numbered_folders(spark, f"{tables.path(COMMITS)}/block={FOLDS}", "micro_batch=")]
     return max(folds, default=None) == (log.fold.micro_batch if log.fold else None)
 
 
@@ -495,17 +528,27 @@ def _parts(
 def _parts_of(
     spark: SparkSession, tables: ResultTables, name: str, chosen: list[Commit], batches: tuple[int, int] | None = None
 ) -> DataFrame:
-    """The parts of these commits, each in its own folder."""
+    """The parts of these commits, each in its own folder; in one partition if they are small."""
     schema = _schema(name)
-    folders = [_folder(tables, name, c.block, c.micro_batch) for c in chosen]
-    folders = [f for f in folders if path_exists(spark, f)]
-    if not folders:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    sizes = stored_bytes(spark, [_folder(tables, name, c.block, c.micro_batch) for c in chosen])
+    if not sizes:
+        none = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]
+        return spark.range(0).selectExpr(*none).coalesce(1)
     stored = T.StructType([*schema.fields, T.StructField(_ATTEMPT, T.StringType(), True)])
-    df = spark.read.schema(stored).parquet(*folders).filter(F.col(_ATTEMPT).isin([c.attempt for c in chosen]))
+    attempts = ", ".join(f"'{c.attempt}'" for c in chosen)
+    wanted = f"{_ATTEMPT} IN ({attempts})"
     if batches is not None:
-        df = df.filter(F.col("batch_no").between(*batches))
-    return df.select(*schema.fieldNames())
+        wanted += f" AND batch_no BETWEEN {batches[0]} AND {batches[1]}"
+    df = spark.read.schema(stored).parquet(*sizes).filter(wanted).drop(_ATTEMPT)
+    return df.coalesce(1) if sum(sizes.values()) <= SMALL_BYTES else df
+
+
+def _is_small(spark: SparkSession, tables: ResultTables, name: str, chosen: list[Commit], *others: str) -> bool:
+    """Whether the parts of these commits, and other folders, are few bytes together."""
+    if len(chosen) > _FEW:
+        return False
+    folders = [*(_folder(tables, name, c.block, c.micro_batch) for c in chosen), *others]
+    return sum(stored_bytes(spark, folders).values()) <= SMALL_BYTES
 
 
 def lines_from(spark: SparkSession, tables: ResultTables, batch_no: int, log: CommitLog | None = None) -> DataFrame:
@@ -518,7 +561,7 @@ def merge_parts(parts: DataFrame, name: str) -> DataFrame:
     """Parts of the same keys added up; the first lines of a batch cut to as many as were asked for."""
     if name in _MERGED:
         keys, sums = _MERGED[name]
-        return parts.groupBy(*keys).agg(*[f(c).alias(c) for c, f in sums.items()])
+        return parts.groupBy(*keys).agg(*[F.expr(f"{f}({c}) AS {c}") for c, f in sums.items()])
     if name == PREVIEW:
         return _first_of_batches(parts, F.col("rows"))
     return parts
@@ -633,18 +676,27 @@ def _latest_from(
 
     if snapshot is None:
         return latest(_finished(parts(), name), keep_batch=True), []
-    columns = schema.fieldNames()
-    before = spark.read.schema(schema).parquet(f"{_snapshot_folder(tables, name)}/upto={snapshot}").select(*columns)
+    columns, folder = schema.fieldNames(), f"{_snapshot_folder(tables, name)}/upto={snapshot}"
+    before = spark.read.schema(schema).parquet(folder)
     new = log.batch_range(snapshot, upto)
     if new is None:
         return before, []
-    if all(c.micro_batch > snapshot for c in log.chosen(None, upto, new)):
+    chosen = log.chosen(None, upto, new)
+    if not scan and len(chosen) <= _FEW and not _any_parts(spark, tables, source, chosen):
+        return before, []  # no parts of these batches: none of its rows stem from them
+    small = not scan and _is_small(spark, tables, source, chosen, folder)
+
+    def together(df: DataFrame) -> DataFrame:
+        return df.coalesce(1) if small else df
+
+    if all(c.micro_batch > snapshot for c in chosen):
         # Nothing late: what is new belongs to batches that the snapshot has not seen.
-        return latest(before.unionByName(_finished(parts(after=snapshot), name).select(*columns)), keep_batch=True), []
-    renewed = F.coalesce(F.col("batch_no").between(*new), F.lit(False))
+        rows = before.unionByName(_finished(parts(after=snapshot), name).select(*columns))
+        return latest(together(rows), keep_batch=True), []
+    renewed = F.expr(f"coalesce(batch_no BETWEEN {new[0]} AND {new[1]}, false)")
     rows = before.filter(~renewed).unionByName(_finished(parts(batches=new), name).select(*columns))
     if name not in _LOSES_KEYS:
-        return latest(rows, keep_batch=True), []
+        return latest(together(rows), keep_batch=True), []
     # In one look, what a key has now and the batch of its row that goes.
     values = [c for c in columns if c not in (key, "batch_no")]
     went = before.filter(renewed).withColumn("was", F.col("batch_no")).withColumn("batch_no", F.lit(None).cast("bigint"))
@@ -732,8 +784,10 @@ def fold_history(spark: SparkSession, tables: ResultTables, log: CommitLog | Non
             parts = _parts_of(spark, tables, name, merged)
         else:
             parts = _parts(spark, tables, name, before, upto=upto)
-        # Files of a size, however many micro-batches they come from.
-        _write(merge_parts(parts, name).hint("rebalance"), FOLDS, upto, attempt, tables, name)
+        sums = merge_parts(parts, name)
+        if not _is_small(spark, tables, name, merged):
+            sums = sums.hint("rebalance")  # files of a size, however many micro-batches they come from
+        _write(sums, FOLDS, upto, attempt, tables, name)
 
     folds = [partial(fold, name) for name in STORED if _any_parts(spark, tables, name, merged)]
     run_together(spark, [partial(snapshot_current, spark, tables, upto, log), *folds])
@@ -748,8 +802,12 @@ def fold_history(spark: SparkSession, tables: ResultTables, log: CommitLog | Non
 
 def _any_parts(spark: SparkSession, tables: ResultTables, name: str, commits: list[Commit]) -> bool:
     """Whether some of the commits wrote to the table."""
-    folders = (_folder(tables, name, c.block, c.micro_batch) for c in commits)
-    return any(path_exists(spark, f) for f in folders)
+    for block in {c.block for c in commits}:  # most tables have no folder of a block at all
+        if path_exists(spark, f"{tables.path(name)}/block={block}"):
+            folders = (_folder(tables, name, block, c.micro_batch) for c in commits if c.block == block)
+            if any(path_exists(spark, f) for f in folders):
+                return True
+    return False
 
 
 def _delete_replaced(spark: SparkSession, tables: ResultTables, fold: Fold) -> None:
@@ -760,8 +818,8 @@ def _delete_replaced(spark: SparkSession, tables: ResultTables, fold: Fold) -> N
 
     def delete_parts(name: str) -> None:
         gone = []
-        for block_path, block in _numbered(spark, tables.path(name), "block="):
-            for path, number in _numbered(spark, block_path, "micro_batch="):
+        for block_path, block in numbered_folders(spark, tables.path(name), "block="):
+            for path, number in numbered_folders(spark, block_path, "micro_batch="):
                 if block == FOLDS:
                     replaced = fold.since <= number < fold.micro_batch
                 else:
@@ -779,18 +837,14 @@ def _delete_replaced(spark: SparkSession, tables: ResultTables, fold: Fold) -> N
             delete(path)
 
     def delete_snapshots(name: str) -> None:
-        for path, upto in _numbered(spark, _snapshot_folder(tables, name), "upto="):
+        for path, upto in numbered_folders(spark, _snapshot_folder(tables, name), "upto="):
             if upto < fold.micro_batch:
                 delete(path)
 
-    parts = [partial(delete_parts, name) for name in (*STORED, COMMITS)]
-    run_together(spark, [*parts, *[partial(delete_snapshots, name) for name in _LATEST]])
-
-
-def _numbered(spark: SparkSession, folder: str, prefix: str) -> list[tuple[str, int]]:
-    """The folders ``<prefix><number>`` in ``folder``."""
-    if not path_exists(spark, folder):
-        return []
-    found = file_system(spark, folder).listStatus(hadoop_path(spark, folder))
-    names = [s.getPath().getName() for s in found if s.isDirectory()]
-    return [(f"{folder}/{n}", int(n[len(prefix) :])) for n in names if n.startswith(prefix)]
+    deletions = [partial(delete_parts, name) for name in (*STORED, COMMITS)]
+    deletions += [partial(delete_snapshots, name) for name in _LATEST]
+    if tables.database:  # a catalog is told of every partition
+        run_together(spark, deletions)
+    else:
+        for delete_some in deletions:
+            delete_some()
