@@ -420,7 +420,7 @@ def one_task_lines(spark, tmp_path, number, n=51):
 
 @pytest.mark.parametrize(
     "outputs,options,most",
-    [((SPEED_PARTS,), {"fold_every": 1}, 6)],
+    [((SPEED_PARTS,), {"fold_every": 1}, 6), ((COUNTS, SPEED_PARTS), {"snapshot_every": 1}, 12)],
 )
 def test_small_micro_batch_runs_few_jobs(spark, tmp_path, outputs, options, most):
     """No exchanges between tasks where one task has it all, and no job for a record of one row."""
